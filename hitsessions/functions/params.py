@@ -4,8 +4,15 @@ unique session id (J1).
 The record is ``array<struct<key, value: struct<string_value, int_value, ...>>>``.
 A key that is absent is not in the array and reads as NULL. The array is
 not turned into a map: ``map_from_entries`` fails on a duplicated key of
-*any* name, even one that is never read, while a per-key ``filter`` only
-looks at the key asked for.
+*any* name, even one that is never read.
+
+A lookup is ``get(event_params.value.X, array_position(event_params.key, K) - 1)``:
+the field extraction through the array, ``array_position`` (first match,
+0 when absent) and ``get`` (NULL out of range) are all code-generated,
+where a ``filter`` lambda would fall back to interpreted evaluation and
+break the whole-stage codegen of its operator. Reading only
+``event_params.key`` and ``event_params.value.X`` also lets nested schema
+pruning narrow the Parquet read.
 """
 
 from __future__ import annotations
@@ -32,10 +39,14 @@ def event_param(key: str, kind: str = "string", params="event_params", strict: b
     ``double``). With several entries of the same key the first in array
     order wins, unless ``strict`` asks for an error instead.
     """
-    hits = F.filter(_col(params), lambda p: p["key"] == F.lit(key))
-    value = F.get(hits, 0)["value"][f"{kind}_value"]
+    arr = _col(params)
+    keys = arr["key"]
+    pos = F.array_position(keys, F.lit(key))
+    value = F.get(arr["value"][f"{kind}_value"], (pos - F.lit(1)).cast("int"))
     if strict:
-        return F.when(F.size(hits) > 1,
+        # Occurrences of the key: the size drop when all of them are removed.
+        count = F.size(keys) - F.size(F.array_remove(keys, F.lit(key)))
+        return F.when(count > 1,
                       F.raise_error(F.lit(f"parameter {key!r} occurs more than once"))
                       ).otherwise(value)
     return value

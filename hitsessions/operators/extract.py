@@ -18,6 +18,7 @@ SESSION_START = "session_start"
 
 
 def base_columns(opts: SessionOptions) -> list[Column]:
+    """Columns of the extraction step; ``event_params`` is read here only."""
     strict = opts.strict_params
     return [
         parse_yyyymmdd("event_date").alias("session_date"),

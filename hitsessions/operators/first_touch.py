@@ -41,7 +41,8 @@ def run_timestamp(run_ts=None) -> Column:
     if isinstance(run_ts, Column):
         return run_ts
     if isinstance(run_ts, str):
-        run_ts = dt.datetime.fromisoformat(run_ts)
+        # Parsed in the session time zone, like any timestamp literal.
+        return F.to_timestamp(F.lit(run_ts))
     return F.lit(run_ts).cast("timestamp")
 
 

@@ -38,8 +38,8 @@ def params_type(narrow: bool = True) -> T.ArrayType:
                                      T.StructField("value", value)]))
 
 
-def event_schema(narrow: bool = True, with_suffix: bool = True) -> T.StructType:
-    fields = [
+def event_schema(narrow: bool = True, with_suffix: bool = True, extra=()) -> T.StructType:
+    fields = [*extra,
         T.StructField("event_date", T.StringType()),
         T.StructField("event_timestamp", T.LongType()),
         T.StructField("event_bundle_sequence_id", T.LongType()),
@@ -80,9 +80,13 @@ def shard_in_window(start, end, suffix: str = "suffix", include_intraday: bool =
     return cond
 
 
-def read_export(spark: SparkSession, root: str, narrow: bool = True) -> DataFrame:
-    """The whole export tree (S1, S2); ``suffix`` is the partition column."""
-    return (spark.read.schema(event_schema(narrow))
+def read_export(spark: SparkSession, root: str, narrow: bool = True, extra=()) -> DataFrame:
+    """The whole export tree (S1, S2); ``suffix`` is the partition column.
+
+    The schema is given, so no footer is sampled for inference and the
+    shard name stays text (``20240121`` would otherwise become an int).
+    """
+    return (spark.read.schema(event_schema(narrow, extra=extra))
             .option("basePath", root).parquet(root))
 
 

@@ -9,8 +9,11 @@ sessions cross midnight; parameter values cover the attribution rules.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitsessions.functions.clock import micros_to_date, yyyymmdd
 
@@ -92,15 +95,16 @@ def flat_events(events: DataFrame) -> DataFrame:
 def nest_params(flat: DataFrame) -> DataFrame:
     """Turn each non-null ``p_<key>`` into one element of ``event_params``."""
     def entry(key, s=None, i=None):
-        return F.struct(F.lit(key).alias("key"),
-                        F.struct((s if s is not None else F.lit(None).cast("string")).alias("string_value"),
-                                 (i if i is not None else F.lit(None).cast("long")).alias("int_value"),
-                                 F.lit(None).cast("float").alias("float_value"),
-                                 F.lit(None).cast("double").alias("double_value")).alias("value"))
+        v = s if s is not None else i
+        e = F.struct(F.lit(key).alias("key"),
+                     F.struct((s if s is not None else F.lit(None).cast("string")).alias("string_value"),
+                              (i if i is not None else F.lit(None).cast("long")).alias("int_value"),
+                              F.lit(None).cast("float").alias("float_value"),
+                              F.lit(None).cast("double").alias("double_value")).alias("value"))
+        return F.when(v.isNotNull(), e)
     entries = ([entry(k, i=F.col(f"p_{k}")) for k in LENS_INT_KEYS]
                + [entry(k, s=F.col(f"p_{k}")) for k in LENS_STRING_KEYS])
-    present = F.filter(F.array(*entries),
-                       lambda p: p["value"]["string_value"].isNotNull() | p["value"]["int_value"].isNotNull())
+    present = F.array_compact(F.array(*entries))
     return flat.select("event_id", "event_date", "event_timestamp", "event_bundle_sequence_id",
                        "user_pseudo_id", "event_name", present.alias("event_params"), "suffix")
 
@@ -112,3 +116,32 @@ def lens_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lens_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+_EXPORTS: dict = {}
+EVENT_ID = (T.StructField("event_id", T.LongType()),)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def lens_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lens written once per session as a sharded export, read back.
+
+    Queries then start from Parquet shards like a real export: partition
+    pruning on ``suffix``, pushed filters, nested pruning of
+    ``event_params``, and short plans (the lens expressions are not
+    inlined into every downstream filter).
+    """
+    from hitsessions.session import new_work_path
+    from hitsessions.sources.export import read_export, write_export
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _EXPORTS.get(key)
+    if path is None or not _exists(spark, f"{path}/_SUCCESS"):
+        path = new_work_path(spark, "lens-export")
+        write_export(lens_events(spark, sf_dir), path)
+        _EXPORTS[key] = path
+    return read_export(spark, path, narrow=False, extra=EVENT_ID)
