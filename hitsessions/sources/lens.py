@@ -140,7 +140,9 @@ def lens_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _EXPORTS.get(key)
-    if path is None or not _exists(spark, f"{path}/_SUCCESS"):
+    # The committer moves output into place at job commit, so an existing
+    # folder is a complete one.
+    if path is None or not _exists(spark, path):
         path = new_work_path(spark, "lens-export")
         write_export(lens_events(spark, sf_dir), path)
         _EXPORTS[key] = path
