@@ -84,44 +84,45 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     """New content of every partition the upsert rewrites.
 
     ``target`` is the whole table (partition filters prune the read);
-    ``source`` has one row per session id. Returns rows of the window's
-    partitions (matched rows updated) plus inserted rows plus the rows
-    already in the partitions that the inserts land in.
+    ``source`` has one row per session id. One full outer join of the
+    window's target rows with the source gives both branches: rows with a
+    target side are kept or updated, rows with only a source side are
+    inserted. Rows outside the window that share a date with the source
+    are carried along unchanged, since their partitions are rewritten.
     """
     lo = _as_date(start) - dt.timedelta(days=int(target_lookback_days))
     hi = _as_date(end)
     in_window = F.col("session_date").between(F.lit(lo), F.lit(hi))
     ts = run_timestamp(run_ts)
     cols = list(spec.columns)
+    schema = {f.name: f.dataType for f in target.schema.fields}
 
-    t_win = target.where(in_window).alias("t")
-    # Only the source columns the update needs travel through the join.
-    s_upd = source.select(ID, *spec.update).alias("s")
-    joined = t_win.join(s_upd, F.col(f"t.{ID}") == F.col(f"s.{ID}"), "left")
-    matched = F.col(f"s.{ID}").isNotNull()
-    hit = matched & _changed(spec)
+    t = target.where(in_window).select(*cols, F.lit(True).alias("_t")).alias("t")
+    s = source.select(*[c for c in cols if c in source.columns], F.lit(True).alias("_s")).alias("s")
+    # A NULL id matches nothing: such rows come out one-sided.
+    j = t.join(s, F.col(f"t.{ID}") == F.col(f"s.{ID}"), "full_outer")
+    has_t, has_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
+    hit = has_t & has_s & _changed(spec)
     out = []
     for c in cols:
         if c in spec.update:
-            out.append(F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+            kept = F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
         elif c == spec.touch:
-            out.append(F.when(hit, ts).otherwise(F.col(f"t.{c}")).alias(c))
+            kept = F.when(hit, ts).otherwise(F.col(f"t.{c}"))
         else:
-            out.append(F.col(f"t.{c}").alias(c))
-    updated = joined.select(*out)
-
-    # Not matched by any target row of the window (a NULL id never matches).
-    inserts = source.join(target.where(in_window).select(ID), on=ID, how="left_anti")
-    schema = {f.name: f.dataType for f in target.schema.fields}
-    inserts = inserts.select(*[
-        (F.col(c) if c in spec.insert else F.lit(None)).cast(schema[c]).alias(c) for c in cols])
+            kept = F.col(f"t.{c}")
+        new = F.col(f"s.{c}") if (c in spec.insert and c in source.columns) else F.lit(None)
+        out.append(F.when(has_t, kept).otherwise(new).cast(schema[c]).alias(c))
+    merged = j.select(*out)
 
-    # Rows outside the window that share a partition with an insert stay.
-    insert_dates = inserts.select("session_date").distinct()
-    kept = (target.where(~in_window)
-            .join(insert_dates, on="session_date", how="left_semi")
-            .select(*cols))
-    return updated.unionByName(inserts).unionByName(kept)
+    # Partitions outside the window that inserted rows may land in: the
+    # source's dates are a superset of the insert dates (a handful of
+    # days), and rewriting an unchanged partition leaves it equal.
+    source_dates = source.select("session_date").distinct()
+    carried = (target.where(~in_window)
+               .join(source_dates, on="session_date", how="left_semi")
+               .select(*cols))
+    return merged.unionByName(carried)
 
 
 def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
@@ -159,10 +160,16 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
         create_sessions(first, path)
         return {"created": True, "staging": None}
     target = spark.read.parquet(path)
+    # The source is read by two branches; stage it once in the shared
+    # folder so the model is not computed twice and a lost executor
+    # does not replay the whole lineage.
+    src_path = new_work_path(spark, "upsert-source")
+    source.write.mode("overwrite").parquet(src_path)
+    source = spark.read.parquet(src_path)
     new = merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days)
     staging = new_work_path(spark, "upsert-staging")
     _write_partitioned(new, staging, "overwrite")
     staged = spark.read.parquet(staging).select(*spec.columns)
     # Dynamic overwrite replaces only the partitions present in `staged`.
     staged.write.mode("overwrite").partitionBy("session_date").parquet(path)
-    return {"created": False, "staging": staging}
+    return {"created": False, "staging": staging, "source": src_path}
