@@ -12,8 +12,13 @@ Two physical forms give the same rows:
   so each map task sends at most one row per session; a hot key (the
   NULL id of as-written mode) is combined map-side instead of being
   buffered in one task.
-* ``window``: ``first_value(... IGNORE NULLS)`` and ``row_number()`` over
-  one sorted window, as the script does; every event is shuffled.
+* ``window``: the script's two windows. ``first_value(attr IGNORE NULLS)``
+  over the whole session equals the first row of the attributed events,
+  so both are ``row_number() = 1`` windows, each of which Spark limits
+  per map task before the shuffle (``WindowGroupLimit``); the two
+  one-row-per-session results are joined on the id. A literal unbounded
+  ``first_value`` frame would buffer a whole session in one task, which
+  a hot key (a third of all rows) turns into one straggler.
 """
 
 from __future__ import annotations
@@ -80,14 +85,19 @@ def _first_rows_aggregate(x: DataFrame, opts: SessionOptions) -> DataFrame:
                     "attr")
 
 
+def _top1(x: DataFrame, opts: SessionOptions, cols) -> DataFrame:
+    w = Window.partitionBy("unique_session_id").orderBy(*[c.asc_nulls_first() for c in order_fields(opts)])
+    return x.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1).select(*cols)
+
+
 def _first_rows_window(x: DataFrame, opts: SessionOptions) -> DataFrame:
-    order = [c.asc_nulls_first() for c in order_fields(opts)]
-    w = Window.partitionBy("unique_session_id").orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    y = x.select("unique_session_id", "session_date", "event_timestamp_micros", "actual_timestamp_ms",
-                 F.first("attr", ignorenulls=True).over(whole).alias("attr"),
-                 F.row_number().over(w).alias("rn"))
-    return y.where(F.col("rn") == 1).drop("rn")
+    first = _top1(x, opts, ["unique_session_id", "session_date", "event_timestamp_micros",
+                            "actual_timestamp_ms"]).alias("f")
+    attr = _top1(x.where(F.col("attr").isNotNull()), opts, ["unique_session_id", "attr"]).alias("a")
+    # The NULL id of as-written mode is a session too: null-safe equality.
+    j = first.join(attr, F.col("f.unique_session_id").eqNullSafe(F.col("a.unique_session_id")), "left")
+    return j.select("f.unique_session_id", "f.session_date", "f.event_timestamp_micros",
+                    "f.actual_timestamp_ms", "a.attr")
 
 
 def first_touch_sessions(events: DataFrame, start=None, end=None,
@@ -121,12 +131,22 @@ def finalize_model1(first: DataFrame, opts: SessionOptions, run_ts=None) -> Data
 
 def first_value_window(events: DataFrame, start=None, end=None,
                        opts: SessionOptions | None = None) -> DataFrame:
-    """W1 alone: every event with its session's first attribution (window form)."""
+    """W1 alone: every event with its session's first attribution, and
+    whether it is the session's first event.
+
+    The per-session values come from the aggregate form and are joined
+    back to the events on the id (null-safe). A hot session is then a
+    skewed join key, which AQE splits across tasks, instead of one
+    window partition buffered by one task.
+    """
     opts = opts or SessionOptions()
     x = model1_events(events, start, end, opts)
-    order = [c.asc_nulls_first() for c in order_fields(opts)]
-    whole = (Window.partitionBy("unique_session_id").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return x.select("unique_session_id", "event_timestamp_micros", "event_bundle_sequence_id",
-                    F.first("attr", ignorenulls=True).over(whole).alias("session_attr"),
-                    F.row_number().over(Window.partitionBy("unique_session_id").orderBy(*order)).alias("rn"))
+    order = order_fields(opts)
+    per_session = x.groupBy("unique_session_id").agg(
+        F.min(F.struct(*order)).alias("first_key"),
+        F.min_by(F.col("attr"), F.when(F.col("attr").isNotNull(), F.struct(*order))).alias("session_attr"))
+    e = x.select("unique_session_id", "event_timestamp_micros", "event_bundle_sequence_id",
+                 F.struct(*order).alias("key")).alias("e")
+    j = e.join(per_session.alias("s"), F.col("e.unique_session_id").eqNullSafe(F.col("s.unique_session_id")))
+    return j.select("e.unique_session_id", "e.event_timestamp_micros", "e.event_bundle_sequence_id",
+                    "s.session_attr", (F.col("e.key") == F.col("s.first_key")).alias("is_first_event"))

@@ -120,7 +120,7 @@ def _m1(spark, sf_dir, mode, form="aggregate", window=FULL):
 def q_model1_first_value_window(spark, sf_dir):
     df = first_value_window(_events(spark, sf_dir), *FULL, _opts(AS_WRITTEN))
     return df.select("unique_session_id", "event_bundle_sequence_id",
-                     F.col("session_attr").alias("session_traffic_concat"), "rn")
+                     F.col("session_attr").alias("session_traffic_concat"), "is_first_event")
 
 
 # ------------------------------------------------------------- Model 2

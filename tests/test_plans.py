@@ -30,9 +30,12 @@ def test_model1_plan(spark, ev):
     assert "Python" not in s and "ArrowEval" not in s
 
 
-def test_model1_window_form_one_exchange(spark, ev):
-    s = plan(first_touch_sessions(ev, *W, SessionOptions(form="window")))
-    assert s.count("Exchange") == 1
+def test_model1_window_form_limits_before_shuffle(spark, ev):
+    # Both windows are top-1: a partial WindowGroupLimit runs map-side,
+    # so a hot session sends at most one row per task to the shuffle.
+    lines = plan(first_touch_sessions(ev, *W, SessionOptions(form="window"))).split("\n")
+    below = [lines[i + 1] for i, ln in enumerate(lines) if "Exchange hashpartitioning(unique_session_id" in ln]
+    assert len(below) == 2 and all("WindowGroupLimit" in ln for ln in below)
 
 
 def test_model2_pushes_event_name(spark, ev):
