@@ -50,8 +50,12 @@ def _idiv(a: Column, b: int) -> Column:
 def flat_events(events: DataFrame) -> DataFrame:
     """The flat lens: one column ``p_<key>`` per parameter."""
     e, u = F.col("event_id"), F.col("user_id")
-    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    us = _idiv(F.timestamp_diff("MICROSECOND", epoch, F.col("ts")), HOUR_US) * HOUR_US
+    # Whole hours since the epoch of the ``timestamp_ntz`` column, from its
+    # date and hour fields: no cast to a zoned timestamp, so the result
+    # does not depend on the session time zone.
+    hours = F.datediff(F.to_date(F.col("ts")), F.lit("1970-01-01").cast("date")).cast("long") * 24 \
+        + F.hour(F.col("ts")).cast("long")
+    us = hours * HOUR_US
     b = events.select(e.alias("e"), u.alias("u"), "event_type", us.alias("us"))
     c = b.select("*", _idiv(F.col("us"), 1000).alias("ms"),
                  (_idiv(F.col("e"), 12) % 8).alias("si"), (F.col("e") % 12).alias("pi"))
