@@ -90,6 +90,44 @@ def read_export(spark: SparkSession, root: str, narrow: bool = True, extra=()) -
             .option("basePath", root).parquet(root))
 
 
+def shard_paths(spark: SparkSession, root: str, start, end, include_intraday: bool = True,
+                prefix: str = "events_") -> list[str]:
+    """Existing shard folders ``<root>/events_YYYYMMDD`` (and
+    ``events_intraday_YYYYMMDD``) of the window, for exports stored one
+    folder per shard rather than as ``suffix=`` partitions. Only the
+    window's folders are listed, which is the pruning."""
+    lo, hi = _as_date(start), _as_date(end)
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    out = []
+    d = lo
+    while d <= hi:
+        tags = [d.strftime("%Y%m%d")] + ([f"intraday_{d.strftime('%Y%m%d')}"] if include_intraday else [])
+        for tag in tags:
+            path = f"{root.rstrip('/')}/{prefix}{tag}"
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            if p.getFileSystem(conf).exists(p):
+                out.append(path)
+        d += dt.timedelta(days=1)
+    return out
+
+
+def read_shard_folders(spark: SparkSession, root: str, start, end, include_intraday: bool = True,
+                       narrow: bool = True, prefix: str = "events_") -> DataFrame:
+    """Scan of a folder-per-shard export (S1, S2 without ``key=value``).
+
+    The shard name becomes ``suffix``, taken from the file path through
+    the ``_metadata`` column.
+    """
+    paths = shard_paths(spark, root, start, end, include_intraday, prefix)
+    schema = event_schema(narrow, with_suffix=False)
+    if not paths:
+        return spark.createDataFrame([], event_schema(narrow))
+    df = spark.read.schema(schema).parquet(*paths)
+    suffix = F.regexp_extract(F.col("_metadata.file_path"), f"/{prefix}([^/]+)/[^/]*$", 1)
+    return df.select(*schema.fieldNames(), suffix.alias("suffix"))
+
+
 def events_in_window(events: DataFrame, start=None, end=None,
                      opts: SessionOptions | None = None) -> DataFrame:
     """Shard range filter (S3) and the NULL-user filter (F1)."""

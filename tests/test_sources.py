@@ -80,3 +80,21 @@ def test_read_sessions_prunes_partitions(spark):
     got = X.read_sessions(spark, path, "2024-01-02", "2024-01-03")
     assert got.count() == 2
     assert "PartitionFilters: [isnotnull(session_date" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_folder_per_shard_layout(spark):
+    root = new_work_path(spark, "test-shards")
+    ev = _shards(spark)
+    for sfx in ("20240114", "20240115", "intraday_20240115", "intraday_20240116"):
+        ev.where(F.col("suffix") == sfx).drop("suffix").write.parquet(f"{root}/events_{sfx}")
+    got = X.read_shard_folders(spark, root, "2024-01-15", "2024-01-16")
+    assert sorted(r.suffix for r in got.collect()) == ["20240115", "intraday_20240115", "intraday_20240116"]
+    daily = X.read_shard_folders(spark, root, "2024-01-14", "2024-01-16", include_intraday=False)
+    assert sorted(r.suffix for r in daily.collect()) == ["20240114", "20240115"]
+    # Same sessions as from the partitioned layout.
+    part = new_work_path(spark, "test-export")
+    X.write_export(ev, part)
+    a = first_touch_sessions(got, "2024-01-15", "2024-01-16").drop("export_timestamp", "last_update_timestamp")
+    b = first_touch_sessions(X.read_export(spark, part), "2024-01-15", "2024-01-16").drop(
+        "export_timestamp", "last_update_timestamp")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
