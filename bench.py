@@ -28,6 +28,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from hitsessions.operators import compare as CMP  # noqa: E402
 from hitsessions.operators import upsert as U  # noqa: E402
+from hitsessions.operators.both_models import both_models  # noqa: E402
 from hitsessions.operators.first_touch import first_touch_sessions  # noqa: E402
 from hitsessions.operators.session_start import session_start_sessions  # noqa: E402
 from hitsessions.options import SessionOptions  # noqa: E402
@@ -71,7 +72,13 @@ def main() -> None:
         U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", intended)
         return time.time() - t0
 
+    def one_pass():
+        m1, m2 = both_models(spark, ev, *FULL, intended)
+        noop(m1)
+        noop(m2)
+
     jobs = {
+        "model1_and_model2_one_pass": one_pass,
         "model1_sessions": lambda: noop(first_touch_sessions(ev, *FULL, intended)),
         "model1_sessions_window_form": lambda: noop(first_touch_sessions(ev, *FULL, window_form)),
         "model1_sessions_as_written": lambda: noop(first_touch_sessions(ev, *FULL, as_written)),

@@ -85,7 +85,11 @@ def session_start_sessions(events: DataFrame, start=None, end=None,
     """One row per session id of the window, in the Model 2 table shape."""
     opts = opts or SessionOptions()
     x = session_start_events(events, start, end, opts)
-    ruled = apply_rules(first_session_start(x, opts), opts)
+    return finish_model2(apply_rules(first_session_start(x, opts), opts), opts, run_ts)
+
+
+def finish_model2(ruled: DataFrame, opts: SessionOptions, run_ts=None) -> DataFrame:
+    """Timestamps formatted, columns in the Model 2 table order."""
     act = F.col("actual_timestamp_ms")
     act_us = act if opts.actual_ts_in_millis_as_micros else F.try_multiply(act, F.lit(1000))
     ts = run_timestamp(run_ts)

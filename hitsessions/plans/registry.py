@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from hitsessions.functions import clock as C
 from hitsessions.functions import params as P
 from hitsessions.operators import attribution as A
+from hitsessions.operators.both_models import both_models
 from hitsessions.operators import compare as CMP
 from hitsessions.operators import upsert as U
 from hitsessions.operators.first_touch import first_touch_sessions, first_value_window
@@ -117,6 +118,11 @@ def _m1(spark, sf_dir, mode, form="aggregate", window=FULL):
     return comparable(df.drop("export_timestamp", "last_update_timestamp"))
 
 
+def _one_pass(spark, sf_dir, which: int):
+    m1, m2 = both_models(spark, _events(spark, sf_dir), *FULL, _opts(INTENDED))
+    return comparable((m1 if which == 1 else m2).drop("export_timestamp", "last_update_timestamp"))
+
+
 def q_model1_first_value_window(spark, sf_dir):
     df = first_value_window(_events(spark, sf_dir), *FULL, _opts(AS_WRITTEN))
     return df.select("unique_session_id", "event_bundle_sequence_id",
@@ -220,6 +226,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model1_sessions_as_written": lambda s, d: _m1(s, d, AS_WRITTEN),
     "model1_sessions_window_form": lambda s, d: _m1(s, d, INTENDED, form="window"),
     "model1_first_value_window": q_model1_first_value_window,
+    "model1_sessions_one_pass": lambda s, d: _one_pass(s, d, 1),
+    "model2_sessions_one_pass": lambda s, d: _one_pass(s, d, 2),
     "model2_session_start_dedup": q_model2_session_start_dedup,
     "model2_click_id_rules": q_model2_click_id_rules,
     "model2_url_params": q_model2_url_params,
@@ -251,6 +259,8 @@ ORACLES: dict[str, str] = {
     "model1_sessions_as_written": O.model1_sessions(True),
     "model1_sessions_window_form": O.model1_sessions(False),
     "model1_first_value_window": O.model1_first_value_window(),
+    "model1_sessions_one_pass": O.model1_sessions(False),
+    "model2_sessions_one_pass": O.model2_sessions(False),
     "model2_session_start_dedup": O.model2_session_start_dedup(),
     "model2_click_id_rules": O.model2_click_id_rules(),
     "model2_url_params": O.model2_url_params(),

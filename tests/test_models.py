@@ -187,3 +187,19 @@ def test_compare_day_only_in_one_model(spark):
     r = compare_counts(ss, fe).collect()
     assert [(x.date, x.cnt_sessions_model2_session_start, x.cnt_sessions_model1_first_event, x.diff_pct)
             for x in r] == [("2024-01-01", 2, None, None)]
+
+
+@pytest.mark.parametrize("mode", ["intended", "as_written"])
+def test_both_models_one_pass_equals_separate(spark, ev, mode):
+    from hitsessions.operators.both_models import both_models
+    o = SessionOptions(mode=mode)
+    m1, m2 = both_models(spark, ev, *W, o)
+    assert rows(m1) == rows(first_touch_sessions(ev, *W, o))
+    assert rows(m2) == rows(session_start_sessions(ev, *W, o))
+
+
+def test_model2_extra_click_id_columns(spark):
+    params = [p("ga_session_id", i=1), p("page_location", s="https://x/?fbclid=F9&msclid=M9")]
+    ev = _ev(spark, [(T0, "session_start", params)])
+    r = session_start_sessions(ev, "2024-01-10", "2024-01-10", SessionOptions(extra_click_ids=True)).first()
+    assert (r.fbclid_url, r.msclid_url, r.gclid_url) == ("F9", "M9", "N/A")
