@@ -37,12 +37,17 @@ def model1_channel_counts(fe_sessions: DataFrame, start=None, end=None,
 
 
 def model2_channel_rows(events: DataFrame, start=None, end=None,
-                        opts: SessionOptions | None = None) -> DataFrame:
-    """First session_start per id (raw server-time order) with its channel."""
+                        opts: SessionOptions | None = None, clock: str = "server") -> DataFrame:
+    """First session_start per id with its channel.
+
+    ``clock='server'`` orders by the raw server time, as the report does
+    (Q6); ``clock='safe'`` uses Model 2's own order (corrected client
+    clock), so the report counts exactly Model 2's sessions.
+    """
     opts = opts or SessionOptions()
     x = session_start_events(events, start, end, opts)
     payload = ("session_date", "event_timestamp_micros", "p_page_location", "p_source", "p_medium", "p_campaign")
-    first = first_session_start(x, opts, clock="server", payload=payload)
+    first = first_session_start(x, opts, clock=clock, payload=payload)
     ch = A.model2_channel({"page_location": F.col("p_page_location"), "source": F.col("p_source"),
                            "medium": F.col("p_medium"), "campaign": F.col("p_campaign")})
     return first.select("session_date", "unique_session_id",
@@ -52,9 +57,9 @@ def model2_channel_rows(events: DataFrame, start=None, end=None,
 
 
 def model2_channel_counts(events: DataFrame, start=None, end=None,
-                          opts: SessionOptions | None = None) -> DataFrame:
+                          opts: SessionOptions | None = None, clock: str = "server") -> DataFrame:
     """Distinct Model 2 sessions per date and channel (A2, A4)."""
-    rows = model2_channel_rows(events, start, end, opts)
+    rows = model2_channel_rows(events, start, end, opts, clock)
     return rows.groupBy(*CHANNEL).agg(F.countDistinct("unique_session_id").alias("cnt_sessions_ss"))
 
 
@@ -86,11 +91,11 @@ def compare_counts(ss_counts: DataFrame, fe_counts: DataFrame,
 
 
 def compare_models(fe_sessions: DataFrame, events: DataFrame, start, end,
-                   opts: SessionOptions | None = None) -> DataFrame:
+                   opts: SessionOptions | None = None, clock: str = "server") -> DataFrame:
     """The comparison report for [start, end]."""
     opts = opts or SessionOptions()
     fe = model1_channel_counts(fe_sessions, start, end, opts.id_column)
-    ss = model2_channel_counts(events, start, end, opts)
+    ss = model2_channel_counts(events, start, end, opts, clock)
     return compare_counts(ss, fe, opts)
 
 

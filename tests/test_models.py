@@ -203,3 +203,24 @@ def test_model2_extra_click_id_columns(spark):
     ev = _ev(spark, [(T0, "session_start", params)])
     r = session_start_sessions(ev, "2024-01-10", "2024-01-10", SessionOptions(extra_click_ids=True)).first()
     assert (r.fbclid_url, r.msclid_url, r.gclid_url) == ("F9", "M9", "N/A")
+
+
+def test_report_day_one_against_fixture_notes(spark):
+    """FIXTURES.md numbers for 2024-01-01 at sf0.01. Model 1 side: 4,246 as
+    written (fan-out) and 193 intended. Model 2 side: 60 with Model 2's own
+    order (corrected clock); the report's SQL orders by raw server time,
+    which gives 61 (Q6)."""
+    from hitsessions.operators.compare import compare_models
+    ev = lens_export(spark, "/root/testdata/sf0.01")
+    got = {}
+    for mode in ("as_written", "intended"):
+        o = SessionOptions(mode=mode)
+        fe = first_touch_sessions(ev, *W, o)
+        for clock in ("server", "safe"):
+            r = compare_models(fe, ev, *W, o, clock=clock).first()
+            got[(mode, clock)] = (r.date, r.cnt_sessions_model2_session_start, r.cnt_sessions_model1_first_event,
+                                  r.diff_pct)
+    assert got[("as_written", "safe")] == ("2024-01-01", 360, 4246, -91.52)
+    assert got[("intended", "safe")] == ("2024-01-01", 60, 193, -68.91)
+    assert got[("as_written", "server")] == ("2024-01-01", 366, 4246, -91.38)
+    assert got[("intended", "server")] == ("2024-01-01", 61, 193, -68.39)
