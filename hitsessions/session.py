@@ -25,6 +25,9 @@ JOB_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # Call-site capture for error messages costs several py4j calls per
+    # Column function; off for jobs (read once per Python process).
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
