@@ -173,3 +173,26 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
     # Dynamic overwrite replaces only the partitions present in `staged`.
     staged.write.mode("overwrite").partitionBy("session_date").parquet(path)
     return {"created": False, "staging": staging, "source": src_path}
+
+
+def merge_into_catalog_table(source: DataFrame, table: str, start, end, spec: UpsertSpec = MODEL1_SPEC,
+                             run_ts=None, target_lookback_days: int = 0):
+    """The same upsert as a native ``MERGE`` on a catalog table that
+    supports row-level operations (``DataFrame.mergeInto``).
+
+    Built-in Parquet tables do not; use :func:`upsert_sessions` for them.
+    """
+    lo = _as_date(start) - dt.timedelta(days=int(target_lookback_days))
+    hi = _as_date(end)
+    ts = run_timestamp(run_ts)
+    t, s = F.col(f"{table}.{ID}"), F.col(f"source.{ID}")
+    on = (t == s) & F.col(f"{table}.session_date").between(F.lit(lo), F.lit(hi))
+    changed = reduce(lambda a, b: a | b,
+                     [~F.col(f"{table}.{c}").eqNullSafe(F.col(f"source.{c}")) for c in spec.compare])
+    update = {c: F.col(f"source.{c}") for c in spec.update}
+    update[spec.touch] = ts
+    insert = {c: F.col(f"source.{c}") for c in spec.insert}
+    return (source.alias("source").mergeInto(table, on)
+            .whenMatched(changed).update(update)
+            .whenNotMatched().insert(insert)
+            .merge())
