@@ -21,7 +21,6 @@ from hitsessions.operators import attribution as A
 from hitsessions.operators.extract import drop_null_ids
 from hitsessions.operators.session_start import first_session_start, session_start_events
 from hitsessions.options import SessionOptions
-from hitsessions.sources.export import read_sessions  # noqa: F401  (re-exported for callers)
 
 CHANNEL = ("session_date", "session_source", "session_medium", "session_campaign")
 

@@ -23,8 +23,6 @@ Two physical forms give the same rows:
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

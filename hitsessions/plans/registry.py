@@ -22,7 +22,7 @@ from hitsessions.operators.both_models import both_models
 from hitsessions.operators import compare as CMP
 from hitsessions.operators import upsert as U
 from hitsessions.operators.first_touch import first_touch_sessions, first_value_window
-from hitsessions.operators.session_start import (apply_rules, first_session_start, session_start_events,
+from hitsessions.operators.session_start import (first_session_start, session_start_events,
                                                  session_start_sessions)
 from hitsessions.options import AS_WRITTEN, INTENDED, SessionOptions
 from hitsessions.plans import oracle as O
