@@ -52,11 +52,13 @@ def both_models(spark: SparkSession, events: DataFrame, start=None, end=None,
           if opts.hash_tie_breaker else order_fields(opts))
     o1 = ([*order_fields(opts.with_(mode="as_written")), F.col("h1").alias("o_hash")]
           if opts.hash_tie_breaker else order_fields(opts))
-    m2_payload = [F.col(c if not c.startswith("p_") else f"n_{c[2:]}").alias(c) for c in _PAYLOAD]
+    # Timestamps travel in the order key (o_event_us, o_ts), not twice.
+    in_key = {"event_timestamp_micros": "o_event_us", "actual_timestamp_ms": "o_ts"}
+    m2_payload = [F.col(c if not c.startswith("p_") else f"n_{c[2:]}").alias(c)
+                  for c in _PAYLOAD if c not in in_key]
     is_ss = F.col("event_name") == F.lit(SESSION_START)
     g = x.groupBy("unique_session_id").agg(
-        F.min(F.struct(*o1, F.col("session_date"), F.col("event_timestamp_micros"),
-                       F.col("actual_timestamp_ms"))).alias("first"),
+        F.min(F.struct(*o1, F.col("session_date"))).alias("first"),
         F.min_by(F.col("attr"), F.when(F.col("attr").isNotNull(), F.struct(*o1))).alias("attr"),
         F.min(F.when(is_ss, F.struct(*o2, *m2_payload))).alias("ss"))
     staged = new_work_path(spark, "both-models")
@@ -65,9 +67,9 @@ def both_models(spark: SparkSession, events: DataFrame, start=None, end=None,
 
     m1 = finalize_model1(g.select(
         "unique_session_id", F.col("first.session_date").alias("session_date"),
-        F.col("first.event_timestamp_micros").alias("event_timestamp_micros"),
-        F.col("first.actual_timestamp_ms").alias("actual_timestamp_ms"), "attr"), opts, run_ts)
+        F.col("first.o_event_us").alias("event_timestamp_micros"),
+        F.col("first.o_ts").alias("actual_timestamp_ms"), "attr"), opts, run_ts)
     first_ss = g.where(F.col("ss").isNotNull()).select(
-        "unique_session_id", *[F.col(f"ss.{c}").alias(c) for c in _PAYLOAD])
+        "unique_session_id", *[F.col(f"ss.{in_key.get(c, c)}").alias(c) for c in _PAYLOAD])
     m2 = finish_model2(apply_rules(first_ss, opts), opts, run_ts)
     return m1, m2

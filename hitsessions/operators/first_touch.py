@@ -70,16 +70,18 @@ def model1_events(events: DataFrame, start=None, end=None,
 
 def _first_rows_aggregate(x: DataFrame, opts: SessionOptions) -> DataFrame:
     order = order_fields(opts)
-    first = F.min(F.struct(*order, F.col("session_date"), F.col("event_timestamp_micros"),
-                           F.col("actual_timestamp_ms")))
+    # The order key already holds both timestamps: o_event_us is the server
+    # time, and o_ts = coalesce(clock, server) equals the corrected clock,
+    # which is NULL only when both inputs are. Only the date rides along.
+    first = F.min(F.struct(*order, F.col("session_date")))
     # Rows without attribution get a NULL order key, which min_by skips;
     # a session with no attribution at all yields NULL.
     attr = F.min_by(F.col("attr"), F.when(F.col("attr").isNotNull(), F.struct(*order)))
     g = x.groupBy("unique_session_id").agg(first.alias("first"), attr.alias("attr"))
     return g.select("unique_session_id",
                     F.col("first.session_date").alias("session_date"),
-                    F.col("first.event_timestamp_micros").alias("event_timestamp_micros"),
-                    F.col("first.actual_timestamp_ms").alias("actual_timestamp_ms"),
+                    F.col("first.o_event_us").alias("event_timestamp_micros"),
+                    F.col("first.o_ts").alias("actual_timestamp_ms"),
                     "attr")
 
 

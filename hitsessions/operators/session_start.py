@@ -53,9 +53,15 @@ def first_session_start(x: DataFrame, opts: SessionOptions, clock: str = "safe",
                 .where(F.col("session_rank") == 1).select("unique_session_id", *payload))
     # The payload follows the order key inside the struct, so complete
     # ties are settled by the row content: deterministic in both modes.
-    first = F.min(F.struct(*order, *[F.col(c) for c in payload])).alias("first")
+    # Columns the order key already carries are not shipped twice.
+    in_key = {"event_timestamp_micros": "o_event_us"}
+    if clock == "safe":
+        in_key["actual_timestamp_ms"] = "o_ts"
+    carried = [c for c in payload if c not in in_key]
+    first = F.min(F.struct(*order, *[F.col(c) for c in carried])).alias("first")
     g = x.groupBy("unique_session_id").agg(first)
-    return g.select("unique_session_id", *[F.col(f"first.{c}").alias(c) for c in payload])
+    return g.select("unique_session_id",
+                    *[F.col(f"first.{in_key.get(c, c)}").alias(c) for c in payload])
 
 
 def apply_rules(first: DataFrame, opts: SessionOptions) -> DataFrame:
