@@ -85,6 +85,14 @@ def _first_rows_aggregate(x: DataFrame, opts: SessionOptions) -> DataFrame:
                     "attr")
 
 
+def _same_id(a: Column, b: Column, opts: SessionOptions) -> Column:
+    """Join condition on the session id. The NULL id of as-written mode is
+    a session too, so there the equality is null-safe; otherwise a plain
+    equality lets the join reuse the hash partitioning on the id that
+    both sides already have (no further shuffle)."""
+    return a.eqNullSafe(b) if opts.keep_null_session_ids else (a == b)
+
+
 def _top1(x: DataFrame, opts: SessionOptions, cols) -> DataFrame:
     w = Window.partitionBy("unique_session_id").orderBy(*[c.asc_nulls_first() for c in order_fields(opts)])
     return x.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1).select(*cols)
@@ -94,8 +102,7 @@ def _first_rows_window(x: DataFrame, opts: SessionOptions) -> DataFrame:
     first = _top1(x, opts, ["unique_session_id", "session_date", "event_timestamp_micros",
                             "actual_timestamp_ms"]).alias("f")
     attr = _top1(x.where(F.col("attr").isNotNull()), opts, ["unique_session_id", "attr"]).alias("a")
-    # The NULL id of as-written mode is a session too: null-safe equality.
-    j = first.join(attr, F.col("f.unique_session_id").eqNullSafe(F.col("a.unique_session_id")), "left")
+    j = first.join(attr, _same_id(F.col("f.unique_session_id"), F.col("a.unique_session_id"), opts), "left")
     return j.select("f.unique_session_id", "f.session_date", "f.event_timestamp_micros",
                     "f.actual_timestamp_ms", "a.attr")
 
@@ -147,6 +154,6 @@ def first_value_window(events: DataFrame, start=None, end=None,
         F.min_by(F.col("attr"), F.when(F.col("attr").isNotNull(), F.struct(*order))).alias("session_attr"))
     e = x.select("unique_session_id", "event_timestamp_micros", "event_bundle_sequence_id",
                  F.struct(*order).alias("key")).alias("e")
-    j = e.join(per_session.alias("s"), F.col("e.unique_session_id").eqNullSafe(F.col("s.unique_session_id")))
+    j = e.join(per_session.alias("s"), _same_id(F.col("e.unique_session_id"), F.col("s.unique_session_id"), opts))
     return j.select("e.unique_session_id", "e.event_timestamp_micros", "e.event_bundle_sequence_id",
                     "s.session_attr", (F.col("e.key") == F.col("s.first_key")).alias("is_first_event"))
