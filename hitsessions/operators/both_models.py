@@ -18,7 +18,7 @@ from hitsessions.functions.params import int_param
 from hitsessions.operators import attribution as A
 from hitsessions.operators.extract import (SESSION_START, attribution_params, base_columns,
                                            order_fields)
-from hitsessions.operators.first_touch import finalize_model1
+from hitsessions.operators.first_touch import M1_HASH_COLS, finalize_model1
 from hitsessions.operators.session_start import M2_PARAM_KEYS, _PAYLOAD, apply_rules, finish_model2
 from hitsessions.options import SessionOptions
 from hitsessions.session import new_work_path
@@ -42,16 +42,13 @@ def both_models(spark: SparkSession, events: DataFrame, start=None, end=None,
         x = x.where(F.col("unique_session_id").isNotNull())
     if opts.hash_tie_breaker:
         # The hashes each model would use on its own rows.
-        m1_cols = ["event_timestamp_micros", "actual_timestamp_ms", "event_bundle_sequence_id",
-                   "event_name", "session_date", "attr"]
+        m1_cols = list(M1_HASH_COLS)
         m2_cols = [c if not c.startswith("p_") else f"n_{c[2:]}" for c in _PAYLOAD]
         x = (x.withColumn("h1", F.xxhash64(*[F.col(c) for c in m1_cols]))
               .withColumn("h2", F.xxhash64(*[F.col(c) for c in m2_cols])))
 
-    o2 = ([*order_fields(opts.with_(mode="as_written")), F.col("h2").alias("o_hash")]
-          if opts.hash_tie_breaker else order_fields(opts))
-    o1 = ([*order_fields(opts.with_(mode="as_written")), F.col("h1").alias("o_hash")]
-          if opts.hash_tie_breaker else order_fields(opts))
+    o1 = order_fields(opts, hash_col="h1")
+    o2 = order_fields(opts, hash_col="h2")
     # Timestamps travel in the order key (o_event_us, o_ts), not twice.
     in_key = {"event_timestamp_micros": "o_event_us", "actual_timestamp_ms": "o_ts"}
     m2_payload = [F.col(c if not c.startswith("p_") else f"n_{c[2:]}").alias(c)

@@ -34,7 +34,7 @@ def base_columns(opts: SessionOptions) -> list[Column]:
     ]
 
 
-def order_fields(opts: SessionOptions, clock: str = "safe") -> list[Column]:
+def order_fields(opts: SessionOptions, clock: str = "safe", hash_col: str = "row_hash") -> list[Column]:
     """Chronological order of the events of a session, as struct fields.
 
     ``clock='safe'`` orders by the corrected client clock, falling back to
@@ -49,7 +49,7 @@ def order_fields(opts: SessionOptions, clock: str = "safe") -> list[Column]:
     fields = [first.alias("o_ts"), F.col("event_bundle_sequence_id").alias("o_bundle"),
               F.col("event_timestamp_micros").alias("o_event_us"), F.col("event_name").alias("o_name")]
     if opts.hash_tie_breaker:
-        fields.append(F.col("row_hash").alias("o_hash"))
+        fields.append(F.col(hash_col).alias("o_hash"))
     return fields
 
 

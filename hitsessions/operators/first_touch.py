@@ -38,6 +38,11 @@ MODEL1_COLUMNS = ("session_date", "unique_session_id", "event_timestamp", "actua
                   "session_term", "export_timestamp", "last_update_timestamp")
 
 
+# Columns of an event row that the intended-mode tie-breaker hashes.
+M1_HASH_COLS = ("event_timestamp_micros", "actual_timestamp_ms", "event_bundle_sequence_id",
+                "event_name", "session_date", "attr")
+
+
 def run_timestamp(run_ts=None) -> Column:
     if run_ts is None:
         return F.current_timestamp()
@@ -64,8 +69,7 @@ def model1_events(events: DataFrame, start=None, end=None,
                  "event_bundle_sequence_id", "unique_session_id", "event_name",
                  attr.alias("attr"))
     x = drop_null_ids(x, opts)
-    return with_row_hash(x, ["event_timestamp_micros", "actual_timestamp_ms", "event_bundle_sequence_id",
-                             "event_name", "session_date", "attr"], opts)
+    return with_row_hash(x, list(M1_HASH_COLS), opts)
 
 
 def _first_rows_aggregate(x: DataFrame, opts: SessionOptions) -> DataFrame:
