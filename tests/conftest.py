@@ -20,6 +20,28 @@ def spark():
     yield s
 
 
+def shuffle_records(df) -> int:
+    """Run ``df`` and return the records its shuffles wrote (SQL metrics
+    of the executed plan)."""
+    df.collect()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        if "Exchange" in name and node.metrics().contains("shuffleRecordsWritten"):
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        ch = node.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(out)
+
+
 def p(key, s=None, i=None):
     """One event_params element."""
     return {"key": key, "value": {"string_value": s, "int_value": i, "float_value": None, "double_value": None}}

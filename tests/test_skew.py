@@ -1,0 +1,89 @@
+"""A session holding a third of all events: results stay right, and the
+shuffle does not grow with the hot session (partial aggregation)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from hitsessions.functions.params import int_param, string_param
+from hitsessions.operators.first_touch import first_touch_sessions
+from hitsessions.operators.session_start import session_start_sessions
+from hitsessions.options import SessionOptions
+from hitsessions.sources.lens import lens_export
+from tests.conftest import SF_CHECK, shuffle_records
+
+W = ("2024-01-01", "2024-01-31")
+HOT_USER, HOT_SID = "hot.user", 424242
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    ev = lens_export(spark, SF_CHECK)
+    hot = F.col("event_id") % 3 == 0
+    params = F.transform("event_params", lambda p: F.when(
+        hot & (p["key"] == "ga_session_id"),
+        F.struct(p["key"].alias("key"), F.struct(F.lit(None).cast("string").alias("string_value"),
+                                                 F.lit(HOT_SID).cast("long").alias("int_value"),
+                                                 F.lit(None).cast("float").alias("float_value"),
+                                                 F.lit(None).cast("double").alias("double_value")).alias("value"))
+    ).otherwise(p))
+    return (ev.withColumn("user_pseudo_id", F.when(hot, F.lit(HOT_USER)).otherwise(F.col("user_pseudo_id")))
+            .withColumn("event_params", params))
+
+
+def brute_force_hot(spark, ev):
+    """The hot session by hand: sort its events, take the first one and
+    the first one with any attribution value."""
+    cols = ev.where((F.col("user_pseudo_id") == HOT_USER) & (int_param("ga_session_id") == HOT_SID)).select(
+        "event_date", "event_timestamp", "event_bundle_sequence_id", "event_name",
+        int_param("actual_timestamp").alias("p"),
+        *[string_param(k).alias(k) for k in ("source", "medium", "campaign", "content", "term")]).toPandas()
+
+    def safe(p, e_us):
+        e = e_us // 1000
+        c = e if p is None or p != p else int(p)
+        return e if abs(c - e) >= 3 * 86_400_000 else c
+
+    cols["act"] = [safe(p, e) for p, e in zip(cols["p"], cols["event_timestamp"])]
+    cols = cols.sort_values(["act", "event_bundle_sequence_id"]).reset_index(drop=True)
+    first = cols.iloc[0]
+    keys = ["source", "medium", "campaign", "content", "term"]
+    attributed = cols[[any(isinstance(r[k], str) and r[k] != "" for k in keys) for _, r in cols.iterrows()]]
+    a = attributed.iloc[0] if len(attributed) else None
+    dflt = {"source": "(direct)", "medium": "(none)", "campaign": "N/A", "content": "N/A", "term": "N/A"}
+    vals = {k: (a[k] if a is not None and isinstance(a[k], str) and a[k] != "" else dflt[k]) for k in keys}
+    ss = cols[cols["event_name"] == "session_start"].iloc[0]
+    return first, vals, ss, len(cols)
+
+
+@pytest.mark.parametrize("form", ["aggregate", "window"])
+def test_hot_session_model1(spark, skewed, form):
+    first, vals, _, n = brute_force_hot(spark, skewed)
+    assert n > skewed.count() / 4
+    r = first_touch_sessions(skewed, *W, SessionOptions(form=form)).where(
+        F.col("unique_session_id") == f"{HOT_USER}-{HOT_SID}").collect()
+    assert len(r) == 1
+    r = r[0]
+    assert r.session_date.strftime("%Y%m%d") == first["event_date"]
+    assert tuple(getattr(r, f"session_{k}") for k in vals) == tuple(vals.values())
+
+
+def test_hot_session_model2(spark, skewed):
+    _, _, ss, _ = brute_force_hot(spark, skewed)
+    r = session_start_sessions(skewed, *W).where(F.col("unique_session_id") == f"{HOT_USER}-{HOT_SID}").first()
+    assert r.session_source_orig == (ss["source"] if isinstance(ss["source"], str) else "N/A")
+    assert r.session_date.strftime("%Y%m%d") == ss["event_date"]
+
+
+def test_hot_session_shuffle_is_bounded(spark):
+    """Moving a third of the events into one session must not add shuffled
+    rows: the hot session is combined before the shuffle (at most one row
+    per map task) instead of shipping its thousands of events."""
+    ev = lens_export(spark, SF_CHECK)
+    hot = ev.withColumn("user_pseudo_id", F.when(F.col("event_id") % 3 == 0, F.lit(HOT_USER))
+                        .otherwise(F.col("user_pseudo_id")))
+    n_hot = hot.where(F.col("user_pseudo_id") == HOT_USER).count()
+    base = shuffle_records(first_touch_sessions(ev, *W))
+    skew = shuffle_records(first_touch_sessions(hot, *W))
+    n_tasks = ev.rdd.getNumPartitions()
+    assert 0 < skew <= base + n_tasks
+    assert n_hot > 3 * n_tasks      # the hot session alone would dominate unreduced
