@@ -10,11 +10,15 @@ set algebra of the original ``MERGE``:
 * not matched: insert the insert columns, the others are NULL;
 * no delete: rows never leave the table.
 
-Only the partitions of the window and of inserted rows are rewritten.
-The new content of those partitions is first written to a staging table
-under the shared work folder (a failed job leaves the target as it
-was), then copied over the target with dynamic partition overwrite, so
-partitions outside that set are not touched.
+Only the partitions of the window and of inserted rows are rewritten,
+with dynamic partition overwrite: the commit protocol writes the new
+files to a staging folder of the job and swaps the partitions in at job
+commit, so a failed job leaves the target as it was, and partitions
+outside that set are not touched. The source sessions are staged once
+in the shared work folder (the two MERGE branches read them, and the
+model behind them is not recomputed). ``stage_output=True`` also writes
+the new partitions to a separate staging table before copying them over
+(a kept copy of every run, at the price of a second write).
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from hitsessions.operators.first_touch import MODEL1_COLUMNS, run_timestamp
 from hitsessions.operators.session_start import MODEL2_COLUMNS
 from hitsessions.options import SessionOptions
-from hitsessions.session import apply_job_conf, new_work_path
+from hitsessions.session import new_work_path
 
 ID = "unique_session_id"
 
@@ -125,16 +129,19 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     return merged.unionByName(carried)
 
 
-def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
+def _write_partitioned(df: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
     # Rebalance on the partition column: AQE splits a heavy day over
     # several tasks and merges small ones, so files stay few and sized.
+    # The overwrite mode is set on the write, not on the session.
     (df.hint("rebalance", "session_date")
-     .write.mode(mode).partitionBy("session_date").parquet(path))
+     .write.mode(mode).option("partitionOverwriteMode", overwrite)
+     .partitionBy("session_date").parquet(path))
 
 
 def create_sessions(df: DataFrame, path: str) -> None:
-    """Create the partitioned session table from a first load."""
-    _write_partitioned(df, path, "overwrite")
+    """Create the partitioned session table from a first load (J6);
+    an existing table at ``path`` is replaced as a whole."""
+    _write_partitioned(df, path, "overwrite", overwrite="static")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -146,14 +153,13 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, end,
                     spec: UpsertSpec = MODEL1_SPEC, run_ts=None,
-                    opts: SessionOptions | None = None) -> dict:
+                    opts: SessionOptions | None = None, stage_output: bool = False) -> dict:
     """Apply one upsert of ``source`` sessions for [start, end] to ``path``.
 
     Creates the table when it does not exist. Concurrent writers to the
     same table are not supported. Returns the staging path and counts.
     """
     opts = opts or SessionOptions()
-    apply_job_conf(spark)
     if not table_exists(spark, path):
         first = source.select(*[F.col(c) if c in spec.insert else F.lit(None).cast(source.schema[c].dataType).alias(c)
                                 for c in spec.columns])
@@ -167,11 +173,13 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
     source.write.mode("overwrite").parquet(src_path)
     source = spark.read.parquet(src_path)
     new = merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days)
-    staging = new_work_path(spark, "upsert-staging")
-    _write_partitioned(new, staging, "overwrite")
-    staged = spark.read.parquet(staging).select(*spec.columns)
-    # Dynamic overwrite replaces only the partitions present in `staged`.
-    staged.write.mode("overwrite").partitionBy("session_date").parquet(path)
+    staging = None
+    if stage_output:
+        staging = new_work_path(spark, "upsert-staging")
+        _write_partitioned(new, staging, "overwrite")
+        new = spark.read.parquet(staging).select(*spec.columns)
+    # Dynamic overwrite replaces only the partitions present in `new`.
+    _write_partitioned(new, path, "overwrite")
     return {"created": False, "staging": staging, "source": src_path}
 
 
