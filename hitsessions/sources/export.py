@@ -10,6 +10,7 @@ shards of the window are listed and read.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,24 +93,28 @@ def read_export(spark: SparkSession, root: str, narrow: bool = True, extra=()) -
 
 def shard_paths(spark: SparkSession, root: str, start, end, include_intraday: bool = True,
                 prefix: str = "events_") -> list[str]:
-    """Existing shard folders ``<root>/events_YYYYMMDD`` (and
+    """Shard folders ``<root>/events_YYYYMMDD`` (and
     ``events_intraday_YYYYMMDD``) of the window, for exports stored one
-    folder per shard rather than as ``suffix=`` partitions. Only the
-    window's folders are listed, which is the pruning."""
-    lo, hi = _as_date(start), _as_date(end)
+    folder per shard rather than as ``suffix=`` partitions.
+
+    One listing of the root (one entry per shard) replaces a lookup per
+    day, which matters on object stores and for long backfills; only the
+    window's folders are then read, which is the pruning.
+    """
+    lo, hi = _as_date(start).strftime("%Y%m%d"), _as_date(end).strftime("%Y%m%d")
     jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    pat = re.compile(re.escape(prefix) + (r"(intraday_)?" if include_intraday else "") + r"(\d{8})$")
     out = []
-    d = lo
-    while d <= hi:
-        tags = [d.strftime("%Y%m%d")] + ([f"intraday_{d.strftime('%Y%m%d')}"] if include_intraday else [])
-        for tag in tags:
-            path = f"{root.rstrip('/')}/{prefix}{tag}"
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            if p.getFileSystem(conf).exists(p):
-                out.append(path)
-        d += dt.timedelta(days=1)
-    return out
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        m = pat.match(name)
+        if st.isDirectory() and m and lo <= m.group(m.lastindex) <= hi:
+            out.append(st.getPath().toString())
+    return sorted(out)
 
 
 def read_shard_folders(spark: SparkSession, root: str, start, end, include_intraday: bool = True,
