@@ -157,7 +157,7 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
     """Apply one upsert of ``source`` sessions for [start, end] to ``path``.
 
     Creates the table when it does not exist. Concurrent writers to the
-    same table are not supported. Returns the staging path and counts.
+    same table are not supported. Returns the work paths it used.
     """
     opts = opts or SessionOptions()
     if not table_exists(spark, path):

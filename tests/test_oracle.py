@@ -20,6 +20,10 @@ def con():
     return c
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+                   "int": "INTEGER"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 9)
@@ -38,6 +42,8 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(ORACLES[name])
     idx = {c: i for i, c in enumerate(res.columns)}
     assert sorted(res.columns) == cols
+    spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(res.columns, map(str, res.types)))
     want = sorted((tuple(_norm(r[idx[c]]) for c in cols) for r in res.fetchall()), key=repr)
     assert len(got) > 0
     assert got == want
