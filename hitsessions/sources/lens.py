@@ -98,17 +98,22 @@ def flat_events(events: DataFrame) -> DataFrame:
 
 def nest_params(flat: DataFrame) -> DataFrame:
     """Turn each non-null ``p_<key>`` into one element of ``event_params``."""
+    from hitsessions.sources.export import params_type
+    empty = F.array().cast(params_type(narrow=False))
+
     def entry(key, s=None, i=None):
+        # A one-element array when the value is present, else an empty one;
+        # concatenated below. (No lambda, so the projection stays in codegen.)
         v = s if s is not None else i
         e = F.struct(F.lit(key).alias("key"),
                      F.struct((s if s is not None else F.lit(None).cast("string")).alias("string_value"),
                               (i if i is not None else F.lit(None).cast("long")).alias("int_value"),
                               F.lit(None).cast("float").alias("float_value"),
                               F.lit(None).cast("double").alias("double_value")).alias("value"))
-        return F.when(v.isNotNull(), e)
+        return F.when(v.isNotNull(), F.array(e)).otherwise(empty)
     entries = ([entry(k, i=F.col(f"p_{k}")) for k in LENS_INT_KEYS]
                + [entry(k, s=F.col(f"p_{k}")) for k in LENS_STRING_KEYS])
-    present = F.array_compact(F.array(*entries))
+    present = F.concat(*entries)
     return flat.select("event_id", "event_date", "event_timestamp", "event_bundle_sequence_id",
                        "user_pseudo_id", "event_name", present.alias("event_params"), "suffix")
 
