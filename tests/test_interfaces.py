@@ -55,3 +55,19 @@ def test_merge_into_needs_row_level_catalog(spark):
         U.merge_into_catalog_table(src, "sessions_builtin", "2024-01-01", "2024-01-03")
     assert "UNSUPPORTED" in str(e.value).upper() or "MERGE" in str(e.value).upper()
     spark.sql("DROP TABLE IF EXISTS sessions_builtin")
+
+
+def test_cli_folder_layout(spark, capsys):
+    ev = lens_events(spark, SF_SMALL)
+    root = new_work_path(spark, "cli-folders")
+    days = ("20240105", "20240106", "20240107")
+    for d in days:
+        ev.where(F.col("suffix") == d).drop("suffix", "event_id").write.parquet(f"{root}/events_{d}")
+    table = new_work_path(spark, "cli-folders-m2")
+    assert cli.main(["model2", "--export", root, "--table", table, "--layout", "folders",
+                     "--start", "2024-01-05", "--end", "2024-01-07", "--master", "local[*]"]) == 0
+    from hitsessions.operators.session_start import session_start_sessions
+    want = session_start_sessions(lens_export(spark, SF_SMALL), "2024-01-05", "2024-01-07")
+    cols = ["unique_session_id", "session_source", "session_medium", "session_campaign"]
+    assert sorted(map(tuple, spark.read.parquet(table).select(*cols).collect())) == \
+        sorted(map(tuple, want.select(*cols).collect()))
