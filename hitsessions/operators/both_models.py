@@ -31,10 +31,11 @@ def both_models(spark: SparkSession, events: DataFrame, start=None, end=None,
     opts = opts or SessionOptions()
     ev = events_in_window(events, start, end, opts)
     x = ev.select(*base_columns(opts),
-                  F.coalesce(int_param("ga_session_number"), F.lit(-1).cast("long")).alias("ga_session_number"),
-                  *attribution_params(A.M1_KEYS),
-                  *[c.alias(f"n_{k}") for c, k in zip(attribution_params(M2_PARAM_KEYS, default=A.NA),
-                                                        M2_PARAM_KEYS)])
+                  F.coalesce(int_param("ga_session_number", strict=opts.strict_params),
+                             F.lit(-1).cast("long")).alias("ga_session_number"),
+                  *attribution_params(A.M1_KEYS, strict=opts.strict_params),
+                  *[c.alias(f"n_{k}") for c, k in zip(
+                      attribution_params(M2_PARAM_KEYS, default=A.NA, strict=opts.strict_params), M2_PARAM_KEYS)])
     cols = [F.col(f"p_{k}") for k in A.M1_KEYS]
     attr = A.concat_attribution(cols) if opts.concat_transport else A.struct_attribution(cols)
     x = x.withColumn("attr", attr)

@@ -67,9 +67,11 @@ def drop_null_ids(df: DataFrame, opts: SessionOptions) -> DataFrame:
     return df.where(F.col("unique_session_id").isNotNull())
 
 
-def attribution_params(keys, default: str | None = None) -> list[Column]:
+def attribution_params(keys, default: str | None = None, strict: bool = False) -> list[Column]:
+    """String parameters as ``p_<key>``; ``strict`` raises on a duplicated
+    key, as a scalar sub-select without LIMIT would."""
     out = []
     for k in keys:
-        v = string_param(k)
+        v = string_param(k, strict=strict)
         out.append((F.coalesce(v, F.lit(default)) if default is not None else v).alias(f"p_{k}"))
     return out

@@ -59,7 +59,7 @@ def model1_events(events: DataFrame, start=None, end=None,
     """Per-event rows: order key parts, first-event payload, attribution."""
     opts = opts or SessionOptions()
     ev = events_in_window(events, start, end, opts)
-    x = ev.select(*base_columns(opts), *attribution_params(A.M1_KEYS))
+    x = ev.select(*base_columns(opts), *attribution_params(A.M1_KEYS, strict=opts.strict_params))
     cols = [F.col(f"p_{k}") for k in A.M1_KEYS]
     if opts.concat_transport:
         attr = A.concat_attribution(cols)

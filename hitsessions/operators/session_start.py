@@ -37,8 +37,9 @@ def session_start_events(events: DataFrame, start=None, end=None,
     opts = opts or SessionOptions()
     ev = events_in_window(events, start, end, opts).where(F.col("event_name") == F.lit(SESSION_START))
     x = ev.select(*base_columns(opts),
-                  F.coalesce(int_param("ga_session_number"), F.lit(-1).cast("long")).alias("ga_session_number"),
-                  *attribution_params(M2_PARAM_KEYS, default=A.NA))
+                  F.coalesce(int_param("ga_session_number", strict=opts.strict_params),
+                             F.lit(-1).cast("long")).alias("ga_session_number"),
+                  *attribution_params(M2_PARAM_KEYS, default=A.NA, strict=opts.strict_params))
     x = drop_null_ids(x, opts)
     return with_row_hash(x, list(_PAYLOAD), opts)
 

@@ -224,3 +224,16 @@ def test_report_day_one_against_fixture_notes(spark):
     assert got[("intended", "safe")] == ("2024-01-01", 60, 193, -68.91)
     assert got[("as_written", "server")] == ("2024-01-01", 366, 4246, -91.38)
     assert got[("intended", "server")] == ("2024-01-01", 61, 193, -68.39)
+
+
+def test_strict_params_raise_on_duplicate_keys(spark):
+    ev = _ev(spark, [(T0, "session_start", [p("source", s="a"), p("source", s="b"), p("medium", s="m")])])
+    loose = first_touch_sessions(ev, "2024-01-10", "2024-01-10").first()
+    assert loose.session_source == "a"        # first in array order
+    strict = SessionOptions(strict_params=True)
+    for build in (first_touch_sessions, session_start_sessions):
+        with pytest.raises(Exception):
+            build(ev, "2024-01-10", "2024-01-10", strict).collect()
+    # The client clock is read with LIMIT 1: a duplicate never raises.
+    ev2 = _ev(spark, [(T0, "page_view", [p("actual_timestamp", i=T0 // 1000), p("actual_timestamp", i=1)])])
+    assert first_touch_sessions(ev2, "2024-01-10", "2024-01-10", strict).count() == 1
