@@ -8,8 +8,8 @@ function then recomputes the sessions of those days from the export
 (all their events, not only the new rows, since a session needs all of
 them) and upserts them into the session table.
 
-The micro-batch is reduced to one row (its first and last date) before
-anything reaches the driver. Progress is kept in the stream checkpoint
+The micro-batch is reduced to its distinct dates (one row per calendar
+day) before anything reaches the driver. Progress is kept in the stream checkpoint
 under the shared work folder, so a restarted query resumes after the
 last committed batch; the upsert itself is idempotent for a fixed run.
 """
@@ -43,6 +43,23 @@ def batch_window(batch: DataFrame, lookback_days: int = 1):
     return r.lo - dt.timedelta(days=lookback_days), r.hi
 
 
+def batch_windows(batch: DataFrame, lookback_days: int = 1) -> list[tuple[dt.date, dt.date]]:
+    """Windows to rebuild for a micro-batch: its distinct event dates (at
+    most one row per calendar day reaches the driver) grouped into runs
+    of consecutive days, each widened back by ``lookback_days``. A late
+    hit from weeks ago then rebuilds its own days, not every day since."""
+    days = sorted(r.d for r in batch.select(parse_yyyymmdd("event_date").alias("d"))
+                  .where(F.col("d").isNotNull()).distinct().collect())
+    out: list[list[dt.date]] = []
+    for d in days:
+        lo = d - dt.timedelta(days=lookback_days)
+        if out and lo <= out[-1][1] + dt.timedelta(days=1):
+            out[-1][1] = d
+        else:
+            out.append([lo, d])
+    return [(a, b) for a, b in out]
+
+
 def upsert_window(spark: SparkSession, export_root: str, table_path: str, start, end,
                   model: str = "model1", opts: SessionOptions | None = None, run_ts=None) -> dict:
     """One scheduled run: sessions of [start, end] from the export, upserted."""
@@ -68,8 +85,7 @@ def start_incremental(spark: SparkSession, export_root: str, table_path: str, mo
               .select("event_date"))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        window = batch_window(batch, lookback_days)
-        if window is not None:
+        for window in batch_windows(batch, lookback_days):
             upsert_window(spark, export_root, table_path, *window, model=model, opts=opts, run_ts=run_ts)
 
     w = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
