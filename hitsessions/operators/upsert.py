@@ -29,6 +29,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitsessions.operators.first_touch import MODEL1_COLUMNS, run_timestamp
 from hitsessions.operators.session_start import MODEL2_COLUMNS
@@ -165,7 +166,10 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
                                 for c in spec.columns])
         create_sessions(first, path)
         return {"created": True, "staging": None}
-    target = spark.read.parquet(path)
+    # The table's schema is the source's (same spec): given explicitly, so
+    # a table created from an empty first run still reads back.
+    schema = T.StructType([source.schema[c] for c in spec.columns])
+    target = spark.read.schema(schema).parquet(path)
     # The source is read by two branches; stage it once in the shared
     # folder so the model is not computed twice and a lost executor
     # does not replay the whole lineage.

@@ -121,3 +121,13 @@ def test_model2_insert_columns_by_mode(spark, ev):
         assert df.count() > 0
         nulls = df.where(F.col("gclid_url").isNull() & F.col("ga_session_number").isNull()).count()
         assert (nulls == df.count()) if expect_null else nulls == 0
+
+
+def test_first_run_without_events(spark, ev):
+    o = SessionOptions()
+    path = new_work_path(spark, "test-upsert-empty")
+    empty = first_touch_sessions(ev, "2023-06-01", "2023-06-02", o, run_ts="2024-01-17 06:00:00")
+    U.upsert_sessions(spark, path, empty, "2023-06-01", "2023-06-02", U.MODEL1_SPEC, "2024-01-17 06:00:00", o)
+    src = first_touch_sessions(ev, *WIN, o, run_ts="2024-02-01 06:00:00")
+    U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o)
+    assert spark.read.parquet(path).count() == src.count()
