@@ -60,8 +60,11 @@ def with_row_hash(df: DataFrame, cols: list[str], opts: SessionOptions) -> DataF
 
 
 def drop_null_ids(df: DataFrame, opts: SessionOptions) -> DataFrame:
-    """Intended mode drops events without a session id (Q14): they would
-    all share one NULL key, a hot partition that never matches on upsert."""
+    """Intended mode leaves out events without a session id (Q14): they
+    belong to no session. As written they form one NULL-keyed
+    pseudo-session that never matches on upsert and is inserted again on
+    every run; that mode keeps them, and the partial aggregation combines
+    the NULL key map-side like any other heavy key."""
     if opts.keep_null_session_ids:
         return df
     return df.where(F.col("unique_session_id").isNotNull())
