@@ -237,3 +237,18 @@ def test_strict_params_raise_on_duplicate_keys(spark):
     # The client clock is read with LIMIT 1: a duplicate never raises.
     ev2 = _ev(spark, [(T0, "page_view", [p("actual_timestamp", i=T0 // 1000), p("actual_timestamp", i=1)])])
     assert first_touch_sessions(ev2, "2024-01-10", "2024-01-10", strict).count() == 1
+
+
+def test_compare_zero_model1_count(spark):
+    """A day whose Model 1 groups count 0 sessions (only the NULL id):
+    intended gives a NULL difference, as written divides by zero (error)."""
+    from hitsessions.operators.compare import compare_counts
+    schema = ("session_date date, session_source string, session_medium string, session_campaign string, "
+              "{} bigint")
+    import datetime as dt
+    fe = spark.createDataFrame([(dt.date(2024, 1, 2), "s", "m", "c", 0)], schema.format("cnt_sessions_fev"))
+    ss = spark.createDataFrame([(dt.date(2024, 1, 2), "s", "m", "c", 5)], schema.format("cnt_sessions_ss"))
+    r = compare_counts(ss, fe, SessionOptions()).first()
+    assert (r.cnt_sessions_model2_session_start, r.cnt_sessions_model1_first_event, r.diff_pct) == (5, 0, None)
+    with pytest.raises(Exception):
+        compare_counts(ss, fe, SessionOptions(mode="as_written")).collect()
