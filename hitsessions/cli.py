@@ -51,6 +51,13 @@ def main(argv=None) -> int:
     ap.add_argument("--lookback-days", type=int, default=0)
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
+    needs = {"model1": ["table"], "model2": ["table"], "both": ["table", "table2"],
+             "compare": ["table", "out"], "session-ids": ["out", "shard"]}
+    missing = [f"--{n}" for n in needs[a.job] if not getattr(a, n)]
+    if missing:
+        ap.error(f"{a.job} needs {', '.join(missing)}")
+    if bool(a.start) != bool(a.end):
+        ap.error("give both --start and --end, or neither")
 
     spark = build_session(a.master) if a.master else build_session_from_env()
     opts = SessionOptions(mode=a.mode, include_intraday=not a.daily_only, target_lookback_days=a.lookback_days)

@@ -71,3 +71,10 @@ def test_cli_folder_layout(spark, capsys):
     cols = ["unique_session_id", "session_source", "session_medium", "session_campaign"]
     assert sorted(map(tuple, spark.read.parquet(table).select(*cols).collect())) == \
         sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_cli_argument_checks():
+    with pytest.raises(SystemExit):
+        cli.main(["compare", "--export", "/nowhere", "--table", "/t"])          # no --out
+    with pytest.raises(SystemExit):
+        cli.main(["model1", "--export", "/nowhere", "--table", "/t", "--start", "2024-01-01"])
