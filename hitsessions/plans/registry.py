@@ -192,21 +192,22 @@ def _merge(spark, sf_dir, model: int, mode: str, times: int = 1):
     return comparable(spark.read.parquet(path).select(*spec.columns))
 
 
-def q_stream_incremental_model1(spark, sf_dir):
+def q_stream_incremental_model1(spark, sf_dir, model: str = "model1"):
     """The export arrives in two parts; the stream trigger (availableNow)
     runs after each and upserts the days that arrived."""
     from hitsessions.streaming import start_incremental
     ev = lens_events(spark, sf_dir)
     root = new_work_path(spark, "stream-export")
-    table = new_work_path(spark, "stream-sessions-m1")
+    table = new_work_path(spark, f"stream-sessions-{model}")
     ckpt = new_work_path(spark, "stream-checkpoint")
     X.write_export(ev.where(F.col("suffix") <= O.STREAM_SPLIT), root)
     for part in ("first", "second"):
         if part == "second":
             X.write_export(ev.where(F.col("suffix") > O.STREAM_SPLIT), root, mode="append")
-        q = start_incremental(spark, root, table, "model1", _opts(INTENDED), checkpoint=ckpt, run_ts=O.RUN_TS_2)
+        q = start_incremental(spark, root, table, model, _opts(INTENDED), checkpoint=ckpt, run_ts=O.RUN_TS_2)
         q.awaitTermination()
-    return comparable(spark.read.parquet(table).select(*U.MODEL1_SPEC.columns))
+    spec = U.MODEL1_SPEC if model == "model1" else U.model2_spec(_opts(INTENDED))
+    return comparable(spark.read.parquet(table).select(*spec.columns))
 
 
 def q_model1_channel_counts(spark, sf_dir):
@@ -258,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_model2_as_written": lambda s, d: _merge(s, d, 2, AS_WRITTEN),
     "merge_idempotent": lambda s, d: _merge(s, d, 1, INTENDED, times=2),
     "stream_incremental_model1": q_stream_incremental_model1,
+    "stream_incremental_model2": lambda s, d: q_stream_incremental_model1(s, d, "model2"),
     "model1_channel_counts": q_model1_channel_counts,
     "model2_channel_counts": q_model2_channel_counts,
     "compare_models": lambda s, d: _compare(s, d, INTENDED),
@@ -292,6 +294,7 @@ ORACLES: dict[str, str] = {
     "merge_model2_as_written": O.merge(2, True),
     "merge_idempotent": O.merge_idempotent(),
     "stream_incremental_model1": O.stream_incremental_model1(),
+    "stream_incremental_model2": O.stream_incremental_model2(),
     "model1_channel_counts": O.model1_channel_counts(),
     "model2_channel_counts": O.model2_channel_counts(),
     "compare_models": O.compare_models(False),
