@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules
+from . import bpe, decontaminate, line_dedup, quality_classifier, quality_rules, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_quality_rules": quality_rules.query,
+    "op5_quality_classifier": quality_classifier.query,
+    "op6_token_counts": token_counts.query,
+    "op7_bpe": bpe.query,
+    "op8_decontamination": decontaminate.query,
 }
 
 ORACLES = {

@@ -177,3 +177,32 @@ def sha256(data: bytes) -> str:
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit hashes as the long values of a Spark column."""
     return np.ascontiguousarray(x).view(np.int64)
+
+
+def pieces(batches, text_col: str, size: int = CHUNK_BYTES):
+    """(sub-batch, text column) of about ``size`` bytes each, from batches with a ``row`` struct."""
+    for batch in batches:
+        row = batch.column("row")
+        text = row.field(row.type.get_field_index(text_col))
+        if pa.types.is_null(text.type) or not len(batch):
+            if len(batch):
+                yield batch, text
+            continue
+        for part in chunks(pa.RecordBatch.from_arrays([row, text], names=["row", "text"]), "text", size):
+            yield batch.slice(_start(part, row), len(part)), part.column("text")
+
+
+def _start(part, row) -> int:
+    return part.column("row").offset - row.offset
+
+
+def strings(text) -> list[str]:
+    """The texts as Python strings (null: empty; broken UTF-8: replaced)."""
+    buf, off = text_bytes(text)
+    data = buf.tobytes()
+    return [data[a:b].decode("utf-8", "replace") for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+
+
+def row_schema(docs, extra: str):
+    """Schema string of a mapInArrow result: the ``row`` struct and more columns."""
+    return f"row {docs.schema['row'].dataType.simpleString()}, {extra}"
