@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, line_dedup, quality_classifier, quality_rules, token_counts
+from . import bpe, decontaminate, line_dedup, pii, quality_classifier, quality_rules, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_quality_rules": quality_rules.query,
+    "op4_pii": pii.query,
     "op5_quality_classifier": quality_classifier.query,
     "op6_token_counts": token_counts.query,
     "op7_bpe": bpe.query,
