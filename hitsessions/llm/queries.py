@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, line_dedup, pii, quality_classifier, quality_rules, token_counts
+from . import bpe, decontaminate, line_dedup, ngram_join, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
     "op2_quality_rules": quality_rules.query,
+    "op3_ngram_join": ngram_join.query,
     "op4_pii": pii.query,
     "op5_quality_classifier": quality_classifier.query,
     "op6_token_counts": token_counts.query,
     "op7_bpe": bpe.query,
     "op8_decontamination": decontaminate.query,
+    "op9_substring_dedup": substring_dedup.query,
+    "op10_suffix_dedup": suffix_dedup.query,
 }
 
 ORACLES = {
