@@ -36,13 +36,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import sieve
 from . import textkit as T
 from .components import components
-from .rows import NULL_ID, written
+from .rows import NULL_ID, name, row_key, unpacked, written
 from .substring_dedup import _parts, keyed
 
 SHINGLE, PERCENT = 4, 85
@@ -238,7 +238,11 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
             percent: int = PERCENT, bits: int = sieve.SIEVE_BITS) -> DataFrame:
-    """d, t, n_shingles, component (smallest id of the linked documents) of every row."""
+    """d, t, n_shingles, component (smallest id of the linked documents) and label of every row.
+
+    ``label`` names the component itself (null for empty sets): rows that
+    share an id but not a component differ in it.
+    """
     base = keyed(docs, id_col, text_col)
     rows = written(_classes(base, shingle), "rows")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(
@@ -282,9 +286,26 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     whole = classes.join(labels, classes.c1 == labels.node, "left").select(
         "c1", "c2", "least", F.coalesce("label", "c1").alias("label"))
     smallest = whole.groupBy("label").agg(F.min("least").alias("component"))
-    named = written(whole.join(smallest, "label").select("c1", "c2", "component"), "components")
+    named = written(whole.join(smallest, "label").select("c1", "c2", "component", "label"), "components")
     return (rows.join(named, ["c1", "c2"], "left")
-            .select("d", "t", F.col("n").alias("n_shingles"), F.coalesce("component", "d").alias("component")))
+            .select("d", "t", F.col("n").alias("n_shingles"), F.coalesce("component", "d").alias("component"), "label"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                percent: int = 80, bits: int = sieve.SIEVE_BITS) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays.
+
+    Of rows that share this id, one stays. Documents without words all stay.
+    """
+    found = written(members(docs, id_col, text_col, shingle, percent, bits), "members")
+    keeper = found.where("label is not null").groupBy("label").agg(F.min(F.struct("d", "t")).alias("k"))
+    stay = written(keeper.select("k.d", "k.t").union(found.where("label is null").select("d", "t")).distinct(), "stay")
+    rows = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"), *row_key(docs, id_col, text_col))
+    # Repeats of one row meet in the shuffle of the join; the first of them stays, unless it has no words.
+    first = F.row_number().over(Window.partitionBy("d", "t").orderBy("empty"))
+    kept = (rows.withColumn("empty", ~F.coalesce(F.col("row." + name(text_col)), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+            .join(stay, ["d", "t"], "left_semi").withColumn("nth", first).where(F.col("empty") | (F.col("nth") == 1)))
+    return unpacked(kept, docs.columns)
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -35,6 +35,12 @@ def id_of(c: Column) -> Column:
     return F.coalesce(c.cast("long"), F.lit(NULL_ID))
 
 
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
+    """d and t: a row is named by its id and 31 bits of its text's hash."""
+    return (id_of(docs[name(id_col)]).alias("d"),
+            F.xxhash64(docs[name(text_col)]).bitwiseAND(2**31 - 1).cast("int").alias("t"))
+
+
 def unpacked(df: DataFrame, columns: list[str], replaced: dict[str, Column] | None = None) -> DataFrame:
     """The document columns out of ``row``, some of them replaced."""
     replaced = replaced or {}

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import sieve
 from . import textkit as T
-from .rows import id_of, name, written
+from .rows import name, row_key, written
 
 WINDOW = 35
 
@@ -107,10 +107,8 @@ class Places:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """d, t, text: a row is named by its id and 32 bits of its text's hash."""
-    return docs.select(id_of(docs[name(id_col)]).alias("d"),
-                       F.xxhash64(docs[name(text_col)]).bitwiseAND(2**31 - 1).cast("int").alias("t"),
-                       F.coalesce(docs[name(text_col)], F.lit("")).alias("text"))
+    """d, t (see ``row_key``) and text."""
+    return docs.select(*row_key(docs, id_col, text_col), F.coalesce(docs[name(text_col)], F.lit("")).alias("text"))
 
 
 def _parts(batches):
@@ -197,8 +195,7 @@ def without(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, windo
     found = written(found, "starts")
     touched = sieve.build(found.select(F.col("d").alias("key")), bits)
     rows = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"),
-                       id_of(docs[name(id_col)]).alias("d"),
-                       F.xxhash64(docs[name(text_col)]).bitwiseAND(2**31 - 1).cast("int").alias("t"))
+                       *row_key(docs, id_col, text_col))
 
     def pick(want: bool):
         def run(batches):
