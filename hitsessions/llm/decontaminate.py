@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
-from .rows import id_of, name
+from .rows import id_of, let, name
 
 #: Bytes of words after lower-casing: a-z, 0-9 and everything beyond ASCII.
 WORD = np.zeros(256, dtype=bool)
@@ -259,7 +259,7 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
 def joined(lists, touching: bool = True):
     """Flat disjoint spans out of several lists of flat spans."""
     pairs = F.flatten(F.transform(lists, lambda s: F.transform(
-        F.sequence(F.lit(0), F.size(s) / 2 - 1).cast("array<int>"),
+        F.sequence(F.lit(0), F.shiftright(F.size(s), 1) - 1),
         lambda i: F.struct(F.get(s, 2 * i).alias("a"), F.get(s, 2 * i + 1).alias("b")))))
     slack = 0 if touching else -1
 
@@ -283,11 +283,16 @@ def remove(found: DataFrame, text_col: str = "text", max_cover_percent: int = 50
     keep = found.where((F.size("spans") == 0) | (100 * n_hit(F.col("spans")) < max_cover_percent * F.col("n_words")))
     text = F.coalesce(F.col("row." + name(text_col)), F.lit(""))
     bounds = F.concat(F.array(F.lit(0).cast("long")), F.col("bytes"), F.array(F.octet_length(text).cast("long")))
-    raw = text.cast("binary")
-    left = F.transform(F.sequence(F.lit(0), F.size("bytes") / 2).cast("array<int>"), lambda i: F.substring(
-        raw, (F.get(bounds, 2 * i) + 1).cast("int"),
-        (F.get(bounds, 2 * i + 1) - F.get(bounds, 2 * i)).cast("int")).cast("string"))
-    return keep.select("row", F.when(F.size("bytes") == 0, text).otherwise(F.array_join(left, "")).alias("clean"))
+
+    def between(raw, at):
+        """The parts of the text before, between and after the spans."""
+        return F.array_join(F.transform(
+            F.sequence(F.lit(0), F.shiftright(F.size(at), 1) - 1),
+            lambda i: F.substring(raw, (F.get(at, 2 * i) + 1).cast("int"),
+                                  (F.get(at, 2 * i + 1) - F.get(at, 2 * i)).cast("int")).cast("string")), "")
+
+    left = let(text.cast("binary"), lambda raw: let(bounds, lambda at: between(raw, at)))
+    return keep.select("row", F.when(F.size("bytes") == 0, text).otherwise(left).alias("clean"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import id_of, name, packed
+from .rows import id_of, let, name, packed
 
 #: Stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -72,9 +72,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.col("row." + name(text_col))
     n_lines = F.size(split_lines(text))
     keep = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("dropped"))
-    # The one-element array binds the split once for all positions.
-    kept = F.transform(F.array(split_lines(text)),
-                       lambda lines: F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))[0]
+    kept = let(split_lines(text), lambda lines: F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))
     return out.select("row", n_lines.cast("long").alias("n_lines"),
                       F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
                       F.when(F.col("dropped").isNull(), F.coalesce(text, F.lit(""))).otherwise(kept).alias("kept"))

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import name
+from .rows import let, name
 
 #: Frequent words of the four languages of the corpus.
 STOP_WORDS = (
@@ -41,11 +41,6 @@ RULES: tuple[tuple[str, str, float | None, float | None], ...] = (
 )
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once (a one-element array binds it)."""
-    return F.transform(F.array(value), body)[0]
-
-
 def repeated_words(words: Column) -> Column:
     """Words inside a 3-word window that the text holds twice or more.
 
