@@ -6,8 +6,8 @@
     python -m hitsessions.cli compare --export ROOT --table PATH --start D --end D [--out PATH]
     python -m hitsessions.cli session-ids --export ROOT --shard 20240121 --out PATH
 
-Without dates a run takes the day before yesterday and yesterday (UTC),
-like the original scheduled scripts. ``--layout folders`` reads an
+A date that isn't given takes its default: the day before yesterday to
+yesterday (UTC), like the original scheduled scripts. ``--layout folders`` reads an
 export stored as ``events_YYYYMMDD/`` folders. Results are written to
 the given paths; nothing but a summary line reaches the driver.
 """
@@ -18,6 +18,8 @@ import argparse
 import json
 import sys
 
+from pyspark.sql import SparkSession
+
 from hitsessions.functions.params import unique_session_id
 from hitsessions.operators import upsert as U
 from hitsessions.operators.both_models import both_models
@@ -25,14 +27,13 @@ from hitsessions.operators.compare import compare_models
 from hitsessions.operators.first_touch import first_touch_sessions
 from hitsessions.operators.session_start import session_start_sessions
 from hitsessions.options import SessionOptions
-from hitsessions.session import build_session
+from hitsessions.session import build_session, new_work_path, remove_path
 from hitsessions.sources import export as X
 
 
 def _events(spark, a, start, end):
-    if a.layout == "folders":
-        return X.read_shard_folders(spark, a.export, start, end, include_intraday=not a.daily_only)
-    return X.read_export(spark, a.export)
+    read = X.read_shard_folders if a.layout == "folders" else X.read_window
+    return read(spark, a.export, start, end, include_intraday=not a.daily_only)
 
 
 def main(argv=None) -> int:
@@ -49,50 +50,45 @@ def main(argv=None) -> int:
     ap.add_argument("--layout", default="partitioned", choices=["partitioned", "folders"])
     ap.add_argument("--daily-only", action="store_true", help="ignore intraday shards")
     ap.add_argument("--lookback-days", type=int, default=0)
-    ap.add_argument("--master", default=None)
+    ap.add_argument("--by-channel", action="store_true", help="compare per source, medium and campaign")
+    ap.add_argument("--master", default=None, help="only without a submitter that sets it")
     a = ap.parse_args(argv)
     needs = {"model1": ["table"], "model2": ["table"], "both": ["table", "table2"],
              "compare": ["table", "out"], "session-ids": ["out", "shard"]}
     missing = [f"--{n}" for n in needs[a.job] if not getattr(a, n)]
     if missing:
         ap.error(f"{a.job} needs {', '.join(missing)}")
-    if bool(a.start) != bool(a.end):
-        ap.error("give both --start and --end, or neither")
 
-    spark = build_session(a.master) if a.master else build_session_from_env()
+    spark = SparkSession.getActiveSession() if not a.master else None
+    spark = spark or build_session(a.master)
     opts = SessionOptions(mode=a.mode, include_intraday=not a.daily_only, target_lookback_days=a.lookback_days)
-    start, end = (a.start, a.end) if a.start and a.end else X.default_window()
-    events = _events(spark, a, start, end)
+    start, end = X.window_bounds(a.start, a.end)
+    # Session jobs scan the days that a widened match needs as well.
+    scan = U.scan_start(start, opts) if a.job in ("model1", "model2", "both") else start
+    events = None if a.job == "session-ids" else _events(spark, a, scan, end)
     summary = {"job": a.job, "start": str(start), "end": str(end), "mode": a.mode}
     if a.job == "model1":
-        U.upsert_sessions(spark, a.table, first_touch_sessions(events, start, end, opts), start, end,
+        U.upsert_sessions(spark, a.table, first_touch_sessions(events, scan, end, opts), start, end,
                           U.MODEL1_SPEC, None, opts)
     elif a.job == "model2":
-        U.upsert_sessions(spark, a.table, session_start_sessions(events, start, end, opts), start, end,
+        U.upsert_sessions(spark, a.table, session_start_sessions(events, scan, end, opts), start, end,
                           U.model2_spec(opts), None, opts)
     elif a.job == "both":
-        m1, m2 = both_models(spark, events, start, end, opts)
-        U.upsert_sessions(spark, a.table, m1, start, end, U.MODEL1_SPEC, None, opts)
-        U.upsert_sessions(spark, a.table2, m2, start, end, U.model2_spec(opts), None, opts)
+        staged = new_work_path(spark, "both-models")
+        m1, m2 = both_models(spark, events, scan, end, opts, staged=staged)
+        U.upsert_sessions(spark, a.table, m1, start, end, U.MODEL1_SPEC, None, opts, source_staged=True)
+        U.upsert_sessions(spark, a.table2, m2, start, end, U.model2_spec(opts), None, opts, source_staged=True)
+        remove_path(spark, staged)
     elif a.job == "compare":
         fe = X.read_sessions(spark, a.table, start, end)
-        report = compare_models(fe, events, start, end, opts)
+        report = compare_models(fe, events, start, end, opts, by_channel=a.by_channel)
         report.coalesce(1).write.mode("overwrite").option("header", True).csv(a.out)
     elif a.job == "session-ids":
-        shard = X.single_shard(events, a.shard) if a.layout == "partitioned" else events
+        shard = X.read_single_shard(spark, a.export, a.shard, a.layout)
         shard.select(unique_session_id().alias("unique_session_id")).write.mode("overwrite").parquet(a.out)
     print(json.dumps(summary))
     return 0
 
 
-def build_session_from_env():
-    """Use the session the submitter configured (spark-submit), else local."""
-    from pyspark.sql import SparkSession
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    return build_session("local[*]")
-
-
 if __name__ == "__main__":
     sys.exit(main())

@@ -6,7 +6,8 @@ of the original script (N5-N7; a ``*`` inside a value shifts the split
 columns) and a struct (no shift).
 
 Model 2 rules are ordered lists of ``(predicate, value)`` folded into one
-``CASE``; the first match wins, and users can add rules.
+``CASE``; the first match wins. Users pass their own lists as
+:class:`ChannelRules` to the session and report functions.
 """
 
 from __future__ import annotations
@@ -121,6 +122,18 @@ CAMPAIGN_RULES = (
 )
 
 
+@dataclass(frozen=True)
+class ChannelRules:
+    """Rule lists of Model 2; the first match of a list wins.
+
+    Add a rule by putting it before or after the built-in ones:
+    ``ChannelRules(source=(Rule(...), *SOURCE_RULES))``.
+    """
+    source: Sequence[Rule] = SOURCE_RULES
+    medium: Sequence[Rule] = MEDIUM_RULES
+    campaign: Sequence[Rule] = CAMPAIGN_RULES
+
+
 def url_param(page_location: Column, name: str) -> Column:
     """Group 1 of the URL pattern, ``N/A`` when it does not match."""
     return F.coalesce(regexp_extract_or_null(page_location, URL_PATTERNS[name]), F.lit(NA))

@@ -26,8 +26,13 @@ from hitsessions.sources.export import events_in_window
 
 
 def both_models(spark: SparkSession, events: DataFrame, start=None, end=None,
-                opts: SessionOptions | None = None, run_ts=None) -> tuple[DataFrame, DataFrame]:
-    """(Model 1 sessions, Model 2 sessions) of the window, one pass."""
+                opts: SessionOptions | None = None, run_ts=None, rules: A.ChannelRules = A.ChannelRules(),
+                staged: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(Model 1 sessions, Model 2 sessions) of the window, one pass.
+
+    Both results read the table written to ``staged`` (a fresh work path
+    by default); remove it when they are no longer needed.
+    """
     opts = opts or SessionOptions()
     ev = events_in_window(events, start, end, opts)
     x = ev.select(*base_columns(opts),
@@ -59,7 +64,7 @@ def both_models(spark: SparkSession, events: DataFrame, start=None, end=None,
         F.min(F.struct(*o1, F.col("session_date"))).alias("first"),
         F.min_by(F.col("attr"), F.when(F.col("attr").isNotNull(), F.struct(*o1))).alias("attr"),
         F.min(F.when(is_ss, F.struct(*o2, *m2_payload))).alias("ss"))
-    staged = new_work_path(spark, "both-models")
+    staged = staged or new_work_path(spark, "both-models")
     g.write.mode("overwrite").parquet(staged)
     g = spark.read.parquet(staged)
 
@@ -69,5 +74,5 @@ def both_models(spark: SparkSession, events: DataFrame, start=None, end=None,
         F.col("first.o_ts").alias("actual_timestamp_ms"), "attr"), opts, run_ts)
     first_ss = g.where(F.col("ss").isNotNull()).select(
         "unique_session_id", *[F.col(f"ss.{in_key.get(c, c)}").alias(c) for c in _PAYLOAD])
-    m2 = finish_model2(apply_rules(first_ss, opts), opts, run_ts)
+    m2 = finish_model2(apply_rules(first_ss, opts, rules), opts, run_ts)
     return m1, m2

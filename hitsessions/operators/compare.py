@@ -13,6 +13,8 @@ so both sides are reduced to one row per date before a 1:1 join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from hitsessions.operators import attribution as A
 from hitsessions.operators.extract import drop_null_ids
 from hitsessions.operators.session_start import first_session_start, session_start_events
 from hitsessions.options import SessionOptions
+from hitsessions.sources.export import date_range, window_bounds
 
 CHANNEL = ("session_date", "session_source", "session_medium", "session_campaign")
 
@@ -28,15 +31,14 @@ CHANNEL = ("session_date", "session_source", "session_medium", "session_campaign
 def model1_channel_counts(fe_sessions: DataFrame, start=None, end=None,
                           id_column: str = "unique_session_id") -> DataFrame:
     """Distinct Model 1 sessions per date and channel."""
-    df = fe_sessions
-    if start is not None and end is not None:
-        df = df.where(F.col("session_date").between(F.lit(str(start)).cast("date"),
-                                                    F.lit(str(end)).cast("date")))
+    cond = date_range("session_date", start, end)
+    df = fe_sessions if cond is None else fe_sessions.where(cond)
     return df.groupBy(*CHANNEL).agg(F.countDistinct(id_column).alias("cnt_sessions_fev"))
 
 
 def model2_channel_rows(events: DataFrame, start=None, end=None,
-                        opts: SessionOptions | None = None, clock: str = "server") -> DataFrame:
+                        opts: SessionOptions | None = None, clock: str = "server",
+                        rules: A.ChannelRules = A.ChannelRules()) -> DataFrame:
     """First session_start per id with its channel.
 
     ``clock='server'`` orders by the raw server time, as the report does
@@ -48,7 +50,8 @@ def model2_channel_rows(events: DataFrame, start=None, end=None,
     payload = ("session_date", "event_timestamp_micros", "p_page_location", "p_source", "p_medium", "p_campaign")
     first = first_session_start(x, opts, clock=clock, payload=payload)
     ch = A.model2_channel({"page_location": F.col("p_page_location"), "source": F.col("p_source"),
-                           "medium": F.col("p_medium"), "campaign": F.col("p_campaign")})
+                           "medium": F.col("p_medium"), "campaign": F.col("p_campaign")},
+                          rules.source, rules.medium, rules.campaign)
     return first.select("session_date", "unique_session_id",
                         ch["session_source"].alias("session_source"),
                         ch["session_medium"].alias("session_medium"),
@@ -56,9 +59,10 @@ def model2_channel_rows(events: DataFrame, start=None, end=None,
 
 
 def model2_channel_counts(events: DataFrame, start=None, end=None,
-                          opts: SessionOptions | None = None, clock: str = "server") -> DataFrame:
+                          opts: SessionOptions | None = None, clock: str = "server",
+                          rules: A.ChannelRules = A.ChannelRules()) -> DataFrame:
     """Distinct Model 2 sessions per date and channel (A2, A4)."""
-    rows = model2_channel_rows(events, start, end, opts, clock)
+    rows = model2_channel_rows(events, start, end, opts, clock, rules)
     return rows.groupBy(*CHANNEL).agg(F.countDistinct("unique_session_id").alias("cnt_sessions_ss"))
 
 
@@ -89,13 +93,34 @@ def compare_counts(ss_counts: DataFrame, fe_counts: DataFrame,
             .orderBy("date"))
 
 
-def compare_models(fe_sessions: DataFrame, events: DataFrame, start, end,
-                   opts: SessionOptions | None = None, clock: str = "server") -> DataFrame:
-    """The comparison report for [start, end]."""
+def compare_channels(ss_counts: DataFrame, fe_counts: DataFrame) -> DataFrame:
+    """Totals of both models per date and channel, and their relative difference in %.
+
+    Channels only in Model 1 drop out, like days in the daily report; a
+    channel only in Model 2 has no Model 1 count.
+    """
+    ss, fe = ss_counts.alias("ss"), fe_counts.alias("fe")
+    same = reduce(lambda a, b: a & b, [F.col(f"ss.{c}").eqNullSafe(F.col(f"fe.{c}")) for c in CHANNEL])
+    j = ss.join(fe, same, "left")
+    m2, m1 = F.col("cnt_sessions_ss"), F.col("cnt_sessions_fev")
+    return (j.select(iso_date("ss.session_date").alias("date"), *[F.col(f"ss.{c}") for c in CHANNEL[1:]],
+                     m2.alias("cnt_sessions_model2_session_start"), m1.alias("cnt_sessions_model1_first_event"),
+                     F.round((F.try_divide(m2, m1) - F.lit(1)) * F.lit(100), 2).alias("diff_pct"))
+            .orderBy("date", *CHANNEL[1:]))
+
+
+def compare_models(fe_sessions: DataFrame, events: DataFrame, start=None, end=None,
+                   opts: SessionOptions | None = None, clock: str = "server", by_channel: bool = False,
+                   rules: A.ChannelRules = A.ChannelRules()) -> DataFrame:
+    """The comparison report for [start, end] (J7), daily or per channel.
+
+    A date that isn't given takes the default of the scheduled runs.
+    """
     opts = opts or SessionOptions()
+    start, end = window_bounds(start, end, opts.today)
     fe = model1_channel_counts(fe_sessions, start, end, opts.id_column)
-    ss = model2_channel_counts(events, start, end, opts, clock)
-    return compare_counts(ss, fe, opts)
+    ss = model2_channel_counts(events, start, end, opts, clock, rules)
+    return compare_channels(ss, fe) if by_channel else compare_counts(ss, fe, opts)
 
 
 def session_duplicates(events: DataFrame, start=None, end=None,

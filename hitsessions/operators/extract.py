@@ -1,8 +1,7 @@
 """Per-event extraction shared by the session models.
 
-Every parameter is looked up once, right after the scan: the ``filter``
-lambda of a lookup runs outside whole-stage codegen, so the models never
-repeat it downstream.
+Every parameter is looked up once, right after the scan; the models use
+the extracted columns from there on.
 """
 
 from __future__ import annotations

@@ -146,9 +146,12 @@ def first_value_window(events: DataFrame, start=None, end=None,
     whether it is the session's first event.
 
     The per-session values come from the aggregate form and are joined
-    back to the events on the id (null-safe). A hot session is then a
-    skewed join key, which AQE splits across tasks, instead of one
-    window partition buffered by one task.
+    back to the events on the id. A hot session is then a skewed join
+    key, which AQE splits across tasks, instead of one window partition
+    buffered by one task. For that the join needs exchanges of its own on
+    both sides: its key has the id's hash as a second column, so the
+    partitioning of the aggregate is not reused. (The null-safe equality
+    of as-written mode has such a key anyway.)
     """
     opts = opts or SessionOptions()
     x = model1_events(events, start, end, opts)
@@ -158,6 +161,8 @@ def first_value_window(events: DataFrame, start=None, end=None,
         F.min_by(F.col("attr"), F.when(F.col("attr").isNotNull(), F.struct(*order))).alias("session_attr"))
     e = x.select("unique_session_id", "event_timestamp_micros", "event_bundle_sequence_id",
                  F.struct(*order).alias("key")).alias("e")
-    j = e.join(per_session.alias("s"), _same_id(F.col("e.unique_session_id"), F.col("s.unique_session_id"), opts))
+    same = (_same_id(F.col("e.unique_session_id"), F.col("s.unique_session_id"), opts)
+            & (F.xxhash64("e.unique_session_id") == F.xxhash64("s.unique_session_id")))
+    j = e.join(per_session.alias("s"), same)
     return j.select("e.unique_session_id", "e.event_timestamp_micros", "e.event_bundle_sequence_id",
                     "s.session_attr", (F.col("e.key") == F.col("s.first_key")).alias("is_first_event"))

@@ -27,6 +27,7 @@ MODEL2_COLUMNS = ("session_date", "unique_session_id", "event_timestamp", "actua
                   "session_medium_orig", "session_medium", "session_campaign_orig", "session_campaign",
                   "session_term", "session_content", "utm_campaign_url", "gclid_url",
                   "export_timestamp", "last_update_timestamp")
+EXTRA_CLICK_COLUMNS = ("fbclid_url", "msclid_url")
 _PAYLOAD = ("session_date", "event_timestamp_micros", "actual_timestamp_ms", "ga_session_number",
             "p_page_location", "p_source", "p_medium", "p_campaign", "p_term", "p_content")
 
@@ -65,13 +66,13 @@ def first_session_start(x: DataFrame, opts: SessionOptions, clock: str = "safe",
                     *[F.col(f"first.{in_key.get(c, c)}").alias(c) for c in payload])
 
 
-def apply_rules(first: DataFrame, opts: SessionOptions) -> DataFrame:
+def apply_rules(first: DataFrame, opts: SessionOptions, rules: A.ChannelRules = A.ChannelRules()) -> DataFrame:
     cols = {"page_location": F.col("p_page_location"), "source": F.col("p_source"),
             "medium": F.col("p_medium"), "campaign": F.col("p_campaign")}
-    ch = A.model2_channel(cols)
+    ch = A.model2_channel(cols, rules.source, rules.medium, rules.campaign)
     extra = []
     if opts.extra_click_ids:
-        extra = [A.url_param(F.col("p_page_location"), n).alias(n) for n in ("fbclid_url", "msclid_url")]
+        extra = [A.url_param(F.col("p_page_location"), n).alias(n) for n in EXTRA_CLICK_COLUMNS]
     return first.select(
         "session_date", "unique_session_id", "event_timestamp_micros", "actual_timestamp_ms",
         "ga_session_number", F.col("p_page_location").alias("page_location"),
@@ -88,11 +89,15 @@ def apply_rules(first: DataFrame, opts: SessionOptions) -> DataFrame:
 
 
 def session_start_sessions(events: DataFrame, start=None, end=None,
-                           opts: SessionOptions | None = None, run_ts=None) -> DataFrame:
-    """One row per session id of the window, in the Model 2 table shape."""
+                           opts: SessionOptions | None = None, run_ts=None,
+                           rules: A.ChannelRules = A.ChannelRules()) -> DataFrame:
+    """One row per session id of the window, in the Model 2 table shape.
+
+    ``rules`` replaces or extends the built-in channel rules.
+    """
     opts = opts or SessionOptions()
     x = session_start_events(events, start, end, opts)
-    return finish_model2(apply_rules(first_session_start(x, opts), opts), opts, run_ts)
+    return finish_model2(apply_rules(first_session_start(x, opts), opts, rules), opts, run_ts)
 
 
 def finish_model2(ruled: DataFrame, opts: SessionOptions, run_ts=None) -> DataFrame:
@@ -100,7 +105,7 @@ def finish_model2(ruled: DataFrame, opts: SessionOptions, run_ts=None) -> DataFr
     act = F.col("actual_timestamp_ms")
     act_us = act if opts.actual_ts_in_millis_as_micros else F.try_multiply(act, F.lit(1000))
     ts = run_timestamp(run_ts)
-    extra = ["fbclid_url", "msclid_url"] if opts.extra_click_ids else []
+    extra = list(EXTRA_CLICK_COLUMNS) if opts.extra_click_ids else []
     return ruled.select(
         "session_date", "unique_session_id",
         format_micros(F.col("event_timestamp_micros"), opts.zone).alias("event_timestamp"),

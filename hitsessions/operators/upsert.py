@@ -8,17 +8,22 @@ set algebra of the original ``MERGE``:
 * matched and changed (``IS DISTINCT FROM`` on the compare columns):
   set the update columns and ``last_update_timestamp``;
 * not matched: insert the insert columns, the others are NULL;
-* no delete: rows never leave the table.
-
-Only the partitions of the window and of inserted rows are rewritten,
-with dynamic partition overwrite: the commit protocol writes the new
-files to a staging folder of the job and swaps the partitions in at job
-commit, so a failed job leaves the target as it was, and partitions
-outside that set are not touched. The source sessions are staged once
-in the shared work folder (the two MERGE branches read them, and the
-model behind them is not recomputed). ``stage_output=True`` also writes
-the new partitions to a separate staging table before copying them over
-(a kept copy of every run, at the price of a second write).
+* no delete: rows never leave the table, those without a date included.
+
+The target keeps its own schema: columns that the model doesn't know are
+carried along (NULL in inserted rows), and the id column may have another
+name (``SessionOptions.id_column``).
+
+Only the partitions of the window and of the source's dates are listed,
+read and rewritten, with dynamic partition overwrite. New files are
+written to a staging folder of the job first, so a job that fails before
+its commit leaves the table as it was. The commit itself replaces one
+partition after the other; a failure in the middle of it leaves some
+partitions replaced and possibly one missing. On object stores, where a
+rename is a copy, that moment is longer, and some of their committers
+reject dynamic overwrite. With ``stage_output=True`` the new partitions
+are kept in a table of their own until the commit has ended, and
+:func:`resume_upsert` repeats an interrupted commit from it.
 """
 
 from __future__ import annotations
@@ -26,17 +31,21 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hitsessions.operators.first_touch import MODEL1_COLUMNS, run_timestamp
-from hitsessions.operators.session_start import MODEL2_COLUMNS
+from hitsessions.operators.session_start import EXTRA_CLICK_COLUMNS, MODEL2_COLUMNS
 from hitsessions.options import SessionOptions
-from hitsessions.session import new_work_path
+from hitsessions.session import new_work_path, remove_path
+from hitsessions.sources.export import date_range, subfolders
 
 ID = "unique_session_id"
+#: Folder value of the partition of rows without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -67,11 +76,15 @@ _M2_INSERT_AS_WRITTEN = ("session_date", "event_timestamp", "actual_timestamp",
 
 def model2_spec(opts: SessionOptions | None = None) -> UpsertSpec:
     opts = opts or SessionOptions()
+    columns = MODEL2_COLUMNS
+    if opts.extra_click_ids:
+        at = columns.index("gclid_url") + 1
+        columns = (*columns[:at], *EXTRA_CLICK_COLUMNS, *columns[at:])
     return UpsertSpec(
-        columns=MODEL2_COLUMNS,
+        columns=columns,
         compare=("session_source", "session_medium", "session_campaign"),
         update=_M2_UPDATE,
-        insert=MODEL2_COLUMNS if opts.model2_insert_all_columns else _M2_INSERT_AS_WRITTEN,
+        insert=columns if opts.model2_insert_all_columns else _M2_INSERT_AS_WRITTEN,
     )
 
 
@@ -79,6 +92,11 @@ def _as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
 
+def scan_start(start, opts: SessionOptions) -> dt.date:
+    """First day a run has to scan: a widened match needs the events of the days it matches."""
+    return _as_date(start) - dt.timedelta(days=int(opts.target_lookback_days))
+
+
 def _changed(spec: UpsertSpec) -> Column:
     return reduce(lambda a, b: a | b,
                   [~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in spec.compare])
@@ -86,27 +104,34 @@ def _changed(spec: UpsertSpec) -> Column:
 
 def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: UpsertSpec,
                      run_ts=None, target_lookback_days: int = 0) -> DataFrame:
-    """New content of every partition the upsert rewrites.
-
-    ``target`` is the whole table (partition filters prune the read);
-    ``source`` has one row per session id. One full outer join of the
-    window's target rows with the source gives both branches: rows with a
-    target side are kept or updated, rows with only a source side are
-    inserted. Rows outside the window that share a date with the source
-    are carried along unchanged, since their partitions are rewritten.
+    """New content of every partition the upsert rewrites, in the target's columns.
+
+    ``target`` holds the partitions of the window and of the source's
+    dates; ``source`` has one row per session id. One full outer join of
+    the window's target rows with the source gives both branches: rows
+    with a target side are kept or updated, rows with only a source side
+    are inserted. Target rows outside the window that share a date with
+    the source (or have none, like a source row) are carried along
+    unchanged, since their partitions are rewritten.
+
+    With a lookback the source also holds sessions of the days before the
+    window. They update the rows that match, but are not inserted: a
+    session that began still earlier is only seen in part there.
     """
     lo = _as_date(start) - dt.timedelta(days=int(target_lookback_days))
-    hi = _as_date(end)
-    in_window = F.col("session_date").between(F.lit(lo), F.lit(hi))
+    in_window = F.coalesce(F.col("session_date").between(F.lit(lo), F.lit(_as_date(end))), F.lit(False))
     ts = run_timestamp(run_ts)
-    cols = list(spec.columns)
+    cols = target.columns
     schema = {f.name: f.dataType for f in target.schema.fields}
 
-    t = target.where(in_window).select(*cols, F.lit(True).alias("_t")).alias("t")
-    s = source.select(*[c for c in cols if c in source.columns], F.lit(True).alias("_s")).alias("s")
+    t = target.where(in_window).select(*[F.col(_q(c)) for c in cols], F.lit(True).alias("_t")).alias("t")
+    s = source.select(*[c for c in spec.columns if c in source.columns], F.lit(True).alias("_s")).alias("s")
     # A NULL id matches nothing: such rows come out one-sided.
     j = t.join(s, F.col(f"t.{ID}") == F.col(f"s.{ID}"), "full_outer")
     has_t, has_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
+    if target_lookback_days:
+        new = F.coalesce(F.col("s.session_date") >= F.lit(_as_date(start)), F.lit(True))
+        j = j.where(has_t | new)
     hit = has_t & has_s & _changed(spec)
     out = []
     for c in cols:
@@ -115,7 +140,7 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
         elif c == spec.touch:
             kept = F.when(hit, ts).otherwise(F.col(f"t.{c}"))
         else:
-            kept = F.col(f"t.{c}")
+            kept = F.col(f"t.{_q(c)}")
         new = F.col(f"s.{c}") if (c in spec.insert and c in source.columns) else F.lit(None)
         out.append(F.when(has_t, kept).otherwise(new).cast(schema[c]).alias(c))
     merged = j.select(*out)
@@ -123,13 +148,16 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     # Partitions outside the window that inserted rows may land in: the
     # source's dates are a superset of the insert dates (a handful of
     # days), and rewriting an unchanged partition leaves it equal.
-    source_dates = source.select("session_date").distinct()
+    source_dates = source.select(F.col("session_date").alias("_date")).distinct()
     carried = (target.where(~in_window)
-               .join(source_dates, on="session_date", how="left_semi")
-               .select(*cols))
+               .join(source_dates, F.col("session_date").eqNullSafe(F.col("_date")), "left_semi"))
     return merged.unionByName(carried)
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def _write_partitioned(df: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
     # Rebalance on the partition column: AQE splits a heavy day over
     # several tasks and merges small ones, so files stay few and sized.
@@ -152,39 +180,105 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _read_target(spark: SparkSession, path: str, source: DataFrame, start, end, spec: UpsertSpec,
+                 opts: SessionOptions) -> DataFrame:
+    """The target's partitions that the upsert may rewrite, in its own schema.
+
+    One listing of the table's root; only these partitions go into the
+    file index. The id column gets the models' name, columns of the spec
+    that the table lacks are added as NULL.
+    """
+    folders = subfolders(spark, path)
+    by_value = {unquote(n[len("session_date="):]): p for n, p in folders.items() if n.startswith("session_date=")}
+    # One value per calendar day reaches the driver.
+    dates = {str(r[0]) if r[0] is not None else NO_DATE for r in source.select("session_date").distinct().collect()}
+    lo, hi = str(scan_start(start, opts)), str(_as_date(end))
+    needed = sorted(p for v, p in by_value.items() if v in dates or (v != NO_DATE and lo <= v <= hi))
+    types = {f.name: f.dataType for f in source.schema.fields}
+    some = needed or sorted(by_value.values())[-1:]
+    if some:
+        # The partitions' own columns: older ones may lack a newer column.
+        table = (spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*some)
+                 .withColumn("session_date", F.col("session_date").cast("date")))
+        if not needed:
+            table = table.limit(0)
+    else:
+        # A table created by a run without events has no partition to take columns from.
+        table = spark.createDataFrame([], T.StructType([source.schema[c] for c in spec.columns]))
+    if opts.id_column != ID:
+        if opts.id_column not in table.columns and some:
+            raise ValueError(f"{path} has no id column {opts.id_column!r}")
+        table = table.withColumnRenamed(opts.id_column, ID)
+    elif ID not in table.columns:
+        raise ValueError(f"{path} has no id column {ID!r}; name it in SessionOptions.id_column")
+    for c in spec.columns:
+        if c not in table.columns:
+            table = table.withColumn(c, F.lit(None).cast(types[c]))
+        elif c in types and table.schema[c].dataType != types[c]:
+            raise ValueError(f"column {c!r} is {table.schema[c].dataType.simpleString()} in {path}, "
+                             f"{types[c].simpleString()} in the sessions")
+    return table
+
+
 def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, end,
                     spec: UpsertSpec = MODEL1_SPEC, run_ts=None,
-                    opts: SessionOptions | None = None, stage_output: bool = False) -> dict:
+                    opts: SessionOptions | None = None, stage_output: bool = False,
+                    source_staged: bool = False) -> dict:
     """Apply one upsert of ``source`` sessions for [start, end] to ``path``.
 
     Creates the table when it does not exist. Concurrent writers to the
-    same table are not supported. Returns the work paths it used.
+    same table are not supported. ``source_staged`` says that ``source``
+    reads a written table already, which spares a second copy. Work
+    folders are removed after success; returns what was done.
     """
     opts = opts or SessionOptions()
+    renamed = (lambda df: df.withColumnRenamed(ID, opts.id_column)) if opts.id_column != ID else (lambda df: df)
     if not table_exists(spark, path):
         first = source.select(*[F.col(c) if c in spec.insert else F.lit(None).cast(source.schema[c].dataType).alias(c)
                                 for c in spec.columns])
-        create_sessions(first, path)
+        if opts.target_lookback_days:
+            first = first.where(F.coalesce(date_range("session_date", start), F.lit(True)))
+        create_sessions(renamed(first), path)
         return {"created": True, "staging": None}
-    # The table's schema is the source's (same spec): given explicitly, so
-    # a table created from an empty first run still reads back.
-    schema = T.StructType([source.schema[c] for c in spec.columns])
-    target = spark.read.schema(schema).parquet(path)
-    # The source is read by two branches; stage it once in the shared
+    # The source is read by several branches; stage it once in the shared
     # folder so the model is not computed twice and a lost executor
     # does not replay the whole lineage.
-    src_path = new_work_path(spark, "upsert-source")
-    source.write.mode("overwrite").parquet(src_path)
-    source = spark.read.parquet(src_path)
-    new = merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days)
+    src_path = None
+    if not source_staged:
+        src_path = new_work_path(spark, "upsert-source")
+        source.write.mode("overwrite").parquet(src_path)
+        source = spark.read.schema(source.schema).parquet(src_path)
+    target = _read_target(spark, path, source, start, end, spec, opts)
+    new = renamed(merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days))
     staging = None
     if stage_output:
         staging = new_work_path(spark, "upsert-staging")
         _write_partitioned(new, staging, "overwrite")
-        new = spark.read.parquet(staging).select(*spec.columns)
-    # Dynamic overwrite replaces only the partitions present in `new`.
-    _write_partitioned(new, path, "overwrite")
-    return {"created": False, "staging": staging, "source": src_path}
+        _commit_staged(spark, path, staging)
+    else:
+        # Dynamic overwrite replaces only the partitions present in `new`.
+        _write_partitioned(new, path, "overwrite")
+    if src_path:
+        remove_path(spark, src_path)
+    if staging:
+        remove_path(spark, staging)
+    return {"created": False, "staging": staging}
+
+
+def _commit_staged(spark: SparkSession, path: str, staging: str) -> None:
+    if subfolders(spark, staging):
+        staged = spark.read.option("mergeSchema", "true").parquet(staging)
+        _write_partitioned(staged.withColumn("session_date", F.col("session_date").cast("date")), path, "overwrite")
+
+
+def resume_upsert(spark: SparkSession, path: str, staging: str) -> None:
+    """Repeat the commit of an upsert that was interrupted after staging (``stage_output=True``).
+
+    It replaces the same partitions with the same rows, so it may run any
+    number of times; the staged copy is removed once it has succeeded.
+    """
+    _commit_staged(spark, path, staging)
+    remove_path(spark, staging)
 
 
 def merge_into_catalog_table(source: DataFrame, table: str, start, end, spec: UpsertSpec = MODEL1_SPEC,

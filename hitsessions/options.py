@@ -8,6 +8,7 @@ comments say. Every place where the two differ reads a field of
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, replace
 
 AS_WRITTEN = "as_written"
@@ -26,14 +27,16 @@ class SessionOptions:
     include_intraday: bool = True
     # Raise on a duplicated parameter key instead of taking the first one.
     strict_params: bool = False
-    # Widen the upsert match range on the target to catch sessions that
-    # began before the window (0 keeps the original match range).
+    # Days before the window that a run scans and matches as well, to catch
+    # sessions that began before it (0 keeps the original range).
     target_lookback_days: int = 0
     # Name of the session id column in an existing session table.
     id_column: str = "unique_session_id"
     # Model 1 physical form: "aggregate" (min_by, map-side combine) or
-    # "window" (first_value + row_number over one sorted window).
+    # "window" (two row_number() = 1 windows, joined on the id).
     form: str = "aggregate"
+    # Day that default windows count back from (None: the current UTC day).
+    today: dt.date | None = None
     # Extra click-id columns of Model 2 (fbclid_url, msclid_url).
     extra_click_ids: bool = False
 
@@ -83,7 +86,3 @@ class SessionOptions:
     def with_(self, **kw) -> "SessionOptions":
         return replace(self, **kw)
 
-
-def resolve(opts: SessionOptions | None = None, **kw) -> SessionOptions:
-    opts = opts or SessionOptions()
-    return replace(opts, **kw) if kw else opts

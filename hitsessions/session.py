@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on. ANSI keeps integer overflow and bad
@@ -22,7 +23,6 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     # Call-site capture for error messages costs several py4j calls per
@@ -31,12 +31,27 @@ JOB_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "hitsessions",
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "hitsessions",
                   extra: dict | None = None) -> SparkSession:
-    b = (SparkSession.builder.master(master).appName(app)
+    """A session with the settings of :data:`JOB_CONF`.
+
+    What the submitter set stays: the master and the number of shuffle
+    partitions are only set here when given, and without a submitted
+    master the session is a local one (with few partitions).
+    """
+    submitted = SparkConf()
+    b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.session.timeZone", "UTC"))
+    if master is None and not submitted.contains("spark.master"):
+        master = "local[*]"
+    if master is not None:
+        b = b.master(master)
+        if shuffle_partitions is None and master.startswith("local") \
+                and not submitted.contains("spark.sql.shuffle.partitions"):
+            shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -44,11 +59,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
-def apply_job_conf(spark: SparkSession) -> None:
-    """Session-level settings the operators need (safe to call repeatedly)."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-
-
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -67,8 +77,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
+    """A fresh, unique path under the shared folder.
+
+    A ``file:`` scheme is dropped only where plain paths are local files
+    too, so that the path means the same place under any default file
+    system.
+    """
     root = shared_dir(spark)
-    if root.startswith("file:"):
+    if root.startswith("file:") and spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a work folder that is no longer needed."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -3,14 +3,16 @@
 The export is one Parquet table per day. On Spark it is one directory
 tree partitioned by the shard name, ``<root>/suffix=20240121/``,
 ``<root>/suffix=intraday_20240122/``; the shard name is the partition
-column ``suffix``. A date window becomes a partition filter, so only the
-shards of the window are listed and read.
+column ``suffix``. A scan for a date window lists the root once and
+opens only the window's folders (``read_window``); a scan of the whole
+tree is pruned by a partition filter.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +27,7 @@ PARAM_VALUE_FULL = T.StructType([
     T.StructField("double_value", T.DoubleType()),
 ])
 # Only the two members the models read: a narrow read schema makes the
-# Parquet reader skip the other leaves of the nested column (nested
-# schema pruning does not reach through ``filter`` lambdas).
+# Parquet reader skip the other leaves of the nested column.
 PARAM_VALUE_NARROW = T.StructType([
     T.StructField("string_value", T.StringType()),
     T.StructField("int_value", T.LongType()),
@@ -68,6 +69,12 @@ def default_window(today: dt.date | None = None) -> tuple[dt.date, dt.date]:
     return today - dt.timedelta(days=2), today - dt.timedelta(days=1)
 
 
+def window_bounds(start=None, end=None, today: dt.date | None = None) -> tuple[dt.date, dt.date]:
+    """First and last day of a window; each one not given takes its own default."""
+    lo, hi = default_window(today)
+    return (_as_date(start) if start is not None else lo), (_as_date(end) if end is not None else hi)
+
+
 def shard_in_window(start, end, suffix: str = "suffix", include_intraday: bool = True) -> Column:
     """First digit run of the shard name, as text, inside [start, end].
 
@@ -91,54 +98,91 @@ def read_export(spark: SparkSession, root: str, narrow: bool = True, extra=()) -
             .option("basePath", root).parquet(root))
 
 
+def subfolders(spark: SparkSession, root: str) -> dict[str, str]:
+    """Name and path of the folders right under ``root`` (one listing)."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return {}
+    return {st.getPath().getName(): st.getPath().toString() for st in fs.listStatus(base) if st.isDirectory()}
+
+
+def shard_matches(shard: str, start, end, include_intraday: bool = True) -> bool:
+    """Driver-side form of :func:`shard_in_window` for one shard name."""
+    lo, hi = _as_date(start).strftime("%Y%m%d"), _as_date(end).strftime("%Y%m%d")
+    if not include_intraday and not re.fullmatch("[0-9]+", shard):
+        return False
+    digits = re.search("[0-9]+", shard)
+    return digits is not None and lo <= digits[0] <= hi
+
+
+def read_window(spark: SparkSession, root: str, start=None, end=None, include_intraday: bool = True,
+                narrow: bool = True, extra=(), today: dt.date | None = None) -> DataFrame:
+    """The shards of a window from a partitioned export tree.
+
+    One listing of the root gives one entry per shard; only the folders
+    of the window go into the scan's file index.
+    """
+    start, end = window_bounds(start, end, today)
+    paths = [path for folder, path in subfolders(spark, root).items() if folder.startswith("suffix=")
+             and shard_matches(unquote(folder[len("suffix="):]), start, end, include_intraday)]
+    return _read_paths(spark, root, sorted(paths), event_schema(narrow, extra=extra))
+
+
+def _read_paths(spark: SparkSession, root: str, paths: list[str], schema: T.StructType) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
+
+
 def shard_paths(spark: SparkSession, root: str, start, end, include_intraday: bool = True,
                 prefix: str = "events_") -> list[str]:
-    """Shard folders ``<root>/events_YYYYMMDD`` (and
-    ``events_intraday_YYYYMMDD``) of the window, for exports stored one
-    folder per shard rather than as ``suffix=`` partitions.
+    """Shard folders ``<root>/events_<shard>`` of the window, for exports
+    stored one folder per shard rather than as ``suffix=`` partitions.
 
-    One listing of the root (one entry per shard) replaces a lookup per
-    day, which matters on object stores and for long backfills; only the
-    window's folders are then read, which is the pruning.
+    Any shard name counts, as in the partitioned layout: its first digit
+    run is compared. One listing of the root replaces a lookup per day.
     """
-    lo, hi = _as_date(start).strftime("%Y%m%d"), _as_date(end).strftime("%Y%m%d")
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    pat = re.compile(re.escape(prefix) + (r"(intraday_)?" if include_intraday else "") + r"(\d{8})$")
-    out = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        m = pat.match(name)
-        if st.isDirectory() and m and lo <= m.group(m.lastindex) <= hi:
-            out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def read_shard_folders(spark: SparkSession, root: str, start, end, include_intraday: bool = True,
-                       narrow: bool = True, prefix: str = "events_") -> DataFrame:
-    """Scan of a folder-per-shard export (S1, S2 without ``key=value``).
+    return sorted(path for folder, path in subfolders(spark, root).items() if folder.startswith(prefix)
+                  and shard_matches(folder[len(prefix):], start, end, include_intraday))
 
-    The shard name becomes ``suffix``, taken from the file path through
-    the ``_metadata`` column.
-    """
-    paths = shard_paths(spark, root, start, end, include_intraday, prefix)
-    schema = event_schema(narrow, with_suffix=False)
+
+def _read_folders(spark: SparkSession, paths: list[str], narrow: bool, prefix: str, extra=()) -> DataFrame:
+    schema = event_schema(narrow, with_suffix=False, extra=extra)
     if not paths:
-        return spark.createDataFrame([], event_schema(narrow))
+        return spark.createDataFrame([], event_schema(narrow, extra=extra))
     df = spark.read.schema(schema).parquet(*paths)
     suffix = F.regexp_extract(F.col("_metadata.file_path"), f"/{prefix}([^/]+)/[^/]*$", 1)
     return df.select(*schema.fieldNames(), suffix.alias("suffix"))
 
 
+def read_shard_folders(spark: SparkSession, root: str, start=None, end=None, include_intraday: bool = True,
+                       narrow: bool = True, prefix: str = "events_", extra=(),
+                       today: dt.date | None = None) -> DataFrame:
+    """Scan of a folder-per-shard export (S1, S2 without ``key=value``).
+
+    The shard name becomes ``suffix``, taken from the file path through
+    the ``_metadata`` column.
+    """
+    start, end = window_bounds(start, end, today)
+    return _read_folders(spark, shard_paths(spark, root, start, end, include_intraday, prefix), narrow, prefix, extra)
+
+
+def read_single_shard(spark: SparkSession, root: str, shard: str, layout: str = "partitioned",
+                      narrow: bool = True, prefix: str = "events_", extra=()) -> DataFrame:
+    """One shard by its name, in either layout (S4); an absent one has no rows."""
+    folder = f"suffix={shard}" if layout == "partitioned" else f"{prefix}{shard}"
+    paths = [p for n, p in subfolders(spark, root).items() if unquote(n) == folder]
+    if layout == "partitioned":
+        return _read_paths(spark, root, paths, event_schema(narrow, extra=extra))
+    return _read_folders(spark, paths, narrow, prefix, extra)
+
+
 def events_in_window(events: DataFrame, start=None, end=None,
                      opts: SessionOptions | None = None) -> DataFrame:
     """Shard range filter (S3) and the NULL-user filter (F1)."""
     opts = opts or SessionOptions()
-    if start is None or end is None:
-        start, end = default_window()
+    start, end = window_bounds(start, end, opts.today)
     return (events
             .where(shard_in_window(start, end, include_intraday=opts.include_intraday))
             .where(F.col("user_pseudo_id").isNotNull()))
@@ -160,9 +204,25 @@ def write_export(events: DataFrame, root: str, mode: str = "overwrite") -> None:
      .write.mode(mode).partitionBy("suffix").parquet(root))
 
 
+def write_shard_folders(events: DataFrame, root: str, prefix: str = "events_") -> None:
+    """Lay events out as one folder per shard (``<root>/events_<shard>``)."""
+    for shard in sorted(r.suffix for r in events.select("suffix").distinct().collect()):  # one per calendar day
+        events.where(F.col("suffix") == shard).drop("suffix").write.parquet(f"{root}/{prefix}{shard}")
+
+
+def date_range(column: str, start=None, end=None) -> Column | None:
+    """``column`` within the bounds that are given; None without any."""
+    cond = None
+    if start is not None:
+        cond = F.col(column) >= F.lit(_as_date(start))
+    if end is not None:
+        upper = F.col(column) <= F.lit(_as_date(end))
+        cond = upper if cond is None else cond & upper
+    return cond
+
+
 def read_sessions(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    """An existing session table, pruned to a date range."""
+    """An existing session table, pruned to a date range (S5); either bound may be left open."""
     df = spark.read.parquet(path)
-    if start is not None and end is not None:
-        df = df.where(F.col("session_date").between(F.lit(_as_date(start)), F.lit(_as_date(end))))
-    return df
+    cond = date_range("session_date", start, end)
+    return df if cond is None else df.where(cond)

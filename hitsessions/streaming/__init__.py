@@ -1,3 +1,3 @@
-from hitsessions.streaming.scheduled import batch_window, batch_windows, start_incremental, upsert_window
+from hitsessions.streaming.scheduled import batch_windows, start_incremental, upsert_window
 
-__all__ = ["batch_window", "batch_windows", "start_incremental", "upsert_window"]
+__all__ = ["batch_windows", "start_incremental", "upsert_window"]

@@ -21,35 +21,28 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitsessions.functions.clock import parse_yyyymmdd
 from hitsessions.operators import upsert as U
 from hitsessions.operators.first_touch import first_touch_sessions
 from hitsessions.operators.session_start import session_start_sessions
 from hitsessions.options import SessionOptions
 from hitsessions.session import new_work_path
-from hitsessions.sources.export import event_schema, read_export
+from hitsessions.sources.export import event_schema, read_window
 
 MODELS = {"model1": (first_touch_sessions, lambda o: U.MODEL1_SPEC),
           "model2": (session_start_sessions, U.model2_spec)}
 
 
-def batch_window(batch: DataFrame, lookback_days: int = 1):
-    """First and last event date of a micro-batch, widened back by
-    ``lookback_days`` so sessions that began the day before are rebuilt."""
-    r = batch.select(F.min(parse_yyyymmdd("event_date")).alias("lo"),
-                     F.max(parse_yyyymmdd("event_date")).alias("hi")).first()
-    if r is None or r.lo is None:
-        return None
-    return r.lo - dt.timedelta(days=lookback_days), r.hi
-
-
 def batch_windows(batch: DataFrame, lookback_days: int = 1) -> list[tuple[dt.date, dt.date]]:
-    """Windows to rebuild for a micro-batch: its distinct event dates (at
+    """Windows to rebuild for a micro-batch: the days of its shards (at
     most one row per calendar day reaches the driver) grouped into runs
     of consecutive days, each widened back by ``lookback_days``. A late
-    hit from weeks ago then rebuilds its own days, not every day since."""
-    days = sorted(r.d for r in batch.select(parse_yyyymmdd("event_date").alias("d"))
-                  .where(F.col("d").isNotNull()).distinct().collect())
+    shard from weeks ago then rebuilds its own days, not every day since.
+
+    The day is the shard's, as in the window filter of the reload; an
+    event's own date may differ. It comes from the path, so no data
+    column is read."""
+    day = F.try_to_date(F.regexp_extract("suffix", "[0-9]+", 0), "yyyyMMdd")
+    days = sorted(r.d for r in batch.select(day.alias("d")).where(F.col("d").isNotNull()).distinct().collect())
     out: list[list[dt.date]] = []
     for d in days:
         lo = d - dt.timedelta(days=lookback_days)
@@ -65,8 +58,9 @@ def upsert_window(spark: SparkSession, export_root: str, table_path: str, start,
     """One scheduled run: sessions of [start, end] from the export, upserted."""
     opts = opts or SessionOptions()
     build, spec = MODELS[model]
-    events = read_export(spark, export_root)
-    sessions = build(events, start, end, opts, run_ts=run_ts)
+    scan_from = U.scan_start(start, opts)
+    events = read_window(spark, export_root, scan_from, end, opts.include_intraday)
+    sessions = build(events, scan_from, end, opts, run_ts=run_ts)
     return U.upsert_sessions(spark, table_path, sessions, start, end, spec(opts), run_ts, opts)
 
 
@@ -82,7 +76,7 @@ def start_incremental(spark: SparkSession, export_root: str, table_path: str, mo
     checkpoint = checkpoint or new_work_path(spark, "stream-checkpoint")
     stream = (spark.readStream.schema(event_schema(narrow=True))
               .option("basePath", export_root).parquet(export_root)
-              .select("event_date"))
+              .select("suffix"))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         for window in batch_windows(batch, lookback_days):
