@@ -9,6 +9,7 @@ run timestamps are fixed literals so upsert results are deterministic.
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from hitsessions.operators.session_start import (first_session_start, session_st
                                                  session_start_sessions)
 from hitsessions.options import AS_WRITTEN, INTENDED, SessionOptions
 from hitsessions.plans import oracle as O
-from hitsessions.session import apply_job_conf, new_work_path
+from hitsessions.session import new_work_path
 from hitsessions.sources import export as X
 from hitsessions.sources.lens import lens_events, lens_export, lens_flat
 
@@ -111,6 +112,41 @@ def q_attribution_concat_split(spark, sf_dir):
                       for c, k in zip(parts, A.M1_KEYS)])
 
 
+def q_events_in_window_folders(spark, sf_dir):
+    """A folder-per-shard export with daily, intraday and otherwise named shards."""
+    root = new_work_path(spark, "folders")
+    named = F.when(F.col("suffix") == O.INTRADAY_SHARD, F.concat(F.lit("intraday_"), "suffix")) \
+        .when(F.col("suffix") == O.FRESH_SHARD, F.concat(F.lit("fresh_"), "suffix")).otherwise(F.col("suffix"))
+    X.write_shard_folders(lens_events(spark, sf_dir).withColumn("suffix", named), root)
+    ev = X.read_shard_folders(spark, root, *WINDOW, extra=(T.StructField("event_id", T.LongType()),))
+    return X.events_in_window(ev, *WINDOW).select("event_id", "suffix", "event_date", "user_pseudo_id")
+
+
+def q_single_shard(spark, sf_dir):
+    """One shard's ids, read from both layouts."""
+    root, folders = new_work_path(spark, "export"), new_work_path(spark, "folders")
+    X.write_export(lens_events(spark, sf_dir), root)
+    X.write_shard_folders(lens_events(spark, sf_dir), folders)
+    out = None
+    for layout, at in (("partitioned", root), ("folders", folders)):
+        one = X.read_single_shard(spark, at, O.SINGLE_SHARD, layout, extra=(T.StructField("event_id", T.LongType()),))
+        one = one.select(F.lit(layout).alias("layout"), "event_id", P.unique_session_id().alias("unique_session_id"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_default_window_sessions(spark, sf_dir):
+    """Model 1 for the default window of a fixed day, and with one bound given."""
+    ev, o = _events(spark, sf_dir), SessionOptions(today=dt.date.fromisoformat(O.TODAY))
+    runs = {"neither": {}, "start": {"start": O.ONE_START}, "end": {"end": O.ONE_END}}
+    out = None
+    for given, bounds in runs.items():
+        one = comparable(first_touch_sessions(ev, opts=o, **bounds).drop("export_timestamp", "last_update_timestamp"))
+        one = one.select(F.lit(given).alias("given"), *one.columns)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ------------------------------------------------------------- Model 1
 
 def _m1(spark, sf_dir, mode, form="aggregate", window=FULL):
@@ -129,8 +165,24 @@ def q_model1_first_value_window(spark, sf_dir):
                      F.col("session_attr").alias("session_traffic_concat"), "is_first_event")
 
 
+def q_model1_first_value_window_intended(spark, sf_dir):
+    df = first_value_window(_events(spark, sf_dir), *FULL, _opts(INTENDED))
+    return df.select("unique_session_id", "event_bundle_sequence_id",
+                     *[F.col(f"session_attr.{k}").alias(k) for k in A.M1_KEYS], "is_first_event")
+
+
 # ------------------------------------------------------------- Model 2
 
+def q_model2_custom_rules(spark, sf_dir):
+    """A user's source rule before the built-in ones and a medium rule after them."""
+    rules = A.ChannelRules(
+        source=(A.Rule(lambda c: c["page_location"].contains("utm_source=q"), "partner"), *A.SOURCE_RULES),
+        medium=(*A.MEDIUM_RULES, A.Rule(lambda c: c["source"] == "newsletter", "mail")))
+    df = session_start_sessions(_events(spark, sf_dir), *FULL, _opts(INTENDED), rules=rules)
+    return comparable(df.select("session_date", "unique_session_id", "session_source", "session_medium",
+                                "session_campaign"))
+
+
 def _m2(spark, sf_dir, mode, form="aggregate"):
     df = session_start_sessions(_events(spark, sf_dir), *FULL, _opts(mode, form=form))
     return comparable(df.drop("export_timestamp", "last_update_timestamp"))
@@ -177,9 +229,8 @@ def q_create_partitioned_sessions(spark, sf_dir):
                                     if c not in ("export_timestamp", "last_update_timestamp")]))
 
 
-def _merge(spark, sf_dir, model: int, mode: str, times: int = 1):
-    apply_job_conf(spark)
-    o = _opts(mode)
+def _merge(spark, sf_dir, model: int, mode: str, times: int = 1, **options):
+    o = _opts(mode, **options)
     ev = _events(spark, sf_dir)
     build = first_touch_sessions if model == 1 else session_start_sessions
     spec = U.MODEL1_SPEC if model == 1 else U.model2_spec(o)
@@ -192,6 +243,63 @@ def _merge(spark, sf_dir, model: int, mode: str, times: int = 1):
     return comparable(spark.read.parquet(path).select(*spec.columns))
 
 
+def _merged_with(spark, sf_dir, change, back, o=SessionOptions(), load=(O.LOAD_START, O.LOAD_END),
+                 window=(O.MERGE_START, O.MERGE_END)):
+    """Model 1 upsert into a first load that ``change`` alters; ``back`` selects the result."""
+    ev = _events(spark, sf_dir)
+    path = new_work_path(spark, "sessions-changed")
+    U.create_sessions(change(first_touch_sessions(ev, *load, SessionOptions(), run_ts=O.RUN_TS_1)), path)
+    src = first_touch_sessions(ev, U.scan_start(window[0], o), window[1], o, run_ts=O.RUN_TS_2)
+    U.upsert_sessions(spark, path, src, *window, U.MODEL1_SPEC, O.RUN_TS_2, o)
+    return comparable(back(spark.read.parquet(path)))
+
+
+def q_merge_keeps_unknown_columns(spark, sf_dir):
+    return _merged_with(spark, sf_dir, lambda t: t.withColumn("note", F.concat(F.lit("kept "), "unique_session_id")),
+                        lambda t: t.select(*U.MODEL1_SPEC.columns, "note"))
+
+
+def q_merge_other_id_column(spark, sf_dir):
+    return _merged_with(spark, sf_dir, lambda t: t.withColumnRenamed("unique_session_id", "session_key"),
+                        lambda t: t.select(*["session_key" if c == "unique_session_id" else c
+                                             for c in U.MODEL1_SPEC.columns]),
+                        SessionOptions(id_column="session_key"))
+
+
+def q_merge_null_dates(spark, sf_dir):
+    """Rows without a date on both sides: the target's stay, the source's are inserted beside them."""
+    undated = F.when(F.col("unique_session_id").endswith("7"), F.lit(None).cast("date")).otherwise(F.col("session_date"))
+    ev, o = _events(spark, sf_dir), SessionOptions()
+    path = new_work_path(spark, "sessions-undated")
+    U.create_sessions(first_touch_sessions(ev, O.LOAD_START, O.LOAD_END, o, run_ts=O.RUN_TS_1)
+                      .withColumn("session_date", undated), path)
+    src = first_touch_sessions(ev, O.MERGE_START, O.MERGE_END, o, run_ts=O.RUN_TS_2).withColumn("session_date", undated)
+    U.upsert_sessions(spark, path, src, O.MERGE_START, O.MERGE_END, U.MODEL1_SPEC, O.RUN_TS_2, o)
+    return comparable(spark.read.parquet(path).select(*U.MODEL1_SPEC.columns))
+
+
+def q_merge_lookback(spark, sf_dir):
+    """Sessions that cross midnight into the window keep their one row and its first touch."""
+    return _merged_with(spark, sf_dir, lambda t: t, lambda t: t.select(*U.MODEL1_SPEC.columns),
+                        SessionOptions(target_lookback_days=2))
+
+
+def q_merge_model2_extra_urls(spark, sf_dir):
+    return _merge(spark, sf_dir, 2, INTENDED, extra_click_ids=True)
+
+
+def q_stream_late_dates(spark, sf_dir):
+    """Shards whose events carry a date three days earlier: the days to rebuild are the shards'."""
+    from hitsessions.streaming import start_incremental
+    late = F.date_format(F.date_sub(F.to_date("event_date", "yyyyMMdd"), 3), "yyyyMMdd")
+    ev = lens_events(spark, sf_dir).withColumn("event_date", late)
+    root, table = new_work_path(spark, "stream-export"), new_work_path(spark, "stream-late")
+    X.write_export(ev, root)
+    start_incremental(spark, root, table, "model1", _opts(INTENDED),
+                      checkpoint=new_work_path(spark, "stream-checkpoint"), run_ts=O.RUN_TS_2).awaitTermination()
+    return comparable(spark.read.parquet(table).select(*U.MODEL1_SPEC.columns))
+
+
 def q_stream_incremental_model1(spark, sf_dir, model: str = "model1"):
     """The export arrives in two parts; the stream trigger (availableNow)
     runs after each and upserts the days that arrived."""
@@ -228,6 +336,11 @@ def _compare(spark, sf_dir, mode):
     return CMP.compare_models(fe, ev, *FULL, o)
 
 
+def q_compare_models_by_channel(spark, sf_dir):
+    ev, o = _events(spark, sf_dir), _opts(INTENDED)
+    return CMP.compare_models(first_touch_sessions(ev, *FULL, o), ev, *FULL, o, by_channel=True)
+
+
 def q_session_duplicates_report(spark, sf_dir):
     return CMP.session_duplicates(_events(spark, sf_dir), *FULL, _opts(INTENDED))
 
@@ -265,6 +378,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_models": lambda s, d: _compare(s, d, INTENDED),
     "compare_models_as_written": lambda s, d: _compare(s, d, AS_WRITTEN),
     "session_duplicates_report": q_session_duplicates_report,
+    "events_in_window_folders": q_events_in_window_folders,
+    "single_shard": q_single_shard,
+    "default_window_sessions": q_default_window_sessions,
+    "model1_first_value_window_intended": q_model1_first_value_window_intended,
+    "model2_custom_rules": q_model2_custom_rules,
+    "merge_keeps_unknown_columns": q_merge_keeps_unknown_columns,
+    "merge_other_id_column": q_merge_other_id_column,
+    "merge_null_dates": q_merge_null_dates,
+    "merge_lookback": q_merge_lookback,
+    "merge_model2_extra_urls": q_merge_model2_extra_urls,
+    "stream_late_dates": q_stream_late_dates,
+    "compare_models_by_channel": q_compare_models_by_channel,
 }
 
 ORACLES: dict[str, str] = {
@@ -300,4 +425,16 @@ ORACLES: dict[str, str] = {
     "compare_models": O.compare_models(False),
     "compare_models_as_written": O.compare_models(True),
     "session_duplicates_report": O.session_duplicates_report(),
+    "events_in_window_folders": O.events_in_window_folders(),
+    "single_shard": O.single_shard(),
+    "default_window_sessions": O.default_window_sessions(),
+    "model1_first_value_window_intended": O.model1_first_value_window_intended(),
+    "model2_custom_rules": O.model2_custom_rules(),
+    "merge_keeps_unknown_columns": O.merge_keeps_unknown_columns(),
+    "merge_other_id_column": O.merge_other_id_column(),
+    "merge_null_dates": O.merge_null_dates(),
+    "merge_lookback": O.merge_lookback(),
+    "merge_model2_extra_urls": O.merge_model2_extra_urls(),
+    "stream_late_dates": O.stream_late_dates(),
+    "compare_models_by_channel": O.compare_models_by_channel(),
 }
