@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on. ANSI keeps integer overflow and bad
@@ -39,6 +39,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     partitions are only set here when given, and without a submitted
     master the session is a local one (with few partitions).
     """
+    SparkContext._ensure_initialized()  # what was submitted is known to the JVM only
     submitted = SparkConf()
     b = (SparkSession.builder.appName(app)
          .config("spark.ui.enabled", "false")

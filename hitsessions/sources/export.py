@@ -98,11 +98,13 @@ def read_export(spark: SparkSession, root: str, narrow: bool = True, extra=()) -
             .option("basePath", root).parquet(root))
 
 
-def subfolders(spark: SparkSession, root: str) -> dict[str, str]:
+def subfolders(spark: SparkSession, root: str, required: bool = False) -> dict[str, str]:
     """Name and path of the folders right under ``root`` (one listing)."""
     base = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(base):
+        if required:
+            raise FileNotFoundError(root)
         return {}
     return {st.getPath().getName(): st.getPath().toString() for st in fs.listStatus(base) if st.isDirectory()}
 
@@ -124,7 +126,7 @@ def read_window(spark: SparkSession, root: str, start=None, end=None, include_in
     of the window go into the scan's file index.
     """
     start, end = window_bounds(start, end, today)
-    paths = [path for folder, path in subfolders(spark, root).items() if folder.startswith("suffix=")
+    paths = [path for folder, path in subfolders(spark, root, required=True).items() if folder.startswith("suffix=")
              and shard_matches(unquote(folder[len("suffix="):]), start, end, include_intraday)]
     return _read_paths(spark, root, sorted(paths), event_schema(narrow, extra=extra))
 
@@ -143,7 +145,7 @@ def shard_paths(spark: SparkSession, root: str, start, end, include_intraday: bo
     Any shard name counts, as in the partitioned layout: its first digit
     run is compared. One listing of the root replaces a lookup per day.
     """
-    return sorted(path for folder, path in subfolders(spark, root).items() if folder.startswith(prefix)
+    return sorted(path for folder, path in subfolders(spark, root, required=True).items() if folder.startswith(prefix)
                   and shard_matches(folder[len(prefix):], start, end, include_intraday))
 
 
@@ -172,7 +174,7 @@ def read_single_shard(spark: SparkSession, root: str, shard: str, layout: str =
                       narrow: bool = True, prefix: str = "events_", extra=()) -> DataFrame:
     """One shard by its name, in either layout (S4); an absent one has no rows."""
     folder = f"suffix={shard}" if layout == "partitioned" else f"{prefix}{shard}"
-    paths = [p for n, p in subfolders(spark, root).items() if unquote(n) == folder]
+    paths = [p for n, p in subfolders(spark, root, required=True).items() if unquote(n) == folder]
     if layout == "partitioned":
         return _read_paths(spark, root, paths, event_schema(narrow, extra=extra))
     return _read_folders(spark, paths, narrow, prefix, extra)

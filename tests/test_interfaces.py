@@ -1,6 +1,9 @@
 """CLI, SQL views and the catalog MERGE path."""
 
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +78,33 @@ def test_cli_folder_layout(spark, capsys):
 
 def test_cli_argument_checks():
     with pytest.raises(SystemExit):
-        cli.main(["compare", "--export", "/nowhere", "--table", "/t"])          # no --out
-    with pytest.raises(SystemExit):
-        cli.main(["model1", "--export", "/nowhere", "--table", "/t", "--start", "2024-01-01"])
+        cli.main(["compare", "--export", "export", "--table", "sessions"])     # no --out
+
+
+def test_cli_needs_an_existing_export(spark):
+    missing, table = new_work_path(spark, "cli-missing"), new_work_path(spark, "cli-none")
+    for layout in ("partitioned", "folders"):
+        with pytest.raises(FileNotFoundError):
+            cli.main(["model1", "--export", missing, "--table", table, "--start", "2024-01-01", "--layout", layout])
+    assert not U.table_exists(spark, table)
+
+
+def test_submitted_settings_survive():
+    """A submitted master and shuffle width stay; nothing is set on the session beyond the jobs' own settings."""
+    code = ("from hitsessions.session import build_session; s = build_session(); "
+            "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'), "
+            "s.conf.get('spark.sql.sources.partitionOverwriteMode'))")
+    env = {**os.environ, "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+           "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=4000 "
+                                  "--conf spark.ui.enabled=false pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180).stdout
+    assert out.split("GOT ")[1].split()[:3] == ["local[2]", "4000", "STATIC"]
+
+
+def test_cli_session_ids_reads_the_shard_in_folders(spark):
+    root, out = new_work_path(spark, "cli-folders"), new_work_path(spark, "cli-ids")
+    ev = lens_events(spark, SF_SMALL)
+    X.write_shard_folders(ev.where(F.col("suffix").between("20240120", "20240122")), root)
+    assert cli.main(["session-ids", "--shard", "20240121", "--out", out, "--export", root, "--layout", "folders",
+                     "--master", "local[*]"]) == 0
+    assert spark.read.parquet(out).count() == ev.where(F.col("suffix") == "20240121").count()

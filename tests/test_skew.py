@@ -87,3 +87,24 @@ def test_hot_session_shuffle_is_bounded(spark):
     n_tasks = ev.rdd.getNumPartitions()
     assert 0 < skew <= base + n_tasks
     assert n_hot > 3 * n_tasks      # the hot session alone would dominate unreduced
+
+
+@pytest.mark.parametrize("mode", ["intended", "as_written"])
+def test_hot_session_join_is_split(spark, skewed, mode):
+    """W1 joins every event with its session's values; the hot session is a skewed key that gets split."""
+    from hitsessions.operators.first_touch import first_value_window
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        # Enough map tasks for the hot partition to be cut between them.
+        df = first_value_window(skewed.repartition(24, "event_id"), *W, SessionOptions(mode=mode))
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -98,3 +98,46 @@ def test_folder_per_shard_layout(spark):
     b = first_touch_sessions(X.read_export(spark, part), "2024-01-15", "2024-01-16").drop(
         "export_timestamp", "last_update_timestamp")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_any_shard_name_in_both_layouts(spark):
+    """The first digit run of any shard name is compared, in the folder layout as well."""
+    ev = _shards(spark).withColumn("suffix", F.regexp_replace("suffix", "intraday", "fresh"))
+    root, folders = new_work_path(spark, "test-export"), new_work_path(spark, "test-folders")
+    X.write_export(ev, root)
+    X.write_shard_folders(ev, folders)
+    want = ["20240115", "fresh_20240115", "fresh_20240116"]
+    assert sorted(r.suffix for r in X.read_window(spark, root, "2024-01-15", "2024-01-16").collect()) == want
+    assert sorted(r.suffix for r in X.read_shard_folders(spark, folders, "2024-01-15", "2024-01-16").collect()) == want
+    for layout, at in (("partitioned", root), ("folders", folders)):
+        assert X.read_single_shard(spark, at, "fresh_20240116", layout).count() == 1
+        assert X.read_single_shard(spark, at, "20230101", layout).count() == 0
+
+
+def test_window_scan_lists_only_its_shards(spark):
+    root = new_work_path(spark, "test-export")
+    X.write_export(_shards(spark), root)
+    files = X.read_window(spark, root, "2024-01-15", "2024-01-15").inputFiles()
+    assert {f.split("suffix=")[1].split("/")[0] for f in files} == {"20240115", "intraday_20240115"}
+    assert X.read_window(spark, root, "2020-01-01", "2020-01-02").count() == 0
+
+
+def test_bounds_take_their_defaults_one_by_one(spark):
+    today = dt.date(2024, 1, 17)
+    assert X.window_bounds(None, None, today) == (dt.date(2024, 1, 15), dt.date(2024, 1, 16))
+    assert X.window_bounds("2024-01-01", None, today) == (dt.date(2024, 1, 1), dt.date(2024, 1, 16))
+    assert X.window_bounds(None, "2024-01-15", today) == (dt.date(2024, 1, 15), dt.date(2024, 1, 15))
+    ev, o = _shards(spark), SessionOptions(today=today)
+    assert X.events_in_window(ev, "2024-01-14", opts=o).count() == 4
+    assert X.events_in_window(ev, end="2024-01-15", opts=o).count() == 2
+    assert X.events_in_window(ev, opts=o).count() == 3
+
+
+def test_read_sessions_with_one_bound(spark):
+    path = new_work_path(spark, "test-sessions")
+    spark.createDataFrame([(dt.date(2024, 1, d), f"s{d}") for d in (1, 2, 3)],
+                          "session_date date, unique_session_id string").write.partitionBy("session_date").parquet(path)
+    ids = lambda **b: sorted(r.unique_session_id for r in X.read_sessions(spark, path, **b).collect())
+    assert ids(start="2024-01-02") == ["s2", "s3"]
+    assert ids(end="2024-01-02") == ["s1", "s2"]
+    assert ids() == ["s1", "s2", "s3"]

@@ -51,8 +51,8 @@ def test_batch_windows_split_runs(spark):
     from hitsessions.streaming import batch_windows
     import datetime as dt
     b = spark.createDataFrame([("20240110",), ("20240111",), ("20240111",), ("20240120",), ("20240201",),
-                               ("20240202",), (None,)], "event_date string")
+                               ("intraday_20240202",), ("other",), (None,)], "suffix string")
     assert batch_windows(b, 1) == [(dt.date(2024, 1, 9), dt.date(2024, 1, 11)),
                                    (dt.date(2024, 1, 19), dt.date(2024, 1, 20)),
                                    (dt.date(2024, 1, 31), dt.date(2024, 2, 2))]
-    assert batch_windows(b.where("event_date IS NULL"), 1) == []
+    assert batch_windows(b.where("suffix IS NULL"), 1) == []

@@ -10,8 +10,10 @@ from hitsessions.operators.first_touch import first_touch_sessions
 from hitsessions.operators.session_start import session_start_sessions
 from hitsessions.options import SessionOptions
 from hitsessions.session import new_work_path
+from hitsessions.sources import export as X
 from hitsessions.sources.lens import lens_export
-from tests.conftest import SF_SMALL
+from hitsessions.streaming import upsert_window
+from tests.conftest import SF_SMALL, make_events, p
 
 LOAD = ("2024-01-01", "2024-01-16")
 WIN = ("2024-01-15", "2024-01-31")
@@ -95,19 +97,81 @@ def test_update_touches_only_update_columns(spark):
     assert len(got) == 5
 
 
-def test_lookback_widens_match(spark):
-    t0 = dt.datetime(2024, 1, 1, 6)
-    schema = ("session_date date, unique_session_id string, event_timestamp string, actual_timestamp string, "
-              "session_source string, session_medium string, session_campaign string, session_content string, "
-              "session_term string, export_timestamp timestamp, last_update_timestamp timestamp")
-    tgt = spark.createDataFrame([(dt.date(2024, 1, 9), "c", "e", "a", "s", "m", "c", "n", "t", t0, t0)], schema)
-    src = spark.createDataFrame([(dt.date(2024, 1, 10), "c", "e", "a", "S", "m", "c", "n", "t", t0, t0)], schema)
-    path = new_work_path(spark, "test-upsert")
-    U.create_sessions(tgt, path)
-    U.upsert_sessions(spark, path, src, "2024-01-10", "2024-01-11", U.MODEL1_SPEC, t0,
-                      SessionOptions(target_lookback_days=1))
-    r = spark.read.parquet(path).collect()
-    assert len(r) == 1 and r[0].session_source == "S"
+def _crossing(suffix, hour, source, sid):
+    """One event of user u on a day of January 2024, with a source."""
+    us = (dt.datetime(2024, 1, int(suffix[-2:]), hour) - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    return {"event_date": suffix, "event_timestamp": us, "event_bundle_sequence_id": us, "user_pseudo_id": "u",
+            "event_name": "page_view", "suffix": suffix, "event_params": [p("ga_session_id", i=sid), p("source", s=source)]}
+
+
+@pytest.mark.parametrize("days,rows", [(0, [(14, "newsletter"), (15, "google")]), (1, [(14, "newsletter")])])
+def test_session_across_midnight(spark, days, rows):
+    """A session that began the day before the window: one row and its first touch with a lookback, two without (Q15)."""
+    ev = make_events(spark, [_crossing("20240114", 23, "newsletter", 1), _crossing("20240115", 0, "google", 1)])
+    root, path = new_work_path(spark, "crossing-export"), new_work_path(spark, "crossing")
+    X.write_export(ev, root)
+    o = SessionOptions(target_lookback_days=days)
+    upsert_window(spark, root, path, "2024-01-14", "2024-01-14", run_ts="2024-01-15 06:00:00")
+    upsert_window(spark, root, path, "2024-01-15", "2024-01-16", opts=o, run_ts="2024-01-17 06:00:00")
+    got = sorted((r.session_date.day, r.session_source) for r in spark.read.parquet(path).collect())
+    assert got == rows
+
+
+def test_lookback_inserts_no_partial_session(spark):
+    """A session from before the scanned days is seen in part only; its row stays the one it had."""
+    ev = make_events(spark, [_crossing("20240113", 23, "newsletter", 1), _crossing("20240114", 1, "google", 1),
+                             _crossing("20240115", 1, "bing", 1), _crossing("20240115", 2, "new", 2)])
+    root, path = new_work_path(spark, "crossing-export"), new_work_path(spark, "crossing")
+    X.write_export(ev, root)
+    upsert_window(spark, root, path, "2024-01-13", "2024-01-14", run_ts="2024-01-15 06:00:00")
+    upsert_window(spark, root, path, "2024-01-15", "2024-01-16", opts=SessionOptions(target_lookback_days=1),
+                  run_ts="2024-01-17 06:00:00")
+    got = sorted((r.session_date.day, r.session_source) for r in spark.read.parquet(path).collect())
+    assert got == [(13, "newsletter"), (15, "new")]
+
+
+def test_target_schema_is_checked(spark, ev):
+    o = SessionOptions()
+    path = new_work_path(spark, "wrong-type")
+    first = first_touch_sessions(ev, *LOAD, o, run_ts="2024-01-17 06:00:00")
+    U.create_sessions(first.withColumn("session_term", F.lit(1)), path)
+    with pytest.raises(ValueError, match="session_term"):
+        U.upsert_sessions(spark, path, first, *LOAD, U.MODEL1_SPEC, None, o)
+    with pytest.raises(ValueError, match="no id column"):
+        U.upsert_sessions(spark, path, first, *LOAD, U.MODEL1_SPEC, None, SessionOptions(id_column="other"))
+
+
+def test_interrupted_commit_is_resumed(spark, ev, monkeypatch):
+    """The commit fails after staging: the table is whole, and the staged copy finishes the run."""
+    o = SessionOptions()
+    path, other = (_load(spark, ev, o, first_touch_sessions, U.MODEL1_SPEC) for _ in range(2))
+    before = sorted(map(tuple, spark.read.parquet(path).collect()), key=repr)
+    src = first_touch_sessions(ev, *WIN, o, run_ts="2024-02-01 06:00:00")
+    staged = []
+
+    def fail(spark, path, staging):
+        staged.append(staging)
+        raise RuntimeError("interrupted")
+
+    with monkeypatch.context() as m:
+        m.setattr(U, "_commit_staged", fail)
+        with pytest.raises(RuntimeError):
+            U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o, stage_output=True)
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=repr) == before
+    U.resume_upsert(spark, path, staged[0])
+    U.upsert_sessions(spark, other, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o)
+    rows = [sorted(map(tuple, spark.read.parquet(x).select(*U.MODEL1_SPEC.columns).collect()), key=repr)
+            for x in (path, other)]
+    assert rows[0] == rows[1] != before
+    assert not U.table_exists(spark, staged[0])
+
+
+def test_upsert_reads_and_lists_only_what_it_may_rewrite(spark, ev):
+    o = SessionOptions()
+    path = _load(spark, ev, o, first_touch_sessions, U.MODEL1_SPEC)
+    src = first_touch_sessions(ev, *WIN, o, run_ts="2024-02-01 06:00:00")
+    target = U._read_target(spark, path, src.limit(0), *WIN, U.MODEL1_SPEC, o)
+    assert {f.split("session_date=")[1][:10] for f in target.inputFiles()} == {"2024-01-15", "2024-01-16"}
 
 
 def test_model2_insert_columns_by_mode(spark, ev):
