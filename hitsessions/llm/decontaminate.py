@@ -40,6 +40,8 @@ WORD = np.zeros(256, dtype=bool)
 WORD[0x30:0x3A] = WORD[0x61:0x7B] = WORD[0x80:] = True
 WINDOW = 10
 SHARD_WORDS = 200_000
+#: Longest single item, in words: it must fit one automaton.
+MAX_ITEM_WORDS = 2_000_000
 
 
 def word_ids(text, vocab: np.ndarray):
@@ -159,20 +161,24 @@ def build(items: list[tuple[str | None, str]], window: int) -> tuple[np.ndarray,
 
 
 def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int):
-    """Lists of (id, text), each of a bounded number of words."""
+    """Lists of (id, text), each of about ``shard_words`` words at most.
+
+    Items go to shards by a hash of their text. A word takes two bytes at
+    least, with the character after it; twice as many shards as that asks
+    for keep an uneven one within the bound.
+    """
     items = items.select(F.col(name(id_col)).cast("string").alias("id"),
                          F.coalesce(F.col(name(text_col)), F.lit("")).alias("text"))
-    # A word takes two bytes at least, with the character after it.
-    size = F.octet_length("text") / 2 + 1
-    total, most = items.agg(F.sum(size), F.max(size)).first()
+    total, most = items.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
     if not total:
         return
-    n = int(np.ceil(2 * total / shard_words)) if total > shard_words else 1
-    if most > shard_words:
-        raise ValueError(f"a test item of about {most:.0f} words is longer than a shard of {shard_words}")
+    if most // 2 > MAX_ITEM_WORDS:
+        raise ValueError(f"a test item of {most} bytes can't be broadcast")
+    n = -(-total // shard_words) if total // 2 > shard_words else 1
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k) if n > 1 else items
-        yield [(r.id, r.text) for r in part.collect()]
+        if rows := part.collect():
+            yield [(r.id, r.text) for r in rows]
 
 
 def _scan(docs: DataFrame, shard, text_col: str, window: int) -> DataFrame:

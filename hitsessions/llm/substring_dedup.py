@@ -197,29 +197,37 @@ def without(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, windo
     rows = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"),
                        *row_key(docs, id_col, text_col))
 
-    def pick(want: bool):
-        def run(batches):
-            for b in batches:
-                if len(b):
-                    yield b.filter(pa.array(sieve.hit(touched.value, np.array(b.column("d"))) == want))
-        return run
-
-    schema = T.row_schema(rows, "d long, t int")
-    # Clean rows go straight on; only the others meet their windows in a shuffle.
-    clean = rows.mapInArrow(pick(False), schema).select("row", F.lit(None).cast("array<int>").alias("starts"))
-    hits = rows.mapInArrow(pick(True), schema).join(found, ["d", "t"], "left").select("row", "starts")
-
-    def cut(batches):
+    # Clean rows are finished where they are read; only the others meet their windows in a shuffle.
+    def finish_clean(batches):
         for b in batches:
-            at = 0
-            for part, text in T.pieces([b], text_col):
-                starts = b.column("starts").slice(at, len(part))
-                at += len(part)
-                yield pa.RecordBatch.from_arrays([part.column("row"), *cut_words(text, starts, window)],
-                                                 names=["row", "n_words", "n_removed", "kept"])
-
-    return clean.unionByName(hits).mapInArrow(
-        cut, T.row_schema(rows, "n_words long, n_removed long, kept string"))
+            yield from _cut(b.filter(_hits(b, touched.value, False)), text_col, window)
+
+    def pick_hits(batches):
+        for b in batches:
+            yield b.filter(_hits(b, touched.value, True))
+
+    def finish(batches):
+        for b in batches:
+            yield from _cut(b, text_col, window)
+
+    done = T.row_schema(rows, "n_words long, n_removed long, kept string")
+    clean = rows.mapInArrow(finish_clean, done)
+    hits = rows.mapInArrow(pick_hits, T.row_schema(rows, "d long, t int")).join(found, ["d", "t"], "left")
+    return clean.unionByName(hits.select("row", "starts").mapInArrow(finish, done))
+
+
+def _hits(batch, touched: np.ndarray, want: bool):
+    return pa.array(sieve.hit(touched, np.array(batch.column("d"), dtype=np.int64)) == want)
+
+
+def _cut(batch, text_col: str, window: int):
+    """Finished rows of a batch; without a column of starts nothing is removed."""
+    starts = batch.column("starts") if "starts" in batch.schema.names else pa.nulls(len(batch), pa.list_(pa.int32()))
+    at = 0
+    for part, text in T.pieces([batch], text_col):
+        cut = cut_words(text, starts.slice(at, len(part)), window)
+        at += len(part)
+        yield pa.RecordBatch.from_arrays([part.column("row"), *cut], names=["row", "n_words", "n_removed", "kept"])
 
 
 def cut_words(text, starts, window: int):

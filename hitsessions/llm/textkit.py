@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer document is one chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 #: White space of the word contracts: space and \t \n \v \f \r.
 SPACE = np.zeros(256, dtype=bool)
