@@ -10,9 +10,11 @@ each choice of cells is a signature, and similar sets share one. No
 similar pair is missed; pairs that share a signature are verified.
 
 A choice of cells that holds none of a set's shingles would be shared by
-unrelated sets. It is left out, and such a set takes the signatures of
-further partitions of the domain as well; two sets that only agree on
-empty cells both do, so they meet there.
+unrelated sets and is left out. Spare parts make up for it: with ``s``
+parts more than needed, similar sets agree in ``s + 1`` parts at least,
+so one of them is whole unless both sets have more than ``s`` parts with
+an empty choice. Such sets take the signatures of further partitions of
+the domain as well, where they meet.
 
 Defined cases
 -------------
@@ -48,7 +50,12 @@ from .substring_dedup import _parts, keyed
 SHINGLE, PERCENT = 4, 85
 #: Cells of a first-level part, and how many of them may differ.
 CELLS, MAY_DIFFER = 2, 1
-#: Partitions of the domain tried for sets with empty choices.
+#: Spare parts: this many, and one more for every so many differences.
+SPARE, SPARE_PER = 1, 50
+#: Bits of the parity sketch that rules pairs out before their sets are compared.
+PARITY = 1024
+SKETCH = [f"p{i}" for i in range(PARITY // 64)]
+#: Partitions of the domain tried for sets with more empty choices than spare parts.
 DEPTH = 6
 _U = np.uint64
 
@@ -105,9 +112,9 @@ class Sets:
         return T.mix(acc[self.off[1:]] - acc[self.off[:-1]] + self.size.astype(_U), 3)
 
     def parity(self) -> list[np.ndarray]:
-        """256 bits per set, the parity of shingles at each: sets differ in at least as many shingles as in bits."""
-        bits = np.bincount(self.doc * 256 + (self.items & _U(255)).astype(np.int64),
-                           minlength=self.n * 256).reshape(self.n, 256) & 1
+        """``PARITY`` bits per set, the parity of shingles at each: sets differ in at least as many shingles as in bits."""
+        bits = np.bincount(self.doc * PARITY + (self.items & _U(PARITY - 1)).astype(np.int64),
+                           minlength=self.n * PARITY).reshape(self.n, PARITY) & 1
         return list(np.packbits(bits.astype(np.uint8), axis=1).view(np.int64).T)
 
     def set_of(self, r: int) -> bytes:
@@ -131,9 +138,11 @@ class Sets:
         return np.concatenate(out_row), np.concatenate(out_sig)
 
     def _enumerate(self, rows, instance, differ, depth):
-        """Signatures of one partition of the domain; and the rows with an empty choice of cells."""
+        """Signatures of one partition of the domain; and the rows with more empty choices than spare parts."""
         k = differ[instance[rows]]
-        parts = np.where(k > 0, -(-(k + 1) // (MAY_DIFFER + 1)), 1)
+        # At most k // (MAY_DIFFER + 1) parts differ too much.
+        spare = np.where(k > 0, SPARE + k // SPARE_PER, 0)
+        parts = np.where(k > 0, k // (MAY_DIFFER + 1) + 1 + spare, 1)
         begin = np.concatenate([[0], np.cumsum(parts)])
         place = np.full(self.n, -1)
         place[rows] = np.arange(len(rows))
@@ -149,17 +158,18 @@ class Sets:
         owner = np.repeat(np.arange(len(rows)), parts)
         part = np.arange(len(owner)) - begin[owner]
         tag = T.mix((instance[rows][owner] * DEPTH + depth).astype(_U)) + part.astype(_U) * _U(64)
-        out_row, out_sig, lacking = [], [], np.zeros(len(rows), dtype=bool)
+        out_row, out_sig, lacking = [], [], np.zeros(len(owner), dtype=bool)
         exact = k[owner] == 0
         for choices, mine in ((list(combinations(range(CELLS), CELLS - MAY_DIFFER)), ~exact),
                               ([tuple(range(CELLS))], exact)):
             for i, cells in enumerate(choices):
                 full = counts[:, cells].sum(1) > 0
-                lacking[owner[mine & ~full]] = True
+                lacking |= mine & ~full
                 take = mine & (full | (depth == DEPTH - 1))
                 out_row.append(rows[owner[take]])
                 out_sig.append(T.mix(sums[take][:, cells].sum(1, dtype=_U) + T.mix(tag[take] + _U(i))))
-        return np.concatenate(out_row), np.concatenate(out_sig), rows[lacking]
+        short = np.bincount(owner[lacking], minlength=len(rows)) > spare
+        return np.concatenate(out_row), np.concatenate(out_sig), rows[short]
 
 
 def _classes(base: DataFrame, n: int) -> DataFrame:
@@ -170,9 +180,9 @@ def _classes(base: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("d"), part.column("t"), pa.array(s.size.astype(np.int64)), pa.array(T.signed(s.c1)),
                  pa.array(T.signed(s.c2)), *map(pa.array, s.parity())],
-                names=["d", "t", "n", "c1", "c2", "p0", "p1", "p2", "p3"])
+                names=["d", "t", "n", "c1", "c2", *SKETCH])
 
-    return base.mapInArrow(run, "d long, t int, n long, c1 long, c2 long, p0 long, p1 long, p2 long, p3 long")
+    return base.mapInArrow(run, "d long, t int, n long, c1 long, c2 long, " + ", ".join(f"{p} long" for p in SKETCH))
 
 
 def _signatures(base: DataFrame, n: int, percent: int, only=None) -> DataFrame:
@@ -206,6 +216,21 @@ def _sets(base: DataFrame, n: int, wanted) -> DataFrame:
     return base.select("text").mapInArrow(run, "c long, items binary").groupBy("c").agg(F.first("items").alias("items"))
 
 
+def _with_key_in(df: DataFrame, key: str, wanted) -> DataFrame:
+    """Rows whose key a sieve lets through."""
+    def run(batches):
+        for b in batches:
+            if len(b):
+                yield b.filter(pa.array(sieve.hit(wanted.value, np.array(b.column(key), dtype=np.int64))))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _ends(pairs: DataFrame, bits: int):
+    """Sieve of the classes of some pairs."""
+    return sieve.build(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), bits)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by their shingles."""
     both = (pairs.join(sets.withColumnRenamed("c", "a").withColumnRenamed("items", "x"), "a")
@@ -223,13 +248,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> DataFrame:
     """Pairs whose sizes and parity bits allow the similarity (no similar pair fails)."""
-    cols = ["n", "p0", "p1", "p2", "p3"]
-    one = classes.groupBy("c1").agg(*[F.first(c).alias(c) for c in cols])
+    cols = ["n", *SKETCH]
+    one = (_with_key_in(classes.select("c1", *cols), "c1", _ends(pairs, bits))
+           .groupBy("c1").agg(*[F.first(c).alias(c) for c in cols]))
     x = one.select(F.col("c1").alias("a"), *[F.col(c).alias("x" + c) for c in cols])
     y = one.select(F.col("c1").alias("b"), *[F.col(c).alias("y" + c) for c in cols])
-    differ = sum((F.bit_count(F.col(f"xp{i}").bitwiseXOR(F.col(f"yp{i}"))) for i in range(4)), F.lit(0))
+    differ = sum((F.bit_count(F.col("x" + p).bitwiseXOR(F.col("y" + p))) for p in SKETCH), F.lit(0))
     total = F.col("xn") + F.col("yn")
     return (pairs.join(x, "a").join(y, "b")
             .where((100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
@@ -246,28 +272,26 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     base = keyed(docs, id_col, text_col)
     rows = written(_classes(base, shingle), "rows")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(
-        F.min("d").alias("least"), *[F.first(c).alias(c) for c in ("n", "p0", "p1", "p2", "p3")]), "classes")
+        F.min("d").alias("least"), *[F.first(c).alias(c) for c in ("n", *SKETCH)]), "classes")
 
     shared = written(_signatures(base, shingle, percent).groupBy("sig")
                      .agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last")
                      .select("sig", "hub"), "signatures")
     passing = sieve.build(shared.select(F.col("sig").alias("key")), bits)
-    # A class of its own name for the key keeps the aggregate's partitioning from being reused: a skewed
-    # signature can then be split in the join.
+    # Both sides of this join are read from tables, so both get an exchange and a skewed signature can be split.
     held = written(_signatures(base, shingle, percent, passing).join(shared, "sig").distinct(), "holders")
 
-    star = _plausible(held.where("c != hub").select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct(),
-                      classes, percent)
-    star = written(star, "star")
-    wanted = sieve.build(star.select(F.col("a").alias("key")).union(star.select("b")), bits)
-    sets = written(_sets(base, shingle, wanted), "sets")
+    star = written(held.where("c != hub").select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct(), "candidates")
+    star = written(_plausible(star, classes, percent, bits), "star")
+    sets = written(_sets(base, shingle, _ends(star, bits)), "sets")
     # One comparison per class first; what it links needs no other.
     first = star.groupBy("a").agg(F.min("b").alias("b"))
     links = written(_linked(first, sets, percent), "links")
     labels = components(links)
-    rest = _apart(star.join(first, ["a", "b"], "left_anti"), labels)
-    links = written(links.union(_linked(rest, sets, percent)), "links")
-    labels = components(links)
+    rest = written(_apart(star.join(first, ["a", "b"], "left_anti"), labels), "rest")
+    if not rest.isEmpty():
+        links = written(links.union(_linked(rest, _with_key_in(sets, "c", _ends(rest, bits)), percent)), "links")
+        labels = components(links)
 
     # Signatures whose classes are still in different components: compare across these components.
     named = held.join(labels, held.c == labels.node, "left").select(
@@ -277,10 +301,10 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     x = named.select("sig", F.col("c").alias("a"), F.col("label").alias("la"))
     y = named.select("sig", F.col("c").alias("b"), F.col("label").alias("lb"))
     cross = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))).select("a", "b").distinct()
-    cross = written(_plausible(cross, classes, percent), "cross")
+    cross = written(cross, "candidates")
     if not cross.isEmpty():
-        wanted = sieve.build(cross.select(F.col("a").alias("key")).union(cross.select("b")), bits)
-        links = written(links.union(_linked(cross, written(_sets(base, shingle, wanted), "sets"), percent)), "links")
+        cross = written(_plausible(cross, classes, percent, bits), "cross")
+        links = written(links.union(_linked(cross, _sets(base, shingle, _ends(cross, bits)), percent)), "links")
         labels = components(links)
 
     whole = classes.join(labels, classes.c1 == labels.node, "left").select(
