@@ -322,7 +322,9 @@ def query(spark, sf_dir: str) -> DataFrame:
     def listed(s):
         return F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["stop"])), ",")
 
-    counts = [F.size(F.filter(spans, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]]
+    def number(kind):
+        return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter(spans, lambda x: x["kind"] != KINDS[4])
-    return out.select("row.doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
+    return out.select("row.doc_id", *map(number, KINDS[:4]), F.sha2(listed(base), 256).alias("base_sha256"),
                       listed(spans).alias("spans"))
