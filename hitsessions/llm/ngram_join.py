@@ -34,6 +34,7 @@ and components grow by rounds over written tables. Nothing is collected.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -50,8 +51,6 @@ from .substring_dedup import _parts, keyed
 SHINGLE, PERCENT = 4, 85
 #: Cells of a first-level part, and how many of them may differ.
 CELLS, MAY_DIFFER = 2, 1
-#: Spare parts: this many, and one more for every so many differences.
-SPARE, SPARE_PER = 1, 50
 #: Bits of the parity sketch that rules pairs out before their sets are compared.
 PARITY = 1024
 SKETCH = [f"p{i}" for i in range(PARITY // 64)]
@@ -73,8 +72,25 @@ class Bands:
         self.low.append(low)
         self.high.append(low * 100 // percent)
         self.starts = np.array(self.low)
-        # |x ^ y| <= (1 - s) / (1 + s) * (|x| + |y|), and both sizes are at most the band's end.
-        self.differ = np.array([(100 - percent) * 2 * h // (100 + percent) for h in self.high])
+        # An instance holds its own band and the one below. Pairs inside a band meet in the instance above it, so
+        # |x ^ y| <= (1 - s) / (1 + s) * (|x| + |y|) has the ends of two neighbouring bands as the sizes.
+        high = np.array(self.high)
+        below = np.concatenate([high[:1], high[:-1]])
+        self.differ = (100 - percent) * (high + below) // (100 + percent)
+        self.spare = np.array([self._spare(int(k), low) for k, low in zip(self.differ, [1, *self.low])])
+
+    @staticmethod
+    def _spare(k: int, size: int) -> int:
+        """Spare parts that make up for the empty choices of most sets of a size."""
+        if not k:
+            return 0
+        spare = 1
+        for _ in range(20):
+            parts = k // (MAY_DIFFER + 1) + 1 + spare
+            empty = math.exp(-size / (parts * CELLS))
+            lacking = parts * (1 - (1 - empty) ** CELLS)
+            spare = min(math.ceil(lacking + math.sqrt(lacking)), 1 + k // 4)
+        return spare
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, size, side="right") - 1
@@ -129,7 +145,7 @@ class Sets:
             for depth in range(DEPTH):
                 if not len(todo):
                     break
-                row, sig, lacking = self._enumerate(todo, band + up, bands.differ, depth)
+                row, sig, lacking = self._enumerate(todo, band + up, bands, depth)
                 out_row.append(row)
                 out_sig.append(sig)
                 todo = lacking
@@ -137,11 +153,10 @@ class Sets:
             return np.zeros(0, np.int64), np.zeros(0, _U)
         return np.concatenate(out_row), np.concatenate(out_sig)
 
-    def _enumerate(self, rows, instance, differ, depth):
+    def _enumerate(self, rows, instance, bands, depth):
         """Signatures of one partition of the domain; and the rows with more empty choices than spare parts."""
-        k = differ[instance[rows]]
+        k, spare = bands.differ[instance[rows]], bands.spare[instance[rows]]
         # At most k // (MAY_DIFFER + 1) parts differ too much.
-        spare = np.where(k > 0, SPARE + k // SPARE_PER, 0)
         parts = np.where(k > 0, k // (MAY_DIFFER + 1) + 1 + spare, 1)
         begin = np.concatenate([[0], np.cumsum(parts)])
         place = np.full(self.n, -1)

@@ -26,7 +26,7 @@ def build(keys: DataFrame, bits: int = SIEVE_BITS):
               .repartition(16, "block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("set")))
     out = np.zeros(1 << (bits - 3), dtype=np.uint8)
     size = 1 << (_BLOCK - 3)
-    for r in blocks.toLocalIterator():  # at most 2 ** (bits - 15) blocks
+    for r in blocks.collect():  # at most 2 ** (bits - 15) blocks of 4 KB: the size of the sieve
         out[r.block * size:(r.block + 1) * size] = np.frombuffer(r.set, dtype=np.uint8)
     return keys.sparkSession.sparkContext.broadcast(out)
 

@@ -173,7 +173,7 @@ def test_classifier_edge_cases(spark, edge, empty):
     assert all(0 <= r.score <= 1 for r in got)
     assert quality_classifier.score(empty, model).count() == 0
     prior = quality_classifier.fit(docs, labels.where("quality = 1"))
-    assert {round(r.score, 6) for r in ordered(quality_classifier.score(docs, prior), rows)} == {0.75}
+    assert {round(r.score, 6) for r in ordered(quality_classifier.score(docs, prior), rows)} == {0.8}
     again = quality_classifier.fit(docs.repartition(5), labels)
     assert all(np.array_equal(a, b) for a, b in zip(model, again))
 
