@@ -24,6 +24,8 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Batches that go to Python workers, whatever the size of a row.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     # Call-site capture for error messages costs several py4j calls per
     # Column function; off for jobs (read once per Python process).
