@@ -22,7 +22,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = (both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node"))
                 .agg(F.min("label").alias("near")))
-        moved = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("to"))
+        # A table, so that the join below has an exchange on both sides: a large component is a skewed key there.
+        moved = written(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("to")), "moved")
         up = moved.select(F.col("node").alias("to"), F.col("to").alias("further"))
         new = written(moved.join(up, "to").select("node", F.col("further").alias("label"),
                                                   (F.col("further") != F.col("label")).alias("changed")), "labels")

@@ -266,8 +266,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> DataFrame:
     """Pairs whose sizes and parity bits allow the similarity (no similar pair fails)."""
     cols = ["n", *SKETCH]
-    one = (_with_key_in(classes.select("c1", *cols), "c1", _ends(pairs, bits))
-           .groupBy("c1").agg(*[F.first(c).alias(c) for c in cols]))
+    one = written(_with_key_in(classes.select("c1", *cols), "c1", _ends(pairs, bits))
+                  .groupBy("c1").agg(*[F.first(c).alias(c) for c in cols]), "sketches")
     x = one.select(F.col("c1").alias("a"), *[F.col(c).alias("x" + c) for c in cols])
     y = one.select(F.col("c1").alias("b"), *[F.col(c).alias("y" + c) for c in cols])
     differ = sum((F.bit_count(F.col("x" + p).bitwiseXOR(F.col("y" + p))) for p in SKETCH), F.lit(0))
@@ -293,8 +293,8 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
                      .agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last")
                      .select("sig", "hub"), "signatures")
     passing = sieve.build(shared.select(F.col("sig").alias("key")), bits)
-    # Both sides of this join are read from tables, so both get an exchange and a skewed signature can be split.
-    held = written(_signatures(base, shingle, percent, passing).join(shared, "sig").distinct(), "holders")
+    # Repeats go before the join: an aggregate on top of it would keep Spark from splitting a skewed signature.
+    held = written(_signatures(base, shingle, percent, passing).distinct().join(shared, "sig"), "holders")
 
     star = written(held.where("c != hub").select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct(), "candidates")
     star = written(_plausible(star, classes, percent, bits), "star")
@@ -319,7 +319,7 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     cross = written(cross, "candidates")
     if not cross.isEmpty():
         cross = written(_plausible(cross, classes, percent, bits), "cross")
-        links = written(links.union(_linked(cross, _sets(base, shingle, _ends(cross, bits)), percent)), "links")
+        links = written(links.union(_linked(cross, written(_sets(base, shingle, _ends(cross, bits)), "sets"), percent)), "links")
         labels = components(links)
 
     whole = classes.join(labels, classes.c1 == labels.node, "left").select(
