@@ -80,6 +80,30 @@ def q_event_params_extract(spark, sf_dir):
                                                             "content", "term")])
 
 
+def q_event_params_hard_cases(spark, sf_dir):
+    """Parameter arrays that are NULL, empty, or hold every key twice (the first one counts)."""
+    again = F.transform("event_params", lambda p: F.struct(p["key"].alias("key"), F.struct(
+        F.lit("second").alias("string_value"), F.lit(-7).cast("long").alias("int_value"),
+        F.lit(None).cast("float").alias("float_value"), F.lit(None).cast("double").alias("double_value")).alias("value")))
+    kind = F.col("event_id") % 7
+    params = (F.when(kind == 0, F.lit(None)).when(kind == 1, F.slice("event_params", 1, 0))
+              .otherwise(F.concat("event_params", again)))
+    ev = _events(spark, sf_dir).withColumn("event_params", params)
+    return ev.select("event_id", *[P.int_param(k).alias(k) for k in ("ga_session_id", "ga_session_number")],
+                     *[P.string_param(k).alias(k) for k in ("page_location", "source", "campaign")])
+
+
+def q_model2_ties_as_written(spark, sf_dir):
+    """Events that share clock, bundle id, server time and name: the row's content settles the tie (Q17)."""
+    day_us = 86_400_000_000
+    ev = _events(spark, sf_dir).withColumns({
+        "event_timestamp": F.call_function("div", F.col("event_timestamp"), F.lit(day_us)) * day_us,
+        "event_bundle_sequence_id": F.lit(1).cast("long"),
+        "event_params": F.filter("event_params", lambda p: p["key"] != "actual_timestamp")})
+    df = session_start_sessions(ev, *FULL, _opts(AS_WRITTEN))
+    return comparable(df.drop("export_timestamp", "last_update_timestamp"))
+
+
 def q_safe_actual_ts(spark, sf_dir):
     ev = _events(spark, sf_dir)
     p = P.int_param("actual_timestamp")
@@ -390,6 +414,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_model2_extra_urls": q_merge_model2_extra_urls,
     "stream_late_dates": q_stream_late_dates,
     "compare_models_by_channel": q_compare_models_by_channel,
+    "event_params_hard_cases": q_event_params_hard_cases,
+    "model2_ties_as_written": q_model2_ties_as_written,
 }
 
 ORACLES: dict[str, str] = {
@@ -437,4 +463,6 @@ ORACLES: dict[str, str] = {
     "merge_model2_extra_urls": O.merge_model2_extra_urls(),
     "stream_late_dates": O.stream_late_dates(),
     "compare_models_by_channel": O.compare_models_by_channel(),
+    "event_params_hard_cases": O.event_params_hard_cases(),
+    "model2_ties_as_written": O.model2_ties_as_written(),
 }
