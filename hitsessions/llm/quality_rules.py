@@ -37,7 +37,7 @@ RULES: tuple[tuple[str, str, float | None, float | None], ...] = (
     ("exclamations", "exclamations_per_word", None, 0.3),
     ("bullets", "bullet_line_share", None, 0.9),
     ("ellipses", "ellipsis_line_share", None, 0.3),
-    ("duplicate_lines", "duplicate_line_share", None, 0.3),
+    ("duplicate_lines", "duplicate_line_share", None, 0.5),
 )
 
 
@@ -152,6 +152,6 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        NOT base_failed AND word_chars BETWEEN 2 * n_words AND 14 * n_words
        AND n_symbols / n_words <= 0.3 AND n_stop / n_words >= 0.02 AND n_letterless / n_words <= 0.4
        AND n_excl / n_words <= 0.3 AND n_bullets / n_lines <= 0.9 AND n_ellipses / n_lines <= 0.3
-       AND n_dup_lines / n_lines <= 0.3 AS kept
+       AND n_dup_lines / n_lines <= 0.5 AS kept
 FROM f
 """
