@@ -263,18 +263,30 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> DataFrame:
-    """Pairs whose sizes and parity bits allow the similarity (no similar pair fails)."""
+def _sketches(classes: DataFrame, wanted) -> DataFrame:
+    """c, n and the parity bits of the classes in a sieve."""
     cols = ["n", *SKETCH]
-    one = written(_with_key_in(classes.select("c1", *cols), "c1", _ends(pairs, bits))
-                  .groupBy("c1").agg(*[F.first(c).alias(c) for c in cols]), "sketches")
-    x = one.select(F.col("c1").alias("a"), *[F.col(c).alias("x" + c) for c in cols])
-    y = one.select(F.col("c1").alias("b"), *[F.col(c).alias("y" + c) for c in cols])
-    differ = sum((F.bit_count(F.col("x" + p).bitwiseXOR(F.col("y" + p))) for p in SKETCH), F.lit(0))
-    total = F.col("xn") + F.col("yn")
-    return (pairs.join(x, "a").join(y, "b")
-            .where((100 * F.least("xn", "yn") >= percent * F.greatest("xn", "yn"))
-                   & ((100 + percent) * differ <= (100 - percent) * total)).select("a", "b"))
+    return written(_with_key_in(classes.select("c1", *cols), "c1", wanted)
+                   .groupBy(F.col("c1").alias("c")).agg(*[F.first(c).alias(c) for c in cols]), "sketches")
+
+
+def _side(df: DataFrame, side: str) -> DataFrame:
+    """Columns of one end of a pair, with the end's name in front."""
+    return df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
+
+
+def _may_link(percent: int):
+    """Whether sizes and parity bits of the ends x and y allow the similarity (no similar pair fails)."""
+    differ = sum((F.bit_count(F.col(f"x_{p}").bitwiseXOR(F.col(f"y_{p}"))) for p in SKETCH), F.lit(0))
+    n, m = F.col("x_n"), F.col("y_n")
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
+
+
+def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches allow the similarity."""
+    x = _side(sketches, "x").withColumnRenamed("x_c", "a")
+    y = _side(sketches, "y").withColumnRenamed("y_c", "b")
+    return pairs.join(x, "a").join(y, "b").where(_may_link(percent)).select("a", "b")
 
 
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -297,7 +309,7 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     held = written(_signatures(base, shingle, percent, passing).distinct().join(shared, "sig"), "holders")
 
     star = written(held.where("c != hub").select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct(), "candidates")
-    star = written(_plausible(star, classes, percent, bits), "star")
+    star = written(_plausible(star, _sketches(classes, _ends(star, bits)), percent), "star")
     sets = written(_sets(base, shingle, _ends(star, bits)), "sets")
     # One comparison per class first; what it links needs no other.
     first = star.groupBy("a").agg(F.min("b").alias("b"))
@@ -312,14 +324,16 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     named = held.join(labels, held.c == labels.node, "left").select(
         "sig", "c", "hub", F.coalesce("label", "c").alias("label"))
     open_ = named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
-    named = written(named.where("c != hub").join(open_, "sig"), "open")
-    x = named.select("sig", F.col("c").alias("a"), F.col("label").alias("la"))
-    y = named.select("sig", F.col("c").alias("b"), F.col("label").alias("lb"))
-    cross = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))).select("a", "b").distinct()
-    cross = written(cross, "candidates")
-    if not cross.isEmpty():
-        cross = written(_plausible(cross, classes, percent, bits), "cross")
-        links = written(links.union(_linked(cross, written(_sets(base, shingle, _ends(cross, bits)), "sets"), percent)), "links")
+    named = written(named.where("c != hub").join(open_, "sig").select("sig", "c", "label"), "open")
+    if not named.isEmpty():
+        # The sketches go along, so that the join itself lets only plausible pairs through.
+        some = _sketches(classes, sieve.build(named.select(F.col("c").alias("key")).distinct(), bits))
+        named = written(named.join(some, "c"), "open")
+        cross = _side(named, "x").join(_side(named, "y"), (F.col("x_sig") == F.col("y_sig")) & (F.col("x_c") < F.col("y_c")) & (F.col("x_label") != F.col("y_label"))
+                                       & _may_link(percent))
+        cross = written(cross.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct(), "cross")
+        links = written(links.union(_linked(cross, written(_sets(base, shingle, _ends(cross, bits)), "sets"), percent)),
+                        "links")
         labels = components(links)
 
     whole = classes.join(labels, classes.c1 == labels.node, "left").select(
