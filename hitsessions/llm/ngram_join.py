@@ -329,8 +329,9 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
         # The sketches go along, so that the join itself lets only plausible pairs through.
         some = _sketches(classes, sieve.build(named.select(F.col("c").alias("key")).distinct(), bits))
         named = written(named.join(some, "c"), "open")
-        cross = _side(named, "x").join(_side(named, "y"), (F.col("x_sig") == F.col("y_sig")) & (F.col("x_c") < F.col("y_c")) & (F.col("x_label") != F.col("y_label"))
-                                       & _may_link(percent))
+        cross = _side(named, "x").join(
+            _side(named, "y"), (F.col("x_sig") == F.col("y_sig")) & (F.col("x_c") < F.col("y_c"))
+            & (F.col("x_label") != F.col("y_label")) & _may_link(percent))
         cross = written(cross.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct(), "cross")
         links = written(links.union(_linked(cross, written(_sets(base, shingle, _ends(cross, bits)), "sets"), percent)),
                         "links")
