@@ -41,7 +41,7 @@ MAX_VOCAB_BYTES = 64 << 20
 #: Parts of a word up to which the smallest rank is found by a scan.
 SCAN_PARTS = 128
 #: Encoded words kept per worker, and the longest that is kept.
-KEPT_WORDS, KEPT_CHARS = 300_000, 48
+KEPT_WORDS, KEPT_CHARS = 100_000, 48
 #: Pattern that cuts a text into words (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Rank of two parts that don't merge.
@@ -169,18 +169,25 @@ def _encoder(shared) -> Encoder:
     return _ENCODERS[key]
 
 
-def encode(docs: DataFrame, vocab_path: str, text_col: str = "text") -> DataFrame:
-    """``row`` and ``ids``: the token ids as little-endian unsigned 32-bit integers (binary)."""
+def encode(docs: DataFrame, vocab_path: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``row`` and ``ids``: the token ids as little-endian unsigned 32-bit integers (binary).
+
+    With ``decoded`` the ids are decoded again in the same pass, into a
+    column of that name: one Python worker per task instead of two.
+    """
     docs = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(read_vocab(vocab_path))
 
     def run(batches):
         e = _encoder(shared)
         for part, text in T.pieces(batches, text_col):
-            ids = pa.array([e.encode(t) for t in T.strings(text)], type=pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("row"), ids], names=["row", "ids"])
+            ids = [e.encode(t) for t in T.strings(text)]
+            cols = {"row": part.column("row"), "ids": pa.array(ids, type=pa.binary())}
+            if decoded:
+                cols["decoded"] = pa.array([e.decode(x) for x in ids], type=pa.string())
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    return docs.mapInArrow(run, T.row_schema(docs, "ids binary"))
+    return docs.mapInArrow(run, T.row_schema(docs, "ids binary" + ", decoded string" * decoded))
 
 
 def decode(encoded: DataFrame, vocab_path: str) -> DataFrame:
@@ -204,8 +211,7 @@ def vocab_path() -> str:
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    ids = encode(docs, vocab_path()).select(F.struct("row.doc_id").alias("row"), "ids")
-    out = decode(ids, vocab_path())
+    out = encode(docs, vocab_path(), decoded=True)
     return out.select("row.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

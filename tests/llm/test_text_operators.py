@@ -143,11 +143,13 @@ def test_bpe_equals_the_library(edge):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(bpe.vocab_path())
     rows, docs = edge
-    out = bpe.decode(bpe.encode(docs, bpe.vocab_path()), bpe.vocab_path())
-    for (_, text), r in zip(rows, ordered(out, rows)):
+    two = bpe.decode(bpe.encode(docs, bpe.vocab_path()), bpe.vocab_path())
+    one = bpe.encode(docs, bpe.vocab_path(), decoded=True)
+    for (_, text), r, q in zip(rows, ordered(two, rows), ordered(one, rows)):
         want = lib.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(r.ids, "<u4").tolist() == want
         assert r.decoded == lib.decode(want, skip_special_tokens=False)
+        assert (r.ids, r.decoded) == (q.ids, q.decoded)
 
 
 def test_bpe_words_of_any_length():
