@@ -49,8 +49,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it again."""
-    path = bpe.vocab_path()
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path)
+    out = bpe.encode(docs.select("doc_id", "text"), bpe.vocab_path(), decoded=True)
     return out.select("row.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                       (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"))
 
