@@ -27,9 +27,10 @@ Defined cases
 Scale: equal sets meet first (pre-aggregated by a 128-bit set hash), so
 copies cost one row each. Of the signatures only those that two classes
 share go further (a sieve keeps the others out of the join). A class is
-compared with the first class of each signature, then only classes of
-still different components; links are exact (shingle sets are compared),
-and components grow by rounds over written tables. Nothing is collected.
+compared with the first class of each signature, then with other hubs,
+then only across components that still share a signature. Links are
+exact (shingle sets are compared), and components grow by rounds over
+written tables. No pair, link or component reaches the driver.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ from .substring_dedup import _parts, keyed
 SHINGLE, PERCENT = 4, 85
 #: Cells of a first-level part, and how many of them may differ.
 CELLS, MAY_DIFFER = 2, 1
+#: Rounds with other hubs before classes are compared across components.
+TURNS = 2
 #: Bits of the parity sketch that rules pairs out before their sets are compared.
 PARITY = 1024
 SKETCH = [f"p{i}" for i in range(PARITY // 64)]
@@ -320,13 +323,29 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
         links = written(links.union(_linked(rest, _with_key_in(sets, "c", _ends(rest, bits)), percent)), "links")
         labels = components(links)
 
-    # Signatures whose classes are still in different components: compare across these components.
-    named = held.join(labels, held.c == labels.node, "left").select(
-        "sig", "c", "hub", F.coalesce("label", "c").alias("label"))
-    open_ = named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
-    named = written(named.where("c != hub").join(open_, "sig").select("sig", "c", "label"), "open")
+    # Signatures whose classes are still in different components. A few rounds with another class of each signature
+    # as its hub join most of them, one comparison per class and round.
+    for turn in range(TURNS):
+        named = written(_open(held, labels), "open")
+        if named.isEmpty():
+            break
+        rank = F.xxhash64(F.lit(turn), "c")
+        hubs = named.groupBy("sig").agg(F.min_by("c", rank).alias("hub"), F.min_by("label", rank).alias("hub_label"))
+        pairs = named.join(hubs, "sig").where(F.col("label") != F.col("hub_label")).select(
+            F.col("c").alias("a"), F.col("hub").alias("b")).distinct()
+        pairs = written(pairs, "candidates")
+        pairs = _plausible(pairs, _sketches(classes, _ends(pairs, bits)), percent)
+        pairs = written(pairs.groupBy("a").agg(F.min("b").alias("b")), "pairs")
+        if pairs.isEmpty():
+            continue
+        sets = written(_sets(base, shingle, _ends(pairs, bits)), "sets")
+        links = written(links.union(_linked(pairs, sets, percent)), "links")
+        labels = components(links)
+
+    # What is left is compared across components; the sketches go along, so that the join itself lets only
+    # plausible pairs through.
+    named = written(_open(held, labels), "open")
     if not named.isEmpty():
-        # The sketches go along, so that the join itself lets only plausible pairs through.
         some = _sketches(classes, sieve.build(named.select(F.col("c").alias("key")).distinct(), bits))
         named = written(named.join(some, "c"), "open")
         cross = _side(named, "x").join(
@@ -345,6 +364,13 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
             .select("d", "t", F.col("n").alias("n_shingles"), F.coalesce("component", "d").alias("component"), "label"))
 
 
+def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
+    """sig, c, label of the signatures whose classes are in different components."""
+    named = held.join(labels, held.c == labels.node, "left").select("sig", "c", F.coalesce("label", "c").alias("label"))
+    apart = named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
+    return named.join(apart, "sig")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                 percent: int = 80, bits: int = sieve.SIEVE_BITS) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the row with the smallest id stays.
