@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from . import sieve
 from . import textkit as T
 from .components import components
-from .rows import NULL_ID, name, row_key, unpacked, written
+from .rows import KEY, KEY_SCHEMA, NULL_ID, name, row_key, unpacked, written
 from .substring_dedup import _parts, keyed
 
 SHINGLE, PERCENT = 4, 85
@@ -191,16 +191,16 @@ class Sets:
 
 
 def _classes(base: DataFrame, n: int) -> DataFrame:
-    """d, t, n, c1, c2 and the parity bits of every row."""
+    """d, t, u, n, c1, c2 and the parity bits of every row."""
     def run(batches):
         for part in _parts(batches):
             s = Sets(part.column("text"), n)
             yield pa.RecordBatch.from_arrays(
-                [part.column("d"), part.column("t"), pa.array(s.size.astype(np.int64)), pa.array(T.signed(s.c1)),
+                [*(part.column(c) for c in KEY), pa.array(s.size.astype(np.int64)), pa.array(T.signed(s.c1)),
                  pa.array(T.signed(s.c2)), *map(pa.array, s.parity())],
-                names=["d", "t", "n", "c1", "c2", *SKETCH])
+                names=[*KEY, "n", "c1", "c2", *SKETCH])
 
-    return base.mapInArrow(run, "d long, t int, n long, c1 long, c2 long, " + ", ".join(f"{p} long" for p in SKETCH))
+    return base.mapInArrow(run, f"{KEY_SCHEMA}, n long, c1 long, c2 long, " + ", ".join(f"{p} long" for p in SKETCH))
 
 
 def _signatures(base: DataFrame, n: int, percent: int, only=None) -> DataFrame:
@@ -294,7 +294,7 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
 
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
             percent: int = PERCENT, bits: int = sieve.SIEVE_BITS) -> DataFrame:
-    """d, t, n_shingles, component (smallest id of the linked documents) and label of every row.
+    """d, t, u, n_shingles, component (smallest id of the linked documents) and label of every row.
 
     ``label`` names the component itself (null for empty sets): rows that
     share an id but not a component differ in it.
@@ -361,7 +361,7 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     smallest = whole.groupBy("label").agg(F.min("least").alias("component"))
     named = written(whole.join(smallest, "label").select("c1", "c2", "component", "label"), "components")
     return (rows.join(named, ["c1", "c2"], "left")
-            .select("d", "t", F.col("n").alias("n_shingles"), F.coalesce("component", "d").alias("component"), "label"))
+            .select(*KEY, F.col("n").alias("n_shingles"), F.coalesce("component", "d").alias("component"), "label"))
 
 
 def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
@@ -378,13 +378,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows that share this id, one stays. Documents without words all stay.
     """
     found = written(members(docs, id_col, text_col, shingle, percent, bits), "members")
-    keeper = found.where("label is not null").groupBy("label").agg(F.min(F.struct("d", "t")).alias("k"))
-    stay = written(keeper.select("k.d", "k.t").union(found.where("label is null").select("d", "t")).distinct(), "stay")
+    keeper = found.where("label is not null").groupBy("label").agg(F.min(F.struct(*KEY)).alias("k"))
+    stay = written(keeper.select("k.*").union(found.where("label is null").select(*KEY)).distinct(), "stay")
     rows = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"), *row_key(docs, id_col, text_col))
     # Repeats of one row meet in the shuffle of the join; the first of them stays, unless it has no words.
-    first = F.row_number().over(Window.partitionBy("d", "t").orderBy("empty"))
+    first = F.row_number().over(Window.partitionBy(*KEY).orderBy("empty"))
     kept = (rows.withColumn("empty", ~F.coalesce(F.col("row." + name(text_col)), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-            .join(stay, ["d", "t"], "left_semi").withColumn("nth", first).where(F.col("empty") | (F.col("nth") == 1)))
+            .join(stay, KEY, "left_semi").withColumn("nth", first).where(F.col("empty") | (F.col("nth") == 1)))
     return unpacked(kept, docs.columns)
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..session import new_work_path
 
 NULL_ID = -(2**63)
+#: Columns of ``row_key``, and their types in a schema string.
+KEY, KEY_SCHEMA = ["d", "t", "u"], "d long, t long, u long"
 
 
 def name(c: str) -> str:
@@ -40,10 +42,14 @@ def id_of(c: Column) -> Column:
     return F.coalesce(c.cast("long"), F.lit(NULL_ID))
 
 
-def row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
-    """d and t: a row is named by its id and 31 bits of its text's hash."""
-    return (id_of(docs[name(id_col)]).alias("d"),
-            F.xxhash64(docs[name(text_col)]).bitwiseAND(2**31 - 1).cast("int").alias("t"))
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column, Column]:
+    """d, t and u: a row is named by its id and two 64-bit hashes of its text.
+
+    Rows under one id (all null ids are one) meet in 128 bits only if their texts are equal.
+    """
+    text = docs[name(text_col)]
+    # The constant comes first: it seeds the second hash (after the text it would only hash the first one again).
+    return id_of(docs[name(id_col)]).alias("d"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u")
 
 
 def unpacked(df: DataFrame, columns: list[str], replaced: dict[str, Column] | None = None) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import sieve
 from . import textkit as T
-from .rows import name, row_key, written
+from .rows import KEY, KEY_SCHEMA, name, row_key, written
 
 WINDOW = 35
 
@@ -107,7 +107,7 @@ class Places:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """d, t (see ``row_key``) and text."""
+    """d, t, u (see ``row_key``) and text."""
     return docs.select(*row_key(docs, id_col, text_col), F.coalesce(docs[name(text_col)], F.lit("")).alias("text"))
 
 
@@ -140,15 +140,15 @@ def find_levels(base: DataFrame, window: int, bits: int):
 
 
 def repeated_windows(base: DataFrame, window: int, bits: int) -> DataFrame:
-    """d, t, starts: the places in each text where a repeated window starts."""
+    """d, t, u, starts: the places in each text where a repeated window starts."""
     lengths, sieves = find_levels(base, window, bits)
     places = counted_windows(base, window, lengths[0], bits,
                              lambda p: p.alive([s.value for s in sieves], lengths))
-    return places.groupBy("d", "t").agg(F.collect_set("at").alias("starts"))
+    return places.groupBy(*KEY).agg(F.collect_set("at").alias("starts"))
 
 
 def counted_windows(base: DataFrame, window: int, seed: int, bits: int, chosen) -> DataFrame:
-    """d, t, at: the places of the windows that ``chosen`` marks and that start elsewhere too.
+    """d, t, u, at: the places of the windows that ``chosen`` marks and that start elsewhere too.
 
     ``chosen`` takes the ``Places`` of a batch; it must mark all
     occurrences of a window or none.
@@ -176,11 +176,12 @@ def counted_windows(base: DataFrame, window: int, seed: int, bits: int, chosen)
             at, k1, k2 = at[use], k1[use], k2[use]
             row = np.searchsorted(p.rows, at, side="right") - 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(T.signed(k1)), pa.array(k2), part.column("d").take(pa.array(row)),
-                 part.column("t").take(pa.array(row)), pa.array((at - p.rows[row]).astype(np.int32))],
-                names=["k1", "k2", "d", "t", "at"])
+                [pa.array(T.signed(k1)), pa.array(k2), *(part.column(c).take(pa.array(row)) for c in KEY),
+                 pa.array((at - p.rows[row]).astype(np.int32))],
+                names=["k1", "k2", *KEY, "at"])
 
-    return base.mapInArrow(place, "k1 long, k2 int, d long, t int, at int").join(twice, ["k1", "k2"]).select("d", "t", "at")
+    return (base.mapInArrow(place, f"k1 long, k2 int, {KEY_SCHEMA}, at int").join(twice, ["k1", "k2"])
+            .select(*KEY, "at"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -212,7 +213,7 @@ def without(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, windo
 
     done = T.row_schema(rows, "n_words long, n_removed long, kept string")
     clean = rows.mapInArrow(finish_clean, done)
-    hits = rows.mapInArrow(pick_hits, T.row_schema(rows, "d long, t int")).join(found, ["d", "t"], "left")
+    hits = rows.mapInArrow(pick_hits, T.row_schema(rows, KEY_SCHEMA)).join(found, KEY, "left")
     return clean.unionByName(hits.select("row", "starts").mapInArrow(finish, done))
 
 

@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 
 from . import sieve
 from . import textkit as T
-from .rows import written
+from .rows import KEY, KEY_SCHEMA, written
 from .substring_dedup import Places, _counted, _parts, counted_windows, keyed, without
 
 WINDOW, SEED = 50, 12
 LADDER = ["h", "r1", "r2", "l1", "l2", "l3"]
-SORTED = [*LADDER, "d", "t", "at"]
-SUFFIX = "h long, r1 long, r2 long, l1 long, l2 long, l3 long, d long, t int, at int, first int, last int"
+SORTED = [*LADDER, *KEY, "at"]
+SUFFIX = f"h long, r1 long, r2 long, l1 long, l2 long, l3 long, {KEY_SCHEMA}, at int, first int, last int"
 
 
 def ladders(window: int, seed: int) -> tuple[list[int], list[int]]:
@@ -70,7 +70,7 @@ def _suffixes(base: DataFrame, window: int, seed: int, seeds) -> DataFrame:
             for length in left:
                 cols.append(_side(p, place - length, length, place - length >= lo))
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, cols), part.column("d").take(pa.array(row)), part.column("t").take(pa.array(row)),
+                [*map(pa.array, cols), *(part.column(c).take(pa.array(row)) for c in KEY),
                  *(pa.array((x - lo).astype(np.int32)) for x in (place, at[begin], at[end]))],
                 names=[*SORTED, "first", "last"])
 
@@ -103,8 +103,8 @@ def _compare(window: int, seed: int):
     def emit(x, lo, hi, open_):
         """One row per suffix: its confirmed windows lo..hi (empty if lo > hi), and its seed if some are open."""
         return pa.RecordBatch.from_arrays(
-            [pa.array(x["d"]), pa.array(x["t"]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
-             pa.array(x["h"], mask=~open_)], names=["d", "t", "lo", "hi", "open"])
+            [*(pa.array(x[c]) for c in KEY), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
+             pa.array(x["h"], mask=~open_)], names=[*KEY, "lo", "hi", "open"])
 
     def run(batches):
         rest = None  # the last suffix so far, whose next neighbour is still to come
@@ -139,7 +139,7 @@ def _compare(window: int, seed: int):
 
 
 def repeated_places(base: DataFrame, window: int, seed: int, bits: int) -> DataFrame:
-    """d, t, starts: the places in each text where a repeated window starts."""
+    """d, t, u, starts: the places in each text where a repeated window starts."""
     def seeds(batches):
         for part in _parts(batches):
             yield _counted(Places(part.column("text"), window, seed).seeds())
@@ -147,15 +147,15 @@ def repeated_places(base: DataFrame, window: int, seed: int, bits: int) -> DataF
     counts = base.select("text").mapInArrow(seeds, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     twice = sieve.build(counts.where("n > 1").select("key"), bits)
     order = _suffixes(base, window, seed, twice).repartitionByRange(*SORTED).sortWithinPartitions(*SORTED)
-    matched = written(order.mapInArrow(_compare(window, seed), "d long, t int, lo int, hi int, open long"), "matched")
+    matched = written(order.mapInArrow(_compare(window, seed), f"{KEY_SCHEMA}, lo int, hi int, open long"), "matched")
     left_open = sieve.build(matched.where("open is not null").select(F.col("open").alias("key")).distinct(), bits)
 
     def undecided(p: Places) -> np.ndarray:
         return sieve.hit(left_open.value, p.run(seed)[p.pick]) if len(p.at) else np.zeros(0, dtype=bool)
 
     counted = counted_windows(base, window, seed, bits, undecided)
-    sure = matched.where("lo <= hi").select("d", "t", F.explode(F.sequence("lo", "hi")).alias("at"))
-    return sure.union(counted).groupBy("d", "t").agg(F.collect_set("at").alias("starts"))
+    sure = matched.where("lo <= hi").select(*KEY, F.explode(F.sequence("lo", "hi")).alias("at"))
+    return sure.union(counted).groupBy(*KEY).agg(F.collect_set("at").alias("starts"))
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,

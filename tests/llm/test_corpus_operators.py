@@ -128,6 +128,22 @@ def test_one_of_each(spark):
     assert kept == sorted([(3, text + " more"), *rows[3:8]], key=str)
 
 
+def test_rows_whose_text_hashes_share_31_bits(spark):
+    """Two unrelated texts under one id, equal in the low 31 bits of their hash, stay two rows."""
+    texts = spark.range(300_000).select(F.concat_ws(" ", *[F.concat(F.lit(c), "id") for c in "abcdefgh"]).alias("x"))
+    low = F.xxhash64("x").bitwiseAND(2**31 - 1)
+    pair = texts.groupBy(low).agg(F.sort_array(F.collect_list("x")).alias("x")).where("size(x) > 1").first().x
+    rows = [(None, pair[0]), (None, pair[1]), (4, f"first {pair[0]} last")]
+    docs = make(spark, rows)
+    want = brute.repeats(rows, 5)
+    assert [r[1] for r in want] == [8, 0, 8]
+    for out in (substring_dedup.remove_repeats(docs, window=5, bits=18),
+                suffix_dedup.remove_passages(docs, window=5, seed=3, bits=18)):
+        assert [(r.n_words, r.n_removed, r.kept) for r in ordered(out, rows)] == want
+    kept = ngram_join.one_of_each(make(spark, rows[:2]), bits=18).collect()
+    assert sorted(r.text for r in kept) == pair[:2]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (10, 11), (4, 5), (20, 20), (5, 1), (11, 12)] + [(i, i + 1) for i in range(100, 140)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
