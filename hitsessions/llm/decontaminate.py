@@ -21,8 +21,9 @@ Defined cases
 Scale: a map over the documents, no shuffle of them. Items are cut into
 shards of at most ``shard_words`` words by a hash of their text; one
 automaton per shard is broadcast, so its size is bounded. Several shards
-mean several passes over the documents, joined per row by its id and text
-hash.
+mean several passes over the documents, whose hit words are joined per row
+by its id and text hashes; their bytes are looked up once they are merged,
+so results don't depend on the number of shards.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
-from .rows import id_of, let, name
+from .rows import KEY, key_of, let, name
 
 #: Bytes of words after lower-casing: a-z, 0-9 and everything beyond ASCII.
 WORD = np.zeros(256, dtype=bool)
@@ -182,7 +183,7 @@ def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int):
 
 
 def _scan(docs: DataFrame, shard, text_col: str, window: int) -> DataFrame:
-    """row, n_words, hits (flat first, last+1 word positions, merged), chars (their byte bounds), items."""
+    """row, n_words, spans (flat first, last+1 word positions, merged), bytes (their byte bounds), items."""
     shared = docs.sparkSession.sparkContext.broadcast(build(shard, window))
 
     def run(batches):
@@ -207,8 +208,7 @@ def _scan(docs: DataFrame, shard, text_col: str, window: int) -> DataFrame:
                         hits.setdefault(r, []).extend(got)
             n = len(text)
             spans = [merged(hits.get(r, [])) for r in range(n)]
-            chars = [[int(starts[rows[r] + x] - off[r]) if k % 2 == 0 else int(ends[rows[r] + x - 1] - off[r])
-                      for k, x in enumerate(s)] for r, s in enumerate(spans)]
+            chars = _byte_bounds(spans, starts, ends, rows, off)
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), pa.array(np.diff(rows).astype(np.int64)),
                  pa.array(spans, type=pa.list_(pa.int64())), pa.array(chars, type=pa.list_(pa.int64())),
@@ -220,6 +220,28 @@ def _scan(docs: DataFrame, shard, text_col: str, window: int) -> DataFrame:
         docs, "n_words long, spans array<long>, bytes array<long>, items array<string>"))
 
 
+def _byte_bounds(spans, starts, ends, rows, off) -> list[list[int]]:
+    """Flat byte bounds of the flat word spans of each row."""
+    return [[int(starts[rows[r] + x] - off[r]) if k % 2 == 0 else int(ends[rows[r] + x - 1] - off[r])
+             for k, x in enumerate(s)] for r, s in enumerate(spans)]
+
+
+def _with_bytes(found: DataFrame, text_col: str) -> DataFrame:
+    """``found`` (row, n_words, spans, items) with the byte bounds of its spans."""
+    def run(batches):
+        for part, text in T.pieces(batches, text_col):
+            buf, off = T.text_bytes(text)
+            starts, ends, rows = T.words(T.lower_ascii(buf), off, WORD)
+            chars = _byte_bounds(part.column("spans").to_pylist(), starts, ends, rows, off)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), part.column("n_words"), part.column("spans"),
+                 pa.array(chars, type=pa.list_(pa.int64())), part.column("items")],
+                names=["row", "n_words", "spans", "bytes", "items"])
+
+    return found.mapInArrow(run, T.row_schema(
+        found, "n_words long, spans array<long>, bytes array<long>, items array<string>"))
+
+
 def merged(spans: list[tuple[int, int]]) -> list[int]:
     """Disjoint spans, flat, from overlapping or touching ones."""
     out: list[int] = []
@@ -250,28 +272,26 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
     out = passes[0]
     for p in passes[1:]:
         out = out.unionByName(p)
-    key = [id_of(F.col("row." + name(id_col))).alias("d"), F.xxhash64(F.col("row." + name(text_col))).alias("th")]
-    hit = (out.where(F.size("spans") > 0).select(*key, "spans", "bytes", "items").groupBy("d", "th")
-           .agg(F.collect_set("spans").alias("s"), F.collect_set("bytes").alias("b"),
+    key = key_of(F.col("row." + name(id_col)), F.col("row." + name(text_col)))
+    hit = (out.where(F.size("spans") > 0).select(*key, "spans", "items").groupBy(*KEY)
+           .agg(F.collect_set("spans").alias("s"),
                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
     base = passes[0].select("row", "n_words", *key)
-    both = base.join(hit, ["d", "th"], "left")
-    empty = F.array().cast("array<long>")
-    return both.select("row", "n_words", F.coalesce(joined(F.col("s")), empty).alias("spans"),
-                       F.coalesce(joined(F.col("b"), touching=False), empty).alias("bytes"),
-                       F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    both = base.join(hit, KEY, "left")
+    merged_spans = both.select("row", "n_words", F.coalesce(joined(F.col("s")), F.array().cast("array<long>")).alias("spans"),
+                               F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return _with_bytes(merged_spans, text_col)
 
 
-def joined(lists, touching: bool = True):
+def joined(lists):
     """Flat disjoint spans out of several lists of flat spans."""
     pairs = F.flatten(F.transform(lists, lambda s: F.transform(
         F.sequence(F.lit(0), F.shiftright(F.size(s), 1) - 1),
         lambda i: F.struct(F.get(s, 2 * i).alias("a"), F.get(s, 2 * i + 1).alias("b")))))
-    slack = 0 if touching else -1
 
     def add(acc, p):
         end = F.element_at(acc, -1)
-        return F.when((F.size(acc) > 0) & (p["a"] <= F.coalesce(end, F.lit(-1)) + slack),
+        return F.when((F.size(acc) > 0) & (p["a"] <= F.coalesce(end, F.lit(-1))),
                       F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.greatest(end, p["b"])))) \
             .otherwise(F.concat(acc, F.array(p["a"], p["b"])))
 

@@ -47,9 +47,13 @@ def row_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column
 
     Rows under one id (all null ids are one) meet in 128 bits only if their texts are equal.
     """
-    text = docs[name(text_col)]
+    return key_of(docs[name(id_col)], docs[name(text_col)])
+
+
+def key_of(doc_id: Column, text: Column) -> tuple[Column, Column, Column]:
+    """``row_key`` of an id and a text column."""
     # The constant comes first: it seeds the second hash (after the text it would only hash the first one again).
-    return id_of(docs[name(id_col)]).alias("d"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u")
+    return id_of(doc_id).alias("d"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u")
 
 
 def unpacked(df: DataFrame, columns: list[str], replaced: dict[str, Column] | None = None) -> DataFrame:

@@ -190,6 +190,21 @@ def test_decontamination_removes_spans(spark):
     assert got == {1: f"É {own} . rest", 3: own, 4: "", 5: f"{own}  {own} !"}
 
 
+def test_decontamination_removes_touching_passages_in_any_shards(spark):
+    """Passages of two items side by side leave the text with the separator between them, however items are sharded."""
+    words = [f"w{n}" for n in range(60)]
+    passages = [" ".join(words[n:n + 10]) for n in range(0, 60, 10)]
+    items = spark.createDataFrame([(f"i{n}", p) for n, p in enumerate(passages)], "item_id string, text string")
+    body = " ".join(f"b{n}" for n in range(100))
+    rows = [(n, f"{body} {a.upper()}, {b}. End") for n, a in enumerate(passages) for b in passages]
+    docs = make(spark, rows)
+    few, many = ([(r.row["row"], r.spans, r.bytes, r["items"]) for r in ordered(
+        decontaminate.find(docs, items, shard_words=n), rows)] for n in (200_000, 20))
+    assert few == many
+    clean = decontaminate.remove(decontaminate.find(docs, items, shard_words=20))
+    assert {r.clean for r in clean.collect()} == {f"{body} . End"}
+
+
 def test_decontamination_without_items(spark, edge):
     rows, docs = edge
     none = spark.createDataFrame([], "item_id long, text string")
