@@ -18,7 +18,8 @@ Defined cases
 Scale: a map over the documents, no shuffle of them. Training takes at
 most ``sample_rows`` labelled documents (the first by a hash of the id,
 so any input has the same one) and at most ``sample_lines`` lines of each;
-only line measures reach the driver. Scoring reads whole texts.
+only line measures reach the driver, of one row per document: rows that
+share an id are reduced to one on Spark. Scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -129,11 +130,11 @@ def _model(sample: list):
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
             rows: int, lines: int) -> list:
-    """(label, measures, lines) of the sampled labelled documents."""
+    """(label, measures, lines) of the sampled labelled documents, in the order of their ids."""
     agreed = (labels.select(F.col(name(id_col)).cast("long").alias("d"), F.col(name(label_col)).cast("int").alias("y"))
               .where(F.col("d").isNotNull() & F.col("y").isin(0, 1)).groupBy("d")
               .agg(F.min("y").alias("y"), F.max("y").alias("y2")).where(F.col("y") == F.col("y2")))
-    # Both sides of the join are bounded by ``rows``: the labels by the limit, the documents by the join.
+    # The labels are bounded by ``rows``; an id may still have any number of rows.
     some = agreed.orderBy(F.xxhash64("d"), "d").limit(rows).select("d", "y")
     text = docs.select(F.col(name(id_col)).cast("long").alias("d"), F.col(name(text_col)).alias("text"))
     both = text.join(F.broadcast(some), "d").select("d", "y", "text")
@@ -147,18 +148,10 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
                     [part.column("d"), part.column("y"), pa.array([m.tobytes() for m in xs], type=pa.binary()),
                      pa.array([len(m) for m in xs], type=pa.int32())], names=["d", "y", "x", "n"])
 
-    got = both.mapInArrow(run, "d long, y int, x binary, n int").collect()
-    return _in_order(got)
-
-
-def _in_order(got) -> list:
-    """Rows in an order that doesn't depend on partitions, one per document."""
-    one = {}
-    for r in got:
-        x = bytes(r.x)
-        if r.d not in one or x < one[r.d][1]:
-            one[r.d] = (r.y, x, r.n)
-    return [one[d] for d in sorted(one)]
+    # One row per document, whatever the partitions: the least measures. Partial aggregation reduces a hot id's rows.
+    one = (both.mapInArrow(run, "d long, y int, x binary, n int").groupBy("d")
+           .agg(F.min("y").alias("y"), F.min(F.struct("x", "n")).alias("m")))
+    return [(r.y, bytes(r.m.x), r.m.n) for r in sorted(one.collect(), key=lambda r: r.d)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

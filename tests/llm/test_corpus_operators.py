@@ -194,6 +194,23 @@ def test_classifier_edge_cases(spark, edge, empty):
     assert all(np.array_equal(a, b) for a, b in zip(model, again))
 
 
+def test_classifier_sample_has_one_row_per_document(spark, monkeypatch):
+    """An id that many rows share reaches the driver as one row."""
+    rows = [(1, f"line {n} of a text\nand more") for n in range(300)] + [(2, "#### $$$$"), (3, "no label")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    collected, collect = [], type(labels).collect
+
+    def counting(df):
+        out = collect(df)
+        collected.append(len(out))
+        return out
+
+    docs = make(spark, rows)
+    monkeypatch.setattr(type(labels), "collect", counting)
+    quality_classifier.fit(docs, labels)
+    assert max(collected) == 2
+
+
 def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert suffix_dedup.remove_passages(empty).count() == 0
