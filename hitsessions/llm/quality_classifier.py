@@ -17,9 +17,9 @@ Defined cases
 
 Scale: a map over the documents, no shuffle of them. Training takes at
 most ``sample_rows`` labelled documents (the first by a hash of the id,
-so any input has the same one) and at most ``sample_lines`` lines of each;
-only line measures reach the driver, of one row per document: rows that
-share an id are reduced to one on Spark. Scoring reads whole texts.
+so any input has the same one), with all their lines; only line measures
+reach the driver, of one row per document: rows that share an id are
+reduced to one on Spark. Scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ from . import crf
 from . import textkit as T
 from .rows import name
 
-#: Bound of the training sample: documents, and lines of each.
-SAMPLE_ROWS, SAMPLE_LINES = 2000, 100
+#: Bound of the training sample, in documents.
+SAMPLE_ROWS = 2000
 CHUNK = 4 << 20
 
 
@@ -129,7 +129,7 @@ def _model(sample: list):
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-            rows: int, lines: int) -> list:
+            rows: int) -> list:
     """(label, measures, lines) of the sampled labelled documents, in the order of their ids."""
     agreed = (labels.select(F.col(name(id_col)).cast("long").alias("d"), F.col(name(label_col)).cast("int").alias("y"))
               .where(F.col("d").isNotNull() & F.col("y").isin(0, 1)).groupBy("d")
@@ -143,7 +143,7 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
         for b in batches:
             for part in T.chunks(b, "text", CHUNK):
                 x, _, first = line_measures(part.column("text"))
-                xs = [x[a:min(c, a + lines)].astype("<f4") for a, c in zip(first[:-1], first[1:])]
+                xs = [x[a:c].astype("<f4") for a, c in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("d"), part.column("y"), pa.array([m.tobytes() for m in xs], type=pa.binary()),
                      pa.array([len(m) for m in xs], type=pa.int32())], names=["d", "y", "x", "n"])
@@ -155,9 +155,9 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_lines: int = SAMPLE_LINES):
+        label_col: str = "quality", sample_rows: int = SAMPLE_ROWS):
     """The model: weights and moves, learned from a bounded sample of the labelled documents."""
-    return _model(_sample(docs, labels, id_col, text_col, label_col, sample_rows, sample_lines))
+    return _model(_sample(docs, labels, id_col, text_col, label_col, sample_rows))
 
 
 def score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:

@@ -211,6 +211,13 @@ def test_classifier_sample_has_one_row_per_document(spark, monkeypatch):
     assert max(collected) == 2
 
 
+def test_classifier_trains_on_all_lines(spark, monkeypatch):
+    rows = [(1, "\n".join(f"line {n}" for n in range(150))), (2, "#### $$$$")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    monkeypatch.setattr(quality_classifier, "_model", lambda sample: sample)
+    assert [r[2] for r in quality_classifier.fit(make(spark, rows), labels)] == [150, 1]
+
+
 def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert suffix_dedup.remove_passages(empty).count() == 0
