@@ -18,9 +18,11 @@ Defined cases
 * Rows are independent: repeated rows get equal results; other columns
   are carried in ``row``.
 
-Scale: a map over the documents, no shuffle of them. Items are cut into
-shards of at most ``shard_words`` words by a hash of their text; one
-automaton per shard is broadcast, so its size is bounded. Several shards
+Scale: a map over the documents, no shuffle of them. Equal item texts are
+one, with all their ids. Items are dealt to shards of ``shard_words`` words
+by a hash of their text, long ones in pieces that overlap such that every
+window lies in one; one automaton per shard is broadcast, so its size is
+bounded whatever the length of an item. Several shards
 mean several passes over the documents, whose hit words are joined per row
 by its id and text hashes; their bytes are looked up once they are merged,
 so results don't depend on the number of shards.
@@ -34,15 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as T
-from .rows import KEY, key_of, let, name
+from .rows import KEY, key_of, let, name, written
 
 #: Bytes of words after lower-casing: a-z, 0-9 and everything beyond ASCII.
 WORD = np.zeros(256, dtype=bool)
 WORD[0x30:0x3A] = WORD[0x61:0x7B] = WORD[0x80:] = True
 WINDOW = 10
 SHARD_WORDS = 200_000
-#: Longest single item, in words: it must fit one automaton.
-MAX_ITEM_WORDS = 2_000_000
 
 
 def word_ids(text, vocab: np.ndarray):
@@ -61,7 +61,7 @@ def word_ids(text, vocab: np.ndarray):
 class SuffixAutomaton:
     """Suffix automaton of several word sequences, with the items of each window."""
 
-    def __init__(self, items: list[tuple[str | None, list[int]]], window: int):
+    def __init__(self, items: list[tuple[int, list[int]]], window: int):
         self.window = window
         self.next: list[dict[int, int]] = [{}]
         self.length, self.link = [0], [-1]
@@ -150,7 +150,7 @@ class SuffixAutomaton:
                     found |= items
 
 
-def build(items: list[tuple[str | None, str]], window: int) -> tuple[np.ndarray, SuffixAutomaton]:
+def build(items: list[tuple[int, str]], window: int) -> tuple[np.ndarray, SuffixAutomaton]:
     """Sorted word hashes of the items and the automaton over their places."""
     text = pa.array([t for _, t in items], type=pa.string())
     buf, off = T.text_bytes(text)
@@ -161,33 +161,61 @@ def build(items: list[tuple[str | None, str]], window: int) -> tuple[np.ndarray,
     return vocab, SuffixAutomaton([(items[k][0], ids[rows[k]:rows[k + 1]]) for k in range(len(items))], window)
 
 
-def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int):
-    """Lists of (id, text), each of about ``shard_words`` words at most.
-
-    Items go to shards by a hash of their text. A word takes two bytes at
-    least, with the character after it; twice as many shards as that asks
-    for keep an uneven one within the bound.
+def _cut_items(items: DataFrame, window: int, most: int) -> DataFrame:
+    """id, text of the items, those of more than ``most`` words in pieces that overlap by ``window - 1`` words."""
+    def run(batches):
+        for b in batches:
+            for part in T.chunks(b, "text") if len(b) else ():
+                buf, off = T.text_bytes(part.column("text"))
+                starts, ends, rows = T.words(T.lower_ascii(buf), off, WORD)
+                data, row, cut = buf.tobytes(), [], []
+                for r, n in enumerate(np.diff(rows).tolist()):
+                    if n <= most:
+                        row.append(r)
+                        cut.append(data[off[r]:off[r + 1]])
+                        continue
+                    # The last piece still holds a window: a shorter one would count as a whole short item.
+                    for k in range(0, n - window + 1, most - window + 1):
+                        row.append(r)
+                        cut.append(data[starts[rows[r] + k]:ends[rows[r] + min(k + most, n) - 1]])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(row)), pa.array(cut, type=pa.binary()).cast(pa.string(), safe=False)],
+                    names=["id", "text"])
+
+    return items.mapInArrow(run, "id string, text string")
+
+
+def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int, window: int):
+    """Lists of (ids, text), each of about ``shard_words`` words at most.
+
+    Items go to shards by a hash of their text, long ones in pieces of an
+    eighth of a shard. A word takes two bytes at least, with the character
+    after it; twice as many shards as that asks for keep an uneven one
+    within the bound.
     """
     items = items.select(F.col(name(id_col)).cast("string").alias("id"),
                          F.coalesce(F.col(name(text_col)), F.lit("")).alias("text"))
-    total, most = items.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
+    # Equal texts meet here, before they are dealt: copies take no room in a shard.
+    items = written(_cut_items(items, window, max(2 * window, shard_words // 8)).groupBy("text")
+                    .agg(F.collect_set("id").alias("ids")), "items")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0]
     if not total:
         return
-    if most // 2 > MAX_ITEM_WORDS:
-        raise ValueError(f"a test item of {most} bytes can't be broadcast")
     n = -(-total // shard_words) if total // 2 > shard_words else 1
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k) if n > 1 else items
         if rows := part.collect():
-            yield [(r.id, r.text) for r in rows]
+            yield [(r.ids, r.text) for r in rows]
 
 
 def _scan(docs: DataFrame, shard, text_col: str, window: int) -> DataFrame:
     """row, n_words, spans (flat first, last+1 word positions, merged), bytes (their byte bounds), items."""
-    shared = docs.sparkSession.sparkContext.broadcast(build(shard, window))
+    # The automaton knows an item by its place in the shard.
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (*build([(k, text) for k, (_, text) in enumerate(shard)], window), [ids for ids, _ in shard]))
 
     def run(batches):
-        vocab, auto = shared.value
+        vocab, auto, ids_of = shared.value
         least = auto.shortest
         for part, text in T.pieces(batches, text_col):
             starts, ends, rows, off, ids = word_ids(text, vocab)
@@ -212,7 +240,7 @@ def _scan(docs: DataFrame, shard, text_col: str, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part.column("row"), pa.array(np.diff(rows).astype(np.int64)),
                  pa.array(spans, type=pa.list_(pa.int64())), pa.array(chars, type=pa.list_(pa.int64())),
-                 pa.array([sorted(x for x in found.get(r, ()) if x is not None) for r in range(n)],
+                 pa.array([sorted({x for k in found.get(r, ()) for x in ids_of[k]}) for r in range(n)],
                           type=pa.list_(pa.string()))],
                 names=["row", "n_words", "spans", "bytes", "items"])
 
@@ -263,7 +291,7 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
     occur. With several shards of items the passes meet per row.
     """
     docs = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"))
-    passes = [_scan(docs, s, text_col, window) for s in _shards(items, item_id, item_text, shard_words)]
+    passes = [_scan(docs, s, text_col, window) for s in _shards(items, item_id, item_text, shard_words, window)]
     if not passes:
         passes = [_scan(docs, [], text_col, window)]
     if len(passes) == 1:

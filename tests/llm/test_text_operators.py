@@ -205,6 +205,26 @@ def test_decontamination_removes_touching_passages_in_any_shards(spark):
     assert {r.clean for r in clean.collect()} == {f"{body} . End"}
 
 
+def test_decontamination_long_and_repeated_items(spark, monkeypatch):
+    """A long item and many copies of one fit small shards, with the results of one large shard."""
+    words = [f"w{n}" for n in range(300)]
+    items = spark.createDataFrame([("long", " ".join(words)), (None, "no one knows this")] + [
+        (f"copy{n}", "some text that stands in fifty items") for n in range(50)], "item_id string, text string")
+    rows = [(n, f"before {' '.join(words[n:n + k])} after") for n, k in zip(range(0, 290, 7), range(2, 60))]
+    docs = make(spark, rows + [(500, "so some text that stands in fifty items is here"), (501, "no one knows this"),
+                               (502, f"{words[-2]} {words[-1]}")])
+    shards, build = [], decontaminate.build
+    monkeypatch.setattr(decontaminate, "MAX_ITEM_WORDS", 200, raising=False)
+    monkeypatch.setattr(decontaminate, "build", lambda s, w: shards.append(sum(len(t.split()) for _, t in s)) or build(s, w))
+    one, many = (sorted((r.row.doc_id, r.spans, r.bytes, r["items"]) for r in decontaminate.find(
+        docs, items, window=4, shard_words=n).collect()) for n in (200_000, 160))
+    assert one == many and len(shards) > 2 and max(shards[1:]) <= 160
+    by_id = {r[0]: r for r in one}
+    assert by_id[500][1] == [1, 8] and len(by_id[500][3]) == 50
+    assert by_id[501][1] == [0, 4] and by_id[501][3] == [] and by_id[502][1] == []
+    assert all((r[3] == ["long"]) == (len(rows[n][1].split()) >= 6) for n, r in enumerate(one[:len(rows)]))
+
+
 def test_decontamination_without_items(spark, edge):
     rows, docs = edge
     none = spark.createDataFrame([], "item_id long, text string")
