@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, line_dedup, ngram_join, pii, quality_classifier, quality_rules, substring_dedup, suffix_dedup, token_counts
+from . import (bpe, decontaminate, lexical_search, line_dedup, ngram_join, pii, quality_classifier, quality_rules,
+               substring_dedup, suffix_dedup, token_counts, url_filter)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.query,
@@ -15,9 +16,15 @@ QUERIES = {
     "op8_decontamination": decontaminate.query,
     "op9_substring_dedup": substring_dedup.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op11_lexical_search": lexical_search.query,
+    "op12_url_filter": url_filter.query,
+
 }
 
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
+    "op11_lexical_search": lexical_search.ORACLE,
+    "op12_url_filter": url_filter.ORACLE,
+
 }

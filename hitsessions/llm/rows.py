@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_work_path
+from ..session import new_work_path, remove_path
 
 NULL_ID = -(2**63)
 #: Columns of ``row_key``, and their types in a schema string.
@@ -75,4 +75,12 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = new_work_path(spark, f"{what}-{uuid.uuid4().hex[:8]}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for t in tables:
+        remove_path(t.sparkSession, t.work_path)
