@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (bpe, decontaminate, lexical_search, line_dedup, ngram_join, pii, quality_classifier, quality_rules,
+from . import (bpe, decontaminate, hard_negatives, lexical_search, line_dedup, ngram_join, pii, quality_classifier, quality_rules,
                substring_dedup, suffix_dedup, token_counts, url_filter)
 
 QUERIES = {
@@ -18,7 +18,7 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.query,
     "op11_lexical_search": lexical_search.query,
     "op12_url_filter": url_filter.query,
-
+    "op13_hard_negatives": hard_negatives.query,
 }
 
 ORACLES = {
@@ -26,5 +26,5 @@ ORACLES = {
     "op2_quality_rules": quality_rules.ORACLE,
     "op11_lexical_search": lexical_search.ORACLE,
     "op12_url_filter": url_filter.ORACLE,
-
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }

@@ -70,11 +70,14 @@ def text_columns(columns: list[str], text: Column, text_col: str = "text", chars
     return out
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written once to the shared work folder and read back (cuts the lineage)."""
+def written(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
+    """``df`` written once to the shared work folder and read back (cuts the lineage).
+
+    ``by`` is a column whose values get folders of their own.
+    """
     spark: SparkSession = df.sparkSession
     path = new_work_path(spark, f"{what}-{uuid.uuid4().hex[:8]}")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     out = spark.read.schema(df.schema).parquet(path)
     out.work_path = path
     return out
