@@ -24,6 +24,7 @@ from hitsessions.functions.params import unique_session_id
 from hitsessions.operators import upsert as U
 from hitsessions.operators.both_models import both_models
 from hitsessions.operators.compare import compare_models
+from hitsessions.operators.extract import seen_in_window
 from hitsessions.operators.first_touch import first_touch_sessions
 from hitsessions.operators.session_start import session_start_sessions
 from hitsessions.options import SessionOptions
@@ -50,6 +51,7 @@ def main(argv=None) -> int:
     ap.add_argument("--layout", default="partitioned", choices=["partitioned", "folders"])
     ap.add_argument("--daily-only", action="store_true", help="ignore intraday shards")
     ap.add_argument("--lookback-days", type=int, default=0)
+    ap.add_argument("--one-row-per-id", action="store_true", help="insert only sessions that no date of the table holds")
     ap.add_argument("--by-channel", action="store_true", help="compare per source, medium and campaign")
     ap.add_argument("--master", default=None, help="only without a submitter that sets it")
     a = ap.parse_args(argv)
@@ -61,21 +63,28 @@ def main(argv=None) -> int:
 
     spark = SparkSession.getActiveSession() if not a.master else None
     spark = spark or build_session(a.master)
-    opts = SessionOptions(mode=a.mode, include_intraday=not a.daily_only, target_lookback_days=a.lookback_days)
+    opts = SessionOptions(mode=a.mode, include_intraday=not a.daily_only, target_lookback_days=a.lookback_days,
+                          one_row_per_id=a.one_row_per_id)
     start, end = X.window_bounds(a.start, a.end)
     # Session jobs scan the days that a widened match needs as well.
     scan = U.scan_start(start, opts) if a.job in ("model1", "model2", "both") else start
     events = None if a.job == "session-ids" else _events(spark, a, scan, end)
     summary = {"job": a.job, "start": str(start), "end": str(end), "mode": a.mode}
+
+    def seen(sessions, only_starts=False):
+        """What the window itself touches, where more days were scanned."""
+        return sessions if scan == start else seen_in_window(sessions, events, start, end, opts, only_starts)
+
     if a.job == "model1":
-        U.upsert_sessions(spark, a.table, first_touch_sessions(events, scan, end, opts), start, end,
+        U.upsert_sessions(spark, a.table, seen(first_touch_sessions(events, scan, end, opts)), start, end,
                           U.MODEL1_SPEC, None, opts)
     elif a.job == "model2":
-        U.upsert_sessions(spark, a.table, session_start_sessions(events, scan, end, opts), start, end,
+        U.upsert_sessions(spark, a.table, seen(session_start_sessions(events, scan, end, opts), True), start, end,
                           U.model2_spec(opts), None, opts)
     elif a.job == "both":
         staged = new_work_path(spark, "both-models")
         m1, m2 = both_models(spark, events, scan, end, opts, staged=staged)
+        m1, m2 = seen(m1), seen(m2, True)
         U.upsert_sessions(spark, a.table, m1, start, end, U.MODEL1_SPEC, None, opts, source_staged=True)
         U.upsert_sessions(spark, a.table2, m2, start, end, U.model2_spec(opts), None, opts, source_staged=True)
         remove_path(spark, staged)

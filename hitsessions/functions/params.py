@@ -17,7 +17,7 @@ pruning narrow the Parquet read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PARAMS = "event_params"
@@ -44,9 +44,7 @@ def event_param(key: str, kind: str = "string", params="event_params", strict: b
     pos = F.array_position(keys, F.lit(key))
     value = F.get(arr["value"][f"{kind}_value"], (pos - F.lit(1)).cast("int"))
     if strict:
-        # Occurrences of the key: the size drop when all of them are removed.
-        count = F.size(keys) - F.size(F.array_remove(keys, F.lit(key)))
-        return F.when(count > 1,
+        return F.when(key_count(key, arr) > 1,
                       F.raise_error(F.lit(f"parameter {key!r} occurs more than once"))
                       ).otherwise(value)
     return value
@@ -60,6 +58,25 @@ def string_param(key: str, params="event_params", strict: bool = False) -> Colum
     return event_param(key, "string", params, strict)
 
 
+def key_count(key: str, params="event_params") -> Column:
+    """Entries of ``key`` in the array: the size drop when all of them are removed (0 without an array)."""
+    keys = _col(params)["key"]
+    return F.coalesce(F.size(keys) - F.size(F.array_remove(keys, F.lit(key))), F.lit(0))
+
+
+def duplicate_counts(events: DataFrame, keys, params: str = "event_params") -> DataFrame:
+    """key, n_events, n_duplicated: events with the key, and with more than one entry of it.
+
+    What a strict lookup would raise on, before a run with it; one pass.
+    """
+    counts = [(k, key_count(k, params)) for k in keys]
+    one = events.agg(*[f(n).alias(f"{p}_{i}") for i, (_, n) in enumerate(counts)
+                       for p, f in (("e", lambda n: F.count_if(n > 0)), ("d", lambda n: F.count_if(n > 1)))])
+    rows = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"e_{i}").alias("n_events"), F.col(f"d_{i}").alias("n_duplicated"))
+                     for i, (k, _) in enumerate(counts)])
+    return one.select(F.inline(rows))
+
+
 def unique_session_id(user_pseudo_id="user_pseudo_id", ga_session_id=None) -> Column:
     """``user_pseudo_id || '-' || ga_session_id``; NULL if either is NULL.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hitsessions.functions.clock import parse_yyyymmdd, safe_actual_ts_ms
 from hitsessions.functions.params import int_param, string_param, unique_session_id
 from hitsessions.options import SessionOptions
+from hitsessions.sources.export import events_in_window
 
 SESSION_START = "session_start"
 
@@ -69,6 +70,24 @@ def drop_null_ids(df: DataFrame, opts: SessionOptions) -> DataFrame:
     return df.where(F.col("unique_session_id").isNotNull())
 
 
+def seen_in_window(sessions: DataFrame, events: DataFrame, start, end, opts: SessionOptions,
+                   only_starts: bool = False) -> DataFrame:
+    """Sessions with an event in the shards of [start, end].
+
+    A run with a lookback builds sessions from more days than its window;
+    those that only the days before it hold are an earlier run's matter.
+    ``only_starts`` counts ``session_start`` events alone (Model 2).
+    """
+    ev = events_in_window(events, start, end, opts)
+    if only_starts:
+        ev = ev.where(F.col("event_name") == F.lit(SESSION_START))
+    # Any one match would do for the id; a strict run has raised on repeated keys already.
+    ids = ev.select(unique_session_id("user_pseudo_id", int_param("ga_session_id")).alias("_seen")).distinct()
+    same = F.col("unique_session_id").eqNullSafe(F.col("_seen")) if opts.keep_null_session_ids \
+        else F.col("unique_session_id") == F.col("_seen")
+    return sessions.join(ids, same, "left_semi")
+
+
 def attribution_params(keys, default: str | None = None, strict: bool = False) -> list[Column]:
     """String parameters as ``p_<key>``; ``strict`` raises on a duplicated
     key, as a scalar sub-select without LIMIT would."""

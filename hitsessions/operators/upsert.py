@@ -10,25 +10,26 @@ set algebra of the original ``MERGE``:
 * not matched: insert the insert columns, the others are NULL;
 * no delete: rows never leave the table, those without a date included.
 
+With ``SessionOptions.one_row_per_id`` (always with a lookback) a session
+is inserted only if the table has no row of it under any date. An index of
+the ids beside the partitions tells that (``id_index``); a row outside the
+window stays as it is, since the run has seen its session only in part.
+
 The target keeps its own schema: columns that the model doesn't know are
 carried along (NULL in inserted rows), and the id column may have another
 name (``SessionOptions.id_column``).
 
-Only the partitions of the window and of the source's dates are listed,
-read and rewritten, with dynamic partition overwrite. New files are
-written to a staging folder of the job first, so a job that fails before
-its commit leaves the table as it was. The commit itself replaces one
-partition after the other; a failure in the middle of it leaves some
-partitions replaced and possibly one missing. On object stores, where a
-rename is a copy, that moment is longer, and some of their committers
-reject dynamic overwrite. With ``stage_output=True`` the new partitions
-are kept in a table of their own until the commit has ended, and
-:func:`resume_upsert` repeats an interrupted commit from it.
+Only the partitions of the window and of the inserted dates are listed,
+read and rewritten. They are staged inside the table first and then moved
+into place under a journal (``commit``), so the next run finishes a commit
+that was interrupted, and a run that fails earlier leaves the table as it
+was.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
@@ -37,6 +38,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitsessions.operators import id_index
+from hitsessions.operators.commit import commit_staged, new_run, recover, staged_path
 from hitsessions.operators.first_touch import MODEL1_COLUMNS, run_timestamp
 from hitsessions.operators.session_start import EXTRA_CLICK_COLUMNS, MODEL2_COLUMNS
 from hitsessions.options import SessionOptions
@@ -114,9 +117,8 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     the source (or have none, like a source row) are carried along
     unchanged, since their partitions are rewritten.
 
-    With a lookback the source also holds sessions of the days before the
-    window. They update the rows that match, but are not inserted: a
-    session that began still earlier is only seen in part there.
+    A source with a column ``_held`` (``id_index.held``) inserts only the
+    rows where it is false; without it every unmatched row is inserted.
     """
     lo = _as_date(start) - dt.timedelta(days=int(target_lookback_days))
     in_window = F.coalesce(F.col("session_date").between(F.lit(lo), F.lit(_as_date(end))), F.lit(False))
@@ -125,13 +127,12 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     schema = {f.name: f.dataType for f in target.schema.fields}
 
     t = target.where(in_window).select(*[F.col(_q(c)) for c in cols], F.lit(True).alias("_t")).alias("t")
-    s = source.select(*[c for c in spec.columns if c in source.columns], F.lit(True).alias("_s")).alias("s")
+    fresh = ~F.col("_held") if "_held" in source.columns else F.lit(True)
+    s = source.select(*[c for c in spec.columns if c in source.columns], F.lit(True).alias("_s"), fresh.alias("_new")).alias("s")
     # A NULL id matches nothing: such rows come out one-sided.
     j = t.join(s, F.col(f"t.{ID}") == F.col(f"s.{ID}"), "full_outer")
     has_t, has_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
-    if target_lookback_days:
-        new = F.coalesce(F.col("s.session_date") >= F.lit(_as_date(start)), F.lit(True))
-        j = j.where(has_t | new)
+    j = j.where(has_t | F.col("s._new"))
     hit = has_t & has_s & _changed(spec)
     out = []
     for c in cols:
@@ -148,7 +149,7 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     # Partitions outside the window that inserted rows may land in: the
     # source's dates are a superset of the insert dates (a handful of
     # days), and rewriting an unchanged partition leaves it equal.
-    source_dates = source.select(F.col("session_date").alias("_date")).distinct()
+    source_dates = source.where(fresh).select(F.col("session_date").alias("_date")).distinct()
     carried = (target.where(~in_window)
                .join(source_dates, F.col("session_date").eqNullSafe(F.col("_date")), "left_semi"))
     return merged.unionByName(carried)
@@ -168,8 +169,8 @@ def _write_partitioned(df: DataFrame, path: str, mode: str, overwrite: str = "dy
 
 
 def create_sessions(df: DataFrame, path: str) -> None:
-    """Create the partitioned session table from a first load (J6);
-    an existing table at ``path`` is replaced as a whole."""
+    """Create the partitioned session table from a first load (J6); an
+    existing table at ``path`` is replaced as a whole, its id index included."""
     _write_partitioned(df, path, "overwrite", overwrite="static")
 
 
@@ -181,9 +182,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _read_target(spark: SparkSession, path: str, source: DataFrame, start, end, spec: UpsertSpec,
-                 opts: SessionOptions) -> DataFrame:
+                 opts: SessionOptions, also: set[str] = frozenset()) -> DataFrame:
     """The target's partitions that the upsert may rewrite, in its own schema.
 
+    They are those of the window (none without a ``start``), of the
+    source's dates and of the dates ``also``.
+
     One listing of the table's root; only these partitions go into the
     file index. The id column gets the models' name, columns of the spec
     that the table lacks are added as NULL.
@@ -191,8 +195,10 @@ def _read_target(spark: SparkSession, path: str, source: DataFrame, start, end,
     folders = subfolders(spark, path)
     by_value = {unquote(n[len("session_date="):]): p for n, p in folders.items() if n.startswith("session_date=")}
     # One value per calendar day reaches the driver.
-    dates = {str(r[0]) if r[0] is not None else NO_DATE for r in source.select("session_date").distinct().collect()}
-    lo, hi = str(scan_start(start, opts)), str(_as_date(end))
+    new = source.where(~F.col("_held")) if "_held" in source.columns else source
+    dates = {str(r[0]) if r[0] is not None else NO_DATE for r in new.select("session_date").distinct().collect()}
+    dates |= also
+    lo, hi = (str(scan_start(start, opts)), str(_as_date(end))) if start is not None else ("1", "0")
     needed = sorted(p for v, p in by_value.items() if v in dates or (v != NO_DATE and lo <= v <= hi))
     types = {f.name: f.dataType for f in source.schema.fields}
     some = needed or sorted(by_value.values())[-1:]
@@ -220,65 +226,128 @@ def _read_target(spark: SparkSession, path: str, source: DataFrame, start, end,
     return table
 
 
+def _indexed(spark: SparkSession, path: str, opts: SessionOptions) -> bool:
+    """Whether the run looks ids up in the whole table; makes the index of a table that has none."""
+    if not (opts.one_row_per_id or opts.target_lookback_days):
+        return id_index.has_index(spark, path)
+    if not id_index.has_index(spark, path):
+        rows = spark.createDataFrame([], f"{ID} string, session_date date")
+        if any(n.startswith("session_date=") for n in subfolders(spark, path)):
+            rows = spark.read.parquet(path).select(F.col(opts.id_column).alias(ID), F.col("session_date").cast("date"))
+        id_index.build(spark, path, rows, opts.id_buckets)
+    return True
+
+
 def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, end,
                     spec: UpsertSpec = MODEL1_SPEC, run_ts=None,
-                    opts: SessionOptions | None = None, stage_output: bool = False,
-                    source_staged: bool = False) -> dict:
+                    opts: SessionOptions | None = None, source_staged: bool = False,
+                    progress: Callable[[str], None] | None = None) -> dict:
     """Apply one upsert of ``source`` sessions for [start, end] to ``path``.
 
-    Creates the table when it does not exist. Concurrent writers to the
-    same table are not supported. ``source_staged`` says that ``source``
-    reads a written table already, which spares a second copy. Work
-    folders are removed after success; returns what was done.
+    Finishes an interrupted commit of an earlier run first, and creates
+    the table when it does not exist. Concurrent writers to the same table
+    are not supported. ``source_staged`` says that ``source`` reads a
+    written table already, which spares a second copy. ``progress`` is
+    called with each partition that was replaced. Returns what was done.
     """
     opts = opts or SessionOptions()
-    renamed = (lambda df: df.withColumnRenamed(ID, opts.id_column)) if opts.id_column != ID else (lambda df: df)
-    if not table_exists(spark, path):
-        first = source.select(*[F.col(c) if c in spec.insert else F.lit(None).cast(source.schema[c].dataType).alias(c)
-                                for c in spec.columns])
-        if opts.target_lookback_days:
-            first = first.where(F.coalesce(date_range("session_date", start), F.lit(True)))
-        create_sessions(renamed(first), path)
-        return {"created": True, "staging": None}
+    created = not table_exists(spark, path)
+    finished = None if created else recover(spark, path)
+    indexed = (opts.one_row_per_id or opts.target_lookback_days) if created else _indexed(spark, path, opts)
+    if created and indexed:
+        _indexed(spark, path, opts)
     # The source is read by several branches; stage it once in the shared
     # folder so the model is not computed twice and a lost executor
     # does not replay the whole lineage.
     src_path = None
-    if not source_staged:
+    if indexed:
+        source = id_index.held(source, id_index.read_ids(spark, path))
+    if indexed or not source_staged:
         src_path = new_work_path(spark, "upsert-source")
         source.write.mode("overwrite").parquet(src_path)
         source = spark.read.schema(source.schema).parquet(src_path)
-    target = _read_target(spark, path, source, start, end, spec, opts)
-    new = renamed(merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days))
-    staging = None
-    if stage_output:
-        staging = new_work_path(spark, "upsert-staging")
-        _write_partitioned(new, staging, "overwrite")
-        _commit_staged(spark, path, staging)
+    additions = source.where(~F.col("_held")) if indexed else None
+    if indexed and not (opts.one_row_per_id or opts.target_lookback_days):
+        # The index is kept, but this run matches the window only: an id may get a row under a second date.
+        additions = source = source.drop("_held")
+    if created:
+        new = source.select(*[F.col(c) if c in spec.insert else F.lit(None).cast(source.schema[c].dataType).alias(c)
+                              for c in spec.columns])
     else:
-        # Dynamic overwrite replaces only the partitions present in `new`.
-        _write_partitioned(new, path, "overwrite")
+        target = _read_target(spark, path, source, start, end, spec, opts)
+        new = merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days)
+    done = replace_partitions(spark, path, new, opts, additions, progress)
     if src_path:
         remove_path(spark, src_path)
-    if staging:
-        remove_path(spark, staging)
-    return {"created": False, "staging": staging}
-
-
-def _commit_staged(spark: SparkSession, path: str, staging: str) -> None:
-    if subfolders(spark, staging):
-        staged = spark.read.option("mergeSchema", "true").parquet(staging)
-        _write_partitioned(staged.withColumn("session_date", F.col("session_date").cast("date")), path, "overwrite")
+    return {"created": created, "finished": finished, "partitions": done}
 
 
-def resume_upsert(spark: SparkSession, path: str, staging: str) -> None:
-    """Repeat the commit of an upsert that was interrupted after staging (``stage_output=True``).
+def replace_sessions(spark: SparkSession, path: str, source: DataFrame, spec: UpsertSpec = MODEL1_SPEC, run_ts=None,
+                     opts: SessionOptions | None = None, progress: Callable[[str], None] | None = None) -> dict:
+    """Put whole sessions into the table: each id of ``source`` has this one row afterwards, under its own date.
 
-    It replaces the same partitions with the same rows, so it may run any
-    number of times; the staged copy is removed once it has succeeded.
+    For sessions built from their whole history (``states``), where an
+    earlier event that came late may move a session to another day. The id
+    index tells the dates of the rows to replace. The export timestamp and
+    columns that the model doesn't know stay those of the first row;
+    ``last_update_timestamp`` changes where another column of the model does.
+    Rows without an id are left out.
     """
-    _commit_staged(spark, path, staging)
-    remove_path(spark, staging)
+    opts = (opts or SessionOptions()).with_(one_row_per_id=True)
+    created = not table_exists(spark, path)
+    finished = None if created else recover(spark, path)
+    _indexed(spark, path, opts)
+    src_path = new_work_path(spark, "replace-source")
+    found = id_index.read_ids(spark, path).groupBy(ID).agg(F.collect_set(F.coalesce(F.col("session_date").cast("string"),
+                                                                                 F.lit(NO_DATE))).alias("_dates"))
+    source = source.where(F.col(ID).isNotNull()).select(*spec.columns).join(found, ID, "left")
+    source.write.mode("overwrite").parquet(src_path)
+    source = spark.read.parquet(src_path)
+    # One value per calendar day: dates that rows leave, and dates that they come to.
+    old = {r[0] for r in source.select(F.explode("_dates")).distinct().collect()}
+    rows = source.drop("_dates")
+    target = _read_target(spark, path, rows, None, None, spec, opts, also=old)
+    cols, schema = target.columns, {f.name: f.dataType for f in target.schema.fields}
+    key = rows.select(F.col(ID).alias("_id"))
+    rest = target.join(key, F.col(ID) == F.col("_id"), "left_anti")
+    # One row per id, should the table have several of one.
+    before = (target.join(key, F.col(ID) == F.col("_id"), "left_semi").groupBy(F.col(ID).alias("_id"))
+              .agg(F.min_by(F.struct(*[F.col(_q(c)) for c in cols]), "export_timestamp").alias("t")))
+    j = rows.alias("s").join(before, F.col(f"s.{ID}") == F.col("_id"), "left")
+    values = [c for c in spec.columns if c not in ("export_timestamp", spec.touch)]
+    changed = reduce(lambda a, b: a | b, [~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in values])
+    known = F.col("t").isNotNull()
+    out = []
+    for c in cols:
+        if c in values:
+            v = F.col(f"s.{c}")
+        elif c == "export_timestamp":
+            v = F.coalesce(f"t.{c}", f"s.{c}")
+        elif c == spec.touch:
+            v = F.when(known & ~changed, F.col(f"t.{c}")).otherwise(run_timestamp(run_ts))
+        else:
+            v = F.col("t." + _q(c))
+        out.append(v.cast(schema[c]).alias(c))
+    planned = {f"session_date={d}" for d in old}
+    done = replace_partitions(spark, path, rest.unionByName(j.select(*out)), opts, rows, progress, planned)
+    remove_path(spark, src_path)
+    return {"created": created, "finished": finished, "partitions": done}
+
+
+def replace_partitions(spark: SparkSession, path: str, new: DataFrame, opts: SessionOptions,
+                       additions: DataFrame | None = None, progress: Callable[[str], None] | None = None,
+                       planned: set[str] | None = None) -> list[str]:
+    """Replace the partitions that ``new`` has rows of, drop others in ``planned``; the ids of ``additions`` go into the index."""
+    run = new_run()
+    staged = staged_path(path, run)
+    if opts.id_column != ID:
+        new = new.withColumnRenamed(ID, opts.id_column)
+    _write_partitioned(new, staged, "overwrite", overwrite="static")
+    added = {}
+    if additions is not None:
+        added[f"{staged}/{id_index.FOLDER}"] = id_index.index_path(path)
+        id_index.write_ids(additions, f"{staged}/{id_index.FOLDER}", id_index.buckets_of(spark, path))
+    return commit_staged(spark, path, run, added, planned, progress)
 
 
 def merge_into_catalog_table(source: DataFrame, table: str, start, end, spec: UpsertSpec = MODEL1_SPEC,

@@ -30,6 +30,12 @@ class SessionOptions:
     # Days before the window that a run scans and matches as well, to catch
     # sessions that began before it (0 keeps the original range).
     target_lookback_days: int = 0
+    # Insert only sessions that no partition of the table has a row of (kept
+    # in an id index); off, the original's match in the window alone holds.
+    # A lookback includes it.
+    one_row_per_id: bool = False
+    # Buckets of a new id index.
+    id_buckets: int = 64
     # Name of the session id column in an existing session table.
     id_column: str = "unique_session_id"
     # Model 1 physical form: "aggregate" (min_by, map-side combine) or

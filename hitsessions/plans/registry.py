@@ -21,14 +21,17 @@ from hitsessions.functions import params as P
 from hitsessions.operators import attribution as A
 from hitsessions.operators.both_models import both_models
 from hitsessions.operators import compare as CMP
+from hitsessions.operators import states as S
 from hitsessions.operators import upsert as U
+from hitsessions.operators.extract import seen_in_window
 from hitsessions.operators.first_touch import first_touch_sessions, first_value_window
 from hitsessions.operators.session_start import (first_session_start, session_start_events,
                                                  session_start_sessions)
 from hitsessions.options import AS_WRITTEN, INTENDED, SessionOptions
 from hitsessions.plans import oracle as O
-from hitsessions.session import new_work_path
+from hitsessions.session import new_work_path, remove_path
 from hitsessions.sources import export as X
+from hitsessions.sources.ledger import REMOVED, Ledger
 from hitsessions.sources.lens import lens_events, lens_export, lens_flat
 
 FULL = (O.FULL_START, O.FULL_END)
@@ -274,6 +277,8 @@ def _merged_with(spark, sf_dir, change, back, o=SessionOptions(), load=(O.LOAD_S
     path = new_work_path(spark, "sessions-changed")
     U.create_sessions(change(first_touch_sessions(ev, *load, SessionOptions(), run_ts=O.RUN_TS_1)), path)
     src = first_touch_sessions(ev, U.scan_start(window[0], o), window[1], o, run_ts=O.RUN_TS_2)
+    if o.target_lookback_days:
+        src = seen_in_window(src, ev, *window, o)
     U.upsert_sessions(spark, path, src, *window, U.MODEL1_SPEC, O.RUN_TS_2, o)
     return comparable(back(spark.read.parquet(path)))
 
@@ -308,6 +313,154 @@ def q_merge_lookback(spark, sf_dir):
                         SessionOptions(target_lookback_days=2))
 
 
+def q_merge_late_crossing(spark, sf_dir):
+    """The days before the window were never loaded: sessions that cross into it are inserted all the same."""
+    return _merged_with(spark, sf_dir, lambda t: t, lambda t: t.select(*U.MODEL1_SPEC.columns),
+                        SessionOptions(target_lookback_days=2), load=(O.LOAD_START, O.CROSSING_END))
+
+
+def q_merge_id_index(spark, sf_dir):
+    """Four runs whose windows share days and sessions: one row per id, without a lookback."""
+    ev, o = _events(spark, sf_dir), SessionOptions(one_row_per_id=True)
+    path = new_work_path(spark, "sessions-indexed")
+    for i, window in enumerate(O.ID_WINDOWS):
+        ts = O.RUN_TS_1 if i == 0 else O.RUN_TS_2
+        U.upsert_sessions(spark, path, first_touch_sessions(ev, *window, o, run_ts=ts), *window, U.MODEL1_SPEC, ts, o)
+    return comparable(spark.read.parquet(path).select(*U.MODEL1_SPEC.columns))
+
+
+def q_merge_after_interrupted_commit(spark, sf_dir):
+    """The run stops after its first replaced partition; the next run finishes its commit and then does its own."""
+    ev, o = _events(spark, sf_dir), SessionOptions()
+    path = new_work_path(spark, "sessions-interrupted")
+    first = first_touch_sessions(ev, O.LOAD_START, O.LOAD_END, o, run_ts=O.RUN_TS_1)
+    U.upsert_sessions(spark, path, first, O.LOAD_START, O.LOAD_END, U.MODEL1_SPEC, O.RUN_TS_1, o)
+
+    def stop(partition):
+        raise InterruptedError(partition)
+
+    for progress in (stop, None):
+        src = first_touch_sessions(ev, O.MERGE_START, O.MERGE_END, o, run_ts=O.RUN_TS_2)
+        try:
+            U.upsert_sessions(spark, path, src, O.MERGE_START, O.MERGE_END, U.MODEL1_SPEC, O.RUN_TS_2, o, progress=progress)
+        except InterruptedError:
+            pass
+    return comparable(spark.read.parquet(path).select(*U.MODEL1_SPEC.columns))
+
+
+def _doubled(spark, sf_dir):
+    """Events of which every fourth has each parameter twice."""
+    return _events(spark, sf_dir).withColumn("event_params", F.when(
+        F.col("event_id") % 4 == 1, F.concat("event_params", "event_params")).otherwise(F.col("event_params")))
+
+
+def q_strict_duplicate_keys(spark, sf_dir):
+    """Per key: events that have it, events that repeat it, and whether the strict lookup raises on them."""
+    ev = _doubled(spark, sf_dir)
+    counts = P.duplicate_counts(ev, O.PARAM_KEYS)
+    raises = []
+    for k in O.PARAM_KEYS:
+        kind = "int" if k in P.INT_KEYS else "string"
+        try:
+            ev.agg(F.count(P.event_param(k, kind, strict=True))).collect()
+            raises.append((k, False))
+        except Exception as e:  # the raise is the result
+            if "occurs more than once" not in str(e):
+                raise
+            raises.append((k, True))
+    return counts.join(spark.createDataFrame(raises, "key string, strict_raises boolean"), "key")
+
+
+def _states(spark, sf_dir, each=lambda states, shards: None):
+    """A state table after four deliveries: days out of order, a day in part and then as a whole, an intraday
+    shard and then its daily one. ``each`` is called with every delivery's shards."""
+    ev = lens_events(spark, sf_dir)
+    root, states, ledger_at = (new_work_path(spark, n) for n in ("states-export", "states", "states-ledger"))
+    half, late, intraday = O.LEDGER_AGAIN, (O.LEDGER_GONE, O.LEDGER_NEW), O.LEDGER_DAILY
+    shard = F.when(F.col("suffix") == intraday, F.concat(F.lit("intraday_"), "suffix")).otherwise(F.col("suffix"))
+    deliveries = [
+        ev.where(~F.col("suffix").isin(*late) & ((F.col("suffix") != half) | (F.col("event_id") % 2 == 0))
+                 & ((F.col("suffix") != intraday) | (F.col("event_id") % 3 == 0))).withColumn("suffix", shard),
+        ev.where(F.col("suffix").isin(*late)),
+        ev.where((F.col("suffix") == half) & (F.col("event_id") % 2 == 1)),
+        ev.where(F.col("suffix") == intraday)]
+    book = Ledger(spark, root, ledger_at)
+    for i, part in enumerate(deliveries):
+        if not part.isEmpty():
+            X.write_export(part, root, mode="overwrite" if i == 0 else "append")
+        changed = book.pending()
+        gone = [s for s, c in changed.items() if c == REMOVED]
+        there = [s for s in changed if s not in gone]
+        S.update_states(spark, X.read_export(spark, root), states, there, removed=gone)
+        each(states, there)
+        book.done()
+    return states
+
+
+def q_model_from_states(spark, sf_dir, model: int = 1):
+    """Sessions of the whole window from the stored states, after late, repeated and out-of-order shards."""
+    sessions = S.sessions_from_states(spark, _states(spark, sf_dir), *FULL)[model - 1]
+    return comparable(sessions.drop("export_timestamp", "last_update_timestamp"))
+
+
+def q_sessions_replaced_from_states(spark, sf_dir):
+    """After each delivery the touched sessions are replaced as a whole: the table equals one batch over all."""
+    path = new_work_path(spark, "sessions-from-states")
+
+    def replace(states, shards):
+        U.replace_sessions(spark, path, S.touched_sessions(spark, states, shards)[0], U.MODEL1_SPEC, O.RUN_TS_2)
+
+    _states(spark, sf_dir, replace)
+    return comparable(spark.read.parquet(path).select(*U.MODEL1_SPEC.columns)
+                      .drop("export_timestamp", "last_update_timestamp"))
+
+
+def q_shard_ledger_changes(spark, sf_dir):
+    """What the ledger tells of a new export, of a changed one, and of one that is as it was."""
+    ev = lens_events(spark, sf_dir)
+    root, at = new_work_path(spark, "ledger-export"), new_work_path(spark, "ledger")
+    book, out = Ledger(spark, root, at), []
+    shard = F.when(F.col("suffix") == O.LEDGER_DAILY, F.concat(F.lit("intraday_"), "suffix")).otherwise(F.col("suffix"))
+    X.write_export(ev.where(F.col("suffix") != O.LEDGER_NEW).withColumn("suffix", shard), root)
+    for reading in (1, 2, 3):
+        if reading == 2:
+            again = ev.where(F.col("suffix").isin(O.LEDGER_AGAIN, O.LEDGER_NEW, O.LEDGER_DAILY))
+            X.write_export(again, root, mode="append")
+            remove_path(spark, f"{root}/suffix={O.LEDGER_GONE}")
+        out += [(reading, s, c) for s, c in book.pending().items()]
+        book.done()
+    return spark.createDataFrame(out, "reading int, shard string, change string")
+
+
+def q_stream_stateful(spark, sf_dir, model: str = "model1"):
+    """The stream keeps the states itself; the export arrives in two parts."""
+    from hitsessions.streaming import start_stateful
+    ev = lens_events(spark, sf_dir)
+    root, table, states, ckpt = (new_work_path(spark, n) for n in (
+        "stateful-export", "stateful-sessions", "stateful-states", "stateful-checkpoint"))
+    for part, mode in ((F.col("suffix") <= O.STREAM_SPLIT, "overwrite"), (F.col("suffix") > O.STREAM_SPLIT, "append")):
+        if ev.where(part).isEmpty():
+            continue
+        X.write_export(ev.where(part), root, mode=mode)
+        start_stateful(spark, root, table, states, model, checkpoint=ckpt, run_ts=O.RUN_TS_2).awaitTermination()
+    spec = U.MODEL1_SPEC if model == "model1" else U.model2_spec()
+    return comparable(spark.read.parquet(table).select(*spec.columns).drop("export_timestamp", "last_update_timestamp"))
+
+
+def q_stream_odd_shards(spark, sf_dir):
+    """Hourly, prefixed, short and intraday shard names: the stream rebuilds every day that a batch run would read."""
+    from hitsessions.streaming import start_incremental
+    day = F.col("suffix").substr(7, 2).cast("int")
+    named = (F.when(day == 5, F.concat("suffix", F.lit("07"))).when(day == 6, F.concat(F.lit("fresh_"), "suffix"))
+             .when(day == 7, F.concat(F.lit("intraday_"), "suffix")).when(day == 1, F.col("suffix").substr(1, 6))
+             .otherwise(F.col("suffix")))
+    root, table = new_work_path(spark, "odd-export"), new_work_path(spark, "odd-sessions")
+    X.write_export(lens_events(spark, sf_dir).withColumn("suffix", named), root)
+    start_incremental(spark, root, table, "model1", _opts(INTENDED),
+                      checkpoint=new_work_path(spark, "stream-checkpoint"), run_ts=O.RUN_TS_2).awaitTermination()
+    return comparable(spark.read.parquet(table).select(*U.MODEL1_SPEC.columns))
+
+
 def q_merge_model2_extra_urls(spark, sf_dir):
     return _merge(spark, sf_dir, 2, INTENDED, extra_click_ids=True)
 
@@ -416,6 +569,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_models_by_channel": q_compare_models_by_channel,
     "event_params_hard_cases": q_event_params_hard_cases,
     "model2_ties_as_written": q_model2_ties_as_written,
+    "merge_late_crossing": q_merge_late_crossing,
+    "merge_id_index": q_merge_id_index,
+    "merge_after_interrupted_commit": q_merge_after_interrupted_commit,
+    "strict_duplicate_keys": q_strict_duplicate_keys,
+    "model1_from_states": q_model_from_states,
+    "model2_from_states": lambda s, d: q_model_from_states(s, d, 2),
+    "sessions_replaced_from_states": q_sessions_replaced_from_states,
+    "shard_ledger_changes": q_shard_ledger_changes,
+    "stream_stateful_model1": q_stream_stateful,
+    "stream_stateful_model2": lambda s, d: q_stream_stateful(s, d, "model2"),
+    "stream_odd_shards": q_stream_odd_shards,
 }
 
 ORACLES: dict[str, str] = {
@@ -465,4 +629,15 @@ ORACLES: dict[str, str] = {
     "compare_models_by_channel": O.compare_models_by_channel(),
     "event_params_hard_cases": O.event_params_hard_cases(),
     "model2_ties_as_written": O.model2_ties_as_written(),
+    "merge_late_crossing": O.merge_late_crossing(),
+    "merge_id_index": O.merge_id_index(),
+    "merge_after_interrupted_commit": O.merge(1, False),
+    "strict_duplicate_keys": O.strict_duplicate_keys(),
+    "model1_from_states": O.sessions_without_run_times(1),
+    "model2_from_states": O.sessions_without_run_times(2),
+    "sessions_replaced_from_states": O.sessions_without_run_times(1),
+    "shard_ledger_changes": O.shard_ledger_changes(),
+    "stream_stateful_model1": O.sessions_without_run_times(1),
+    "stream_stateful_model2": O.sessions_without_run_times(2),
+    "stream_odd_shards": O.stream_odd_shards(),
 }

@@ -62,6 +62,11 @@ def _as_date(d) -> dt.date:
     return dt.date.fromisoformat(str(d))
 
 
+def _digits(d) -> str:
+    """``yyyymmdd`` (``strftime`` would not pad a year below 1000)."""
+    return _as_date(d).isoformat().replace("-", "")
+
+
 def default_window(today: dt.date | None = None) -> tuple[dt.date, dt.date]:
     """The scheduled run's window: the day before yesterday and yesterday
     (UTC), so sessions crossing midnight and late hits are rescanned."""
@@ -81,7 +86,7 @@ def shard_in_window(start, end, suffix: str = "suffix", include_intraday: bool =
     The digit run of ``intraday_20240122`` is ``20240122``, so intraday
     shards match as well unless ``include_intraday`` is off.
     """
-    lo, hi = _as_date(start).strftime("%Y%m%d"), _as_date(end).strftime("%Y%m%d")
+    lo, hi = _digits(start), _digits(end)
     cond = F.regexp_extract(F.col(suffix), "[0-9]+", 0).between(F.lit(lo), F.lit(hi))
     if not include_intraday:
         cond = cond & F.col(suffix).rlike("^[0-9]+$")
@@ -111,7 +116,7 @@ def subfolders(spark: SparkSession, root: str, required: bool = False) -> dict[s
 
 def shard_matches(shard: str, start, end, include_intraday: bool = True) -> bool:
     """Driver-side form of :func:`shard_in_window` for one shard name."""
-    lo, hi = _as_date(start).strftime("%Y%m%d"), _as_date(end).strftime("%Y%m%d")
+    lo, hi = _digits(start), _digits(end)
     if not include_intraday and not re.fullmatch("[0-9]+", shard):
         return False
     digits = re.search("[0-9]+", shard)

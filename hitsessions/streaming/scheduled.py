@@ -17,11 +17,12 @@ last committed batch; the upsert itself is idempotent for a fixed run.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hitsessions.operators import upsert as U
+from hitsessions.operators.extract import seen_in_window
 from hitsessions.operators.first_touch import first_touch_sessions
 from hitsessions.operators.session_start import session_start_sessions
 from hitsessions.options import SessionOptions
@@ -32,24 +33,59 @@ MODELS = {"model1": (first_touch_sessions, lambda o: U.MODEL1_SPEC),
           "model2": (session_start_sessions, U.model2_spec)}
 
 
+def _day_at(n: int, after: bool = False) -> dt.date | None:
+    """The last date whose digits ``yyyymmdd`` are at most ``n``; ``after``: the first one at least ``n``."""
+    y, m, d = n // 10000, min(n // 100 % 100, 13), n % 100
+    if not 1 <= y <= 9999:
+        return None
+    if m == 13 or m == 0:
+        day = dt.date(y, 12, 31) if m else dt.date(y, 1, 1) - dt.timedelta(days=1) if y > 1 else None
+    else:
+        first = dt.date(y, m, 1)
+        last = (first.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1) if (y, m) != (9999, 12) \
+            else dt.date(9999, 12, 31)
+        day = dt.date(y, m, min(d, last.day)) if d else first - dt.timedelta(days=1) if first > dt.date.min else None
+    if not after or (day is not None and int(day.isoformat().replace("-", "")) == n):
+        return day
+    if day is None:
+        return dt.date.min
+    return day + dt.timedelta(days=1) if day < dt.date.max else None
+
+
+def shard_days(shard: str | None) -> tuple[dt.date, dt.date] | None:
+    """The smallest window of days that takes a shard in, None where no window does.
+
+    Windows compare the first digit run of the name as text. A plain date
+    is its own window; ``2024010712`` lies between the texts of the 7th and
+    the 8th, ``202401`` between those of New Year's Eve and New Year. A name
+    without digits is in no window, in a batch run as here.
+    """
+    digits = re.search("[0-9]+", shard or "")
+    if digits is None:
+        return None
+    r, n = digits[0], int(digits[0][:8].ljust(8, "0"))
+    lo = _day_at(n if len(r) >= 8 else n - 1)
+    hi = _day_at(n, after=True) if len(r) <= 8 else _day_at(n + 1, after=True)
+    return None if lo is None or hi is None else (lo, hi)
+
+
 def batch_windows(batch: DataFrame, lookback_days: int = 1) -> list[tuple[dt.date, dt.date]]:
-    """Windows to rebuild for a micro-batch: the days of its shards (at
-    most one row per calendar day reaches the driver) grouped into runs
-    of consecutive days, each widened back by ``lookback_days``. A late
-    shard from weeks ago then rebuilds its own days, not every day since.
+    """Windows to rebuild for a micro-batch: the days of its shards (one
+    row per shard reaches the driver) grouped into runs of consecutive
+    days, each widened back by ``lookback_days``. A late shard from weeks
+    ago then rebuilds its own days, not every day since.
 
     The day is the shard's, as in the window filter of the reload; an
     event's own date may differ. It comes from the path, so no data
     column is read."""
-    day = F.try_to_date(F.regexp_extract("suffix", "[0-9]+", 0), "yyyyMMdd")
-    days = sorted(r.d for r in batch.select(day.alias("d")).where(F.col("d").isNotNull()).distinct().collect())
+    found = {shard_days(r.suffix) for r in batch.select("suffix").distinct().collect()}
     out: list[list[dt.date]] = []
-    for d in days:
-        lo = d - dt.timedelta(days=lookback_days)
+    for first, last in sorted(w for w in found if w):
+        lo = first - dt.timedelta(days=min(lookback_days, (first - dt.date.min).days))
         if out and lo <= out[-1][1] + dt.timedelta(days=1):
-            out[-1][1] = d
+            out[-1][1] = max(out[-1][1], last)
         else:
-            out.append([lo, d])
+            out.append([lo, last])
     return [(a, b) for a, b in out]
 
 
@@ -61,6 +97,8 @@ def upsert_window(spark: SparkSession, export_root: str, table_path: str, start,
     scan_from = U.scan_start(start, opts)
     events = read_window(spark, export_root, scan_from, end, opts.include_intraday)
     sessions = build(events, scan_from, end, opts, run_ts=run_ts)
+    if scan_from != U._as_date(start):
+        sessions = seen_in_window(sessions, events, start, end, opts, only_starts=model == "model2")
     return U.upsert_sessions(spark, table_path, sessions, start, end, spec(opts), run_ts, opts)
 
 
