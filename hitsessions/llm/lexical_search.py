@@ -245,27 +245,35 @@ class Plan:
         self.terms = [(t, q) for t, q in bag if weights.get(t)]
         self.frequent = {t: frequent[t] for t, _ in self.terms if t in frequent}
 
-    def units(self, block: _Block, joint: np.ndarray | None) -> list[tuple[int, tuple]]:
-        """(bound, terms) of single terms and of pairs, weakest first."""
+    def units(self, block: _Block, joint: np.ndarray | None) -> list[list[tuple[int, tuple]]]:
+        """Ways to bound the query in a block: lists of (bound, terms), weakest first.
+
+        One list has the terms one by one; another one, where pairs lower
+        the bound, has some of them in pairs.
+        """
         here = {t: q for t, q in self.terms if t in block.most}
-        units, paired = [], set()
+        single = {t: (q * block.most[t], ((t, q),)) for t, q in here.items()}
+        ways = [sorted(single.values())]
         both = [t for t in self.frequent if t in here] if joint is not None else []
-        if len(both) > 1:
-            at = np.array([self.frequent[t] for t in both])
-            most, q = np.array([block.most[t] for t in both]), np.array([here[t] for t in both])
-            # q1 * x + q2 * y <= min(q1, q2) * joint + what is left of the other one alone.
-            least = np.minimum.outer(q, q)
-            bound = least * joint[np.ix_(at, at)] + (q[:, None] - least) * most[:, None] + (q[None, :] - least) * most[None, :]
-            gain = np.triu((q * most)[:, None] + (q * most)[None, :] - bound, 1)
-            i, j = np.nonzero(gain > 0)
-            for x in np.argsort(-gain[i, j], kind="stable").tolist():
-                a, b = int(i[x]), int(j[x])
-                if a not in paired and b not in paired:
-                    paired |= {a, b}
-                    units.append((int(bound[a, b]), ((both[a], int(q[a])), (both[b], int(q[b])))))
-        taken = {both[i] for i in paired}
-        units += [(q * block.most[t], ((t, q),)) for t, q in here.items() if t not in taken]
-        return sorted(units)
+        if len(both) < 2:
+            return ways
+        at = np.array([self.frequent[t] for t in both])
+        most, q = np.array([block.most[t] for t in both]), np.array([here[t] for t in both])
+        # q1 * x + q2 * y <= min(q1, q2) * joint + what is left of the other one alone.
+        least = np.minimum.outer(q, q)
+        bound = least * joint[np.ix_(at, at)] + (q[:, None] - least) * most[:, None] + (q[None, :] - least) * most[None, :]
+        gain = np.triu((q * most)[:, None] + (q * most)[None, :] - bound, 1)
+        i, j = np.nonzero(gain > 0)
+        paired, pairs = set(), []
+        for x in np.argsort(-gain[i, j], kind="stable").tolist():
+            a, b = int(i[x]), int(j[x])
+            if a not in paired and b not in paired:
+                paired |= {a, b}
+                pairs.append((int(bound[a, b]), ((both[a], int(q[a])), (both[b], int(q[b])))))
+        if pairs:
+            taken = {both[i] for i in paired}
+            ways.append(sorted(pairs + [u for t, u in single.items() if t not in taken]))
+        return ways
 
 
 def _look_up(places: np.ndarray, impacts: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -275,21 +283,33 @@ def _look_up(places: np.ndarray, impacts: np.ndarray, docs: np.ndarray) -> np.nd
     return np.where(places[at] == docs, impacts[at], 0)
 
 
-def candidates(block: _Block, units: list, least: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Documents of the block that may score ``least`` or more, their scores, and how many were looked at."""
+def _split(block: _Block, units: list, least: int) -> tuple[np.ndarray, int, int] | None:
+    """Bounds of the units' prefixes, the first essential unit, and the postings from there on; None: no document can do it."""
     bounds = np.cumsum([0, *(u for u, _ in units)])
-    # Terms before this one can't lift a document to the bound all together.
-    essential = int(np.searchsorted(bounds, least, side="left")) - 1 if least > 0 else 0
-    essential = max(essential, 0)
+    if bounds[-1] < least:
+        return None
+    # The units before this one can't lift a document to the bound all together.
+    essential = max(int(np.searchsorted(bounds, least, side="left")) - 1, 0)
+    return bounds, essential, sum(len(block.places[t]) for _, terms in units[essential:] for t, _ in terms)
+
+
+def candidates(block: _Block, ways: list, least: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Documents of the block that score ``least`` (1 at least) or more, their scores, and the postings looked at.
+
+    Of the ways to bound the query the one with the fewest postings is
+    taken; if one of them rules the block out, it is skipped.
+    """
     none = np.zeros(0, dtype=np.int64)
-    if bounds[-1] < least or essential >= len(units):
+    splits = [_split(block, units, least) for units in ways]
+    if None in splits or not ways[0]:
         return none, none, 0
+    units, (bounds, essential, looked) = min(zip(ways, splits), key=lambda w: w[1][2])
     score = np.zeros(len(block.ids), dtype=np.int64)
     for _, terms in units[essential:]:
         for t, q in terms:
             score[block.places[t]] += q * block.impacts[t]
     docs = np.flatnonzero(score)
-    seen, score = len(docs), score[docs]
+    score = score[docs]
     for i in range(essential - 1, -1, -1):
         alive = score + bounds[i + 1] >= least
         docs, score = docs[alive], score[alive]
@@ -297,8 +317,8 @@ def candidates(block: _Block, units: list, least: int) -> tuple[np.ndarray, np.n
             break
         for t, q in units[i][1]:
             score = score + q * _look_up(block.places[t], block.impacts[t], docs)
-    keep = score >= max(least, 1)
-    return docs[keep], score[keep], seen
+    keep = score >= least
+    return docs[keep], score[keep], looked
 
 
 def _best(score: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
