@@ -115,7 +115,7 @@ def _block(rng, n_terms, n_docs):
 
 @pytest.mark.parametrize("seed", range(5))
 def test_pair_bounds_hold_and_skip_more(seed):
-    """No candidate is lost, whatever the threshold; pairs never look at more documents than single maxima."""
+    """No candidate is lost, whatever the threshold; with pairs never more postings are looked at."""
     rng = np.random.default_rng(seed)
     b, weights = _block(rng, 12, 80)
     dense = np.zeros((12, 80), dtype=np.int64)
@@ -125,14 +125,28 @@ def test_pair_bounds_hold_and_skip_more(seed):
     bag = tuple((t, int(rng.integers(1, 4))) for t in range(12))
     plan = L.Plan(bag, weights, {t: t for t in range(10)})
     score = sum(q * dense[t] for t, q in bag)
-    looked = [0, 0]
-    for least in [1, *np.sort(score)[::8].tolist(), int(score.max()) + 1]:
+    for least in [1, *np.sort(score)[score > 0][::4].tolist(), int(score.max()) + 1]:
         want = np.flatnonzero(score >= max(least, 1))
-        for i, pairs in enumerate((joint, None)):
+        looked = []
+        for pairs in (joint, None):
             docs, found, seen = L.candidates(b, plan.units(b, pairs), int(least))
             assert docs.tolist() == want.tolist() and found.tolist() == score[want].tolist()
-            looked[i] += seen
-    assert looked[0] <= looked[1]
+            looked.append(seen)
+        assert looked[0] <= looked[1]
+
+
+def test_a_pair_that_never_meets_rules_a_block_out():
+    """Two terms with great maxima, in different documents: single maxima let the block through, the pair doesn't."""
+    at = [np.arange(0, 40, 2, dtype=np.int32), np.arange(1, 40, 2, dtype=np.int32)]
+    rows = [{"kind": "docs", "places": np.arange(40).tobytes(), "counts": np.full(40, 30).tobytes()}]
+    rows += [{"kind": "term", "term": t, "places": at[t].tobytes(), "counts": np.full(20, 3, dtype=np.int32).tobytes()} for t in (0, 1)]
+    b = L._Block(rows, {0: 1000, 1: 1000}, 40, 1200)
+    plan = L.Plan(((0, 1), (1, 2)), {0: 1000, 1: 1000}, {0: 0, 1: 1})
+    most = b.most[0]
+    joint = np.full((2, 2), most)
+    least = 2 * most + most // 2
+    assert L.candidates(b, plan.units(b, joint), least)[2] == 0 < L.candidates(b, plan.units(b, None), least)[2]
+    assert L.candidates(b, plan.units(b, joint), 2 * most)[0].tolist() == at[1].tolist()
 
 
 # ---------------------------------------------------------------- op12
