@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitsessions.llm import bpe, decontaminate, line_dedup, ngram_join, quality_classifier
-from hitsessions.llm.rows import text_columns, unpacked, written
+from hitsessions.llm.rows import removed, text_columns, unpacked, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +68,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; each but the last is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), "stage")
+        if before is not None:
+            removed(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

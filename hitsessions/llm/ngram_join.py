@@ -39,14 +39,15 @@ import math
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import sieve
 from . import textkit as T
 from .components import components
-from .rows import KEY, KEY_SCHEMA, NULL_ID, name, row_key, unpacked, written
+from .rows import KEY, KEY_SCHEMA, NULL_ID, name, removed, row_key, unpacked, written
 from .substring_dedup import _parts, keyed
 
 SHINGLE, PERCENT = 4, 85
@@ -136,6 +137,16 @@ class Sets:
                            minlength=self.n * PARITY).reshape(self.n, PARITY) & 1
         return list(np.packbits(bits.astype(np.uint8), axis=1).view(np.int64).T)
 
+    def wide_parity(self) -> list[bytes | None]:
+        """Parity bits of the sets with more than ``PARITY`` shingles, as many as shingles or more (a power of two)."""
+        out: list[bytes | None] = [None] * self.n
+        for r in np.flatnonzero(self.size > PARITY).tolist():
+            items = self.items[self.off[r]:self.off[r + 1]]
+            bits = 1 << (len(items) - 1).bit_length()
+            place = (items & _U(bits - 1)).astype(np.int64)
+            out[r] = np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+        return out
+
     def set_of(self, r: int) -> bytes:
         return self.items[self.off[r]:self.off[r + 1]].tobytes()
 
@@ -191,16 +202,17 @@ class Sets:
 
 
 def _classes(base: DataFrame, n: int) -> DataFrame:
-    """d, t, u, n, c1, c2 and the parity bits of every row."""
+    """d, t, u, n, c1, c2 and the parity bits of every row (``wide``: those of a large set)."""
     def run(batches):
         for part in _parts(batches):
             s = Sets(part.column("text"), n)
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in KEY), pa.array(s.size.astype(np.int64)), pa.array(T.signed(s.c1)),
-                 pa.array(T.signed(s.c2)), *map(pa.array, s.parity())],
-                names=[*KEY, "n", "c1", "c2", *SKETCH])
+                 pa.array(T.signed(s.c2)), *map(pa.array, s.parity()), pa.array(s.wide_parity(), pa.binary())],
+                names=[*KEY, "n", "c1", "c2", *SKETCH, "wide"])
 
-    return base.mapInArrow(run, f"{KEY_SCHEMA}, n long, c1 long, c2 long, " + ", ".join(f"{p} long" for p in SKETCH))
+    return base.mapInArrow(run, f"{KEY_SCHEMA}, n long, c1 long, c2 long, " + ", ".join(f"{p} long" for p in SKETCH)
+                           + ", wide binary")
 
 
 def _signatures(base: DataFrame, n: int, percent: int, only=None) -> DataFrame:
@@ -220,8 +232,19 @@ def _signatures(base: DataFrame, n: int, percent: int, only=None) -> DataFrame:
     return base.select("text").mapInArrow(run, "sig long, c long")
 
 
-def _sets(base: DataFrame, n: int, wanted) -> DataFrame:
-    """c, items: the shingle sets of the classes in a sieve."""
+def _hit(wanted):
+    """A boolean column function: a sieve may hold the key."""
+    @F.pandas_udf("boolean")
+    def may(key: pd.Series) -> pd.Series:
+        return pd.Series(sieve.hit(wanted.value, key.to_numpy()))
+
+    return may
+
+
+def _sets(base: DataFrame, n: int, classes: DataFrame, wanted, bits: int) -> DataFrame:
+    """c, items: the shingle sets of the classes in a sieve, from one text of each class."""
+    texts = sieve.build(_with_key_in(classes.select("c1", "k.*"), "c1", wanted).select(F.xxhash64(*KEY).alias("key")), bits)
+
     def run(batches):
         for part in _parts(batches):
             s = Sets(part.column("text"), n)
@@ -231,7 +254,8 @@ def _sets(base: DataFrame, n: int, wanted) -> DataFrame:
                 [pa.array(T.signed(s.c1[one])), pa.array([s.set_of(r) for r in one.tolist()], type=pa.binary())],
                 names=["c", "items"])
 
-    return base.select("text").mapInArrow(run, "c long, items binary").groupBy("c").agg(F.first("items").alias("items"))
+    some = base.where(_hit(texts)(F.xxhash64(*KEY))).select("text")
+    return some.mapInArrow(run, "c long, items binary").groupBy("c").agg(F.first("items").alias("items"))
 
 
 def _with_key_in(df: DataFrame, key: str, wanted) -> DataFrame:
@@ -266,9 +290,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _sketches(classes: DataFrame, wanted) -> DataFrame:
-    """c, n and the parity bits of the classes in a sieve."""
-    cols = ["n", *SKETCH]
+def _sketches(classes: DataFrame, wanted, *more: str) -> DataFrame:
+    """c, n and the parity bits (and columns ``more``) of the classes in a sieve."""
+    cols = ["n", *SKETCH, *more]
     return written(_with_key_in(classes.select("c1", *cols), "c1", wanted)
                    .groupBy(F.col("c1").alias("c")).agg(*[F.first(c).alias(c) for c in cols]), "sketches")
 
@@ -285,11 +309,53 @@ def _may_link(percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
-def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sketches allow the similarity."""
-    x = _side(sketches, "x").withColumnRenamed("x_c", "a")
-    y = _side(sketches, "y").withColumnRenamed("y_c", "b")
-    return pairs.join(x, "a").join(y, "b").where(_may_link(percent)).select("a", "b")
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    """Parity bits of a set at fewer places: bytes that fall on one place are combined."""
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0)
+
+
+def _wide_may_link(pairs: DataFrame, percent: int) -> DataFrame:
+    """a, b of the pairs whose wide parity bits, where both ends have some, allow the similarity."""
+    def run(batches):
+        for b in batches:
+            ok = []
+            for x, y, n, m in zip(b.column("x_wide"), b.column("y_wide"), b.column("x_n").to_pylist(), b.column("y_n").to_pylist()):
+                if x.is_valid and y.is_valid:
+                    x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                    size = min(len(x), len(y))
+                    differ = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+                    ok.append((100 + percent) * differ <= (100 - percent) * (n + m))
+                else:
+                    ok.append(True)
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.select("a", "b", "x_n", "y_n", "x_wide", "y_wide").mapInArrow(run, "a long, b long")
+
+
+def _plausible(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> DataFrame:
+    """Pairs whose sketches allow the similarity, as a written table; ``pairs`` is one too and goes.
+
+    The short sketches come first. They say nothing of sets with far more
+    shingles than bits; what is left of those is tested by the wide ones,
+    which only few pairs need.
+    """
+    some = _sketches(classes, _ends(pairs, bits))
+    x = _side(some, "x").withColumnRenamed("x_c", "a")
+    y = _side(some, "y").withColumnRenamed("y_c", "b")
+    near = written(pairs.join(x, "a").join(y, "b").where(_may_link(percent)).select("a", "b"), "near")
+    removed(pairs, some)
+    return _widely(near, classes, percent, bits)
+
+
+def _widely(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> DataFrame:
+    """Pairs whose wide sketches allow the similarity, as a written table; ``pairs`` is one too and goes."""
+    some = _with_key_in(classes.select("c1", "n", "wide"), "c1", _ends(pairs, bits))
+    some = written(some.groupBy(F.col("c1").alias("c")).agg(F.first("n").alias("n"), F.first("wide").alias("wide")), "wide")
+    x = _side(some, "x").withColumnRenamed("x_c", "a")
+    y = _side(some, "y").withColumnRenamed("y_c", "b")
+    out = written(_wide_may_link(pairs.join(x, "a").join(y, "b"), percent), "plausible")
+    removed(pairs, some)
+    return out
 
 
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -302,7 +368,8 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     base = keyed(docs, id_col, text_col)
     rows = written(_classes(base, shingle), "rows")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(
-        F.min("d").alias("least"), *[F.first(c).alias(c) for c in ("n", *SKETCH)]), "classes")
+        F.min("d").alias("least"), F.min(F.struct(*KEY)).alias("k"),
+        *[F.first(c).alias(c) for c in ("n", *SKETCH, "wide")]), "classes")
 
     shared = written(_signatures(base, shingle, percent).groupBy("sig")
                      .agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last")
@@ -310,60 +377,72 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     passing = sieve.build(shared.select(F.col("sig").alias("key")), bits)
     # Repeats go before the join: an aggregate on top of it would keep Spark from splitting a skewed signature.
     held = written(_signatures(base, shingle, percent, passing).distinct().join(shared, "sig"), "holders")
+    removed(shared)
 
     star = written(held.where("c != hub").select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct(), "candidates")
-    star = written(_plausible(star, _sketches(classes, _ends(star, bits)), percent), "star")
-    sets = written(_sets(base, shingle, _ends(star, bits)), "sets")
+    star = _plausible(star, classes, percent, bits)
+    sets = written(_sets(base, shingle, classes, _ends(star, bits), bits), "sets")
     # One comparison per class first; what it links needs no other.
     first = star.groupBy("a").agg(F.min("b").alias("b"))
     links = written(_linked(first, sets, percent), "links")
     labels = components(links)
     rest = written(_apart(star.join(first, ["a", "b"], "left_anti"), labels), "rest")
     if not rest.isEmpty():
-        links = written(links.union(_linked(rest, _with_key_in(sets, "c", _ends(rest, bits)), percent)), "links")
-        labels = components(links)
+        links, labels = _joined_by(links, labels, _linked(rest, _with_key_in(sets, "c", _ends(rest, bits)), percent))
+    removed(star, sets, rest)
 
     # Signatures whose classes are still in different components. A few rounds with another class of each signature
     # as its hub join most of them, one comparison per class and round.
     for turn in range(TURNS):
         named = written(_open(held, labels), "open")
         if named.isEmpty():
+            removed(named)
             break
         rank = F.xxhash64(F.lit(turn), "c")
         hubs = named.groupBy("sig").agg(F.min_by("c", rank).alias("hub"), F.min_by("label", rank).alias("hub_label"))
         pairs = named.join(hubs, "sig").where(F.col("label") != F.col("hub_label")).select(
             F.col("c").alias("a"), F.col("hub").alias("b")).distinct()
-        pairs = written(pairs, "candidates")
-        pairs = _plausible(pairs, _sketches(classes, _ends(pairs, bits)), percent)
-        pairs = written(pairs.groupBy("a").agg(F.min("b").alias("b")), "pairs")
-        if pairs.isEmpty():
-            continue
-        sets = written(_sets(base, shingle, _ends(pairs, bits)), "sets")
-        links = written(links.union(_linked(pairs, sets, percent)), "links")
-        labels = components(links)
+        near = _plausible(written(pairs, "candidates"), classes, percent, bits)
+        pairs = written(near.groupBy("a").agg(F.min("b").alias("b")), "pairs")
+        removed(named, near)
+        if not pairs.isEmpty():
+            sets = written(_sets(base, shingle, classes, _ends(pairs, bits), bits), "sets")
+            links, labels = _joined_by(links, labels, _linked(pairs, sets, percent))
+            removed(sets)
+        removed(pairs)
 
     # What is left is compared across components; the sketches go along, so that the join itself lets only
     # plausible pairs through.
     named = written(_open(held, labels), "open")
     if not named.isEmpty():
         some = _sketches(classes, sieve.build(named.select(F.col("c").alias("key")).distinct(), bits))
-        named = written(named.join(some, "c"), "open")
-        cross = _side(named, "x").join(
-            _side(named, "y"), (F.col("x_sig") == F.col("y_sig")) & (F.col("x_c") < F.col("y_c"))
+        wide = written(named.join(some, "c"), "open")
+        cross = _side(wide, "x").join(
+            _side(wide, "y"), (F.col("x_sig") == F.col("y_sig")) & (F.col("x_c") < F.col("y_c"))
             & (F.col("x_label") != F.col("y_label")) & _may_link(percent))
         cross = written(cross.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct(), "cross")
-        links = written(links.union(_linked(cross, written(_sets(base, shingle, _ends(cross, bits)), "sets"), percent)),
-                        "links")
-        labels = components(links)
+        cross = _widely(cross, classes, percent, bits)
+        sets = written(_sets(base, shingle, classes, _ends(cross, bits), bits), "sets")
+        links, labels = _joined_by(links, labels, _linked(cross, sets, percent))
+        removed(some, wide, cross, sets)
+    removed(named, held, links)
 
     whole = classes.join(labels, classes.c1 == labels.node, "left").select(
         "c1", "c2", "least", F.coalesce("label", "c1").alias("label"))
     smallest = whole.groupBy("label").agg(F.min("least").alias("component"))
     named = written(whole.join(smallest, "label").select("c1", "c2", "component", "label"), "components")
+    removed(classes, labels)
     return (rows.join(named, ["c1", "c2"], "left")
             .select(*KEY, F.col("n").alias("n_shingles"), F.coalesce("component", "d").alias("component"), "label"))
 
 
+def _joined_by(links: DataFrame, labels: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links with ``more`` of them, and the components; the old tables go."""
+    both = written(links.union(more), "links")
+    removed(links, labels)
+    return both, components(both)
+
+
 def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
     """sig, c, label of the signatures whose classes are in different components."""
     named = held.join(labels, held.c == labels.node, "left").select("sig", "c", F.coalesce("label", "c").alias("label"))
@@ -378,14 +457,24 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows that share this id, one stays. Documents without words all stay.
     """
     found = written(members(docs, id_col, text_col, shingle, percent, bits), "members")
-    keeper = found.where("label is not null").groupBy("label").agg(F.min(F.struct(*KEY)).alias("k"))
-    stay = written(keeper.select("k.*").union(found.where("label is null").select(*KEY)).distinct(), "stay")
+    named = found.where("label is not null")
+    keeper = named.groupBy("label").agg(F.min(F.struct(*KEY)).alias("k")).select("k.*", F.lit(True).alias("keeper"))
+    keys = named.groupBy(*KEY).agg(F.count("*").alias("n"))  # rows with words, so that each has one label
+    keys = keys.join(keeper, KEY, "left").select(*KEY, "n", F.coalesce("keeper", F.lit(False)).alias("keeper"))
+    # Most rows stay, and are alone under their key: they pass without a shuffle. A sieve of the others' keys tells.
+    other = written(keys.where("not keeper or n > 1"), "others")
+    hashed = F.xxhash64(*KEY)
+    may = _hit(sieve.build(other.select(hashed.alias("key")), bits))
     rows = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"), *row_key(docs, id_col, text_col))
-    # Repeats of one row meet in the shuffle of the join; the first of them stays, unless it has no words.
-    first = F.row_number().over(Window.partitionBy(*KEY).orderBy("empty"))
-    kept = (rows.withColumn("empty", ~F.coalesce(F.col("row." + name(text_col)), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-            .join(stay, KEY, "left_semi").withColumn("nth", first).where(F.col("empty") | (F.col("nth") == 1)))
-    return unpacked(kept, docs.columns)
+    rows = rows.withColumn("may", may(hashed))
+    clear = rows.where("not may").select("row")
+    # The doubtful rows that stay; those that repeat a row are reduced to one, map-side first.
+    doubt = written(rows.where("may").join(other, KEY, "left").where("coalesce(keeper, true)")
+                    .select("row", *KEY, "n"), "doubtful")
+    removed(found, other)
+    once = doubt.where("n is null").select("row")
+    again = doubt.where("n is not null").groupBy(*KEY).agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return unpacked(clear.union(once).union(again), docs.columns)
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

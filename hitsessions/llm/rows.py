@@ -83,6 +83,12 @@ def written(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
     return out
 
 
+def kept(df: DataFrame, table: DataFrame) -> DataFrame:
+    """``df``, a view of the written ``table``, to be removed in its place."""
+    df.work_path = table.work_path
+    return df
+
+
 def removed(*tables: DataFrame) -> None:
     """Delete tables of :func:`written` that nothing reads any more."""
     for t in tables:
