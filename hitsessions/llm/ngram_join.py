@@ -241,9 +241,11 @@ def _hit(wanted):
     return may
 
 
-def _sets(base: DataFrame, n: int, classes: DataFrame, wanted, bits: int) -> DataFrame:
-    """c, items: the shingle sets of the classes in a sieve, from one text of each class."""
-    texts = sieve.build(_with_key_in(classes.select("c1", "k.*"), "c1", wanted).select(F.xxhash64(*KEY).alias("key")), bits)
+def _sets(base: DataFrame, n: int, classes: DataFrame, pairs: DataFrame, bits: int) -> DataFrame:
+    """c, items: the shingle sets of the classes of some pairs, from one text of each class; a written table."""
+    wanted, ends = _ends(pairs, bits)
+    keys = _with_key_in(classes.select("c1", "k.*"), "c1", wanted).select(F.xxhash64(*KEY).alias("key"))
+    texts = sieve.build(keys, bits, 2 * ends)
 
     def run(batches):
         for part in _parts(batches):
@@ -255,7 +257,10 @@ def _sets(base: DataFrame, n: int, classes: DataFrame, wanted, bits: int) -> Dat
                 names=["c", "items"])
 
     some = base.where(_hit(texts)(F.xxhash64(*KEY))).select("text")
-    return some.mapInArrow(run, "c long, items binary").groupBy("c").agg(F.first("items").alias("items"))
+    out = written(some.mapInArrow(run, "c long, items binary").groupBy("c").agg(F.first("items").alias("items")), "sets")
+    wanted.destroy()
+    texts.destroy()
+    return out
 
 
 def _with_key_in(df: DataFrame, key: str, wanted) -> DataFrame:
@@ -269,8 +274,9 @@ def _with_key_in(df: DataFrame, key: str, wanted) -> DataFrame:
 
 
 def _ends(pairs: DataFrame, bits: int):
-    """Sieve of the classes of some pairs."""
-    return sieve.build(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), bits)
+    """Sieve of the classes of some pairs (a written table), and how many they are at most."""
+    n = 2 * pairs.count()
+    return sieve.build(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), bits, n), n
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -290,11 +296,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _sketches(classes: DataFrame, wanted, *more: str) -> DataFrame:
-    """c, n and the parity bits (and columns ``more``) of the classes in a sieve."""
-    cols = ["n", *SKETCH, *more]
-    return written(_with_key_in(classes.select("c1", *cols), "c1", wanted)
-                   .groupBy(F.col("c1").alias("c")).agg(*[F.first(c).alias(c) for c in cols]), "sketches")
+def _sketches(classes: DataFrame, wanted, cols: list[str]) -> DataFrame:
+    """c and ``cols`` of the classes in a sieve, which goes; a written table."""
+    out = written(_with_key_in(classes.select("c1", *cols), "c1", wanted)
+                  .groupBy(F.col("c1").alias("c")).agg(*[F.first(c).alias(c) for c in cols]), "sketches")
+    wanted.destroy()
+    return out
 
 
 def _side(df: DataFrame, side: str) -> DataFrame:
@@ -339,7 +346,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) ->
     shingles than bits; what is left of those is tested by the wide ones,
     which only few pairs need.
     """
-    some = _sketches(classes, _ends(pairs, bits))
+    some = _sketches(classes, _ends(pairs, bits)[0], ["n", *SKETCH])
     x = _side(some, "x").withColumnRenamed("x_c", "a")
     y = _side(some, "y").withColumnRenamed("y_c", "b")
     near = written(pairs.join(x, "a").join(y, "b").where(_may_link(percent)).select("a", "b"), "near")
@@ -349,8 +356,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) ->
 
 def _widely(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> DataFrame:
     """Pairs whose wide sketches allow the similarity, as a written table; ``pairs`` is one too and goes."""
-    some = _with_key_in(classes.select("c1", "n", "wide"), "c1", _ends(pairs, bits))
-    some = written(some.groupBy(F.col("c1").alias("c")).agg(F.first("n").alias("n"), F.first("wide").alias("wide")), "wide")
+    some = _sketches(classes, _ends(pairs, bits)[0], ["n", "wide"])
     x = _side(some, "x").withColumnRenamed("x_c", "a")
     y = _side(some, "y").withColumnRenamed("y_c", "b")
     out = written(_wide_may_link(pairs.join(x, "a").join(y, "b"), percent), "plausible")
@@ -374,21 +380,22 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     shared = written(_signatures(base, shingle, percent).groupBy("sig")
                      .agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last")
                      .select("sig", "hub"), "signatures")
-    passing = sieve.build(shared.select(F.col("sig").alias("key")), bits)
+    passing = sieve.build(shared.select(F.col("sig").alias("key")), bits, shared.count())
     # Repeats go before the join: an aggregate on top of it would keep Spark from splitting a skewed signature.
     held = written(_signatures(base, shingle, percent, passing).distinct().join(shared, "sig"), "holders")
     removed(shared)
+    passing.destroy()
 
     star = written(held.where("c != hub").select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct(), "candidates")
     star = _plausible(star, classes, percent, bits)
-    sets = written(_sets(base, shingle, classes, _ends(star, bits), bits), "sets")
+    sets = _sets(base, shingle, classes, star, bits)
     # One comparison per class first; what it links needs no other.
     first = star.groupBy("a").agg(F.min("b").alias("b"))
     links = written(_linked(first, sets, percent), "links")
     labels = components(links)
     rest = written(_apart(star.join(first, ["a", "b"], "left_anti"), labels), "rest")
     if not rest.isEmpty():
-        links, labels = _joined_by(links, labels, _linked(rest, _with_key_in(sets, "c", _ends(rest, bits)), percent))
+        links, labels = _joined_by(links, labels, _linked(rest, sets, percent))
     removed(star, sets, rest)
 
     # Signatures whose classes are still in different components. A few rounds with another class of each signature
@@ -406,7 +413,7 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
         pairs = written(near.groupBy("a").agg(F.min("b").alias("b")), "pairs")
         removed(named, near)
         if not pairs.isEmpty():
-            sets = written(_sets(base, shingle, classes, _ends(pairs, bits), bits), "sets")
+            sets = _sets(base, shingle, classes, pairs, bits)
             links, labels = _joined_by(links, labels, _linked(pairs, sets, percent))
             removed(sets)
         removed(pairs)
@@ -415,14 +422,15 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     # plausible pairs through.
     named = written(_open(held, labels), "open")
     if not named.isEmpty():
-        some = _sketches(classes, sieve.build(named.select(F.col("c").alias("key")).distinct(), bits))
+        open_classes = sieve.build(named.select(F.col("c").alias("key")).distinct(), bits, named.count())
+        some = _sketches(classes, open_classes, ["n", *SKETCH])
         wide = written(named.join(some, "c"), "open")
         cross = _side(wide, "x").join(
             _side(wide, "y"), (F.col("x_sig") == F.col("y_sig")) & (F.col("x_c") < F.col("y_c"))
             & (F.col("x_label") != F.col("y_label")) & _may_link(percent))
         cross = written(cross.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct(), "cross")
         cross = _widely(cross, classes, percent, bits)
-        sets = written(_sets(base, shingle, classes, _ends(cross, bits), bits), "sets")
+        sets = _sets(base, shingle, classes, cross, bits)
         links, labels = _joined_by(links, labels, _linked(cross, sets, percent))
         removed(some, wide, cross, sets)
     removed(named, held, links)
@@ -464,7 +472,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Most rows stay, and are alone under their key: they pass without a shuffle. A sieve of the others' keys tells.
     other = written(keys.where("not keeper or n > 1"), "others")
     hashed = F.xxhash64(*KEY)
-    may = _hit(sieve.build(other.select(hashed.alias("key")), bits))
+    may = _hit(sieve.build(other.select(hashed.alias("key")), bits, other.count()))
     rows = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"), *row_key(docs, id_col, text_col))
     rows = rows.withColumn("may", may(hashed))
     clear = rows.where("not may").select("row")

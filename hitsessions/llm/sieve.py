@@ -18,8 +18,15 @@ SIEVE_BITS = 27
 _BLOCK = 15  # bits of a block's index space: bitmap_construct_agg makes blocks of 32768 bits
 
 
-def build(keys: DataFrame, bits: int = SIEVE_BITS):
-    """Broadcast bytes of the sieve over the long column ``key``."""
+def build(keys: DataFrame, bits: int = SIEVE_BITS, at_most: int | None = None):
+    """Broadcast bytes of the sieve over the long column ``key``.
+
+    Where the number of keys is known to be ``at_most`` so many, the sieve
+    is no larger than they need (16 to 32 bits a key). Destroy the
+    broadcast once nothing uses it any more.
+    """
+    if at_most is not None:
+        bits = min(bits, max(_BLOCK, (16 * at_most).bit_length()))
     place = F.pmod(F.col("key"), F.lit(1 << bits))
     blocks = (keys.select(F.shiftright(place, _BLOCK).alias("block"),
                           place.bitwiseAND((1 << _BLOCK) - 1).alias("bit"))
