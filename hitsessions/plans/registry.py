@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from hitsessions.functions import clock as C
 from hitsessions.functions import params as P
+from hitsessions.functions import sql_tables as T_
 from hitsessions.operators import attribution as A
 from hitsessions.operators.both_models import both_models
 from hitsessions.operators import compare as CMP
@@ -447,6 +448,26 @@ def q_stream_stateful(spark, sf_dir, model: str = "model1"):
     return comparable(spark.read.parquet(table).select(*spec.columns).drop("export_timestamp", "last_update_timestamp"))
 
 
+def _from_sql(spark, sf_dir, statement: str):
+    """A query in SQL alone, over the table functions of the jobs; ``{days}`` stands for the whole range."""
+    _events(spark, sf_dir).createOrReplaceTempView("export_events")
+    T_.register_table_functions(spark, "export_events")
+    days = f"DATE'{FULL[0]}', DATE'{FULL[1]}'"
+    return spark.sql(" UNION ALL ".join(statement.format(days=days, mode=m) for m in (INTENDED, AS_WRITTEN)))
+
+
+def q_sql_model1_sessions(spark, sf_dir):
+    return comparable(_from_sql(spark, sf_dir, "SELECT '{mode}' AS mode, * FROM model1_sessions({days}, '{mode}')"))
+
+
+def q_sql_model2_sessions(spark, sf_dir):
+    return comparable(_from_sql(spark, sf_dir, "SELECT '{mode}' AS mode, * FROM model2_sessions({days}, '{mode}')"))
+
+
+def q_sql_model_comparison(spark, sf_dir):
+    return _from_sql(spark, sf_dir, "SELECT '{mode}' AS mode, * FROM model_comparison({days}, '{mode}')")
+
+
 def q_stream_odd_shards(spark, sf_dir):
     """Hourly, prefixed, short and intraday shard names: the stream rebuilds every day that a batch run would read."""
     from hitsessions.streaming import start_incremental
@@ -580,6 +601,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_stateful_model1": q_stream_stateful,
     "stream_stateful_model2": lambda s, d: q_stream_stateful(s, d, "model2"),
     "stream_odd_shards": q_stream_odd_shards,
+    "sql_model1_sessions": q_sql_model1_sessions,
+    "sql_model2_sessions": q_sql_model2_sessions,
+    "sql_model_comparison": q_sql_model_comparison,
 }
 
 ORACLES: dict[str, str] = {
@@ -640,4 +664,7 @@ ORACLES: dict[str, str] = {
     "stream_stateful_model1": O.sessions_without_run_times(1),
     "stream_stateful_model2": O.sessions_without_run_times(2),
     "stream_odd_shards": O.stream_odd_shards(),
+    "sql_model1_sessions": O.in_both_modes(O.model1_sessions),
+    "sql_model2_sessions": O.in_both_modes(O.model2_sessions),
+    "sql_model_comparison": O.in_both_modes(O.compare_models),
 }
