@@ -39,7 +39,6 @@ import math
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -234,9 +233,9 @@ def _signatures(base: DataFrame, n: int, percent: int, only=None) -> DataFrame:
 
 def _hit(wanted):
     """A boolean column function: a sieve may hold the key."""
-    @F.pandas_udf("boolean")
-    def may(key: pd.Series) -> pd.Series:
-        return pd.Series(sieve.hit(wanted.value, key.to_numpy()))
+    @F.arrow_udf("boolean")
+    def may(key: pa.Array) -> pa.Array:
+        return pa.array(sieve.hit(wanted.value, np.array(key, dtype=np.int64)))
 
     return may
 
@@ -248,7 +247,9 @@ def _sets(base: DataFrame, n: int, classes: DataFrame, pairs: DataFrame, bits: i
     texts = sieve.build(keys, bits, 2 * ends)
 
     def run(batches):
-        for part in _parts(batches):
+        # Most texts are left out by their key, before any of their words is looked at.
+        some = (b.filter(pa.array(sieve.hit(texts.value, np.array(b.column("key"), dtype=np.int64)))) for b in batches)
+        for part in _parts(some):
             s = Sets(part.column("text"), n)
             full = np.flatnonzero((s.size > 0) & sieve.hit(wanted.value, s.c1))
             one = full[np.unique(s.c1[full], return_index=True)[1]]
@@ -256,8 +257,8 @@ def _sets(base: DataFrame, n: int, classes: DataFrame, pairs: DataFrame, bits: i
                 [pa.array(T.signed(s.c1[one])), pa.array([s.set_of(r) for r in one.tolist()], type=pa.binary())],
                 names=["c", "items"])
 
-    some = base.where(_hit(texts)(F.xxhash64(*KEY))).select("text")
-    out = written(some.mapInArrow(run, "c long, items binary").groupBy("c").agg(F.first("items").alias("items")), "sets")
+    keyed_texts = base.select(F.xxhash64(*KEY).alias("key"), "text")
+    out = written(keyed_texts.mapInArrow(run, "c long, items binary").groupBy("c").agg(F.first("items").alias("items")), "sets")
     wanted.destroy()
     texts.destroy()
     return out
