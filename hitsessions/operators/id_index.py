@@ -71,7 +71,12 @@ def read_ids(spark: SparkSession, table: str) -> DataFrame:
     return out
 
 
-def held(source: DataFrame, ids: DataFrame) -> DataFrame:
-    """``source`` with ``_held``: whether the table has a row of the session."""
+def held(source: DataFrame, ids: DataFrame, buckets: int) -> DataFrame:
+    """``source`` with ``_held``: whether the table has a row of the session.
+
+    The source is dealt out as the index is, whatever the session's number
+    of shuffle partitions; with another number both sides would be.
+    """
     known = ids.groupBy(ID).agg(F.lit(True).alias("_held"))
-    return source.join(known, ID, "left").withColumn("_held", F.coalesce("_held", F.lit(False)))
+    return (source.repartition(buckets, ID).join(known, ID, "left")
+            .withColumn("_held", F.coalesce("_held", F.lit(False))))

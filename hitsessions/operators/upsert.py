@@ -261,7 +261,7 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
     # does not replay the whole lineage.
     src_path = None
     if indexed:
-        source = id_index.held(source, id_index.read_ids(spark, path))
+        source = id_index.held(source, id_index.read_ids(spark, path), id_index.buckets_of(spark, path))
     if indexed or not source_staged:
         src_path = new_work_path(spark, "upsert-source")
         source.write.mode("overwrite").parquet(src_path)
@@ -300,7 +300,8 @@ def replace_sessions(spark: SparkSession, path: str, source: DataFrame, spec: Up
     src_path = new_work_path(spark, "replace-source")
     found = id_index.read_ids(spark, path).groupBy(ID).agg(F.collect_set(F.coalesce(F.col("session_date").cast("string"),
                                                                                  F.lit(NO_DATE))).alias("_dates"))
-    source = source.where(F.col(ID).isNotNull()).select(*spec.columns).join(found, ID, "left")
+    source = (source.where(F.col(ID).isNotNull()).select(*spec.columns)
+              .repartition(id_index.buckets_of(spark, path), ID).join(found, ID, "left"))
     source.write.mode("overwrite").parquet(src_path)
     source = spark.read.parquet(src_path)
     # One value per calendar day: dates that rows leave, and dates that they come to.

@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from hitsessions.operators import commit as C
+from hitsessions.operators import id_index as I
 from hitsessions.operators import upsert as U
 from hitsessions.operators.first_touch import first_touch_sessions
 from hitsessions.operators.session_start import session_start_sessions
@@ -117,12 +119,16 @@ def test_session_across_midnight(spark, days, rows):
     assert got == rows
 
 
+def _shards_of(spark, name, *events):
+    root, path = new_work_path(spark, name + "-export"), new_work_path(spark, name)
+    X.write_export(make_events(spark, list(events)), root)
+    return root, path
+
+
 def test_lookback_inserts_no_partial_session(spark):
     """A session from before the scanned days is seen in part only; its row stays the one it had."""
-    ev = make_events(spark, [_crossing("20240113", 23, "newsletter", 1), _crossing("20240114", 1, "google", 1),
-                             _crossing("20240115", 1, "bing", 1), _crossing("20240115", 2, "new", 2)])
-    root, path = new_work_path(spark, "crossing-export"), new_work_path(spark, "crossing")
-    X.write_export(ev, root)
+    root, path = _shards_of(spark, "partial", _crossing("20240113", 23, "newsletter", 1), _crossing("20240114", 1, "google", 1),
+                            _crossing("20240115", 1, "bing", 1), _crossing("20240115", 2, "new", 2))
     upsert_window(spark, root, path, "2024-01-13", "2024-01-14", run_ts="2024-01-15 06:00:00")
     upsert_window(spark, root, path, "2024-01-15", "2024-01-16", opts=SessionOptions(target_lookback_days=1),
                   run_ts="2024-01-17 06:00:00")
@@ -130,40 +136,166 @@ def test_lookback_inserts_no_partial_session(spark):
     assert got == [(13, "newsletter"), (15, "new")]
 
 
-def test_target_schema_is_checked(spark, ev):
-    o = SessionOptions()
-    path = new_work_path(spark, "wrong-type")
-    first = first_touch_sessions(ev, *LOAD, o, run_ts="2024-01-17 06:00:00")
-    U.create_sessions(first.withColumn("session_term", F.lit(1)), path)
-    with pytest.raises(ValueError, match="session_term"):
-        U.upsert_sessions(spark, path, first, *LOAD, U.MODEL1_SPEC, None, o)
-    with pytest.raises(ValueError, match="no id column"):
-        U.upsert_sessions(spark, path, first, *LOAD, U.MODEL1_SPEC, None, SessionOptions(id_column="other"))
-
-
-def test_interrupted_commit_is_resumed(spark, ev, monkeypatch):
-    """The commit fails after staging: the table is whole, and the staged copy finishes the run."""
-    o = SessionOptions()
+@pytest.mark.parametrize("days", [0, 1, 2])
+def test_lookback_loses_no_session(spark, days):
+    """A session with an event before the window that no run has stored is inserted, whatever the lookback."""
+    root, path = _shards_of(spark, "late", _crossing("20240113", 3, "old", 1), _crossing("20240114", 5, "mid", 2),
+                            _crossing("20240115", 1, "mid", 2), _crossing("20240115", 2, "new", 3))
+    upsert_window(spark, root, path, "2024-01-13", "2024-01-13", run_ts="2024-01-14 06:00:00")
+    upsert_window(spark, root, path, "2024-01-15", "2024-01-15", opts=SessionOptions(target_lookback_days=days),
+                  run_ts="2024-01-16 06:00:00")
+    got = sorted((r.unique_session_id, r.session_date.day) for r in spark.read.parquet(path).collect())
+    assert got == [("u-1", 13), ("u-2", 14 if days else 15), ("u-3", 15)]
+
+
+def test_lookback_leaves_out_what_only_the_days_before_hold(spark):
+    """A first load: sessions of the lookback's days alone belong to another run."""
+    root, path = _shards_of(spark, "before", _crossing("20240114", 5, "before", 1), _crossing("20240115", 2, "in", 2))
+    upsert_window(spark, root, path, "2024-01-15", "2024-01-15", opts=SessionOptions(target_lookback_days=1))
+    assert [r.unique_session_id for r in spark.read.parquet(path).collect()] == ["u-2"]
+
+
+def test_one_row_per_id_over_runs(spark):
+    """Runs far apart see parts of one session: the index finds its row under any date."""
+    root, path = _shards_of(spark, "indexed", _crossing("20240103", 3, "first", 1), _crossing("20240110", 5, "again", 1),
+                            _crossing("20240120", 1, "later", 1), _crossing("20240120", 2, "new", 2))
+    o = SessionOptions(one_row_per_id=True, id_buckets=4)
+    for day in ("2024-01-03", "2024-01-10", "2024-01-20"):
+        upsert_window(spark, root, path, day, day, opts=o, run_ts="2024-01-21 06:00:00")
+    got = sorted((r.unique_session_id, r.session_date.day, r.session_source) for r in spark.read.parquet(path).collect())
+    assert got == [("u-1", 3, "first"), ("u-2", 20, "new")]
+    assert sorted(r.unique_session_id for r in I.read_ids(spark, path).collect()) == ["u-1", "u-2"]
+
+
+def test_index_is_made_for_a_table_without_one(spark, ev):
+    path = new_work_path(spark, "no-index")
+    U.create_sessions(first_touch_sessions(ev, *LOAD, SessionOptions(), run_ts="2024-01-17 06:00:00"), path)
+    o = SessionOptions(one_row_per_id=True, id_buckets=4)
+    src = first_touch_sessions(ev, *WIN, o, run_ts="2024-02-01 06:00:00")
+    U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o)
+    t = spark.read.parquet(path)
+    assert t.count() == t.select("unique_session_id").distinct().count() == I.read_ids(spark, path).count()
+    # A later run without the option keeps the index up to date all the same.
+    more = src.withColumn("unique_session_id", F.concat("unique_session_id", F.lit("x")))
+    U.upsert_sessions(spark, path, more, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", SessionOptions())
+    assert I.read_ids(spark, path).where("unique_session_id LIKE '%x'").count() == src.count()
+
+
+def test_index_is_not_shuffled(spark, ev):
+    """The join with the index has an exchange above the source only."""
+    path = new_work_path(spark, "index-plan")
+    o = SessionOptions(one_row_per_id=True, id_buckets=16)
+    src = first_touch_sessions(ev, *LOAD, o, run_ts="2024-01-17 06:00:00")
+    U.upsert_sessions(spark, path, src, *LOAD, U.MODEL1_SPEC, "2024-01-17 06:00:00", o)
+    staged = new_work_path(spark, "index-plan-source")
+    src.write.parquet(staged)
+    with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in with_conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = I.held(spark.read.parquet(staged), I.read_ids(spark, path), 16)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in with_conf:
+            spark.conf.unset(k)
+    assert plan.count("Exchange") == 1 and plan.count("SelectedBucketsCount: 16 out of 16") == 1
+
+
+def _sorted(spark, path, *cols):
+    t = spark.read.parquet(path)
+    return sorted(map(tuple, t.select(*(cols or sorted(t.columns))).collect()), key=repr)
+
+
+class Killed(Exception):
+    pass
+
+
+def killed_after(n):
+    """A progress callback that stops the run after ``n`` partitions."""
+    done = []
+
+    def progress(name):
+        done.append(name)
+        if len(done) == n:
+            raise Killed(name)
+
+    return progress
+
+
+@pytest.mark.parametrize("one_row", [False, True])
+@pytest.mark.parametrize("n", [1, 2])
+def test_next_run_finishes_an_interrupted_commit(spark, ev, n, one_row):
+    o = SessionOptions(one_row_per_id=one_row, id_buckets=4)
     path, other = (_load(spark, ev, o, first_touch_sessions, U.MODEL1_SPEC) for _ in range(2))
-    before = sorted(map(tuple, spark.read.parquet(path).collect()), key=repr)
     src = first_touch_sessions(ev, *WIN, o, run_ts="2024-02-01 06:00:00")
-    staged = []
-
-    def fail(spark, path, staging):
-        staged.append(staging)
-        raise RuntimeError("interrupted")
-
-    with monkeypatch.context() as m:
-        m.setattr(U, "_commit_staged", fail)
-        with pytest.raises(RuntimeError):
-            U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o, stage_output=True)
-    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=repr) == before
-    U.resume_upsert(spark, path, staged[0])
+    with pytest.raises(Killed):
+        U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o, progress=killed_after(n))
     U.upsert_sessions(spark, other, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o)
-    rows = [sorted(map(tuple, spark.read.parquet(x).select(*U.MODEL1_SPEC.columns).collect()), key=repr)
-            for x in (path, other)]
-    assert rows[0] == rows[1] != before
-    assert not U.table_exists(spark, staged[0])
+    files = C._Files(spark, path)
+    assert files.exists(f"{path}/{C.JOURNAL}")
+    assert C.recover(spark, path) is not None and C.recover(spark, path) is None
+    assert _sorted(spark, path) == _sorted(spark, other)
+    assert not [x for x in files.names(path) if x.startswith((C.STAGED, C.OLD, C.JOURNAL))]
+    if one_row:
+        assert sorted(I.read_ids(spark, path).collect()) == sorted(I.read_ids(spark, other).collect())
+    # A whole further run on the interrupted table gives what it gives on the other.
+    again = U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o)
+    assert again["finished"] is None and _sorted(spark, path) == _sorted(spark, other)
+
+
+@pytest.mark.parametrize("between", ["out", "in"])
+def test_recovery_between_the_renames_of_a_partition(spark, tmp_path, between):
+    """The old partition is out of the way and the new one isn't in place yet; or the journal has nothing left to do."""
+    path, run = str(tmp_path / "t"), "r1"
+    for where, v in ((f"{path}/session_date=2024-01-01", "old"), (f"{C.staged_path(path, run)}/session_date=2024-01-01", "new")):
+        spark.createDataFrame([(v,)], "v string").write.parquet(where)
+    real = C._Files.move
+
+    def move(self, a, b):
+        if between == "out" and C.STAGED in a:
+            raise Killed(a)
+        real(self, a, b)
+        if between == "in" and C.STAGED in a:
+            raise Killed(a)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(C._Files, "move", move)
+        with pytest.raises(Killed):
+            C.commit_staged(spark, path, run)
+    assert C.recover(spark, path) == run
+    assert [r.v for r in spark.read.parquet(path).collect()] == ["new"]
+
+
+def test_failed_run_leaves_the_table_and_nothing_else(spark, ev, monkeypatch):
+    o = SessionOptions()
+    path = _load(spark, ev, o)
+    before = _sorted(spark, path)
+    src = first_touch_sessions(ev, *WIN, o, run_ts="2024-02-01 06:00:00")
+    with monkeypatch.context() as m:
+        m.setattr(U, "commit_staged", lambda *a, **k: (_ for _ in ()).throw(Killed()))
+        with pytest.raises(Killed):
+            U.upsert_sessions(spark, path, src, *WIN, U.MODEL1_SPEC, "2024-02-01 06:00:00", o)
+    assert _sorted(spark, path) == before
+    assert any(n.startswith(C.STAGED) for n in C._Files(spark, path).names(path))
+    assert C.recover(spark, path) is None
+    assert not any(n.startswith(C.STAGED) for n in C._Files(spark, path).names(path))
+
+
+def test_replace_moves_a_session_to_another_day(spark):
+    """An earlier event came late: the row goes to the earlier day, its old partition goes with its last row."""
+    o = SessionOptions(id_buckets=4)
+    root, path = _shards_of(spark, "moved", _crossing("20240115", 1, "bing", 1), _crossing("20240116", 2, "x", 2))
+    late, _ = _shards_of(spark, "moved-late", _crossing("20240113", 1, "first", 1), _crossing("20240115", 1, "bing", 1))
+    one = first_touch_sessions(X.read_export(spark, root), "2024-01-01", "2024-01-31", o, run_ts="2024-01-17 06:00:00")
+    U.replace_sessions(spark, path, one, U.MODEL1_SPEC, "2024-01-17 06:00:00", o)
+    two = first_touch_sessions(X.read_export(spark, late), "2024-01-01", "2024-01-31", o, run_ts="2024-01-18 06:00:00")
+    for _ in range(2):
+        U.replace_sessions(spark, path, two, U.MODEL1_SPEC, "2024-01-18 06:00:00", o)
+        rows = {r.unique_session_id: r for r in spark.read.parquet(path).collect()}
+        assert [(i, r.session_date.day, r.session_source) for i, r in sorted(rows.items())] == [("u-1", 13, "first"), ("u-2", 16, "x")]
+        assert (rows["u-1"].export_timestamp.day, rows["u-1"].last_update_timestamp.day) == (17, 18)
+        assert rows["u-2"].last_update_timestamp.day == 17
+        assert "session_date=2024-01-15" not in C._Files(spark, path).names(path)
 
 
 def test_upsert_reads_and_lists_only_what_it_may_rewrite(spark, ev):
