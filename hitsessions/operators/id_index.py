@@ -7,25 +7,22 @@ without reading the table: (id, date) rows in ``<table>/_ids``, bucketed
 by a hash of the id. A join of new sessions with it shuffles the new
 sessions alone. Files of a run are added in the run's commit, so table
 and index don't part when a run is interrupted.
-
-The files carry their bucket in their names; the table is registered in
-the session catalog for each read, as bucketing is known to the catalog
-only, and nothing needs to outlast the session.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from hitsessions.operators import bucketed
 from hitsessions.operators.commit import _Files
 
-FOLDER, SPEC = "_ids", "_buckets"
+FOLDER = "_ids"
 #: Buckets of a new index: ids of a bucket are joined by one task.
 BUCKETS = 64
 ID, DATE = "unique_session_id", "session_date"
+_SCHEMA = T.StructType([T.StructField(ID, T.StringType()), T.StructField(DATE, T.DateType())])
 
 
 def index_path(table: str) -> str:
@@ -33,41 +30,33 @@ def index_path(table: str) -> str:
 
 
 def has_index(spark: SparkSession, table: str) -> bool:
-    files = _Files(spark, table)
-    return files.exists(f"{index_path(table)}/{SPEC}")
+    return bucketed.buckets_of(spark, index_path(table)) > 0
 
 
 def write_ids(rows: DataFrame, path: str, buckets: int) -> None:
     """(id, date) rows as bucketed files, one file per bucket."""
-    spark = rows.sparkSession
-    table = f"hitsessions_ids_{uuid.uuid4().hex[:12]}"
     rows = rows.where(F.col(ID).isNotNull()).select(ID, DATE).distinct().repartition(buckets, ID)
-    rows.write.format("parquet").bucketBy(buckets, ID).option("path", path).saveAsTable(table)
-    spark.sql(f"DROP TABLE {table}")  # external: the files stay
+    bucketed.write(rows, path, buckets, ID)
 
 
 def buckets_of(spark: SparkSession, table: str) -> int:
-    return int(_Files(spark, table).read(f"{index_path(table)}/{SPEC}"))
+    return bucketed.buckets_of(spark, index_path(table))
 
 
 def build(spark: SparkSession, table: str, rows: DataFrame, buckets: int = BUCKETS) -> None:
     """Index of the (id, date) rows of a table that has none yet."""
     path = index_path(table)
-    files = _Files(spark, table)
-    files.delete(path)
+    _Files(spark, table).delete(path)
     write_ids(rows, path, buckets)
-    files.write(f"{path}/{SPEC}", str(buckets))  # last: an index without it is built again
+    bucketed.mark(spark, path, buckets)  # last: an index without it is built again
 
 
 def read_ids(spark: SparkSession, table: str) -> DataFrame:
     """(id, date) of the table's index; a join on the id doesn't shuffle it."""
-    name = f"hitsessions_ids_{uuid.uuid4().hex[:12]}"
-    at = index_path(table).replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} ({ID} STRING, {DATE} DATE) USING parquet "
-              f"CLUSTERED BY ({ID}) INTO {buckets_of(spark, table)} BUCKETS LOCATION '{at}'")
+    name = bucketed.register(spark, index_path(table), _SCHEMA, buckets_of(spark, table), ID)
     out = spark.table(name)
-    out.schema  # resolved while the name is there
-    spark.sql(f"DROP TABLE {name}")
+    out.schema  # resolved while the name is there; the files of a table without partitions are listed by then
+    bucketed.drop(spark, name)
     return out
 
 

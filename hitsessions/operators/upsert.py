@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitsessions.operators import id_index
+from hitsessions.operators import bucketed, id_index
 from hitsessions.operators.commit import commit_staged, new_run, recover, staged_path
 from hitsessions.operators.first_touch import MODEL1_COLUMNS, run_timestamp
 from hitsessions.operators.session_start import EXTRA_CLICK_COLUMNS, MODEL2_COLUMNS
@@ -106,7 +106,7 @@ def _changed(spec: UpsertSpec) -> Column:
 
 
 def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: UpsertSpec,
-                     run_ts=None, target_lookback_days: int = 0) -> DataFrame:
+                     run_ts=None, target_lookback_days: int = 0, buckets: int = 0) -> DataFrame:
     """New content of every partition the upsert rewrites, in the target's columns.
 
     ``target`` holds the partitions of the window and of the source's
@@ -119,6 +119,8 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
 
     A source with a column ``_held`` (``id_index.held``) inserts only the
     rows where it is false; without it every unmatched row is inserted.
+    With a target in ``buckets`` the source is dealt out like it, and only
+    the source is shuffled.
     """
     lo = _as_date(start) - dt.timedelta(days=int(target_lookback_days))
     in_window = F.coalesce(F.col("session_date").between(F.lit(lo), F.lit(_as_date(end))), F.lit(False))
@@ -129,6 +131,8 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     t = target.where(in_window).select(*[F.col(_q(c)) for c in cols], F.lit(True).alias("_t")).alias("t")
     fresh = ~F.col("_held") if "_held" in source.columns else F.lit(True)
     s = source.select(*[c for c in spec.columns if c in source.columns], F.lit(True).alias("_s"), fresh.alias("_new")).alias("s")
+    if buckets:
+        s = s.repartition(buckets, F.col(ID)).alias("s")
     # A NULL id matches nothing: such rows come out one-sided.
     j = t.join(s, F.col(f"t.{ID}") == F.col(f"s.{ID}"), "full_outer")
     has_t, has_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
@@ -150,8 +154,9 @@ def merge_partitions(target: DataFrame, source: DataFrame, start, end, spec: Ups
     # source's dates are a superset of the insert dates (a handful of
     # days), and rewriting an unchanged partition leaves it equal.
     source_dates = source.where(fresh).select(F.col("session_date").alias("_date")).distinct()
+    # One row per calendar day: small whatever the data.
     carried = (target.where(~in_window)
-               .join(source_dates, F.col("session_date").eqNullSafe(F.col("_date")), "left_semi"))
+               .join(F.broadcast(source_dates), F.col("session_date").eqNullSafe(F.col("_date")), "left_semi"))
     return merged.unionByName(carried)
 
 
@@ -159,7 +164,11 @@ def _q(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def _write_partitioned(df: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
+def _write_partitioned(df: DataFrame, path: str, mode: str, overwrite: str = "dynamic", buckets: int = 0,
+                       id_column: str = ID) -> None:
+    if buckets:
+        bucketed.write(df, path, buckets, id_column, by="session_date")
+        return
     # Rebalance on the partition column: AQE splits a heavy day over
     # several tasks and merges small ones, so files stay few and sized.
     # The overwrite mode is set on the write, not on the session.
@@ -182,11 +191,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _read_target(spark: SparkSession, path: str, source: DataFrame, start, end, spec: UpsertSpec,
-                 opts: SessionOptions, also: set[str] = frozenset()) -> DataFrame:
+                 opts: SessionOptions, also: set[str] = frozenset(), names: list[str] | None = None) -> DataFrame:
     """The target's partitions that the upsert may rewrite, in its own schema.
 
     They are those of the window (none without a ``start``), of the
-    source's dates and of the dates ``also``.
+    source's dates and of the dates ``also``. A bucketed table is read
+    through the catalog; its name there is put into ``names``.
 
     One listing of the table's root; only these partitions go into the
     file index. The id column gets the models' name, columns of the spec
@@ -208,6 +218,12 @@ def _read_target(spark: SparkSession, path: str, source: DataFrame, start, end,
                  .withColumn("session_date", F.col("session_date").cast("date")))
         if not needed:
             table = table.limit(0)
+        elif names is not None:
+            folders = {(None if v == NO_DATE else v): p for v, p in by_value.items() if p in set(needed)}
+            # Files of a bucketed table: the column that the buckets are of keeps its own name in the catalog.
+            names.append(bucketed.register(spark, path, table.schema, bucketed.buckets_of(spark, path), opts.id_column,
+                                           "session_date", folders))
+            table = spark.table(names[-1])
     else:
         # A table created by a run without events has no partition to take columns from.
         table = spark.createDataFrame([], T.StructType([source.schema[c] for c in spec.columns]))
@@ -256,6 +272,9 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
     indexed = (opts.one_row_per_id or opts.target_lookback_days) if created else _indexed(spark, path, opts)
     if created and indexed:
         _indexed(spark, path, opts)
+    if created and opts.table_buckets:
+        bucketed.mark(spark, path, opts.table_buckets)
+    buckets, names = bucketed.buckets_of(spark, path), []
     # The source is read by several branches; stage it once in the shared
     # folder so the model is not computed twice and a lost executor
     # does not replay the whole lineage.
@@ -273,10 +292,13 @@ def upsert_sessions(spark: SparkSession, path: str, source: DataFrame, start, en
     if created:
         new = source.select(*[F.col(c) if c in spec.insert else F.lit(None).cast(source.schema[c].dataType).alias(c)
                               for c in spec.columns])
+        new = new.repartition(buckets, ID) if buckets else new
     else:
-        target = _read_target(spark, path, source, start, end, spec, opts)
-        new = merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days)
-    done = replace_partitions(spark, path, new, opts, additions, progress)
+        target = _read_target(spark, path, source, start, end, spec, opts, names=names if buckets else None)
+        new = merge_partitions(target, source, start, end, spec, run_ts, opts.target_lookback_days, buckets)
+    done = replace_partitions(spark, path, new, opts, additions, progress, buckets=buckets)
+    for n in names:
+        bucketed.drop(spark, n)
     if src_path:
         remove_path(spark, src_path)
     return {"created": created, "finished": finished, "partitions": done}
@@ -330,20 +352,22 @@ def replace_sessions(spark: SparkSession, path: str, source: DataFrame, spec: Up
             v = F.col("t." + _q(c))
         out.append(v.cast(schema[c]).alias(c))
     planned = {f"session_date={d}" for d in old}
-    done = replace_partitions(spark, path, rest.unionByName(j.select(*out)), opts, rows, progress, planned)
+    buckets, new = bucketed.buckets_of(spark, path), rest.unionByName(j.select(*out))
+    new = new.repartition(buckets, ID) if buckets else new
+    done = replace_partitions(spark, path, new, opts, rows, progress, planned, buckets)
     remove_path(spark, src_path)
     return {"created": created, "finished": finished, "partitions": done}
 
 
 def replace_partitions(spark: SparkSession, path: str, new: DataFrame, opts: SessionOptions,
                        additions: DataFrame | None = None, progress: Callable[[str], None] | None = None,
-                       planned: set[str] | None = None) -> list[str]:
+                       planned: set[str] | None = None, buckets: int = 0) -> list[str]:
     """Replace the partitions that ``new`` has rows of, drop others in ``planned``; the ids of ``additions`` go into the index."""
     run = new_run()
     staged = staged_path(path, run)
     if opts.id_column != ID:
         new = new.withColumnRenamed(ID, opts.id_column)
-    _write_partitioned(new, staged, "overwrite", overwrite="static")
+    _write_partitioned(new, staged, "overwrite", "static", buckets, opts.id_column)
     added = {}
     if additions is not None:
         added[f"{staged}/{id_index.FOLDER}"] = id_index.index_path(path)

@@ -36,6 +36,9 @@ class SessionOptions:
     one_row_per_id: bool = False
     # Buckets of a new id index.
     id_buckets: int = 64
+    # Buckets by id of a new session table; an upsert then shuffles its
+    # source only (0: plain partitions). An existing table keeps its own.
+    table_buckets: int = 0
     # Name of the session id column in an existing session table.
     id_column: str = "unique_session_id"
     # Model 1 physical form: "aggregate" (min_by, map-side combine) or

@@ -601,6 +601,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_stateful_model1": q_stream_stateful,
     "stream_stateful_model2": lambda s, d: q_stream_stateful(s, d, "model2"),
     "stream_odd_shards": q_stream_odd_shards,
+    "merge_bucketed": lambda s, d: _merge(s, d, 1, INTENDED, table_buckets=16),
     "sql_model1_sessions": q_sql_model1_sessions,
     "sql_model2_sessions": q_sql_model2_sessions,
     "sql_model_comparison": q_sql_model_comparison,
@@ -664,6 +665,7 @@ ORACLES: dict[str, str] = {
     "stream_stateful_model1": O.sessions_without_run_times(1),
     "stream_stateful_model2": O.sessions_without_run_times(2),
     "stream_odd_shards": O.stream_odd_shards(),
+    "merge_bucketed": O.merge(1, False),
     "sql_model1_sessions": O.in_both_modes(O.model1_sessions),
     "sql_model2_sessions": O.in_both_modes(O.model2_sessions),
     "sql_model_comparison": O.in_both_modes(O.compare_models),

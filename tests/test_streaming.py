@@ -56,3 +56,32 @@ def test_batch_windows_split_runs(spark):
                                    (dt.date(2024, 1, 19), dt.date(2024, 1, 20)),
                                    (dt.date(2024, 1, 31), dt.date(2024, 2, 2))]
     assert batch_windows(b.where("suffix IS NULL"), 1) == []
+
+
+def test_stream_and_batch_agree_on_every_shard_name():
+    """A shard's window takes it in, and no smaller one does; a name in no window is in none in batch either."""
+    import datetime as dt
+    import random
+    from hitsessions.sources.export import shard_matches
+    from hitsessions.streaming import shard_days
+    rng = random.Random(1)
+    names = ["20240107", "2024010712", "intraday_20240122", "fresh_2024", "20249999", "20240230", "99991231", "999912311",
+             "0", "other", "", None, "x2024-01-07"]
+    names += ["2024" * rng.randint(0, 1) + "".join(rng.choices("0123456789", k=rng.randint(1, 12))) for _ in range(5000)]
+    for name in names:
+        w = shard_days(name)
+        if w is None:
+            assert not shard_matches(name or "", dt.date.min, dt.date.max), name
+        else:
+            assert shard_matches(name, *w) and (w[1] - w[0]).days <= 1, name
+            assert w[0] == w[1] or not any(shard_matches(name, d, d) for d in w), name
+
+
+def test_hourly_shard_is_rebuilt(spark):
+    """An hourly shard alone: the stream runs the window that a batch run needs for it."""
+    ev = lens_events(spark, SF_SMALL).where("suffix = '20240107'").withColumn("suffix", F.lit("2024010712"))
+    root, table = new_work_path(spark, "hourly-export"), new_work_path(spark, "hourly-sessions")
+    write_export(ev, root)
+    start_incremental(spark, root, table, checkpoint=new_work_path(spark, "hourly-ckpt"), run_ts=RUN).awaitTermination(300)
+    want = first_touch_sessions(ev, "2024-01-07", "2024-01-08", SessionOptions())
+    assert spark.read.parquet(table).count() == want.count() > 0
