@@ -4,6 +4,7 @@
     python -m hitsessions.cli model2  --export ROOT --table PATH [--start D --end D]
     python -m hitsessions.cli both    --export ROOT --table PATH --table2 PATH [--start D --end D]
     python -m hitsessions.cli compare --export ROOT --table PATH --start D --end D [--out PATH]
+    python -m hitsessions.cli refresh --export ROOT --states PATH --ledger PATH [--table PATH] [--table2 PATH]
     python -m hitsessions.cli session-ids --export ROOT --shard 20240121 --out PATH
 
 A date that isn't given takes its default: the day before yesterday to
@@ -26,6 +27,7 @@ from hitsessions.operators.both_models import both_models
 from hitsessions.operators.compare import compare_models
 from hitsessions.operators.extract import seen_in_window
 from hitsessions.operators.first_touch import first_touch_sessions
+from hitsessions.operators.incremental import refresh
 from hitsessions.operators.session_start import session_start_sessions
 from hitsessions.options import SessionOptions
 from hitsessions.session import build_session, new_work_path, remove_path
@@ -39,10 +41,12 @@ def _events(spark, a, start, end):
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="hitsessions")
-    ap.add_argument("job", choices=["model1", "model2", "both", "compare", "session-ids"])
+    ap.add_argument("job", choices=["model1", "model2", "both", "compare", "session-ids", "refresh"])
     ap.add_argument("--export", required=True)
     ap.add_argument("--table", help="session table (Model 1 for 'both' and 'compare')")
     ap.add_argument("--table2", help="Model 2 session table for 'both'")
+    ap.add_argument("--states", help="state table for 'refresh'")
+    ap.add_argument("--ledger", help="shard ledger for 'refresh'")
     ap.add_argument("--out", help="output path for 'compare' and 'session-ids'")
     ap.add_argument("--start")
     ap.add_argument("--end")
@@ -56,7 +60,7 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None, help="only without a submitter that sets it")
     a = ap.parse_args(argv)
     needs = {"model1": ["table"], "model2": ["table"], "both": ["table", "table2"],
-             "compare": ["table", "out"], "session-ids": ["out", "shard"]}
+             "compare": ["table", "out"], "session-ids": ["out", "shard"], "refresh": ["states", "ledger"]}
     missing = [f"--{n}" for n in needs[a.job] if not getattr(a, n)]
     if missing:
         ap.error(f"{a.job} needs {', '.join(missing)}")
@@ -68,7 +72,7 @@ def main(argv=None) -> int:
     start, end = X.window_bounds(a.start, a.end)
     # Session jobs scan the days that a widened match needs as well.
     scan = U.scan_start(start, opts) if a.job in ("model1", "model2", "both") else start
-    events = None if a.job == "session-ids" else _events(spark, a, scan, end)
+    events = None if a.job in ("session-ids", "refresh") else _events(spark, a, scan, end)
     summary = {"job": a.job, "start": str(start), "end": str(end), "mode": a.mode}
 
     def seen(sessions, only_starts=False):
@@ -92,6 +96,9 @@ def main(argv=None) -> int:
         fe = X.read_sessions(spark, a.table, start, end)
         report = compare_models(fe, events, start, end, opts, by_channel=a.by_channel)
         report.coalesce(1).write.mode("overwrite").option("header", True).csv(a.out)
+    elif a.job == "refresh":
+        changed = refresh(spark, a.export, a.states, a.ledger, a.table, a.table2, opts, a.layout)
+        summary = {"job": a.job, "mode": a.mode, "changed_shards": len(changed)}
     elif a.job == "session-ids":
         shard = X.read_single_shard(spark, a.export, a.shard, a.layout)
         shard.select(unique_session_id().alias("unique_session_id")).write.mode("overwrite").parquet(a.out)

@@ -38,21 +38,22 @@ def model1_channel_counts(fe_sessions: DataFrame, start=None, end=None,
 
 def model2_channel_rows(events: DataFrame, start=None, end=None,
                         opts: SessionOptions | None = None, clock: str = "server",
-                        rules: A.ChannelRules = A.ChannelRules()) -> DataFrame:
-    """First session_start per id with its channel.
+                        rules: A.ChannelRules = A.ChannelRules(), keys: tuple = ()) -> DataFrame:
+    """First session_start per id (and ``keys``, columns of the events) with its channel.
 
     ``clock='server'`` orders by the raw server time, as the report does
     (Q6); ``clock='safe'`` uses Model 2's own order (corrected client
     clock), so the report counts exactly Model 2's sessions.
     """
     opts = opts or SessionOptions()
-    x = session_start_events(events, start, end, opts)
+    x = session_start_events(events, start, end, opts, keys)
     payload = ("session_date", "event_timestamp_micros", "p_page_location", "p_source", "p_medium", "p_campaign")
-    first = first_session_start(x, opts, clock=clock, payload=payload)
+    first = first_session_start(x, opts, clock=clock, payload=payload, keys=keys)
     ch = A.model2_channel({"page_location": F.col("p_page_location"), "source": F.col("p_source"),
                            "medium": F.col("p_medium"), "campaign": F.col("p_campaign")},
                           rules.source, rules.medium, rules.campaign)
-    return first.select("session_date", "unique_session_id",
+    more = (*keys, "event_timestamp_micros") if keys else ()
+    return first.select(*more, "session_date", "unique_session_id",
                         ch["session_source"].alias("session_source"),
                         ch["session_medium"].alias("session_medium"),
                         ch["session_campaign"].alias("session_campaign"))

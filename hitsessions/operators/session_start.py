@@ -33,11 +33,11 @@ _PAYLOAD = ("session_date", "event_timestamp_micros", "actual_timestamp_ms", "ga
 
 
 def session_start_events(events: DataFrame, start=None, end=None,
-                         opts: SessionOptions | None = None) -> DataFrame:
-    """session_start rows of the window with ``N/A`` / ``-1`` sentinels."""
+                         opts: SessionOptions | None = None, keys: tuple = ()) -> DataFrame:
+    """session_start rows of the window with ``N/A`` / ``-1`` sentinels, and the columns ``keys`` of the event."""
     opts = opts or SessionOptions()
     ev = events_in_window(events, start, end, opts).where(F.col("event_name") == F.lit(SESSION_START))
-    x = ev.select(*base_columns(opts),
+    x = ev.select(*keys, *base_columns(opts),
                   F.coalesce(int_param("ga_session_number", strict=opts.strict_params),
                              F.lit(-1).cast("long")).alias("ga_session_number"),
                   *attribution_params(M2_PARAM_KEYS, default=A.NA, strict=opts.strict_params))
@@ -46,13 +46,13 @@ def session_start_events(events: DataFrame, start=None, end=None,
 
 
 def first_session_start(x: DataFrame, opts: SessionOptions, clock: str = "safe",
-                        payload=_PAYLOAD) -> DataFrame:
-    """Top-1 row per session id in session order (W3 + F5 + O3)."""
+                        payload=_PAYLOAD, keys: tuple = ()) -> DataFrame:
+    """Top-1 row per session id (and ``keys``) in session order (W3 + F5 + O3)."""
     order = order_fields(opts, clock)
     if opts.form == "window":
-        w = Window.partitionBy("unique_session_id").orderBy(*[c.asc_nulls_first() for c in order])
+        w = Window.partitionBy(*keys, "unique_session_id").orderBy(*[c.asc_nulls_first() for c in order])
         return (x.withColumn("session_rank", F.row_number().over(w))
-                .where(F.col("session_rank") == 1).select("unique_session_id", *payload))
+                .where(F.col("session_rank") == 1).select(*keys, "unique_session_id", *payload))
     # The payload follows the order key inside the struct, so complete
     # ties are settled by the row content: deterministic in both modes.
     # Columns the order key already carries are not shipped twice.
@@ -61,8 +61,8 @@ def first_session_start(x: DataFrame, opts: SessionOptions, clock: str = "safe",
         in_key["actual_timestamp_ms"] = "o_ts"
     carried = [c for c in payload if c not in in_key]
     first = F.min(F.struct(*order, *[F.col(c) for c in carried])).alias("first")
-    g = x.groupBy("unique_session_id").agg(first)
-    return g.select("unique_session_id",
+    g = x.groupBy(*keys, "unique_session_id").agg(first)
+    return g.select(*keys, "unique_session_id",
                     *[F.col(f"first.{in_key.get(c, c)}").alias(c) for c in payload])
 
 

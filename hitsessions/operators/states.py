@@ -27,7 +27,7 @@ from hitsessions.operators import attribution as A
 from hitsessions.operators.both_models import model_rows, models_of, state_structs
 from hitsessions.operators.commit import commit_staged, new_run, recover, staged_path
 from hitsessions.options import SessionOptions
-from hitsessions.session import new_work_path, remove_path
+from hitsessions.session import new_work_path
 from hitsessions.sources.export import event_schema, shard_matches, subfolders, window_bounds
 
 KEY = "unique_session_id"
@@ -101,25 +101,21 @@ def sessions_from_states(spark: SparkSession, path: str, start=None, end=None, o
     return models(states, opts, run_ts, rules)
 
 
-def touched_states(spark: SparkSession, path: str, shards: list[str], opts: SessionOptions | None = None) -> DataFrame:
-    """All states of the sessions that ``shards`` touch, whatever shard they are from.
+def states_of(spark: SparkSession, path: str, ids: DataFrame, opts: SessionOptions | None = None) -> DataFrame:
+    """All states of some sessions, whatever shard they are from.
 
-    The ids of the shards go first to a table of their own: with as many
-    ids as a day has, the join shuffles ids and states once; with few, it
-    broadcasts them.
+    The ids go first to a table of their own: with as many ids as a day
+    has, the join shuffles ids and states once; with few, it broadcasts
+    them.
     """
     ids_path = new_work_path(spark, "touched-ids")
-    read_states(spark, path, shards, opts).select(KEY).distinct().write.parquet(ids_path)
-    ids = spark.read.parquet(ids_path)
-    return read_states(spark, path, None, opts).join(ids, KEY, "left_semi")
+    ids.select(KEY).distinct().write.parquet(ids_path)
+    return read_states(spark, path, None, opts).join(spark.read.schema(f"{KEY} string").parquet(ids_path), KEY, "left_semi")
 
 
 def touched_sessions(spark: SparkSession, path: str, shards: list[str], opts: SessionOptions | None = None,
                      run_ts=None, rules: A.ChannelRules = A.ChannelRules()) -> tuple[DataFrame, DataFrame]:
     """(Model 1, Model 2) rows of the sessions that ``shards`` touch, from their whole history."""
-    return models(touched_states(spark, path, shards, opts), opts, run_ts, rules)
+    ids = read_states(spark, path, shards, opts).select(KEY)
+    return models(states_of(spark, path, ids, opts), opts, run_ts, rules)
 
-
-def drop_states(spark: SparkSession, path: str) -> None:
-    """Delete the state table."""
-    remove_path(spark, path)

@@ -22,6 +22,7 @@ from hitsessions.functions import sql_tables as T_
 from hitsessions.operators import attribution as A
 from hitsessions.operators.both_models import both_models
 from hitsessions.operators import compare as CMP
+from hitsessions.operators import rollup as R
 from hitsessions.operators import states as S
 from hitsessions.operators import upsert as U
 from hitsessions.operators.extract import seen_in_window
@@ -468,6 +469,24 @@ def q_sql_model_comparison(spark, sf_dir):
     return _from_sql(spark, sf_dir, "SELECT '{mode}' AS mode, * FROM model_comparison({days}, '{mode}')")
 
 
+def q_compare_models_rollup(spark, sf_dir):
+    """The report of three windows from stored partials, which came in two deliveries; the second repeats a shard."""
+    ev, o = _events(spark, sf_dir), _opts(INTENDED)
+    book = R.Rollup(spark, new_work_path(spark, "rollup"), o, buckets=8)
+    sessions = first_touch_sessions(ev, *FULL, o)
+    shards = sorted(r.suffix for r in ev.select("suffix").distinct().collect())  # one per calendar day
+    half = len(shards) // 2
+    for part in (shards[half:], shards[:half + 1]):
+        book.add_model2(ev, part)
+    for days in ((O.MERGE_START, O.FULL_END), (O.FULL_START, O.LOAD_END)):
+        book.add_model1(sessions, *days)
+    out = None
+    for window in O.ROLLUP_WINDOWS:
+        one = book.report(*window).select(F.lit(window[0]).alias("first_day"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_stream_odd_shards(spark, sf_dir):
     """Hourly, prefixed, short and intraday shard names: the stream rebuilds every day that a batch run would read."""
     from hitsessions.streaming import start_incremental
@@ -601,6 +620,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_stateful_model1": q_stream_stateful,
     "stream_stateful_model2": lambda s, d: q_stream_stateful(s, d, "model2"),
     "stream_odd_shards": q_stream_odd_shards,
+    "compare_models_rollup": q_compare_models_rollup,
     "merge_bucketed": lambda s, d: _merge(s, d, 1, INTENDED, table_buckets=16),
     "sql_model1_sessions": q_sql_model1_sessions,
     "sql_model2_sessions": q_sql_model2_sessions,
@@ -665,6 +685,7 @@ ORACLES: dict[str, str] = {
     "stream_stateful_model1": O.sessions_without_run_times(1),
     "stream_stateful_model2": O.sessions_without_run_times(2),
     "stream_odd_shards": O.stream_odd_shards(),
+    "compare_models_rollup": O.compare_models_rollup(),
     "merge_bucketed": O.merge(1, False),
     "sql_model1_sessions": O.in_both_modes(O.model1_sessions),
     "sql_model2_sessions": O.in_both_modes(O.model2_sessions),

@@ -131,11 +131,24 @@ def read_window(spark: SparkSession, root: str, start=None, end=None, include_in
     of the window go into the scan's file index.
     """
     start, end = window_bounds(start, end, today)
+    return read_shards_of(spark, root, lambda s: shard_matches(s, start, end, include_intraday), narrow, extra)
+
+
+def read_shards_of(spark: SparkSession, root: str, wanted, narrow: bool = True, extra=()) -> DataFrame:
+    """The shards of a partitioned export tree whose name passes a test."""
     paths = [path for folder, path in subfolders(spark, root, required=True).items() if folder.startswith("suffix=")
-             and shard_matches(unquote(folder[len("suffix="):]), start, end, include_intraday)]
+             and wanted(unquote(folder[len("suffix="):]))]
     return _read_paths(spark, root, sorted(paths), event_schema(narrow, extra=extra))
 
 
+def read_folders_of(spark: SparkSession, root: str, wanted, narrow: bool = True, prefix: str = "events_",
+                    extra=()) -> DataFrame:
+    """The shards of a folder-per-shard export whose name passes a test."""
+    paths = [path for folder, path in subfolders(spark, root, required=True).items()
+             if folder.startswith(prefix) and wanted(folder[len(prefix):])]
+    return _read_folders(spark, sorted(paths), narrow, prefix, extra)
+
+
 def _read_paths(spark: SparkSession, root: str, paths: list[str], schema: T.StructType) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], schema)

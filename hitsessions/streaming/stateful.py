@@ -52,9 +52,14 @@ def add_states(spark: SparkSession, path: str, states: DataFrame, part: str) ->
     commit_staged(spark, path, run)
 
 
+def stream_parts(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the state table that streams have added."""
+    return [n for n in subfolders(spark, path) if n.startswith("suffix=stream-")]
+
+
 def compact_states(spark: SparkSession, path: str, opts: SessionOptions | None = None, name: str = "stream-0-merged") -> None:
     """Merge the parts that streams have added into one part, a row per session."""
-    parts = [n for n in subfolders(spark, path) if n.startswith("suffix=stream-")]
+    parts = stream_parts(spark, path)
     if len(parts) < 2:
         return
     run = new_run()
@@ -70,7 +75,8 @@ def start_stateful(spark: SparkSession, export_root: str, table: str, states: st
 
     Sessions that a batch touches are replaced as a whole in ``table``.
     ``late`` is the watermark's delay; an event older than that is dropped
-    by the stream once its day's state is gone.
+    by the stream once its day's state is gone. The parts that batches add
+    to the state table are merged when there are more than ``compact_every``.
     """
     opts = opts or SessionOptions()
     checkpoint = checkpoint or new_work_path(spark, "stream-checkpoint")
@@ -83,11 +89,10 @@ def start_stateful(spark: SparkSession, export_root: str, table: str, states: st
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         part = f"stream-{batch_id + 1:09d}"
         add_states(spark, states, batch, part)
-        if read_states(spark, states, [part], opts).isEmpty():
-            return
-        sessions = touched_sessions(spark, states, [part], opts, run_ts)[0 if model == "model1" else 1]
-        U.replace_sessions(spark, table, sessions, spec, run_ts, opts)
-        if (batch_id + 1) % compact_every == 0:
+        if not read_states(spark, states, [part], opts).isEmpty():
+            sessions = touched_sessions(spark, states, [part], opts, run_ts)[0 if model == "model1" else 1]
+            U.replace_sessions(spark, table, sessions, spec, run_ts, opts)
+        if len(stream_parts(spark, states)) > compact_every:
             compact_states(spark, states, opts)
 
     before = spark.conf.get(_PROVIDER, None)

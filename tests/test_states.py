@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from hitsessions.functions import params as P
 from hitsessions.operators import bucketed as B
 from hitsessions.operators import commit as C
+from hitsessions.operators import compare as CMP
+from hitsessions.operators import rollup as R
 from hitsessions.operators import states as S
 from hitsessions.operators import upsert as U
 from hitsessions.operators.first_touch import first_touch_sessions
+from hitsessions.operators.incremental import refresh
 from hitsessions.operators.session_start import session_start_sessions
 from hitsessions.options import SessionOptions
 from hitsessions.session import new_work_path
@@ -19,6 +22,7 @@ from hitsessions.sources import export as X
 from hitsessions.sources.ledger import NEW, REMOVED, REPLACED, Ledger
 from hitsessions.sources.lens import lens_events, lens_export
 from hitsessions.streaming import start_stateful
+from hitsessions.streaming.stateful import stream_parts
 from tests.conftest import SF_SMALL, make_events, p
 
 RUN = "2024-02-01 06:00:00"
@@ -190,8 +194,7 @@ def test_stateful_stream_in_small_batches_and_compacted(spark, ev):
     assert len([x for x in q.recentProgress if x["numInputRows"]]) > 1
     want = first_touch_sessions(X.read_export(spark, root), *ALL, SessionOptions(), run_ts=RUN)
     assert rows(spark.read.parquet(table).select(*U.MODEL1_SPEC.columns)) == rows(want)
-    parts = [n for n in X.subfolders(spark, states) if n.startswith("suffix=stream-")]
-    assert "suffix=stream-0-merged" in parts and len(parts) <= 2
+    assert "suffix=stream-0-merged" in stream_parts(spark, states) and len(stream_parts(spark, states)) <= 2
 
 
 # ---------------------------------------------------------------- bucketed
@@ -242,3 +245,102 @@ def test_duplicate_counts(spark):
     df = make_events(spark, [{"event_params": one}, {"event_params": two}, {"event_params": None}, {"event_params": []}])
     got = {r.key: (r.n_events, r.n_duplicated) for r in P.duplicate_counts(df, ["a", "b", "c"]).collect()}
     assert got == {"a": (2, 1), "b": (1, 0), "c": (0, 0)}
+
+
+# ---------------------------------------------------------- incremental run
+
+def test_refresh_follows_the_export(spark):
+    """New, late, replaced and superseded shards: after each run the tables equal a batch over the export."""
+    root, states, ledger, t1, t2 = (new_work_path(spark, n) for n in ("rf-export", "rf-states", "rf-ledger", "rf-1", "rf-2"))
+    deliveries = [
+        [event(5, 1, 1, "a", "session_start"), event(6, 1, 1, "b"), event(7, 1, 2, "c", "session_start", "intraday_20240107")],
+        [],
+        [event(4, 1, 1, "earlier", "session_start"), event(8, 1, 3, "d")],
+        [event(7, 1, 2, "c", "session_start"), event(7, 2, 4, "e", "session_start")],
+    ]
+    for i, part in enumerate(deliveries):
+        if part:
+            X.write_export(make_events(spark, part), root, mode="append" if i else "overwrite")
+        changed = refresh(spark, root, states, ledger, t1, t2, run_ts=RUN)
+        assert set(changed) == {e["suffix"] for e in part} | ({"intraday_20240107"} if i == 3 else set())
+        ev = X.read_export(spark, root)
+        ev = ev.where("suffix <> 'intraday_20240107'") if i == 3 else ev
+        assert rows(spark.read.parquet(t1).select(*U.MODEL1_SPEC.columns)) == rows(first_touch_sessions(ev, *ALL, run_ts=RUN))
+        m2 = U.model2_spec()
+        assert rows(spark.read.parquet(t2).select(*m2.columns)) == rows(session_start_sessions(ev, *ALL, run_ts=RUN))
+
+
+def test_refresh_that_failed_is_done_again(spark, monkeypatch):
+    root, states, ledger, t1 = (new_work_path(spark, n) for n in ("rd-export", "rd-states", "rd-ledger", "rd-1"))
+    X.write_export(make_events(spark, [event(5, 1, 1, "a"), event(6, 1, 2, "b")]), root)
+    with monkeypatch.context() as m:
+        m.setattr(U, "replace_sessions", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh(spark, root, states, ledger, t1, run_ts=RUN)
+    assert refresh(spark, root, states, ledger, t1, run_ts=RUN) == {"20240105": NEW, "20240106": NEW}
+    assert spark.read.parquet(t1).count() == 2
+    assert refresh(spark, root, states, ledger, t1, run_ts=RUN) == {}
+
+
+def test_refresh_from_the_command_line(spark, capsys):
+    from hitsessions.cli import main
+    root, states, ledger, t1 = (new_work_path(spark, n) for n in ("rc-export", "rc-states", "rc-ledger", "rc-1"))
+    X.write_shard_folders(make_events(spark, [event(5, 1, 1, "a"), event(6, 1, 2, "b")]), root)
+    args = ["refresh", "--export", root, "--states", states, "--ledger", ledger, "--table", t1, "--layout", "folders"]
+    assert main(args) == 0 and '"changed_shards": 2' in capsys.readouterr().out
+    assert main(args) == 0 and '"changed_shards": 0' in capsys.readouterr().out
+    assert spark.read.parquet(t1).count() == 2
+
+
+# ------------------------------------------------------------------ rollup
+
+def rolled(spark, evs, shards, o=SessionOptions()):
+    book = R.Rollup(spark, new_work_path(spark, "rollup"), o, buckets=3)
+    book.add_model2(evs, shards)
+    return book
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rollup_counts_what_a_scan_counts(spark, seed):
+    """Sessions over several days, several starts a day, channels that change: every window's counts."""
+    rng = random.Random(seed)
+    evs = [event(d, rng.randint(0, 23), rng.randint(1, 12), rng.choice(["a", "b", None]), "session_start", bundle=i + 1)
+           for i, d in enumerate(rng.choices(range(1, 8), k=90))]
+    df = make_events(spark, evs).cache()
+    shards = sorted({e["suffix"] for e in evs})
+    book = rolled(spark, df, shards[:4])
+    book.add_model2(df, shards[2:])
+    sessions = first_touch_sessions(df, *ALL)
+    book.add_model1(sessions, *ALL)
+    for a, b in ((1, 7), (2, 5), (4, 4), (6, 9)):
+        window = (f"2024-01-{a:02d}", f"2024-01-{b:02d}")
+        for by_channel in (False, True):
+            want = CMP.compare_models(sessions, df, *window, by_channel=by_channel).collect()
+            assert book.report(*window, by_channel=by_channel).collect() == want
+        assert sorted(book.model1_counts(*window).collect()) == sorted(CMP.model1_channel_counts(sessions, *window).collect())
+    assert book.numbers().count() == 12 == book.numbers().select("n").distinct().count()
+
+
+def test_rollup_days_are_replaced(spark):
+    df = make_events(spark, [event(5, 1, 1, "a", "session_start"), event(5, 2, 2, "a", "session_start")])
+    book = rolled(spark, df, ["20240105"])
+    sessions = first_touch_sessions(df, *ALL)
+    book.add_model1(sessions, *ALL)
+    book.add_model1(sessions.where("unique_session_id = 'u-1'"), *ALL)
+    assert [r.cnt_sessions_fev for r in book.model1_counts(*ALL).collect()] == [1]
+    book.add_model2(df.where("event_timestamp < 0"), ["20240105"])
+    assert book.report(*ALL).collect() == []
+
+
+def test_rollup_of_shards_that_overlap_in_time(spark):
+    """A late event in a later shard: the earlier start is in the later shard, so the events decide."""
+    evs = make_events(spark, [event(5, 9, 1, "a", "session_start"), event(5, 3, 1, "b", "session_start", "20240106"),
+                              event(5, 1, 2, "c", "session_start")])
+    book = rolled(spark, evs, ["20240105", "20240106"])
+    assert not book.follow_one_another(*ALL) and book.follow_one_another("2024-01-05", "2024-01-05")
+    with pytest.raises(ValueError, match="overlap"):
+        book.report(*ALL)
+    got = book.report(*ALL, by_channel=True, events=evs).collect()
+    assert [(r.session_source, r.cnt_sessions_model2_session_start) for r in got] == [("b", 1), ("c", 1)]
+    with pytest.raises(ValueError, match="intended"):
+        R.Rollup(spark, "x", SessionOptions(mode="as_written"))
