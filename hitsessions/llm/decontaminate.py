@@ -296,7 +296,7 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
         passes = [_scan(docs, [], text_col, window)]
     if len(passes) == 1:
         return passes[0]
-    # Every pass yields each row: number equal rows within a pass by meeting them as one group.
+    # Every pass yields each row; equal rows have equal hits, so these meet by the row key.
     out = passes[0]
     for p in passes[1:]:
         out = out.unionByName(p)
@@ -356,3 +356,30 @@ def query(spark, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                       (hit > 0).alias("contaminated"))
+
+
+ORACLE = r"""
+WITH words AS (
+  SELECT kind, r, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT 'doc' AS kind, row_number() OVER () AS r, doc_id::VARCHAR AS id, text FROM documents
+        UNION ALL SELECT 'item', row_number() OVER (), item_id::VARCHAR, text FROM benchmark)
+), sizes AS (
+  SELECT DISTINCT least(len(w), 10) AS size FROM words WHERE kind = 'item' AND len(w) > 0
+), windows AS (
+  SELECT kind, r, id, p, size, array_to_string(list_slice(w, p, p + size - 1), ' ') AS words
+  FROM (SELECT kind, r, id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM words, sizes
+        WHERE len(w) >= size AND (kind = 'doc' OR size = least(len(w), 10)))
+), hits AS (
+  SELECT d.r, d.p, d.size, i.id AS item FROM windows d JOIN windows i USING (size, words)
+  WHERE d.kind = 'doc' AND i.kind = 'item'
+), places AS (
+  SELECT r, count(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS pos FROM hits) GROUP BY r
+), items AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words JOIN (SELECT row_number() OVER () AS r, doc_id FROM documents) USING (r)
+LEFT JOIN places USING (r) LEFT JOIN items USING (r) WHERE kind = 'doc'
+"""

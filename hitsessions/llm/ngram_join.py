@@ -498,3 +498,22 @@ def query(spark, sf_dir: str) -> DataFrame:
     out = members(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.select(real("d").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+
+
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT r, array_to_string(list_slice(w, p, p + 3), ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM texts WHERE len(w) > 0)
+), sized AS (SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS common FROM shingles x JOIN shingles y USING (s) WHERE x.r <> y.r GROUP BY ALL)
+  JOIN sized na ON na.r = a JOIN sized nb ON nb.r = b WHERE 100 * common >= 85 * (na.n + nb.n - common)
+), reached(a, b) AS (
+  SELECT r, r FROM texts UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b
+)
+SELECT t.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM texts t JOIN reached ON a = t.r JOIN texts o ON o.r = b LEFT JOIN sized ON sized.r = t.r GROUP BY t.r, t.doc_id
+"""

@@ -24,6 +24,10 @@ QUERIES = {
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE,
     "op2_quality_rules": quality_rules.ORACLE,
+    "op3_ngram_join": ngram_join.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
+    "op10_suffix_dedup": suffix_dedup.ORACLE,
     "op11_lexical_search": lexical_search.ORACLE,
     "op12_url_filter": url_filter.ORACLE,
     "op13_hard_negatives": hard_negatives.ORACLE,

@@ -255,3 +255,28 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = remove_repeats(docs)
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def oracle(window: int) -> str:
+    """DuckDB: the words that no repeated window covers."""
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT r, p, array_to_string(list_slice(w, p, p + {window - 1}), ' ') AS words
+  FROM (SELECT r, w, unnest(range(1, len(w) - {window - 2})) AS p FROM texts)
+), repeated AS (
+  SELECT r, p FROM windows SEMI JOIN (SELECT words FROM windows GROUP BY words HAVING count(*) > 1) USING (words)
+), covered AS (
+  SELECT DISTINCT r, unnest(range(p, p + {window})) AS pos FROM repeated
+), places AS (
+  SELECT r, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM texts
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t FROM places ANTI JOIN covered USING (r, pos) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
+
+
+ORACLE = oracle(WINDOW)

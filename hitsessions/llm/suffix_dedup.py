@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from . import sieve
 from . import textkit as T
 from .rows import KEY, KEY_SCHEMA, written
-from .substring_dedup import Places, _counted, _parts, counted_windows, keyed, without
+from .substring_dedup import Places, _counted, _parts, counted_windows, keyed, oracle, without
 
 WINDOW, SEED = 50, 12
 LADDER = ["h", "r1", "r2", "l1", "l2", "l3"]
@@ -169,3 +169,6 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = remove_passages(docs)
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = oracle(WINDOW)
