@@ -1,6 +1,8 @@
 """Operators that compare documents, the classifier and the pipeline."""
 
 import random
+import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -218,6 +220,77 @@ def test_classifier_trains_on_all_lines(spark, monkeypatch):
     assert [r[2] for r in quality_classifier.fit(make(spark, rows), labels)] == [150, 1]
 
 
+def test_classifier_sample_is_bounded_in_lines():
+    x = np.arange(200_000, dtype=float)[:, None]
+    some = quality_classifier._some_lines(x)[:, 0]
+    assert 0 < len(some) <= quality_classifier.SAMPLE_LINES and (np.diff(some) > 0).all()
+    assert some.min() < 40_000 and some.max() > 160_000  # from anywhere in the text
+    assert len(quality_classifier._some_lines(x[:1000])) == 1000
+
+
+def plain_measures(text):
+    """The line measures in plain Python, one line at a time."""
+    upper, digit = set(range(0x41, 0x5B)), set(range(0x30, 0x3A))
+    letter = upper | set(range(0x61, 0x7B)) | set(range(0xC0, 0x100))
+    symbol, shout, stop = set(b"#*$%&|<>{}[]\\^~=_/@"), set(b"!?"), set(b".!?:;\"'")
+    lines = (text or "").encode().split(b"\n")
+    words = [[w for w in re.split(rb"[\x20\x09-\x0D]+", x) if w] for x in lines]
+    bags = [tuple(sorted(w)) for w in words]
+    out = []
+    for x, w, bag in zip(lines, words, bags):
+        n, size = len(w), len(x)
+        count = lambda s: sum(b in s for b in x)
+        again = sum(a == b for a, b in zip(w, w[1:]))
+        per = max(n, 1)
+        out.append([1, n == 0, min(count(upper) / max(count(letter), 1), 1), min(count(symbol) / per, 3) / 3,
+                    min(count(symbol) / per, 0.3) / 0.3, min(count(shout) / per, 2) / 2, count(digit) / max(size, 1),
+                    count(letter) / max(size, 1), min(again / per, 1), min(again / per, 0.2) / 0.2, np.log1p(n) / 8,
+                    min(size / per / 12, 2), size > 0 and x[-1] in stop, bags.count(bag) > 1 and n > 3])
+    return np.array(out, dtype=float), np.array([len(x) for x in lines], dtype=float)
+
+
+def plain_score(text, model):
+    """Length-weighted mean marginal of "good", by sums over paths in plain floats."""
+    weights, move = model
+    x, size = plain_measures(text)
+    zero = np.zeros(x.shape[1])
+    near = [np.concatenate([x[i], x[i - 1] if i else zero, x[i + 1] if i + 1 < len(x) else zero]) for i in range(len(x))]
+    local = np.exp([f @ weights for f in near])
+    forward, backward = [local[0]], [np.ones(2)]
+    for s in local[1:]:
+        f = (forward[-1] @ np.exp(move)) * s
+        forward.append(f / f.sum())
+    for s in local[:0:-1]:
+        b = np.exp(move) @ (s * backward[-1])
+        backward.append(b / b.sum())
+    p = np.array(forward) * np.array(backward[::-1])
+    good = (p / p.sum(1, keepdims=True))[:, 1]
+    return float((good * (size + 1)).sum() / (size + 1).sum())
+
+
+def test_classifier_against_plain_python(spark, edge):
+    """Measures and scores of the edge cases, and of texts with runs of junk, line by line."""
+    rng = random.Random(8)
+    bits = ["Some plain words here.", "### *** ###", "WIN!! NOW!!", "word word word word", "12 of 40", "", " \t", "é ß. 漢", "a | b | c"]
+    texts = [t for _, t in edge[0]] + ["\n".join(rng.choices(bits, k=rng.randint(1, 12))) for _ in range(60)]
+    x, size, first = quality_classifier.line_measures(pa.array(texts))
+    for r, t in enumerate(texts):
+        want, sizes = plain_measures(t)
+        assert np.allclose(x[first[r]:first[r + 1]], want) and size[first[r]:first[r + 1]].tolist() == sizes.tolist()
+    rows = list(enumerate(texts))
+    docs = make(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts) - 60, len(texts))], "doc_id long, quality int")
+    model = quality_classifier.fit(docs, labels)
+    got = ordered(quality_classifier.score(docs, model), rows)
+    assert np.allclose([r.score for r in got], [plain_score(t, model) for t in texts], atol=1e-9)
+
+
+def test_classifier_query_marks_a_null_id_as_not_held_out(spark):
+    df = spark.createDataFrame([(None,), (4,), (7,)], "doc_id long")
+    got = [r.h for r in df.select(quality_classifier.held_out(F.col("doc_id")).alias("h")).collect()]
+    assert got[0] is False and all(g == (zlib.crc32(str(i).encode()) % 3 == 1) for g, i in zip(got[1:], (4, 7)))
+
+
 def test_empty_tables(empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert suffix_dedup.remove_passages(empty).count() == 0
@@ -225,6 +298,56 @@ def test_empty_tables(empty):
     assert ngram_join.one_of_each(empty).count() == 0
 
 
+def test_large_sets_are_told_apart_by_wide_parity():
+    """Sets far larger than the short sketch: similar ones pass, unrelated ones don't, of unequal sizes too."""
+    rng = np.random.default_rng(3)
+
+    def text(words):
+        return " ".join(f"w{w}" for w in words)
+
+    base = rng.integers(0, 10**9, 6000)
+    near = base.copy()
+    near[rng.choice(6000, 60, replace=False)] = rng.integers(0, 10**9, 60)
+    texts = [text(base), text(near), text(rng.integers(0, 10**9, 6000)), text(base[:5200]), text(rng.integers(0, 10**9, 2500))]
+    s = ngram_join.Sets(pa.array(texts), 4)
+    wide = [np.frombuffer(w, np.uint8) for w in s.wide_parity()]
+    sets = [set(s.items[s.off[r]:s.off[r + 1]].tolist()) for r in range(len(texts))]
+
+    def passes(i, j):
+        size = min(len(wide[i]), len(wide[j]))
+        differ = int(np.bitwise_count(ngram_join._folded(wide[i], size) ^ ngram_join._folded(wide[j], size)).sum())
+        assert differ <= len(sets[i] ^ sets[j])  # never more than the sets differ in
+        return 185 * differ <= 15 * (len(sets[i]) + len(sets[j]))
+
+    assert passes(0, 1) and passes(0, 3) and not passes(0, 2) and not passes(2, 3)
+    assert ngram_join.Sets(pa.array(["a b c d e", None]), 4).wide_parity() == [None, None]
+
+
+def test_one_of_each_keeps_clean_rows_and_other_columns(spark):
+    """Repeated rows, rows that share an id, near copies, empties: one row of each group, all others untouched."""
+    rng = random.Random(6)
+    body = lambda n: " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(n))
+    hot, other = body(60), body(60)
+    rows = [(5, hot)] * 40 + [(5, other), (6, hot + " tail"), (7, body(30)), (7, body(30)), (8, ""), (8, ""), (8, None), (None, hot)]
+    docs = make(spark, rows)
+    got = ngram_join.one_of_each(docs)
+    assert got.columns == docs.columns
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got.collect())
+    assert kept == sorted([(True, 0, hot), (False, 5, other), (False, 7, rows[42][1]), (False, 7, rows[43][1]),
+                           (False, 8, ""), (False, 8, ""), (False, 8, "")])
+
+
+def test_pipeline_stages_on_empty_tables(spark, tmp_path):
+    """Every stage gives an empty table with its columns."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0, name
+        assert out.columns == docs.columns or name == corpus_pipeline.STAGES[-1][0]
+
+
 def test_pipeline_stage_by_stage(spark):
     """Each stage against brute force on what its predecessor kept."""
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -19,11 +20,54 @@ from tests.llm.conftest import make, ordered
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
+    for t in ("documents", "benchmark", "pages", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     df = QUERIES[name](spark, SF_SMALL)
     cols = sorted(df.columns)
     want = con.sql(ORACLES[name]).project(", ".join(cols)).fetchall()
-    assert sorted(tuple(r[c] for c in cols) for r in df.collect()) == sorted(want)
+    assert sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+
+
+def by_id(spark, name):
+    return {r.doc_id: r for r in QUERIES[name](spark, SF_SMALL).collect()}
+
+
+def test_pii_query(spark, small):
+    got = by_id(spark, "op4_pii")
+    assert got.keys() == small.keys()
+    for i, text in small.items():
+        base, r = brute.base_pii(text), got[i]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for _, k, _ in base) for n in range(4)]
+        listed = [f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base]
+        assert r.base_sha256 == brute.sha(",".join(listed))
+        assert [s for s in r.spans.split(",") if s and not s.startswith("secret")] == listed
+
+
+def test_token_count_query(spark, small):
+    got = by_id(spark, "op6_token_counts")
+    start, inner = map(set, token_counts.byte_pieces(bpe.read_vocab(bpe.vocab_path())))
+    assert got.keys() == small.keys()
+    for i in sorted(small)[:60]:
+        w = brute.words(small[i])
+        if len(w) < 400:
+            assert (got[i].n_words, got[i].n_tokens) == (len(w), sum(brute.greedy_pieces(b" " + x.encode(), start, inner) for x in w))
+
+
+def test_bpe_query(spark, small):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(bpe.vocab_path())
+    got = by_id(spark, "op7_bpe")
+    assert got.keys() == small.keys()
+    for i, text in small.items():
+        ids = lib.encode(text or "", add_special_tokens=False).ids
+        back = lib.decode(ids, skip_special_tokens=False)
+        assert (got[i].n_tokens, got[i].decoded_sha256) == (len(ids), brute.sha(back))
+        assert got[i].ids_sha256 == textkit.sha256(np.array(ids, dtype="<u4").tobytes())
 
 
 def test_batch_words_equal_the_pattern():
@@ -96,6 +140,43 @@ def test_pii_finds_secrets_and_leaves_prose(spark):
     assert [len(r.spans) for r in got[1:]] == [0, 0, 0]
 
 
+#: Formats and sentences that the labelled table doesn't have, by kind of secret.
+UNSEEN = {
+    "hex": (["{h24}", "{h48}", "{h56}", "0x{h40}"], ["session secret = '*'", "sign with token * today", "deploy-key: *"]),
+    "provider": (["xoxb-{d12}-{a18}", "AIza{a35}", "npm_{a36}", "SG.{a22}.{a43}", "dop_v1_{h64}", "rk_test_{a24}"],
+                 ["slack_token=*", "use the key * from the vault", "my-auth: *", "export NPM_TOKEN=\"*\""]),
+    "base64": (["{b24}==", "{b43}=", "{b60}"], ["signing_key = *", "<secret>*</secret>", "bearer * (old)"]),
+    "password": (["{l5}{d2}!x", "{u1}{l5}{d3}", "{l3}-{l4}-{d4}", "{l2}{d1}{l2}{d1}{l2}{d2}"],
+                 ["DB_PASS=*", "root password: *", "'passwd': '*'", "mot de passe, clé *", "Passwort = *", "la contraseña * sirve"]),
+}
+UNSEEN_CLEAN = ["The password of the day is friendship.", "checksum {h64} ok", "tag {h12} of the image", "ticket {d10} was closed",
+                "see page {d3}, line {d2}", "token economies in {d4}", "A KEY ROLE!! FOR ALL!!", "la clave de todo", "ein Schlüssel zum Glück",
+                "/usr/lib/python3.13/site-packages", "https://example.org/a/b?c=d&e={d5}", "version 2.{d2}.{d1} of the tool"]
+
+
+def _filled(pattern, seed):
+    return re.sub(r"\{([a-z])(\d+)\}", lambda m: pii._made(int(m[2]), pii.ALPHABETS[m[1]], f"{seed}.{m.start()}"), pattern)
+
+
+@pytest.mark.parametrize("kind", sorted(UNSEEN))
+def test_pii_recall_on_unseen_formats(kind):
+    """Nine of ten secrets of formats and sentences outside the table are found, as whole values."""
+    formats, sentences = UNSEEN[kind]
+    assert not {c.replace("*", "") for c in sentences} & {c.replace("*", "") for c in pii.CONTEXTS}
+    cases = [(s, _filled(f, f"{kind}{n}{m}{k}")) for n, f in enumerate(formats) for m, s in enumerate(sentences) for k in range(5)]
+    texts = [s.replace("*", v) for s, v in cases]
+    model, hit = pii.fit(), 0
+    for (_, v), t, spans in zip(cases, texts, pii.spans_of(pa.array(texts), model)):
+        hit += v in [t[a:b] for a, k, b in spans if k == 4]
+    assert hit >= 0.9 * len(cases), (kind, hit, len(cases))
+
+
+def test_pii_leaves_unseen_prose():
+    texts = [_filled(c, f"clean{n}{k}") for n, c in enumerate(UNSEEN_CLEAN) for k in range(10)]
+    wrong = [t for t, spans in zip(texts, pii.spans_of(pa.array(texts), pii.fit())) if any(k == 4 for _, k, _ in spans)]
+    assert len(wrong) <= 0.02 * len(texts), wrong
+
+
 def test_pii_decoding_in_stretches_is_exact():
     """Splitting at certain words gives the labels of one long Viterbi run."""
     from hitsessions.llm import crf
@@ -214,7 +295,6 @@ def test_decontamination_long_and_repeated_items(spark, monkeypatch):
     docs = make(spark, rows + [(500, "so some text that stands in fifty items is here"), (501, "no one knows this"),
                                (502, f"{words[-2]} {words[-1]}")])
     shards, build = [], decontaminate.build
-    monkeypatch.setattr(decontaminate, "MAX_ITEM_WORDS", 200, raising=False)
     monkeypatch.setattr(decontaminate, "build", lambda s, w: shards.append(sum(len(t.split()) for _, t in s)) or build(s, w))
     one, many = (sorted((r.row.doc_id, r.spans, r.bytes, r["items"]) for r in decontaminate.find(
         docs, items, window=4, shard_words=n).collect()) for n in (200_000, 160))
