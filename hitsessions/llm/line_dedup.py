@@ -18,7 +18,8 @@ Scale: two shuffles of (hash, id) rows, one of the text. A line that a
 third of all documents hold is one row per map task in the count (partial
 aggregation); in the join back it is a skewed key that Spark splits (the
 join key has one more column than the aggregate's, so that a fresh
-exchange feeds the join and adaptive execution can cut it).
+exchange feeds the join and adaptive execution can cut it). The join with
+the texts is made alike, for rows that repeat an id and a text.
 """
 
 from __future__ import annotations
@@ -68,7 +69,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .where(F.col("d") != F.col("keeper"))
                .groupBy("d", "th").agg(F.collect_set("pos").alias("dropped")))
 
-    out = packed(docs, id_col, text_col).join(dropped, ["d", "th"], "left")
+    # A third key here as well: rows that repeat one id and text are split like a hot line.
+    row = F.col("d").bitwiseXOR(F.col("th")).alias("dth")
+    out = packed(docs, id_col, text_col).select("*", row).join(dropped.select("*", row), ["dth", "d", "th"], "left")
     text = F.col("row." + name(text_col))
     n_lines = F.size(split_lines(text))
     keep = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("dropped"))

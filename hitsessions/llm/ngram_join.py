@@ -30,7 +30,8 @@ share go further (a sieve keeps the others out of the join). A class is
 compared with the first class of each signature, then with other hubs,
 then only across components that still share a signature. Links are
 exact (shingle sets are compared), and components grow by rounds over
-written tables. No pair, link or component reaches the driver.
+written tables; only links that components need are verified there, all of
+them in :func:`link_counts`. No pair, link or component reaches the driver.
 """
 
 from __future__ import annotations
@@ -365,17 +366,12 @@ def _widely(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> Da
     return out
 
 
-def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-            percent: int = PERCENT, bits: int = sieve.SIEVE_BITS) -> DataFrame:
-    """d, t, u, n_shingles, component (smallest id of the linked documents) and label of every row.
-
-    ``label`` names the component itself (null for empty sets): rows that
-    share an id but not a component differ in it.
-    """
+def _held(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bits: int):
+    """Texts by row, and the written tables of rows, of classes (equal sets), and of the signatures that classes share."""
     base = keyed(docs, id_col, text_col)
     rows = written(_classes(base, shingle), "rows")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(
-        F.min("d").alias("least"), F.min(F.struct(*KEY)).alias("k"),
+        F.min("d").alias("least"), F.min(F.struct(*KEY)).alias("k"), F.count("*").alias("members"),
         *[F.first(c).alias(c) for c in ("n", *SKETCH, "wide")]), "classes")
 
     shared = written(_signatures(base, shingle, percent).groupBy("sig")
@@ -386,6 +382,55 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     held = written(_signatures(base, shingle, percent, passing).distinct().join(shared, "sig"), "holders")
     removed(shared)
     passing.destroy()
+    return base, rows, classes, held
+
+
+def _by_signature(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """``rows`` joined with an aggregate per signature.
+
+    The second key makes fresh exchanges on both sides, so that a signature
+    that many classes share is split.
+    """
+    again = F.bitwise_not("sig").alias("sig2")
+    return rows.select("*", again).join(few.select("*", again), ["sig", "sig2"]).drop("sig2")
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                percent: int = PERCENT, bits: int = sieve.SIEVE_BITS) -> DataFrame:
+    """d, t, u, n_shingles and n_links (other rows whose set is similar or equal) of every row.
+
+    Every link is verified, not only as many as the components need
+    (:func:`members`), between classes of equal sets; a class counts with
+    all its rows.
+    """
+    base, rows, classes, held = _held(docs, id_col, text_col, shingle, percent, bits)
+    some = written(held.join(classes.select(F.col("c1").alias("c"), "n", *SKETCH), "c"), "open")
+    pairs = _side(some, "x").join(_side(some, "y"), (F.col("x_sig") == F.col("y_sig")) & (F.col("x_c") < F.col("y_c"))
+                                  & _may_link(percent))
+    pairs = written(pairs.select(F.col("x_c").alias("a"), F.col("y_c").alias("b")).distinct(), "pairs")
+    removed(some, held)
+    pairs = _widely(pairs, classes, percent, bits)
+    sets = _sets(base, shingle, classes, pairs, bits)
+    links = written(_linked(pairs, sets, percent), "links")
+    removed(pairs, sets)
+    both = links.union(links.select("b", "a"))
+    size = classes.select(F.col("c1").alias("b"), "members")
+    linked = both.join(size, "b").groupBy(F.col("a").alias("c1")).agg(F.sum("members").alias("others"))
+    found = written(classes.join(linked, "c1", "left").select(
+        "c1", "c2", (F.col("members") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "link-counts")
+    removed(classes, links)
+    return rows.join(found, ["c1", "c2"], "left").select(
+        *KEY, F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+            percent: int = PERCENT, bits: int = sieve.SIEVE_BITS) -> DataFrame:
+    """d, t, u, n_shingles, component (smallest id of the linked documents) and label of every row.
+
+    ``label`` names the component itself (null for empty sets): rows that
+    share an id but not a component differ in it.
+    """
+    base, rows, classes, held = _held(docs, id_col, text_col, shingle, percent, bits)
 
     star = written(held.where("c != hub").select(F.col("c").alias("a"), F.col("hub").alias("b")).distinct(), "candidates")
     star = _plausible(star, classes, percent, bits)
@@ -408,7 +453,7 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
             break
         rank = F.xxhash64(F.lit(turn), "c")
         hubs = named.groupBy("sig").agg(F.min_by("c", rank).alias("hub"), F.min_by("label", rank).alias("hub_label"))
-        pairs = named.join(hubs, "sig").where(F.col("label") != F.col("hub_label")).select(
+        pairs = _by_signature(named, hubs).where(F.col("label") != F.col("hub_label")).select(
             F.col("c").alias("a"), F.col("hub").alias("b")).distinct()
         near = _plausible(written(pairs, "candidates"), classes, percent, bits)
         pairs = written(near.groupBy("a").agg(F.min("b").alias("b")), "pairs")
@@ -456,7 +501,7 @@ def _open(held: DataFrame, labels: DataFrame) -> DataFrame:
     """sig, c, label of the signatures whose classes are in different components."""
     named = held.join(labels, held.c == labels.node, "left").select("sig", "c", F.coalesce("label", "c").alias("label"))
     apart = named.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
-    return named.join(apart, "sig")
+    return _by_signature(named, apart)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
