@@ -10,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hitsessions.llm import crf, ngram_join, quality_classifier, sieve, substring_dedup, suffix_dedup
+from hitsessions.llm import crf, line_dedup, ngram_join, quality_classifier, sieve, substring_dedup, suffix_dedup
 from hitsessions.llm.components import components
-from hitsessions.llm.rows import NULL_ID, written
+from hitsessions.llm.rows import NULL_ID, row_key, written
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm import brute
 from tests.llm.conftest import make, ordered
@@ -102,6 +102,36 @@ def test_ngram_join_against_brute_force(spark, seed, shingle, percent):
     assert [got[n] for n in range(len(rows))] == brute.components(rows, shingle, percent)
 
 
+@pytest.mark.parametrize("seed,shingle,percent", [(3, 2, 60), (4, 1, 80)])
+def test_link_counts_against_brute_force(spark, seed, shingle, percent):
+    """Every link between rows counts, copies and links inside a component too."""
+    rows = copies(seed)
+    sets = [brute.shingles(t, shingle) for _, t in rows]
+
+    def links(i):
+        return sum(j != i and len(a & b) * 100 >= percent * len(a | b) for j, b in enumerate(sets) if (a := sets[i]) and b)
+
+    docs = make(spark, rows)
+    got = {}
+    for r in ngram_join.link_counts(docs, shingle=shingle, percent=percent, bits=18).collect():
+        got[r.d, r.t] = (r.n_shingles, r.n_links)
+    keys = {int(r.row[1:]): (r.d, r.t) for r in docs.select("row", *row_key(docs, "doc_id", "text")).collect()}
+    assert [got[keys[n]] for n in range(len(rows))] == [(len(sets[n]), links(n)) for n in range(len(rows))]
+    assert ngram_join.link_counts(docs.limit(0)).count() == 0
+
+
+def test_joins_on_hot_keys_can_be_split(spark):
+    """A signature, or a row, that a third of all rows share: both sides of its join come from exchanges of their own."""
+    rows = [(i if i % 3 else 3, f"hot text of line {0 if i % 3 == 0 else i}\nshared by all of them") for i in range(90)]
+    out = line_dedup.dedup_lines(make(spark, rows))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("dth") >= 2 and "hashpartitioning(dth" in plan
+    few = spark.createDataFrame([(1, 2)], "sig long, hub long").groupBy("sig").agg(F.min("hub").alias("hub"))
+    joined = ngram_join._by_signature(spark.createDataFrame([(1, 5)], "sig long, c long"), few.hint("merge"))
+    assert joined._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(sig#") >= 2
+    assert [tuple(r) for r in joined.select("sig", "c", "hub").collect()] == [(1, 5, 2)]
+
+
 def test_similar_sets_share_a_signature():
     """The guarantee of the signatures, pair by pair, over sizes, seeds and edits."""
     rng = random.Random(4)
