@@ -22,10 +22,11 @@ Scale: a map over the documents, no shuffle of them. Equal item texts are
 one, with all their ids. Items are dealt to shards of ``shard_words`` words
 by a hash of their text, long ones in pieces that overlap such that every
 window lies in one; one automaton per shard is broadcast, so its size is
-bounded whatever the length of an item. Several shards
-mean several passes over the documents, whose hit words are joined per row
-by its id and text hashes; their bytes are looked up once they are merged,
-so results don't depend on the number of shards.
+bounded whatever the length of an item. With several shards one scan of
+the documents, against a sieve of the hashes of all windows, sets the rows
+apart that may hold one; only these meet the shards, and their hit words
+are joined per row by its id and text hashes. Bytes are looked up once
+they are merged, so results don't depend on the number of shards.
 """
 
 from __future__ import annotations
@@ -35,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import sieve
 from . import textkit as T
-from .rows import KEY, key_of, let, name, written
+from .rows import KEY, key_of, let, name, removed, written
 
 #: Bytes of words after lower-casing: a-z, 0-9 and everything beyond ASCII.
 WORD = np.zeros(256, dtype=bool)
@@ -185,8 +187,8 @@ def _cut_items(items: DataFrame, window: int, most: int) -> DataFrame:
     return items.mapInArrow(run, "id string, text string")
 
 
-def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int, window: int):
-    """Lists of (ids, text), each of about ``shard_words`` words at most.
+def _cut(items: DataFrame, id_col: str, text_col: str, shard_words: int, window: int) -> tuple[DataFrame, int]:
+    """text, ids of the items (a written table), and the number of shards of about ``shard_words`` words at most.
 
     Items go to shards by a hash of their text, long ones in pieces of an
     eighth of a shard. A word takes two bytes at least, with the character
@@ -198,14 +200,67 @@ def _shards(items: DataFrame, id_col: str, text_col: str, shard_words: int, wind
     # Equal texts meet here, before they are dealt: copies take no room in a shard.
     items = written(_cut_items(items, window, max(2 * window, shard_words // 8)).groupBy("text")
                     .agg(F.collect_set("id").alias("ids")), "items")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0]
-    if not total:
-        return
-    n = -(-total // shard_words) if total // 2 > shard_words else 1
-    for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k) if n > 1 else items
-        if rows := part.collect():
-            yield [(r.ids, r.text) for r in rows]
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return items, -(-total // shard_words) if total // 2 > shard_words else 1
+
+
+def _shard(items: DataFrame, k: int, n: int) -> list:
+    """(ids, text) of the items of shard ``k`` of ``n``."""
+    part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k) if n > 1 else items
+    return [(r.ids, r.text) for r in part.collect()]
+
+
+def _window_keys(text, lengths) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows of ``lengths`` words of a batch, and the row of each."""
+    buf, off = T.text_bytes(text)
+    buf = T.lower_ascii(buf)
+    starts, ends, rows = T.words(buf, off, WORD)
+    wh = T.word_hashes(buf, starts, ends)
+    last = np.repeat(rows[1:], np.diff(rows))
+    keys, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for n in lengths:
+        at = np.flatnonzero(np.arange(len(wh)) + n <= last)
+        if len(at):
+            keys.append(T.window_hashes(wh, n)[at])
+            of.append(np.searchsorted(rows, at, side="right") - 1)
+    return np.concatenate(keys), np.concatenate(of)
+
+
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """key, size: hashes of all windows of the items, and their numbers of words."""
+    def run(batches):
+        for b in batches:
+            for part in T.chunks(b, "text") if len(b) else ():
+                buf, off = T.text_bytes(part.column("text"))
+                count = np.diff(T.words(T.lower_ascii(buf), off, WORD)[2])
+                for n in range(1, window + 1):
+                    mine = np.flatnonzero(count == n if n < window else count >= window)
+                    if len(mine):
+                        keys = np.unique(_window_keys(part.column("text").take(pa.array(mine)), [n])[0])
+                        yield pa.RecordBatch.from_arrays([pa.array(T.signed(keys)), pa.array(np.full(len(keys), n, np.int32))],
+                                                         names=["key", "size"])
+
+    return items.select("text").mapInArrow(run, "key long, size int")
+
+
+def _screened(docs: DataFrame, items: DataFrame, text_col: str, window: int) -> DataFrame:
+    """row, n_words, maybe: whether some window of the row may be an item's (false: none is)."""
+    keys = written(_item_windows(items, window), "windows")
+    lengths = [r.size for r in keys.select("size").distinct().collect()]  # window of them at most
+    known = sieve.build(keys.select("key"), at_most=keys.count())
+    removed(keys)
+
+    def run(batches):
+        for part, text in T.pieces(batches, text_col):
+            buf, off = T.text_bytes(text)
+            n = np.diff(T.words(T.lower_ascii(buf), off, WORD)[2])
+            key, row = _window_keys(text, lengths)
+            maybe = np.zeros(len(text), dtype=bool)
+            maybe[row[sieve.hit(known.value, key)]] = True
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(n.astype(np.int64)), pa.array(maybe)],
+                                             names=["row", "n_words", "maybe"])
+
+    return docs.mapInArrow(run, T.row_schema(docs, "n_words long, maybe boolean"))
 
 
 def _scan(docs: DataFrame, shard, text_col: str, window: int) -> DataFrame:
@@ -288,27 +343,38 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str
 
     ``spans`` are the hit words as flat (first, end) positions, ``bytes``
     the same places in the UTF-8 text, ``items`` the ids of the items that
-    occur. With several shards of items the passes meet per row.
+    occur.
     """
     docs = docs.select(F.struct(*[F.col(name(c)) for c in docs.columns]).alias("row"))
-    passes = [_scan(docs, s, text_col, window) for s in _shards(items, item_id, item_text, shard_words, window)]
-    if not passes:
-        passes = [_scan(docs, [], text_col, window)]
-    if len(passes) == 1:
-        return passes[0]
-    # Every pass yields each row; equal rows have equal hits, so these meet by the row key.
-    out = passes[0]
-    for p in passes[1:]:
-        out = out.unionByName(p)
+    items, n = _cut(items, item_id, item_text, shard_words, window)
+    if n == 1:
+        return _scan(docs, _shard(items, 0, 1), text_col, window)
+    # Several shards: one scan tells the rows that may hold a window of any item; only these meet the shards.
+    marked = _screened(docs, items, text_col, window)
+    none = {"spans": F.array().cast("array<long>"), "bytes": F.array().cast("array<long>"), "items": F.array().cast("array<string>")}
+    clear = marked.where("not maybe").drop("maybe").withColumns(none)
+    doubt = written(marked.where("maybe").drop("maybe"), "doubtful")
+    parts = []
+    for k in range(n):
+        if shard := _shard(items, k, n):
+            found = _scan(doubt.select("row"), shard, text_col, window).where(F.size("spans") > 0)
+            key = key_of(F.col("row." + name(id_col)), F.col("row." + name(text_col)))
+            parts.append(written(found.select(*key, "spans", "items"), "hits"))
+    removed(items)
+    hits = parts[0]
+    for p in parts[1:]:
+        hits = hits.unionByName(p)
+    # Equal rows have equal hits, so these meet by the row key; the fourth key makes fresh exchanges, so that a row that
+    # repeats a great many times is split.
+    again = F.col("t").bitwiseXOR(F.col("u")).alias("tu")
+    hit = (hits.groupBy(*KEY).agg(F.collect_set("spans").alias("s"),
+                                  F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+           .select("*", again))
     key = key_of(F.col("row." + name(id_col)), F.col("row." + name(text_col)))
-    hit = (out.where(F.size("spans") > 0).select(*key, "spans", "items").groupBy(*KEY)
-           .agg(F.collect_set("spans").alias("s"),
-                F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
-    base = passes[0].select("row", "n_words", *key)
-    both = base.join(hit, KEY, "left")
-    merged_spans = both.select("row", "n_words", F.coalesce(joined(F.col("s")), F.array().cast("array<long>")).alias("spans"),
-                               F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    return _with_bytes(merged_spans, text_col)
+    both = doubt.select("row", "n_words", *key).select("*", again).join(hit, [*KEY, "tu"], "left")
+    merged_spans = both.select("row", "n_words", F.coalesce(joined(F.col("s")), none["spans"]).alias("spans"),
+                               F.coalesce("items", none["items"]).alias("items"))
+    return _with_bytes(merged_spans, text_col).unionByName(clear)
 
 
 def joined(lists):
