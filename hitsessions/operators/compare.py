@@ -73,19 +73,26 @@ def _per_date(counts: DataFrame, cnt: str, prefix: str) -> DataFrame:
 
 
 def compare_counts(ss_counts: DataFrame, fe_counts: DataFrame,
-                   opts: SessionOptions | None = None) -> DataFrame:
-    """Daily totals of both models and their relative difference in %."""
+                   opts: SessionOptions | None = None, both_sides: bool = False) -> DataFrame:
+    """Daily totals of both models and their relative difference in %.
+
+    Days only in Model 1 drop out, as in the original report (a left join
+    from Model 2), unless ``both_sides`` asks for them: their Model 2 count
+    is 0 then, and the difference -100 %.
+    """
     opts = opts or SessionOptions()
+    if both_sides and opts.comparison_fan_out:
+        raise ValueError("days of both sides are for the intended mode")
     ss = _per_date(ss_counts, "cnt_sessions_ss", "ss")
     fe = _per_date(fe_counts, "cnt_sessions_fev", "fe")
-    # Days only in Model 1 drop out (left join from Model 2).
-    j = ss.join(fe, on="session_date", how="left")
+    j = ss.join(fe, on="session_date", how="full" if both_sides else "left")
     if opts.comparison_fan_out:
         m2 = F.when(F.col("fe_rows").isNull(), F.col("ss_sum")).otherwise(F.col("ss_sum") * F.col("fe_rows"))
         m1 = F.col("fe_sum") * F.col("ss_rows")
         ratio = m2 / m1
     else:
         m2, m1 = F.col("ss_sum"), F.col("fe_sum")
+        m2 = F.coalesce(m2, F.lit(0)) if both_sides else m2
         ratio = F.try_divide(m2, m1)
     return (j.select(iso_date("session_date").alias("date"),
                      m2.cast("long").alias("cnt_sessions_model2_session_start"),
@@ -112,16 +119,17 @@ def compare_channels(ss_counts: DataFrame, fe_counts: DataFrame) -> DataFrame:
 
 def compare_models(fe_sessions: DataFrame, events: DataFrame, start=None, end=None,
                    opts: SessionOptions | None = None, clock: str = "server", by_channel: bool = False,
-                   rules: A.ChannelRules = A.ChannelRules()) -> DataFrame:
+                   rules: A.ChannelRules = A.ChannelRules(), both_sides: bool = False) -> DataFrame:
     """The comparison report for [start, end] (J7), daily or per channel.
 
     A date that isn't given takes the default of the scheduled runs.
+    ``both_sides`` keeps days that only Model 1 has in the daily report.
     """
     opts = opts or SessionOptions()
     start, end = window_bounds(start, end, opts.today)
     fe = model1_channel_counts(fe_sessions, start, end, opts.id_column)
     ss = model2_channel_counts(events, start, end, opts, clock, rules)
-    return compare_channels(ss, fe) if by_channel else compare_counts(ss, fe, opts)
+    return compare_channels(ss, fe) if by_channel else compare_counts(ss, fe, opts, both_sides)
 
 
 def session_duplicates(events: DataFrame, start=None, end=None,

@@ -558,6 +558,13 @@ def q_compare_models_by_channel(spark, sf_dir):
     return CMP.compare_models(first_touch_sessions(ev, *FULL, o), ev, *FULL, o, by_channel=True)
 
 
+def q_compare_models_both_sides(spark, sf_dir):
+    """The report with the days that only Model 1 has (here every fourth day has no session_start)."""
+    ev, o = _events(spark, sf_dir), _opts(INTENDED)
+    some = ev.where((F.col("event_name") != "session_start") | (F.col("suffix").substr(7, 2).cast("int") % 4 != 0))
+    return CMP.compare_models(first_touch_sessions(some, *FULL, o), some, *FULL, o, both_sides=True)
+
+
 def q_session_duplicates_report(spark, sf_dir):
     return CMP.session_duplicates(_events(spark, sf_dir), *FULL, _opts(INTENDED))
 
@@ -620,6 +627,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_stateful_model1": q_stream_stateful,
     "stream_stateful_model2": lambda s, d: q_stream_stateful(s, d, "model2"),
     "stream_odd_shards": q_stream_odd_shards,
+    "compare_models_both_sides": q_compare_models_both_sides,
     "compare_models_rollup": q_compare_models_rollup,
     "merge_bucketed": lambda s, d: _merge(s, d, 1, INTENDED, table_buckets=16),
     "sql_model1_sessions": q_sql_model1_sessions,
@@ -685,6 +693,7 @@ ORACLES: dict[str, str] = {
     "stream_stateful_model1": O.sessions_without_run_times(1),
     "stream_stateful_model2": O.sessions_without_run_times(2),
     "stream_odd_shards": O.stream_odd_shards(),
+    "compare_models_both_sides": O.compare_models_both_sides(),
     "compare_models_rollup": O.compare_models_rollup(),
     "merge_bucketed": O.merge(1, False),
     "sql_model1_sessions": O.in_both_modes(O.model1_sessions),
