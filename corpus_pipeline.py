@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitsessions.llm import bpe, decontaminate, line_dedup, ngram_join, quality_classifier
-from hitsessions.llm.rows import removed, text_columns, unpacked, written
+from hitsessions.llm.rows import removed, small_batches, text_columns, unpacked, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines are mostly good."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     labels = labels.where(~quality_classifier.held_out(F.col("doc_id")))
     scored = quality_classifier.score(docs, quality_classifier.fit(docs, labels))
@@ -31,17 +32,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that other documents have too."""
+    small_batches(spark)
     out = line_dedup.dedup_lines(docs)
     return unpacked(out, docs.columns, text_columns(docs.columns, F.col("kept")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    small_batches(spark)
     return ngram_join.one_of_each(docs, shingle=5, percent=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of the benchmark."""
+    small_batches(spark)
     found = decontaminate.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     clean = decontaminate.remove(found)
     return unpacked(clean, docs.columns, text_columns(docs.columns, F.col("clean")))
@@ -49,6 +53,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to it again."""
+    small_batches(spark)
     out = bpe.encode(docs.select("doc_id", "text"), bpe.vocab_path(), decoded=True)
     return out.select("row.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                       (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"))

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from . import sieve
 from . import textkit as T
 from .components import components
-from .rows import KEY, KEY_SCHEMA, NULL_ID, name, removed, row_key, unpacked, written
+from .rows import KEY, KEY_SCHEMA, NULL_ID, name, removed, row_key, small_batches, unpacked, written
 from .substring_dedup import _parts, keyed
 
 SHINGLE, PERCENT = 4, 85
@@ -368,6 +368,7 @@ def _widely(pairs: DataFrame, classes: DataFrame, percent: int, bits: int) -> Da
 
 def _held(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bits: int):
     """Texts by row, and the written tables of rows, of classes (equal sets), and of the signatures that classes share."""
+    small_batches(docs.sparkSession)
     base = keyed(docs, id_col, text_col)
     rows = written(_classes(base, shingle), "rows")
     classes = written(rows.where("n > 0").groupBy("c1", "c2").agg(

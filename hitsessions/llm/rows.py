@@ -70,6 +70,20 @@ def text_columns(columns: list[str], text: Column, text_col: str = "text", chars
     return out
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT_BATCH = "67108864b"
+
+
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Bound the session's Arrow batches to ``size`` bytes, where they have Spark's default of 64 MB.
+
+    Each task holds several copies of a batch, in the JVM and in its Python
+    worker; the operators here cut batches into smaller pieces anyway.
+    """
+    if spark.conf.get(_BATCH) == _DEFAULT_BATCH:
+        spark.conf.set(_BATCH, str(size))
+
+
 def written(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
     """``df`` written once to the shared work folder and read back (cuts the lineage).
 
