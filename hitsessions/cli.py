@@ -36,7 +36,11 @@ from hitsessions.sources import export as X
 
 def _events(spark, a, start, end):
     read = X.read_shard_folders if a.layout == "folders" else X.read_window
-    return read(spark, a.export, start, end, include_intraday=not a.daily_only)
+    return read(spark, a.export, start, end, include_intraday=_intraday(a))
+
+
+def _intraday(a):
+    return False if a.daily_only else X.UNLESS_DAILY if a.intraday_unless_daily else True
 
 
 def main(argv=None) -> int:
@@ -54,6 +58,8 @@ def main(argv=None) -> int:
     ap.add_argument("--mode", default="intended", choices=["intended", "as_written"])
     ap.add_argument("--layout", default="partitioned", choices=["partitioned", "folders"])
     ap.add_argument("--daily-only", action="store_true", help="ignore intraday shards")
+    ap.add_argument("--intraday-unless-daily", action="store_true",
+                    help="ignore an intraday shard whose daily shard is there")
     ap.add_argument("--lookback-days", type=int, default=0)
     ap.add_argument("--one-row-per-id", action="store_true", help="insert only sessions that no date of the table holds")
     ap.add_argument("--by-channel", action="store_true", help="compare per source, medium and campaign")
@@ -67,7 +73,7 @@ def main(argv=None) -> int:
 
     spark = SparkSession.getActiveSession() if not a.master else None
     spark = spark or build_session(a.master)
-    opts = SessionOptions(mode=a.mode, include_intraday=not a.daily_only, target_lookback_days=a.lookback_days,
+    opts = SessionOptions(mode=a.mode, include_intraday=_intraday(a), target_lookback_days=a.lookback_days,
                           one_row_per_id=a.one_row_per_id)
     start, end = X.window_bounds(a.start, a.end)
     # Session jobs scan the days that a widened match needs as well.

@@ -24,7 +24,9 @@ class SessionOptions:
     # below (tolerance_days + 1) * 24 h, as whole days are truncated first.
     tolerance_days: int = 2
     # Daily and intraday shards both match the digit run of the suffix.
-    include_intraday: bool = True
+    # "unless_daily" leaves an intraday shard out once its daily one is there
+    # (scans that list the export: read_window, read_shard_folders).
+    include_intraday: bool | str = True
     # Raise on a duplicated parameter key instead of taking the first one.
     strict_params: bool = False
     # Days before the window that a run scans and matches as well, to catch

@@ -151,6 +151,18 @@ def q_events_in_window_folders(spark, sf_dir):
     return X.events_in_window(ev, *WINDOW).select("event_id", "suffix", "event_date", "user_pseudo_id")
 
 
+def q_intraday_unless_daily(spark, sf_dir):
+    """Every second day of the window has an intraday shard too: it counts only where its daily shard is missing."""
+    ev = lens_events(spark, sf_dir)
+    day = F.col("suffix").substr(7, 2).cast("int")
+    intraday = F.concat(F.lit("intraday_"), "suffix")
+    ev = ev.where(day % 4 != 0).unionByName(ev.where((day % 2 == 0) & (F.col("event_id") % 3 > 0)).withColumn("suffix", intraday))
+    root = new_work_path(spark, "intraday")
+    X.write_export(ev, root)
+    win = X.read_window(spark, root, *WINDOW, include_intraday=X.UNLESS_DAILY, extra=(T.StructField("event_id", T.LongType()),))
+    return X.events_in_window(win, *WINDOW).select("event_id", "suffix", "event_date", "user_pseudo_id")
+
+
 def q_single_shard(spark, sf_dir):
     """One shard's ids, read from both layouts."""
     root, folders = new_work_path(spark, "export"), new_work_path(spark, "folders")
@@ -627,6 +639,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_stateful_model1": q_stream_stateful,
     "stream_stateful_model2": lambda s, d: q_stream_stateful(s, d, "model2"),
     "stream_odd_shards": q_stream_odd_shards,
+    "intraday_unless_daily": q_intraday_unless_daily,
     "compare_models_both_sides": q_compare_models_both_sides,
     "compare_models_rollup": q_compare_models_rollup,
     "merge_bucketed": lambda s, d: _merge(s, d, 1, INTENDED, table_buckets=16),
@@ -693,6 +706,7 @@ ORACLES: dict[str, str] = {
     "stream_stateful_model1": O.sessions_without_run_times(1),
     "stream_stateful_model2": O.sessions_without_run_times(2),
     "stream_odd_shards": O.stream_odd_shards(),
+    "intraday_unless_daily": O.intraday_unless_daily(),
     "compare_models_both_sides": O.compare_models_both_sides(),
     "compare_models_rollup": O.compare_models_rollup(),
     "merge_bucketed": O.merge(1, False),

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,15 +124,27 @@ def shard_matches(shard: str, start, end, include_intraday: bool = True) -> bool
     return digits is not None and lo <= digits[0] <= hi
 
 
-def read_window(spark: SparkSession, root: str, start=None, end=None, include_intraday: bool = True,
+def read_window(spark: SparkSession, root: str, start=None, end=None, include_intraday: bool | str = True,
                 narrow: bool = True, extra=(), today: dt.date | None = None) -> DataFrame:
     """The shards of a window from a partitioned export tree.
 
-    One listing of the root gives one entry per shard; only the folders
-    of the window go into the scan's file index.
+    A listing of the root gives one entry per shard; only the folders
+    of the window go into the scan's file index. ``include_intraday`` may be
+    ``UNLESS_DAILY``: an intraday shard whose daily shard is there is left out.
     """
     start, end = window_bounds(start, end, today)
-    return read_shards_of(spark, root, lambda s: shard_matches(s, start, end, include_intraday), narrow, extra)
+    names = [unquote(n[len("suffix="):]) for n in subfolders(spark, root, required=True) if n.startswith("suffix=")]
+    return read_shards_of(spark, root, _window_test(names, start, end, include_intraday), narrow, extra)
+
+
+#: ``include_intraday``: an intraday shard counts only while its daily shard isn't there.
+UNLESS_DAILY = "unless_daily"
+
+
+def _window_test(names, start, end, include_intraday) -> Callable[[str], bool]:
+    """Test of a shard name for a window, given all names of the export."""
+    daily = {f"intraday_{n}" for n in names} if include_intraday == UNLESS_DAILY else set()
+    return lambda s: s not in daily and shard_matches(s, start, end, bool(include_intraday))
 
 
 def read_shards_of(spark: SparkSession, root: str, wanted, narrow: bool = True, extra=()) -> DataFrame:
@@ -155,7 +168,7 @@ def _read_paths(spark: SparkSession, root: str, paths: list[str], schema: T.Stru
     return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
-def shard_paths(spark: SparkSession, root: str, start, end, include_intraday: bool = True,
+def shard_paths(spark: SparkSession, root: str, start, end, include_intraday: bool | str = True,
                 prefix: str = "events_") -> list[str]:
     """Shard folders ``<root>/events_<shard>`` of the window, for exports
     stored one folder per shard rather than as ``suffix=`` partitions.
@@ -163,8 +176,9 @@ def shard_paths(spark: SparkSession, root: str, start, end, include_intraday: bo
     Any shard name counts, as in the partitioned layout: its first digit
     run is compared. One listing of the root replaces a lookup per day.
     """
-    return sorted(path for folder, path in subfolders(spark, root, required=True).items() if folder.startswith(prefix)
-                  and shard_matches(folder[len(prefix):], start, end, include_intraday))
+    folders = {n[len(prefix):]: p for n, p in subfolders(spark, root, required=True).items() if n.startswith(prefix)}
+    test = _window_test(folders, start, end, include_intraday)
+    return sorted(p for shard, p in folders.items() if test(shard))
 
 
 def _read_folders(spark: SparkSession, paths: list[str], narrow: bool, prefix: str, extra=()) -> DataFrame:
@@ -176,7 +190,7 @@ def _read_folders(spark: SparkSession, paths: list[str], narrow: bool, prefix: s
     return df.select(*schema.fieldNames(), suffix.alias("suffix"))
 
 
-def read_shard_folders(spark: SparkSession, root: str, start=None, end=None, include_intraday: bool = True,
+def read_shard_folders(spark: SparkSession, root: str, start=None, end=None, include_intraday: bool | str = True,
                        narrow: bool = True, prefix: str = "events_", extra=(),
                        today: dt.date | None = None) -> DataFrame:
     """Scan of a folder-per-shard export (S1, S2 without ``key=value``).
