@@ -12,6 +12,8 @@ from __future__ import annotations
 import sys
 
 from hitsessions.operators import compare as CMP
+from hitsessions.operators import id_index
+from hitsessions.operators import states as S
 from hitsessions.operators import upsert as U
 from hitsessions.operators.first_touch import first_touch_sessions
 from hitsessions.operators.session_start import session_start_sessions
@@ -34,6 +36,8 @@ NOTES = """What to look for:
   because AQE measured it small (one row per day).
 - At sf0.1 AQE broadcasts the small side of the window form's join. On large inputs it stays a sort-merge join on the
   existing id partitioning (no extra exchange in intended mode).
+- The last three jobs run with broadcasts off. The id index and the bucketed target are read by bucket: the only exchange
+  of their joins is above the source. States are merged by one partial aggregate and one exchange.
 """
 
 
@@ -63,6 +67,20 @@ def main(sf_dir: str) -> None:
         "Comparison report, as written (J7)": CMP.compare_models(
             first_touch_sessions(ev, *FULL, o.with_(mode="as_written")), ev, *FULL, o.with_(mode="as_written")),
     }
+    # Without broadcasts, as with large sides.
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    load, bo = ("2024-01-01", "2024-01-16"), o.with_(table_buckets=16, one_row_per_id=True, id_buckets=16)
+    bucketed, names = new_work_path(spark, "plans-bucketed"), []
+    U.upsert_sessions(spark, bucketed, first_touch_sessions(ev, *load, bo, run_ts="2024-01-17 06:00:00"), *load,
+                      U.MODEL1_SPEC, "2024-01-17 06:00:00", bo)
+    target = U._read_target(spark, bucketed, src, "2024-01-15", "2024-01-31", U.MODEL1_SPEC, bo, names=names)
+    states = new_work_path(spark, "plans-states")
+    S.update_states(spark, ev, states, sorted(r.suffix for r in ev.select("suffix").distinct().collect()), o)
+    jobs["Sessions that the id index knows (D1, Q15)"] = id_index.held(src, id_index.read_ids(spark, bucketed), 16)
+    jobs["Upsert content, bucketed target (S6, JN2)"] = U.merge_partitions(
+        target, src, "2024-01-15", "2024-01-31", U.MODEL1_SPEC, "2024-02-01 06:00:00", 0, 16)
+    jobs["Model 1 from stored states (L1, L2)"] = S.sessions_from_states(spark, states, *FULL, o)[0]
     print(f"# Final physical plans\n\n`python -m hitsessions.plans.show {sf_dir}`: PySpark {spark.version}, "
           "local[8], AQE on, 16 shuffle partitions. Plans after execution; long lines are cut.\n")
     print(NOTES)
