@@ -58,6 +58,8 @@ TURNS = 2
 #: Bits of the parity sketch that rules pairs out before their sets are compared.
 PARITY = 1024
 SKETCH = [f"p{i}" for i in range(PARITY // 64)]
+#: Signatures that a task combines at a time.
+COMBINE = 1 << 18
 #: Partitions of the domain tried for sets with more empty choices than spare parts.
 DEPTH = 6
 _U = np.uint64
@@ -215,19 +217,41 @@ def _classes(base: DataFrame, n: int) -> DataFrame:
                            + ", wide binary")
 
 
+def _ends_of(sig: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+    """sig, c: of each signature the rows with its least and its greatest class."""
+    order = np.lexsort((c, sig))
+    sig, c = sig[order], c[order]
+    edge = np.concatenate([[True], sig[1:] != sig[:-1], [True]])
+    use = edge[:-1] | edge[1:]
+    return pa.RecordBatch.from_arrays([pa.array(sig[use]), pa.array(c[use])], names=["sig", "c"])
+
+
 def _signatures(base: DataFrame, n: int, percent: int, only=None) -> DataFrame:
-    """sig, c (the class) of every class of a chunk; with a sieve, those that it lets through."""
+    """sig, c (the class) of every class of a chunk; with a sieve, those that it lets through.
+
+    Without one, rows of a signature that many classes of a task share are
+    reduced to its least and its greatest class, COMBINE rows at a time.
+    """
     def run(batches):
+        sigs, classes, held = [], [], 0
         for part in _parts(batches):
             s = Sets(part.column("text"), n)
             full = np.flatnonzero(s.size > 0)
             one = full[np.unique(s.c1[full], return_index=True)[1]]
             row, sig = s.signatures(one, Bands(percent, int(s.size.max(initial=1))))
+            sig, c = T.signed(sig), T.signed(s.c1[row])
             if only is not None:
                 use = sieve.hit(only.value, sig)
-                row, sig = row[use], sig[use]
-            yield pa.RecordBatch.from_arrays([pa.array(T.signed(sig)), pa.array(T.signed(s.c1[row]))],
-                                             names=["sig", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig[use]), pa.array(c[use])], names=["sig", "c"])
+                continue
+            sigs.append(sig)
+            classes.append(c)
+            held += len(sig)
+            if held >= COMBINE:
+                yield _ends_of(np.concatenate(sigs), np.concatenate(classes))
+                sigs, classes, held = [], [], 0
+        if held:
+            yield _ends_of(np.concatenate(sigs), np.concatenate(classes))
 
     return base.select("text").mapInArrow(run, "sig long, c long")
 
@@ -375,7 +399,10 @@ def _held(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: in
         F.min("d").alias("least"), F.min(F.struct(*KEY)).alias("k"), F.count("*").alias("members"),
         *[F.first(c).alias(c) for c in ("n", *SKETCH, "wide")]), "classes")
 
-    shared = written(_signatures(base, shingle, percent).groupBy("sig")
+    # Nearly all signatures are of one class, so a partial aggregate would keep them all for nothing: they are combined
+    # in the tasks above, and grouped behind the exchange, in more partitions than usual.
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = written(_signatures(base, shingle, percent).repartition(parts, "sig").groupBy("sig")
                      .agg(F.min("c").alias("hub"), F.max("c").alias("last")).where("hub < last")
                      .select("sig", "hub"), "signatures")
     passing = sieve.build(shared.select(F.col("sig").alias("key")), bits, shared.count())
