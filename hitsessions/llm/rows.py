@@ -74,7 +74,7 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _DEFAULT_BATCH = "67108864b"
 
 
-def small_batches(spark: SparkSession, size: int = 1 << 20) -> None:
+def small_batches(spark: SparkSession, size: int = 1 << 18) -> None:
     """Bound the session's Arrow batches to ``size`` bytes, where they have Spark's default of 64 MB.
 
     Each task holds several copies of a batch, in the JVM and in its Python
